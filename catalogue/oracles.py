@@ -32,7 +32,7 @@ def percentile(value, p, where=""):
 
 BOOKINGS = f"""
 SELECT *, {r('base_fare_bdt + tax_surcharge_bdt')} AS total_fare_bdt FROM (
-SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS id,
+SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || CAST(round(l_extendedprice * 100) AS BIGINT) AS id,
  p_brand AS airline,
  'N' || lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS source_code, 'NATION_' || s_nationkey AS source_name,
  'N' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS destination_code, 'NATION_' || c_nationkey AS destination_name,

@@ -55,7 +55,8 @@ def _csv(spark, sf_dir) -> str:
     headers = {field: header for header, field in fixed.CSV_HEADERS.items()}
     path = new_path(spark, "bookings_csv")
     I.validated(spark, sf_dir).select(*src.FIELDS).withColumnsRenamed(headers).write.options(
-        header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss", quoteAll=True
+        header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss", quoteAll=True,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     ).csv(path)
     return path
 

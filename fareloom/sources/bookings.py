@@ -50,11 +50,13 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     def place(key):
         return F.concat(F.lit("NATION_"), F.col(key).cast("string"))
 
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     ship_month = F.month("l_shipdate")
     tax = round_to(F.col("l_extendedprice") * F.col("l_tax"), 2)
     hours = F.make_dt_interval(F.lit(0), F.col("l_quantity").cast("int"))
     return joined.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
+        # the first four alone are not quite unique
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents).alias("id"),
         F.col("p_brand").alias("airline"),
         code("s_nationkey").alias("source_code"),
         place("s_nationkey").alias("source_name"),
