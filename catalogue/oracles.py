@@ -490,6 +490,17 @@ CSV_HEADERS = ["Airline", "Source", "Source Name", "Destination", "Destination N
                "Base Fare (BDT)", "Tax & Surcharge (BDT)", "Total Fare (BDT)", "Seasonality", "Days Before Departure"]
 SCD_COLUMNS = "valid_from, valid_to, scd_id, updated_at"
 
+_CLASS_MEAN = f"""SELECT id, {TOTAL} AS y, p FROM silver s JOIN
+ (SELECT travel_class AS k, {avg(TOTAL)} AS p FROM silver GROUP BY 1) ON travel_class = k"""
+# two-feature normal equations, with the penalty on the diagonal
+_LINEAR = f"""SELECT feature, weight FROM (SELECT {r('w1', 4)} AS w1, {r('w2', 4)} AS w2, {r('my - w1 * m1 - w2 * m2', 4)} AS b FROM
+ (SELECT (c1 * v2 - c2 * v12) / (v1 * v2 - v12 * v12) AS w1, (c2 * v1 - c1 * v12) / (v1 * v2 - v12 * v12) AS w2, m1, m2, my FROM
+ (SELECT var_pop(duration_hrs) * count(*) + {{penalty}} AS v1, var_pop(days_before_departure) * count(*) + {{penalty}} AS v2,
+ covar_pop(duration_hrs, days_before_departure) * count(*) AS v12, covar_pop(duration_hrs, {TOTAL}) * count(*) AS c1,
+ covar_pop(days_before_departure, {TOTAL}) * count(*) AS c2, avg(duration_hrs) AS m1, avg(days_before_departure) AS m2,
+ avg({TOTAL}) AS my FROM silver))) CROSS JOIN LATERAL (SELECT 'duration_hrs' AS feature, w1 AS weight
+ UNION ALL SELECT 'days_before_departure', w2 UNION ALL SELECT 'intercept', b)"""
+
 ORACLES = {
     # sources and sinks
     "scan_csv": with_("bookings", "SELECT airline, travel_class, stopovers, strftime(departure_datetime, '%Y-%m-%d %H:%M:%S') AS departed FROM bookings"),
@@ -710,4 +721,50 @@ ORACLES = {
     "change_level": with_("load_log", """SELECT load_timestamp, change_percentage, CASE WHEN change_percentage = 0 THEN 'No Changes Detected'
  WHEN change_percentage < 5 THEN 'Minor Updates Detected' WHEN change_percentage < 50 THEN 'Moderate Changes Detected'
  ELSE 'Major Changes Detected' END AS change_level FROM load_log"""),
+    # features and models
+    "rank_merge": with_("valid", f"""SELECT feature, rf_rank, mi_rank, (rf_rank + mi_rank) / 2 AS avg_rank FROM (SELECT feature,
+ rank() OVER (ORDER BY a DESC) + (count(*) OVER (PARTITION BY a) - 1) / 2.0::DOUBLE AS rf_rank,
+ rank() OVER (ORDER BY b DESC) + (count(*) OVER (PARTITION BY b) - 1) / 2.0::DOUBLE AS mi_rank FROM ({per_column(NUMBERS[:3],
+ "SELECT '{c}' AS feature, abs(" + r('corr({c}, ' + TOTAL + ')', 4) + ") AS a, abs(" + r('corr({c}, days_before_departure)', 4) + ") AS b FROM valid")}))"""),
+    "route_popularity": with_("silver", f"""SELECT id, s.route, route_popularity, {r('ln(1 + route_popularity)', 6)} AS route_popularity_log FROM silver s JOIN
+ (SELECT route, count(*) AS route_popularity FROM silver GROUP BY 1) p ON s.route = p.route"""),
+    "peak_numeric": with_("silver", """SELECT id, p AS is_peak_season, coalesce(CAST(p AS INTEGER), 0) AS is_peak_season_numeric FROM
+ (SELECT id, CASE WHEN travel_class <> 'First' THEN is_peak_season END AS p FROM silver)"""),
+    "label_encode": with_("silver", """SELECT id, airline, route, is_peak_season, CAST(dense_rank() OVER (ORDER BY airline) - 1 AS INTEGER) AS airline_encoded,
+ CAST(dense_rank() OVER (ORDER BY route) - 1 AS INTEGER) AS route_encoded, CAST(dense_rank() OVER (ORDER BY is_peak_season) - 1 AS INTEGER) AS is_peak_season_encoded
+ FROM (SELECT id, CASE WHEN airline <> 'Brand#7' THEN airline ELSE 'missing' END AS airline, route,
+ CASE WHEN is_peak_season THEN 'True' ELSE 'False' END AS is_peak_season FROM silver)"""),
+    "scale_std": with_("silver", f"""SELECT id, {r('(duration_hrs - dm) / ds', 6)} AS duration_hrs, {r('(base_fare_bdt - bm) / bs', 6)} AS base_fare_bdt, 0.0::DOUBLE AS constant
+ FROM silver CROSS JOIN (SELECT avg(duration_hrs) AS dm, stddev_pop(duration_hrs) AS ds, avg(base_fare_bdt) AS bm, stddev_pop(base_fare_bdt) AS bs FROM silver)"""),
+    "final_fill": with_("validated", """SELECT id, total_fare_bdt, coalesce(duration_hrs, (SELECT median(duration_hrs) FROM gaps)) AS duration_hrs,
+ base_fare_bdt, 0.0::DOUBLE AS empty_number FROM gaps""", gaps=GAPS),
+    "feature_matrix": with_("silver", f"""SELECT id, total_fare_bdt, {r('(pop - avg(pop) OVER ()) / stddev_pop(pop) OVER ()', 6)} AS route_popularity,
+ {r('(ln(1 + pop) - avg(ln(1 + pop)) OVER ()) / stddev_pop(ln(1 + pop)) OVER ()', 6)} AS route_popularity_log,
+ {r('(pk - avg(pk) OVER ()) / stddev_pop(pk) OVER ()', 6)} AS is_peak_season_numeric, """ + ", ".join(
+     f"CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS INTEGER) AS {c}_encoded" for c in
+     ["airline", "source_code", "destination_code", "travel_class", "seasonality", "is_peak_season", "season_category", "route_type", "route"]
+ ) + """ FROM (SELECT *, CAST(count(*) OVER (PARTITION BY route) AS DOUBLE) AS pop, CAST(is_peak_season AS INTEGER) AS pk FROM silver)"""),
+    "feature_importance_mi": with_("silver", f"""SELECT feature, {r('greatest(sum(n::DOUBLE / t * ln(n::DOUBLE * t / (nx::DOUBLE * ny))), 0)', 6)} AS importance FROM
+ (SELECT feature, n, sum(n) OVER (PARTITION BY feature) AS t, sum(n) OVER (PARTITION BY feature, x) AS nx, sum(n) OVER (PARTITION BY feature, y) AS ny FROM
+ (SELECT feature, x, y, count(*) AS n FROM ({per_column(["duration_hrs", "base_fare_bdt", "days_before_departure", "num_stops"],
+ "SELECT '{c}' AS feature, least(31, floor(({c} - min({c}) OVER ())::DOUBLE * 32 / (max({c}) OVER () - min({c}) OVER ()))) AS x, "
+ f"least(31, floor(({TOTAL} - min({TOTAL}) OVER ()) * 32 / (max({TOTAL}) OVER () - min({TOTAL}) OVER ()))) AS y FROM silver")}) GROUP BY ALL)) GROUP BY 1"""),
+    "train_linear": with_("silver", _LINEAR.format(penalty="0.0")),
+    "train_ridge": with_("silver", _LINEAR.format(penalty="1000000.0")),
+    "train_lasso": with_("silver", f"""SELECT feature, weight FROM (SELECT {r('w', 4)} AS w, {r('my - w * mx', 4)} AS b FROM
+ (SELECT sign(c) * greatest(abs(c) - 100000.0, 0) / v AS w, mx, my FROM (SELECT covar_pop(duration_hrs, {TOTAL}) AS c, var_pop(duration_hrs) AS v,
+ avg(duration_hrs) AS mx, avg({TOTAL}) AS my FROM silver))) CROSS JOIN LATERAL (SELECT 'duration_hrs' AS feature, w AS weight UNION ALL SELECT 'intercept', b)"""),
+    "reg_metrics": with_("silver", f"""SELECT {r('1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*))', 4)} AS r2, {r('avg(abs(y - p))')} AS mae,
+ {r('sqrt(avg((y - p) * (y - p)))')} AS rmse, {r('avg(abs((y - p) / y)) * 100')} AS mape FROM ({_CLASS_MEAN})"""),
+    "residuals": with_("silver", f"SELECT id, y AS label, p AS prediction, {r('y - p')} AS residual FROM ({_CLASS_MEAN})"),
+    "model_status": with_("last_model", """SELECT TRUE AS model_loaded, model_name, '1.0' AS model_version,
+ strftime(training_timestamp, '%Y-%m-%d %H:%M:%S') AS last_training_date, test_r2, test_mae FROM last_model"""),
+    "score_interval": with_("silver", f"""SELECT id, {r('p')} AS predicted_fare_bdt, {r('greatest(0, p - 1.96 * 31000)')} AS interval_lower,
+ {r('p + 1.96 * 31000')} AS interval_upper FROM ({_CLASS_MEAN})"""),
+    # streams
+    "stream_ingest": with_("first_extract second_extract", f"""SELECT record_hash, {TOTAL},
+ record_hash IN (SELECT record_hash FROM second_extract) AS is_active,
+ CASE WHEN record_hash IN (SELECT record_hash FROM second_extract) THEN TIMESTAMP '{FIRST_LOAD}' ELSE TIMESTAMP '{SECOND_LOAD}' END AS ingestion_timestamp
+ FROM first_extract UNION ALL SELECT record_hash, {TOTAL}, TRUE, TIMESTAMP '{SECOND_LOAD}' FROM second_extract
+ WHERE record_hash NOT IN (SELECT record_hash FROM first_extract)"""),
 }

@@ -1,15 +1,13 @@
 """The registered queries, by operator."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogue import inputs as I
 from fareloom.functions import bands, fixed, text
 from fareloom.functions.numbers import (
     aggregate,
-    mape,
     peak_premium,
-    ratio_pct,
     round_to,
     sql_avg,
     sql_count,
@@ -17,19 +15,24 @@ from fareloom.functions.numbers import (
 )
 from fareloom.operators import (
     audit,
+    features,
     gold,
     incremental,
     joins,
+    models,
     order_stats,
     profile,
     quality,
     scd,
+    score,
     silver,
     validate,
 )
+from fareloom.plans import load, training
 from fareloom.session import materialize, new_path
 from fareloom.sources import bookings as src
 from fareloom.sources import files, tables
+from fareloom.streaming import ingest
 
 TOTAL = "total_fare_bdt"
 NUMBERS = ["duration_hrs", "base_fare_bdt", "tax_surcharge_bdt", TOTAL, "days_before_departure"]
@@ -338,14 +341,12 @@ def enrich_left(spark, sf_dir):
 
 @query("rank_merge")
 def rank_merge(spark, sf_dir):
-    from fareloom.operators.features import rank_merge as merge
-
     v = I.valid(spark, sf_dir)
     left = profile.target_correlation(v, NUMBERS[:3], TOTAL).selectExpr("feature", "abs(r) AS importance")
     right = profile.target_correlation(v, NUMBERS[:3], "days_before_departure").selectExpr(
         "feature", "abs(r) AS importance"
     )
-    return merge(left, right)
+    return features.rank_merge(left, right)
 
 
 @query("value_map")
@@ -924,3 +925,324 @@ def audit_avg_duration(spark, sf_dir):
 @query("change_level")
 def change_level(spark, sf_dir):
     return audit.change_levels(I.load_log(spark, sf_dir))
+
+
+# --- features and models -----------------------------------------------------------------------
+
+_fitted: dict = {}
+
+
+def _memo(spark, sf_dir, name, build):
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _fitted:
+        _fitted[key] = build()
+    return _fitted[key]
+
+
+def _prepared(spark, sf_dir):
+    """(feature table, fitted features), written on first use."""
+    return _memo(spark, sf_dir, "prepared", lambda: training.prepare(I.silver(spark, sf_dir)))
+
+
+def _data(spark, sf_dir):
+    table, fitted = _prepared(spark, sf_dir)
+    return models.assemble(table, fitted.feature_names), fitted.feature_names
+
+
+def _model(spark, sf_dir, name, **params):
+    """A model fitted to the training rows; later queries use the fitted one."""
+
+    def fit():
+        train = models.spread(_data(spark, sf_dir)[0].where("NOT is_test"))
+        model = models.fit(name, train, **params)
+        train.unpersist()
+        return model
+
+    return _memo(spark, sf_dir, name, fit)
+
+
+# The forests of the queries are smaller than the library's defaults (200 trees), for run time only.
+FOREST = dict(trees=10, depth=8)
+BOOSTED = dict(trees=10)
+IMPORTANCE_TREES = 10
+
+
+@query("route_popularity")
+def route_popularity(spark, sf_dir):
+    out = features.popularity_feature(I.silver(spark, sf_dir).select("id", "route"))
+    return out.withColumn("route_popularity_log", round_to("route_popularity_log", 6))
+
+
+@query("peak_numeric")
+def peak_numeric(spark, sf_dir):
+    flag = F.when(F.col("travel_class") != "First", F.col("is_peak_season"))
+    df = I.silver(spark, sf_dir).select("id", flag.alias("is_peak_season"))
+    return features.peak_numeric(df)
+
+
+@query("label_encode")
+def label_encode(spark, sf_dir):
+    df = I.silver(spark, sf_dir).select(
+        "id", "route", F.when(F.col("airline") != "Brand#7", F.col("airline")).alias("airline"),
+        "is_peak_season",
+    )
+    return features.label_encode(df, ["airline", "route", "is_peak_season"])
+
+
+@query("scale_std")
+def scale_std(spark, sf_dir):
+    columns = ["duration_hrs", "base_fare_bdt", "constant"]
+    df = I.silver(spark, sf_dir).select("id", "duration_hrs", "base_fare_bdt", F.lit(3.0).alias("constant"))
+    return features.scale_std(df, columns).select("id", *[round_to(c, 6).alias(c) for c in columns])
+
+
+@query("final_fill")
+def final_fill(spark, sf_dir):
+    df = _gaps(spark, sf_dir).drop("travel_class", "empty_text")
+    return features.final_fill(df, features.column_medians(df, features.number_columns(df)))
+
+
+@query("feature_matrix")
+def feature_matrix(spark, sf_dir):
+    frame = features.training_frame(I.silver(spark, sf_dir))
+    out = features.fit_features(frame).transform(frame)
+    scaled = ["route_popularity", "route_popularity_log", "is_peak_season_numeric"]
+    return out.withColumns({c: round_to(c, 6) for c in scaled})
+
+
+@query("feature_importance_rf")
+def feature_importance_rf(spark, sf_dir):
+    data, names = _data(spark, sf_dir)
+    return models.importance_forest(data, names, IMPORTANCE_TREES)
+
+
+@query("feature_importance_mi")
+def feature_importance_mi(spark, sf_dir):
+    columns = ["duration_hrs", "base_fare_bdt", "days_before_departure", "num_stops"]
+    return features.mutual_information(I.silver(spark, sf_dir), columns, TOTAL)
+
+
+@query("select_top_features")
+def select_top_features(spark, sf_dir):
+    data, names = _data(spark, sf_dir)
+    forest = models.importance_forest(data, names, IMPORTANCE_TREES)
+    information = features.mutual_information(_prepared(spark, sf_dir)[0], names, TOTAL)
+    return features.select_top_features(forest, information)
+
+
+@query("train_test_split")
+def train_test_split(spark, sf_dir):
+    return models.train_test_split(I.silver(spark, sf_dir).select("id")).groupBy("is_test").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def _weights(spark, sf_dir, estimator, names):
+    data = models.assemble(I.silver(spark, sf_dir).select(*names, TOTAL), names)
+    model = estimator(data).fit(data)
+    values = [*zip(names, [float(w) for w in model.coefficients]), ("intercept", float(model.intercept))]
+    df = spark.createDataFrame(values, "feature string, weight double")
+    return df.withColumn("weight", round_to("weight", 4))
+
+
+@query("train_linear")
+def train_linear(spark, sf_dir):
+    return _weights(spark, sf_dir, models.linear, ["duration_hrs", "days_before_departure"])
+
+
+@query("train_ridge")
+def train_ridge(spark, sf_dir):
+    # a strong penalty, so that it shows
+    return _weights(spark, sf_dir, lambda d: models.ridge(d, 1e6), ["duration_hrs", "days_before_departure"])
+
+
+@query("train_lasso")
+def train_lasso(spark, sf_dir):
+    return _weights(spark, sf_dir, lambda d: models.lasso(d, 1e5), ["duration_hrs"])
+
+
+@query("train_tree")
+def train_tree(spark, sf_dir):
+    data, _ = _data(spark, sf_dir)
+    return models.evaluate("decision_tree", _model(spark, sf_dir, "decision_tree"), data)
+
+
+@query("train_rf")
+def train_rf(spark, sf_dir):
+    data, _ = _data(spark, sf_dir)
+    return models.evaluate("random_forest", _model(spark, sf_dir, "random_forest", **FOREST), data)
+
+
+@query("train_gbt")
+def train_gbt(spark, sf_dir):
+    data, _ = _data(spark, sf_dir)
+    return models.evaluate("gradient_boosting", _model(spark, sf_dir, "gradient_boosting", **BOOSTED), data)
+
+
+@query("grid_search")
+def grid_search(spark, sf_dir):
+    table, fitted = _prepared(spark, sf_dir)
+    return models.grid_search(table, fitted.feature_names)
+
+
+@query("grid_search_tree")
+def grid_search_tree(spark, sf_dir):
+    return models.tree_grid_search(_data(spark, sf_dir)[0], depths=(3, 5), splits=(2, 10))
+
+
+@query("reg_sweep")
+def reg_sweep(spark, sf_dir):
+    table, fitted = _prepared(spark, sf_dir)
+    return models.reg_sweep(table, fitted.feature_names)
+
+
+@query("depth_sweep")
+def depth_sweep(spark, sf_dir):
+    return models.depth_sweep(_data(spark, sf_dir)[0], depths=range(1, 8))
+
+
+@query("cv_scores")
+def cv_scores(spark, sf_dir):
+    table, fitted = _prepared(spark, sf_dir)
+    return models.cv_scores(table, fitted.feature_names)
+
+
+def _class_mean(spark, sf_dir):
+    """Bookings with the average fare of their class as forecast."""
+    s = I.silver(spark, sf_dir).select("id", "travel_class", F.col(TOTAL).alias("label"))
+    means = aggregate(s, ["travel_class"], {"prediction": sql_round("avg(label)")})
+    return joins.salted_join(s, means, "travel_class", "id")
+
+
+@query("reg_metrics")
+def reg_metrics(spark, sf_dir):
+    return models.reg_metrics(_class_mean(spark, sf_dir))
+
+
+@query("residuals")
+def residuals(spark, sf_dir):
+    out = models.residuals(_class_mean(spark, sf_dir))
+    return out.select("id", "label", "prediction", round_to("residual", 2).alias("residual"))
+
+
+def _leaderboard(spark, sf_dir):
+    def run():
+        fitted = {
+            "linear_regression": _model(spark, sf_dir, "linear_regression"),
+            "ridge": _model(spark, sf_dir, "ridge"),
+            "lasso": _model(spark, sf_dir, "lasso"),
+            "random_forest": _model(spark, sf_dir, "random_forest", **FOREST),
+            "gradient_boosting": _model(spark, sf_dir, "gradient_boosting", **BOOSTED),
+        }
+        board, _ = models.train_all(_data(spark, sf_dir)[0], fitted=fitted)
+        return materialize(board, "leaderboard")
+
+    return _memo(spark, sf_dir, "leaderboard", run)
+
+
+@query("leaderboard")
+def leaderboard(spark, sf_dir):
+    return _leaderboard(spark, sf_dir).orderBy(F.col("test_r2").desc(), "model_name")
+
+
+@query("best_model")
+def best_model(spark, sf_dir):
+    return models.best_model(_leaderboard(spark, sf_dir))
+
+
+@query("coefficients")
+def coefficients(spark, sf_dir):
+    return models.coefficients(spark, _model(spark, sf_dir, "lasso"), _data(spark, sf_dir)[1])
+
+
+@query("importances")
+def importances(spark, sf_dir):
+    return models.importances(spark, _model(spark, sf_dir, "decision_tree"), _data(spark, sf_dir)[1])
+
+
+@query("variance_explained")
+def variance_explained(spark, sf_dir):
+    return models.variance_explained(_leaderboard(spark, sf_dir))
+
+
+@query("model_history")
+def model_history(spark, sf_dir):
+    """History rows of two runs; the second is in production only if it is no worse."""
+    data, names = _data(spark, sf_dir)
+    table, _ = _prepared(spark, sf_dir)
+    board = _leaderboard(spark, sf_dir)
+    first = models.history_row(board, data, names, I.FIRST_LOAD, None, models.cv_scores(table, names))
+    second = models.history_row(
+        board.where("model_name = 'linear_regression'"), data, names, I.SECOND_LOAD, None, current=first
+    )
+    return first.unionByName(second)
+
+
+@query("model_status")
+def model_status(spark, sf_dir):
+    last = tables.latest_row(I.model_history(spark, sf_dir).where("is_production"), "training_timestamp")
+    return models.model_status(last)
+
+
+@query("score_interval")
+def score_interval(spark, sf_dir):
+    scored = score.with_interval(_class_mean(spark, sf_dir), rmse=31000.0)
+    return scored.select("id", "predicted_fare_bdt", "interval_lower", "interval_upper")
+
+
+def _requests(spark, sf_dir):
+    """All bookings as scoring requests, those of one airline under a name not seen in training."""
+    return I.silver(spark, sf_dir).select(
+        "id", F.when(F.col("airline") == "Brand#7", "New Airline").otherwise(F.col("airline")).alias("airline"),
+        "source_code", "destination_code", "travel_class", "seasonality", "is_peak_season",
+    )
+
+
+@query("batch_score")
+def batch_score(spark, sf_dir):
+    _, fitted = _prepared(spark, sf_dir)
+    requests = score.request_frame(_requests(spark, sf_dir), src.DOMESTIC)
+    return score.batch_score(
+        requests, fitted, _model(spark, sf_dir, "ridge"), fitted.feature_names, 31000.0, "ridge"
+    )
+
+
+# --- streams -----------------------------------------------------------------------------------
+
+
+@query("stream_ingest")
+def stream_ingest(spark, sf_dir):
+    """Both extracts dropped as CSV, one file each, and streamed into bronze."""
+    headers = {field: header for header, field in fixed.CSV_HEADERS.items()}
+    drop = new_path(spark, "drop")
+    for extract in (I.first_extract, I.second_extract):
+        extract(spark, sf_dir).select(*src.FIELDS).withColumnsRenamed(headers).coalesce(1).write.mode(
+            "append"
+        ).options(
+            header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss", ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+        ).csv(drop)
+    store = tables.Store(spark, new_path(spark, "stream_store"))
+    stamps = [I.FIRST_LOAD, I.SECOND_LOAD]
+    run = ingest.stream_ingest(spark, drop, store, new_path(spark, "stream_state"), lambda i: stamps[i])
+    run.awaitTermination()
+    return store.read(load.BRONZE).select("record_hash", TOTAL, "is_active", "ingestion_timestamp")
+
+
+@query("stream_score")
+def stream_score(spark, sf_dir):
+    """The scoring requests as a stream; the result is that of ``batch_score``."""
+    _, fitted = _prepared(spark, sf_dir)
+    stored = new_path(spark, "requests")
+    score.request_frame(_requests(spark, sf_dir), src.DOMESTIC).write.parquet(stored)
+    requests = spark.readStream.schema(spark.read.parquet(stored).schema).parquet(stored)
+    scored = ingest.stream_score(
+        requests, fitted, _model(spark, sf_dir, "ridge"), fitted.feature_names, 31000.0
+    )
+    out = new_path(spark, "scores")
+    run = (
+        scored.writeStream.format("parquet").option("path", out)
+        .option("checkpointLocation", new_path(spark, "score_state")).trigger(availableNow=True).start()
+    )
+    run.awaitTermination()
+    return spark.read.parquet(out)

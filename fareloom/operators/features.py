@@ -10,7 +10,13 @@ from pyspark.sql import types as T
 from fareloom.functions import bands, fixed
 from fareloom.functions.numbers import round_to
 from fareloom.operators.joins import LOOKUP_ROWS, cross_one, join_on, salted_join
-from fareloom.operators.order_stats import bounded, percentiles, unpivot, with_rank
+from fareloom.operators.order_stats import (
+    bounded,
+    column_percentiles,
+    percentiles,
+    unpivot,
+    with_rank,
+)
 from fareloom.operators.profile import median_fills
 from fareloom.session import materialize
 
@@ -76,6 +82,7 @@ class FeatureModel:
     codes_are_small: bool
     categories: list
     scales: dict = field(default_factory=dict)
+    medians: dict = field(default_factory=dict)
     feature_names: list = field(default_factory=list)
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -83,7 +90,7 @@ class FeatureModel:
         df = fill_numbers(self.derive(df), self.fills)
         df = self.encode(df)
         df = scale(df, self.scales)
-        return final_fill(df)
+        return final_fill(df, self.medians)
 
     def derive(self, df: DataFrame) -> DataFrame:
         if "route" in df.columns and "route_popularity" not in df.columns:
@@ -139,10 +146,17 @@ def scale(df: DataFrame, scales: dict) -> DataFrame:
     )
 
 
-def final_fill(df: DataFrame) -> DataFrame:
-    """Whatever is still missing in a number column gets 0, the mean of a scaled column."""
+def final_fill(df: DataFrame, medians: dict) -> DataFrame:
+    """What is still missing in a number column gets the median known from training, else 0."""
     numbers = number_columns(df)
-    return df.fillna(0, numbers) if numbers else df
+    return df.fillna({c: float(medians.get(c, 0.0)) for c in numbers}) if numbers else df
+
+
+def column_medians(df: DataFrame, columns) -> dict:
+    """column -> median; one row per column comes back."""
+    if not columns:
+        return {}
+    return {r["column_name"]: r["m"] for r in column_percentiles(df, columns, {"m": 0.5}).collect()}
 
 
 def fit_features(df: DataFrame) -> FeatureModel:
@@ -169,6 +183,7 @@ def fit_features(df: DataFrame) -> FeatureModel:
     model.fills = median_fills(derived, number_columns(derived))
     filled = fill_numbers(derived, model.fills)
     model.scales = scale_stats(filled, number_columns(filled))
+    model.medians = column_medians(scale(filled, model.scales), number_columns(filled))
     model.feature_names = [c for c in model.transform(df).columns if c not in NOT_FEATURES]
     return model
 

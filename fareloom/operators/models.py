@@ -19,7 +19,8 @@ from fareloom.operators.features import TARGET
 from fareloom.operators.quality import union_all
 from fareloom.session import shared_dir
 
-TREES = dict(maxBins=256, maxMemoryInMB=1024, cacheNodeIds=False, seed=fixed.SPLIT_SEED)
+# 32 candidate splits per feature: what a node costs grows with the bins, not with the rows.
+TREES = dict(maxBins=32, maxMemoryInMB=1024, seed=fixed.SPLIT_SEED)
 
 
 def _share(*parts):
@@ -41,6 +42,14 @@ def assemble(df: DataFrame, features, label=TARGET) -> DataFrame:
     return out.withColumn("label", F.col(label).cast("double")) if label in df.columns else out
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core, kept for the passes of an iterative fit."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df.persist()
+
+
 def _linear(**params):
     return LinearRegression(standardization=False, solver="normal", **params)
 
@@ -141,7 +150,7 @@ def train_all(data: DataFrame, names=tuple(MODELS), fitted=None) -> tuple[DataFr
     """Fit the models on the training rows; a model that fails is left out. Returns the leaderboard
     (best test R2 first) and the fitted models."""
     models, rows = dict(fitted or {}), []
-    train = data.where("NOT is_test")
+    train = spread(data.where("NOT is_test"))
     for name in names:
         try:
             if name not in models:
@@ -149,6 +158,7 @@ def train_all(data: DataFrame, names=tuple(MODELS), fitted=None) -> tuple[DataFr
             rows.append(evaluate(name, models[name], data))
         except Exception as error:  # the others still compete
             print(f"model {name} failed: {error}")
+    train.unpersist()
     if not rows:
         raise RuntimeError("no model could be trained")
     return union_all(*rows).orderBy(F.col("test_r2").desc(), "model_name"), models
@@ -297,7 +307,9 @@ def tree_grid_search(data: DataFrame, depths=fixed.TREE_GRID_DEPTHS, splits=fixe
         estimator=estimator, estimatorParamMaps=grid, numFolds=fixed.FOLDS, foldCol="fold",
         evaluator=RegressionEvaluator(metricName="r2"), parallelism=parallelism,
     )
-    scores = cv.fit(with_folds(data.where("NOT is_test"))).avgMetrics
+    train = spread(with_folds(data.where("NOT is_test")))
+    scores = cv.fit(train).avgMetrics
+    train.unpersist()
     best = max(range(len(grid)), key=lambda i: scores[i])
     rows = [
         (int(g[estimator.maxDepth]), int(g[estimator.minInstancesPerNode]), round(s, 6), i == best)
@@ -310,7 +322,7 @@ def tree_grid_search(data: DataFrame, depths=fixed.TREE_GRID_DEPTHS, splits=fixe
 
 def depth_sweep(data: DataFrame, depths=fixed.SWEEP_DEPTHS) -> DataFrame:
     """Train and test R2 of a decision tree by depth."""
-    train = data.where("NOT is_test")
+    train = spread(data.where("NOT is_test"))
     rows = [
         evaluate(f"depth_{d}", tree(train, depth=d).fit(train), data).select(
             F.lit(d).alias("max_depth"), "train_r2", "test_r2"
@@ -338,9 +350,11 @@ def importances(spark, model, features) -> DataFrame:
     return out.orderBy(F.col("importance").desc(), "feature")
 
 
-def importance_forest(data: DataFrame, features) -> DataFrame:
+def importance_forest(data: DataFrame, features, trees=100) -> DataFrame:
     """Feature importances of a forest of 100 trees of depth 10."""
-    model = forest(data, trees=100, depth=10, min_split=2).fit(data)
+    data = spread(data)
+    model = forest(data, trees=trees, depth=10, min_split=2).fit(data)
+    data.unpersist()
     return importances(data.sparkSession, model, features)
 
 

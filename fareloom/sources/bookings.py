@@ -3,8 +3,6 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.functions.numbers import round_to
-
 # In this mapping these origins count as domestic.
 DOMESTIC = tuple(f"N{i:02d}" for i in range(8))
 
@@ -20,16 +18,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_scan(df: DataFrame, key: str) -> DataFrame:
+    """Files with fewer splits than there are cores are dealt out by key; larger ones stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items as bookings.
 
     The joined tables grow with the data, so there are no broadcast hints: Catalyst broadcasts
     those below the threshold, and AQE splits hot keys of the others. Each side is cut to the two
-    or three columns in use before it is shuffled.
+    or three columns in use before it is shuffled. Amounts are worked out in whole cents.
     """
-    item = table(spark, sf_dir, "lineitem").select(
+    item = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-        "l_tax", "l_returnflag", "l_shipdate",
+        "l_returnflag", "l_shipdate", "CAST(l_extendedprice * 100 + 0.5 AS bigint) AS cents",
+        "CAST(l_tax * 100 + 0.5 AS bigint) AS tax_pct",
     )
     order = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
@@ -38,55 +43,35 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     joined = (
-        item.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        spread_scan(item, "l_orderkey")
+        .join(order, F.expr("l_orderkey = o_orderkey"))
+        .join(part, F.expr("l_partkey = p_partkey"))
+        .join(supplier, F.expr("l_suppkey = s_suppkey"))
+        .join(customer, F.expr("o_custkey = c_custkey"))
+        .selectExpr("*", "(cents * tax_pct + 50) DIV 100 AS tax_cents")
     )
-
-    def code(key):
-        return F.concat(F.lit("N"), F.lpad(F.col(key).cast("string"), 2, "0"))
-
-    def place(key):
-        return F.concat(F.lit("NATION_"), F.col(key).cast("string"))
-
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    ship_month = F.month("l_shipdate")
-    tax = round_to(F.col("l_extendedprice") * F.col("l_tax"), 2)
-    hours = F.make_dt_interval(F.lit(0), F.col("l_quantity").cast("int"))
-    return joined.select(
-        # the first four alone are not quite unique
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents).alias("id"),
-        F.col("p_brand").alias("airline"),
-        code("s_nationkey").alias("source_code"),
-        place("s_nationkey").alias("source_name"),
-        code("c_nationkey").alias("destination_code"),
-        place("c_nationkey").alias("destination_name"),
-        F.col("l_shipdate").alias("departure_datetime"),
-        (F.col("l_shipdate") + hours).alias("arrival_datetime"),
-        F.col("l_quantity").alias("duration_hrs"),
-        F.when(F.col("l_linenumber") <= 3, "Direct")
-        .when(F.col("l_linenumber") <= 5, "1 Stop")
-        .otherwise("2 Stops")
-        .alias("stopovers"),
-        F.col("p_type").alias("aircraft_type"),
-        F.when(F.col("o_orderpriority").startswith("1"), "First Class")
-        .when(F.col("o_orderpriority").startswith("2"), "biz")
-        .when(F.col("o_orderpriority").startswith("3"), "Premium")
-        .when(F.col("o_orderpriority").startswith("4"), "economy")
-        .otherwise(" coach ")
-        .alias("travel_class"),
-        F.when(F.col("l_returnflag") == "A", "Direct Booking")
-        .when(F.col("l_returnflag") == "N", "Travel Agency")
-        .otherwise("Online Website")
-        .alias("booking_source"),
-        F.col("l_extendedprice").alias("base_fare_bdt"),
-        tax.alias("tax_surcharge_bdt"),
-        round_to(F.col("l_extendedprice") + tax, 2).alias("total_fare_bdt"),
-        F.when(ship_month.isin(12, 1), "Winter Holidays")
-        .when(ship_month == 4, "Eid")
-        .when(ship_month == 6, "Hajj")
-        .otherwise("Regular")
-        .alias("seasonality"),
-        F.datediff("l_shipdate", "o_orderdate").alias("days_before_departure"),
+    return joined.selectExpr(
+        # the first four keys alone are not quite unique
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, cents) AS id",
+        "p_brand AS airline",
+        "concat('N', lpad(CAST(s_nationkey AS string), 2, '0')) AS source_code",
+        "concat('NATION_', s_nationkey) AS source_name",
+        "concat('N', lpad(CAST(c_nationkey AS string), 2, '0')) AS destination_code",
+        "concat('NATION_', c_nationkey) AS destination_name",
+        "l_shipdate AS departure_datetime",
+        "l_shipdate + make_dt_interval(0, CAST(l_quantity AS int)) AS arrival_datetime",
+        "l_quantity AS duration_hrs",
+        "CASE WHEN l_linenumber <= 3 THEN 'Direct' WHEN l_linenumber <= 5 THEN '1 Stop'"
+        " ELSE '2 Stops' END AS stopovers",
+        "p_type AS aircraft_type",
+        "CASE left(o_orderpriority, 1) WHEN '1' THEN 'First Class' WHEN '2' THEN 'biz'"
+        " WHEN '3' THEN 'Premium' WHEN '4' THEN 'economy' ELSE ' coach ' END AS travel_class",
+        "CASE l_returnflag WHEN 'A' THEN 'Direct Booking' WHEN 'N' THEN 'Travel Agency'"
+        " ELSE 'Online Website' END AS booking_source",
+        "l_extendedprice AS base_fare_bdt",
+        "tax_cents / 100.0D AS tax_surcharge_bdt",
+        "(cents + tax_cents) / 100.0D AS total_fare_bdt",
+        "CASE WHEN month(l_shipdate) IN (12, 1) THEN 'Winter Holidays' WHEN month(l_shipdate) = 4 THEN 'Eid'"
+        " WHEN month(l_shipdate) = 6 THEN 'Hajj' ELSE 'Regular' END AS seasonality",
+        "datediff(l_shipdate, o_orderdate) AS days_before_departure",
     )
