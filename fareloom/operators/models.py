@@ -312,7 +312,7 @@ def tree_grid_search(data: DataFrame, depths=fixed.TREE_GRID_DEPTHS, splits=fixe
     train.unpersist()
     best = max(range(len(grid)), key=lambda i: scores[i])
     rows = [
-        (int(g[estimator.maxDepth]), int(g[estimator.minInstancesPerNode]), round(s, 6), i == best)
+        (int(g[estimator.maxDepth]), int(g[estimator.minInstancesPerNode]), round(float(s), 6), i == best)
         for i, (g, s) in enumerate(zip(grid, scores))
     ]
     return data.sparkSession.createDataFrame(
@@ -337,7 +337,7 @@ def depth_sweep(data: DataFrame, depths=fixed.SWEEP_DEPTHS) -> DataFrame:
 
 def coefficients(spark, model, features) -> DataFrame:
     """Coefficients with their size, largest first (one row per feature)."""
-    rows = [(f, float(w), abs(float(w)), w != 0) for f, w in zip(features, model.coefficients)]
+    rows = [(f, float(w), abs(float(w)), bool(w != 0)) for f, w in zip(features, model.coefficients)]
     out = spark.createDataFrame(rows, "feature string, coefficient double, size double, is_used boolean")
     return out.orderBy(F.col("size").desc(), "feature")
 
