@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from fareloom.functions import bands, fixed
 from fareloom.functions.numbers import round_to
-from fareloom.operators.joins import LOOKUP_ROWS, cross_one, join_on, salted_join
+from fareloom.operators.joins import HOT_SHARE, LOOKUP_ROWS, cross_one, join_on, salted_join
 from fareloom.operators.order_stats import (
     bounded,
     column_percentiles,
@@ -64,11 +64,17 @@ def category_text(df: DataFrame, column: str):
 
 
 def category_codes(df: DataFrame, columns) -> DataFrame:
-    """(column_name, value, code): 0, 1, ... by sorted value. The window sees distinct values only."""
+    """(column_name, value, code, is_hot): 0, 1, ... by sorted value; hot values hold 1/1000 of the
+    rows or more. Values are counted map-side; the windows see distinct values only."""
     texts = df.select(*[category_text(df, c).alias(c) for c in columns])
-    values = unpivot(texts, columns, "string").distinct()
-    order = W.partitionBy("column_name").orderBy("value")
-    return values.withColumn("code", F.row_number().over(order) - 1)
+    values = unpivot(texts, columns, "string").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    column = W.partitionBy("column_name")
+    return values.select(
+        "column_name",
+        "value",
+        (F.row_number().over(column.orderBy("value")) - 1).alias("code"),
+        (F.col("n") * HOT_SHARE >= F.sum("n").over(column)).alias("is_hot"),
+    )
 
 
 @dataclass
@@ -95,7 +101,7 @@ class FeatureModel:
     def derive(self, df: DataFrame) -> DataFrame:
         if "route" in df.columns and "route_popularity" not in df.columns:
             unseen = F.when(F.col("route").isNull(), self.missing_popularity).otherwise(1.0)
-            df = self._lookup(df, self.popularity, "route")
+            df = self._lookup(df, self.popularity, "route", "route")
             popularity = F.coalesce(F.col("route_popularity").cast("double"), unseen)
             df = df.withColumn("route_popularity", popularity)
             df = df.withColumn("route_popularity_log", F.log1p("route_popularity"))
@@ -106,18 +112,18 @@ class FeatureModel:
         present = [c for c in self.categories if c in df.columns]
         for c in present:
             df = df.withColumn(c, category_text(df, c))
-            table = self.codes.where(F.col("column_name") == c).select(
-                F.col("value").alias(c), F.col("code").alias(f"{c}_encoded")
-            )
-            df = self._lookup(df, table, c).withColumn(
+            mine = self.codes.where(F.col("column_name") == c)
+            table = mine.select(F.col("value").alias(c), F.col("code").alias(f"{c}_encoded"))
+            df = self._lookup(df, table, c, c).withColumn(
                 f"{c}_encoded", F.coalesce(f"{c}_encoded", F.lit(-1))
             )
         return df.drop(*category_columns(df))
 
-    def _lookup(self, df, table, key):
+    def _lookup(self, df, table, key, column):
         if self.codes_are_small:  # fitting has counted the rows of both tables
             return join_on(df, F.broadcast(table), [key], "left", null_safe=False)
-        return salted_join(df, table, key, "id")
+        hot = self.codes.where((F.col("column_name") == column) & F.col("is_hot"))
+        return salted_join(df, table, key, "id", hot=hot.select(F.col("value").alias(key)))
 
 
 def fill_numbers(df: DataFrame, fills: dict) -> DataFrame:

@@ -234,7 +234,7 @@ class Moments:
         return float(1 - squares / self.centred()[-1, -1])
 
 
-def fold_moments(df: DataFrame, features, label=TARGET) -> tuple[list, Moments, Moments]:
+def fold_moments(df: DataFrame, features, label=TARGET) -> tuple:
     """Moments per fold of the training rows, of all training rows, and of the test rows."""
     rows = moments(with_folds(df), features, label, ["is_test", "fold"]).collect()  # 2 * folds rows
     train, test = {}, []
@@ -244,7 +244,10 @@ def fold_moments(df: DataFrame, features, label=TARGET) -> tuple[list, Moments,
             test.append(m)
         else:
             train[row["fold"]] = m
-    add = lambda ms: sum(ms[1:], ms[0])
+
+    def add(ms):
+        return sum(ms[1:], ms[0]) if ms else None
+
     return [train[f] for f in sorted(train)], add(list(train.values())), add(test)
 
 

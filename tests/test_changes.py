@@ -86,7 +86,7 @@ COLUMNS = "k string, a double, note string"
 
 
 def versions(df):
-    return sorted((r["k"], r["a"], str(r["valid_from"])[:7], str(r["valid_to"])[:7]) for r in df.collect())
+    return sorted((r["k"], str(r["a"]), str(r["valid_from"])[:7], str(r["valid_to"])[:7]) for r in df.collect())
 
 
 def test_scd_merge(spark):
@@ -94,15 +94,15 @@ def test_scd_merge(spark):
     incoming = spark.createDataFrame([("same", 1.0, "other"), ("moved", 2.0, "x"), ("new", 5.0, "x"), ("filled", 3.0, "x")], COLUMNS)
     kept = scd.scd2_merge(start, incoming, "k", ["a"], T1)
     assert versions(kept) == sorted([
-        ("same", 1.0, "2025-01", "None"), ("moved", 1.0, "2025-01", "2025-02"), ("moved", 2.0, "2025-02", "None"),
-        ("gone", 1.0, "2025-01", "None"), ("new", 5.0, "2025-02", "None"), ("filled", None, "2025-01", "2025-02"),
-        ("filled", 3.0, "2025-02", "None"),
+        ("same", "1.0", "2025-01", "None"), ("moved", "1.0", "2025-01", "2025-02"), ("moved", "2.0", "2025-02", "None"),
+        ("gone", "1.0", "2025-01", "None"), ("new", "5.0", "2025-02", "None"), ("filled", "None", "2025-01", "2025-02"),
+        ("filled", "3.0", "2025-02", "None"),
     ])
     assert kept.where("k = 'same'").first()["note"] == "x"  # only check columns count
     strict = scd.scd2_merge(start, incoming, "k", ["a"], T1, hard_deletes=True)
-    assert ("gone", 1.0, "2025-01", "2025-02") in versions(strict)
+    assert ("gone", "1.0", "2025-01", "2025-02") in versions(strict)
     again = scd.scd2_merge(strict, spark.createDataFrame([("gone", 1.0, "x")], COLUMNS), "k", ["a"], T2, True)
-    assert ("gone", 1.0, "2025-03", "None") in versions(again)
+    assert ("gone", "1.0", "2025-03", "None") in versions(again)
     assert again.where("valid_to IS NULL").groupBy("k").count().where("count > 1").isEmpty()
     assert again.select("scd_id").distinct().count() == again.count()
 
