@@ -8,6 +8,7 @@ orders the distinct ones.
 """
 
 import math
+import sys
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -175,4 +176,4 @@ def modes(df: DataFrame, keys, value: str, out: str) -> DataFrame:
 
 def bucket_limit() -> int:
     """Upper bound on the number of buckets any column of doubles can have."""
-    return 2 * math.ceil(math.log(1.8e308) * BUCKETS_PER_E) + 1
+    return 2 * math.ceil(math.log(sys.float_info.max) * BUCKETS_PER_E) + 1
