@@ -164,6 +164,9 @@ def with_rank(df: DataFrame, measure: str, out: str, method="min", counts=False)
         raise ValueError(f"unknown rank method {method!r}")
     ranks = ranks.select(F.col("v").alias("__v"), rank.alias(out))
     value = F.col(measure) if counts else F.col(measure).cast("double")
+    if not counts:  # a common value may hold much of the table: no shuffle by value if it can be helped
+        small = bounded(ranks, TARGET_ROWS)
+        ranks = ranks if small is None else F.broadcast(small)
     return df.join(ranks, value == F.col("__v"), "left").drop("__v")
 
 
