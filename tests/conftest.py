@@ -11,8 +11,9 @@ from fareloom.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[8]", shuffle_partitions=8,
-        **{"spark.ui.enabled": "false", "spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false"},
+        "tests", "local[8]", shuffle_partitions=4,
+        # compiling plans costs more than running them on a few rows; tools/check_oracles.py runs them compiled
+        **{"spark.sql.codegen.wholeStage": "false", "spark.ui.enabled": "false", "spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
