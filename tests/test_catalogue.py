@@ -16,7 +16,6 @@ NAMES = (
 
 def test_every_twin_has_its_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert not [n for n in entry.queries() if n.startswith("op")]
 
 
 @pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
