@@ -1,11 +1,18 @@
 """One registered query for each operator of this subpackage: production parameters, whole tables."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from fareloom.llm.lines import dedup_lines
+from fareloom.llm.mixing import mixing_table
 from fareloom.llm.near_dup import near_duplicates
+from fareloom.llm.shards import assign_shards
+from fareloom.llm.token_files import token_table
 
 QUERIES: dict = {}
-ORACLES: dict = {}
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(fn):
@@ -17,6 +24,66 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_stratified_interleaving(spark, sf_dir):
+    return assign_shards(table(spark, sf_dir, "documents"), shards=8, by="source")
+
+
+@query
+def op5_pfair_mixing(spark, sf_dir):
+    return mixing_table(table(spark, sf_dir, "documents"), power=0.5)
+
+
+@query
+def op6_line_dedup(spark, sf_dir):
+    lines = dedup_lines(table(spark, sf_dir, "documents"), min_chars=1, min_docs=10)
+    return lines.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op8_huffman_token_files(spark, sf_dir):
+    return token_table(table(spark, sf_dir, "documents"), TOKENIZER, end_id=0)
+
+
 @query
 def op10_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), size=5, percent=85)
+
+
+ORACLES: dict = {}
+
+ORACLES["op6_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key FROM lines
+), common AS (
+  SELECT line_key FROM keyed WHERE length(line_key) >= 1 GROUP BY line_key HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT doc_id, count(*) AS n_lines, count(c.line_key) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE c.line_key IS NULL), '')) AS kept_sha256
+FROM keyed k LEFT JOIN common c ON k.line_key = c.line_key GROUP BY doc_id
+"""
+
+ORACLES["op10_minhash_near_dedup"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5
+    THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words
+), shingles AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT a AS id, b AS r FROM links UNION SELECT reach.id, links.b FROM reach JOIN links ON reach.r = links.a
+), components AS (SELECT id, least(id, min(r)) AS component_id FROM reach GROUP BY id)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+  coalesce(component_id, doc_id) = doc_id AS kept
+FROM sets LEFT JOIN components ON id = doc_id
+"""

@@ -1,0 +1,189 @@
+"""Sharding, mixing, lines and token files against plain Python over the small table and over odd rows."""
+
+import hashlib
+import struct
+import zlib
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+import __spark_entry__ as entry
+from fareloom.llm import huffman
+from fareloom.llm.lines import dedup_lines
+from fareloom.llm.mixing import frame_slots, in_mixed_order, mixing_table, schedule, shares
+from fareloom.llm.shards import assign_shards
+from fareloom.llm.token_files import read_token_files, token_table, write_token_files
+from fareloom.session import new_path
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, slot string, row string, position string, stratum string"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    long_text = "Lorem ipsum dolor. " * 20_000
+    rows = [(1, None, None, None), (2, "", "en", "a"), (None, "One\n two ", "en", "a"), (3, " \n\t\n", None, None)]
+    rows += [(4, "One\r\ntwo\n\nONE", "en", "a")] * 2 + [(5, long_text, "de", "b"), (4, "another text", "en", "a")]
+    rows += [(i, f"one\nrow {i}\n  Same line\t\ncafé  x 's", "fr", "c") for i in range(10, 30)]
+    return spark.createDataFrame([(*r, 1, "s", "r", "p", "t") for r in rows], SCHEMA)
+
+
+def plain_lines(rows, least=10):
+    strip = " \t\n\x0b\x0c\r"
+    lower = {c: c + 32 for c in range(65, 91)}
+    split = [(i, (t or "").split("\n")) for i, t in rows]
+    seen = Counter(k for _, ls in split for k in {x.strip(strip).translate(lower) for x in ls})
+    for i, ls in split:
+        kept = [x for x in ls if not (k := x.strip(strip).translate(lower)) or seen[k] < least]
+        yield i, len(ls), len(ls) - len(kept), "\n".join(kept)
+
+
+@pytest.mark.parametrize("which", ["docs", "odd"])
+def test_lines(which, request):
+    df = request.getfixturevalue(which)
+    got = Counter(map(tuple, dedup_lines(df).collect()))
+    assert got == Counter(plain_lines([(r.doc_id, r.text) for r in df.collect()]))
+
+
+def test_line_query_digests_the_kept_text(spark, docs):
+    got = {r.doc_id: r.kept_sha256 for r in entry.queries()["op6_line_dedup"](spark, SF).collect()}
+    rows = plain_lines([(r.doc_id, r.text) for r in docs.collect()])
+    assert got == {i: hashlib.sha256(t.encode()).hexdigest() for i, _, _, t in rows}
+
+
+@pytest.mark.parametrize("which", ["docs", "odd"])
+def test_shards(which, request):
+    df = request.getfixturevalue(which)
+    rows, got = df.collect(), assign_shards(df).collect()
+    want = Counter((r.doc_id, len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode())) for r in rows)
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == want
+    shards = defaultdict(list)
+    for r in got:
+        shards[r.shard].append(r.slot)
+    sizes = [len(shards[s]) for s in range(8)]
+    assert max(sizes) - min(sizes) <= 1 and all(sorted(s) == list(range(len(s))) for s in shards.values())
+    assert {r.law for r in got} == {"rows"} and {r.grown_shard for r in got} == {None}
+
+
+def test_shards_have_the_mixture(spark):
+    df = spark.range(8000).selectExpr("id AS doc_id", "'x' AS text", "if(id % 3 = 0, 'hot', concat('s', id % 37)) AS source")
+    source = {r.doc_id: r.source for r in df.collect()}
+    seen, whole = defaultdict(Counter), Counter(source.values())
+    for r in assign_shards(df).collect():
+        seen[r.shard][source[r.doc_id]] += 1
+    for s in range(8):
+        assert all(abs(seen[s][k] - n / 8) <= 2 for k, n in whole.items())
+
+
+def test_one_frame_stays_within_a_block_of_its_share():
+    for weights in ({"a": 1.0, "b": 2.5, "c": 0.01}, {str(i): i + 1.0 for i in range(40)}, {"x": 1.0}):
+        q = shares(weights, 128)
+        assert sum(q.values()) == 128 and min(q.values()) >= 1
+        slots = frame_slots(q)
+        order = {t: s for s, ts in slots.items() for t in ts}
+        done = Counter()
+        for t in range(128):
+            done[order[t]] += 1
+            assert all(abs(done[s] - (t + 1) * q[s] / 128) < 1 for s in q)
+
+
+def plain_mixture(blocks, weights, frame):
+    """Slot by slot: the same shares, but a plain simulation with the earliest deadline of what is released."""
+    left, done, out = dict(blocks), Counter(), []
+    while left := {s: n for s, n in left.items() if n}:
+        q = shares({s: weights[s] for s in left}, max(frame, len(left)))
+        if any(left[s] < q[s] for s in left):
+            q = {s: min(left[s], q[s]) for s in left}
+        n, used = sum(q.values()), Counter()
+        for t in range(n):
+            able = [(-(-(used[s] + 1) * n // q[s]), s) for s in q if used[s] < q[s] and used[s] * n // q[s] <= t]
+            s = min(able)[1]
+            out.append((s, done[s]))
+            used[s] += 1
+            done[s] += 1
+            left[s] -= 1
+    return out
+
+
+def test_mixture_equals_a_slot_by_slot_simulation(spark, docs):
+    got = mixing_table(docs, power=0.5, frame=32, block=2).collect()
+    n = Counter(f"={r.source}" for r in docs.collect())
+    want = plain_mixture({s: -(-k // 2) for s, k in n.items()}, {s: k**0.5 for s, k in n.items()}, 32)
+    assert {(r.slot, f"={r.source}", r.block) for r in got} == {(t, s, b) for t, (s, b) in enumerate(want)}
+    assert sorted(r.position for r in got) == list(range(len(got)))
+    assert all(r.release <= r.slot < r.deadline for r in got)
+    assert sorted((r.slot, r.position) for r in got) == sorted((r.slot, r.position) for r in sorted(got, key=lambda r: r.position))
+
+
+def test_uneven_weights_lose_nothing(spark, odd):
+    got = in_mixed_order(odd, weights={"a": 5, "b": 0, None: 1}, frame=8, block=3)
+    assert got.columns == odd.columns
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, odd.collect()))
+    plan = schedule({"a": 7, "b": 9, "c": 1}, {"a": 3.0, "c": 1.0}, 4)
+    slots = [p["first_slot"] + f * p["frame"] + s for p in plan for f in range(p["blocks"] // p["q"]) for s in p["slots"]]
+    assert sorted(slots) == list(range(17))
+    assert min(p["first_slot"] for p in plan if p["stratum"] == "b") == 8
+
+
+def plain_tokens(rows, order):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    start = 0
+    for i, text in sorted(rows, key=order):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        yield i, start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))
+        start += len(ids)
+
+
+@pytest.mark.parametrize("which", ["docs", "odd"])
+def test_token_files(which, request):
+    df = request.getfixturevalue(which)
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    got = token_table(df, public_tokenizers.path("byte_bpe_50k.json")).collect()
+    order = lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())
+    assert Counter(map(tuple, got)) == Counter(plain_tokens(rows, order))
+
+
+def test_odd_white_space_and_special_strings(spark):
+    texts = ["a  b\n\n c 's", " x", "x ", "\n\ny", "café  z", "\tq w\t", "<|endoftext|> it's 12 a1 !? ,.", "　x  y", "\0 \x1c \x85 a"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = token_table(df, public_tokenizers.path("byte_bpe_50k.json")).collect()
+    assert Counter(map(tuple, got)) == Counter(plain_tokens(list(enumerate(texts)), lambda r: r[0]))
+
+
+def test_token_files_hold_ids_and_survive_an_empty_table(spark, docs):
+    path = new_path(spark, "files")
+    write_token_files(docs.limit(0), path, public_tokenizers.path("byte_bpe_50k.json"))
+    assert read_token_files(spark, path).collect() == []
+
+
+def test_code_lengths_are_least_under_the_limit():
+    import heapq
+
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for _ in range(20):
+        counts = (rng.pareto(0.8, rng.integers(1, 300)) * 10).astype(np.int64)
+        lengths = huffman.code_lengths(counts, 30)
+        heap = [int(c) for c in counts if c]
+        total = heap[0] if len(heap) == 1 else 0
+        heapq.heapify(heap)
+        while len(heap) > 1:
+            both = heapq.heappop(heap) + heapq.heappop(heap)
+            total += both
+            heapq.heappush(heap, both)
+        assert (counts * lengths).sum() == total
+        short = huffman.code_lengths(counts, 9)
+        assert short.max(initial=0) <= 9 and (2.0 ** -short[short > 0]).sum() <= 1
+        ids = rng.choice(np.flatnonzero(counts), 1000) if counts.any() else np.empty(0, np.int64)
+        data, at = huffman.pack(ids, huffman.canonical(short), short, 64)
+        if len(ids):
+            assert (huffman.Decoder(short).unpack(data, len(ids), at, 64) == ids).all()
