@@ -4,9 +4,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fareloom.llm.decontaminate import contaminated
 from fareloom.llm.lines import dedup_lines
 from fareloom.llm.mixing import mixing_table
 from fareloom.llm.near_dup import near_duplicates
+from fareloom.llm.rules import CUTOFFS, RULES, quality
 from fareloom.llm.shards import assign_shards
 from fareloom.llm.token_files import token_table
 
@@ -40,11 +42,21 @@ def op6_line_dedup(spark, sf_dir):
     return lines.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query
+def op7_simhash_decontamination(spark, sf_dir):
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=80).drop("text_key")
+
+
 @query
 def op8_huffman_token_files(spark, sf_dir):
     return token_table(table(spark, sf_dir, "documents"), TOKENIZER, end_id=0)
 
 
+@query
+def op9_risk_controlled_rules(spark, sf_dir):
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), by="lang", risk=0.05, confidence=0.95)
+
+
 @query
 def op10_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), size=5, percent=85)
@@ -71,10 +83,10 @@ FROM keyed k LEFT JOIN common c ON k.line_key = c.line_key GROUP BY doc_id
 ORACLES["op10_minhash_near_dedup"] = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
 ), sets AS (
   SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5
-    THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+    THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words
 ), shingles AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
 links AS MATERIALIZED (
@@ -87,3 +99,76 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(component_id, doc_
   coalesce(component_id, doc_id) = doc_id AS kept
 FROM sets LEFT JOIN components ON id = doc_id
 """
+
+_WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
+_SHINGLES = """CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN ['whole ' || len(w) || ' ' || array_to_string(w, ' ')] ELSE [] END"""
+
+ORACLES["op7_simhash_decontamination"] = f"""
+WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM (SELECT DISTINCT doc_id, text FROM documents)),
+bw AS (SELECT item_id, {_WORDS} AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+dl AS (SELECT doc_id, {_SHINGLES} AS s FROM dw),
+ds AS MATERIALIZED (SELECT doc_id, len(s) AS size, unnest(s) AS shingle, unnest(range(len(s))) AS p FROM dl),
+bl AS (SELECT item_id, len(w) AS item_words, {_SHINGLES} AS s FROM bw),
+bs AS (SELECT item_id, item_words, m, shingle, count(*) AS c
+  FROM (SELECT item_id, item_words, len(s) AS m, unnest(s) AS shingle FROM bl) GROUP BY ALL),
+starts AS (SELECT DISTINCT doc_id, item_id, item_words, m, least(m, size) AS v, least(p, greatest(size - m, 0)) AS start
+  FROM ds JOIN bs USING (shingle)),
+wc AS (SELECT s.doc_id, s.item_id, s.item_words, s.m, s.v, s.start, ds.shingle, count(*) AS c
+  FROM starts s JOIN ds ON ds.doc_id = s.doc_id AND ds.p >= s.start AND ds.p < s.start + s.m GROUP BY ALL),
+sims AS (SELECT doc_id, item_id, wc.item_words, v, start, sum(least(wc.c, bs.c)) AS common, v + wc.m AS together
+  FROM wc JOIN bs USING (item_id, shingle) GROUP BY doc_id, item_id, wc.item_words, v, start, wc.m)
+SELECT doc_id, item_id, CAST(common AS DOUBLE) / CAST(together - common AS DOUBLE) AS similarity, CAST(start AS BIGINT) AS start_word,
+  CAST(CASE WHEN item_words < 5 THEN item_words ELSE v + 4 END AS BIGINT) AS n_words
+FROM sims WHERE 100 * common >= 80 * (together - common)
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
+"""
+
+_RULE_ROWS = " UNION ALL ".join(
+    f"SELECT doc_id, stratum, '{r}' AS rule, coalesce(CAST(split_part('{e}', ' ', 1) AS VARCHAR), '') AS unused, "
+    + " / ".join(f"nullif(CAST({x} AS DOUBLE), {0 if i else -1})" for i, x in enumerate(e.split(" / "))) + " AS ratio FROM base WHERE NOT base_failed"
+    for r, e in RULES.items()
+)
+
+ORACLES["op9_risk_controlled_rules"] = f"""
+WITH words AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS stratum, coalesce(text, '') AS t,
+    list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM documents
+), grams AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM (
+    SELECT doc_id, unnest(list_transform(range(1, greatest(len(w) - 1, 1)), lambda i: array_to_string(w[i:i + 2], ' '))) AS g,
+      unnest(range(1, greatest(len(w) - 1, 1))) AS i FROM words)
+), repeated AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM grams, (SELECT unnest([0, 1, 2]) AS k) WHERE n >= 2 GROUP BY doc_id
+), base AS (
+  SELECT doc_id, stratum, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+    length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) AS n_capitals, length(t) - length(replace(t, '!', '')) AS n_exclamations,
+    len(lines) AS n_full_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+    len(w) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * len(w) AS base_failed
+  FROM words LEFT JOIN repeated USING (doc_id)
+), ratios AS ({_RULE_ROWS}),
+labelled AS (SELECT stratum, rule, ratio, quality FROM ratios JOIN labels USING (doc_id) WHERE quality IN (0, 1)),
+cuts AS (SELECT unnest([{', '.join(map(str, CUTOFFS))}]::DOUBLE[]) AS cutoff),
+tests AS (
+  SELECT stratum, rule, cutoff, count(*) FILTER (quality = 1) AS n, count(*) FILTER (quality = 1 AND coalesce(ratio, 0) > cutoff) AS k,
+    count(*) FILTER (quality = 0 AND coalesce(ratio, 0) > cutoff) AS bad FROM labelled, cuts GROUP BY ALL
+), proved AS (
+  SELECT *, list_sum(list_transform(range(CAST(k AS BIGINT) + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
+    + j * ln(0.05 / {len(RULES)}) + (n - j) * ln(1 - 0.05 / {len(RULES)})))) AS p_value FROM tests
+), used AS (
+  SELECT stratum, rule, cutoff FROM proved
+  WHERE k < n * 0.05 / {len(RULES)} AND p_value <= 0.05 / ((SELECT count(DISTINCT stratum) FROM tests) * {len(RULES)}) AND bad - 20 * k > 0
+  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY bad - 20 * k DESC, cutoff DESC) = 1
+), broken AS (
+  SELECT doc_id, string_agg(rule, ',' ORDER BY list_position([{', '.join(repr(r) for r in RULES)}], rule)) AS broken_rules
+  FROM ratios JOIN used USING (stratum, rule) WHERE ratio > cutoff GROUP BY doc_id
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND broken_rules IS NULL AS kept, coalesce(broken_rules, '') AS broken_rules
+FROM base LEFT JOIN broken USING (doc_id)
+"""
