@@ -5,7 +5,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareloom.llm import arrow
@@ -108,14 +108,53 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
+def unsettled(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of documents in different components, among them all whose similarity is at least ``percent``.
+
+    ``rest`` has doc_id and component. Shingles are ordered by the number of documents in ``rest`` that have them.
+    Two sets as alike as asked for share one among the first n - ceil(percent * n / 100) + 1 of their n shingles,
+    and from its place in both follows how many more they can share. Shingles that no other document has come
+    first: a copy with many changes of its own is out at once, however large its group.
+    """
+
+    def explode(batches):
+        for batch in batches:
+            lists = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("shingles")]
+            at = pa.array(np.repeat(np.arange(len(lists)), [len(x) for x in lists]))
+            n = pa.array([len(x) for x in lists], pa.int64()).take(at)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(at), batch.column("component").take(at), n, pa.array(np.concatenate([np.empty(0, np.int64), *lists]))],
+                names=["doc_id", "component", "n", "h"],
+            )
+
+    held = sets.join(rest, "doc_id").select("doc_id", "component", "shingles")
+    held = materialize(held.mapInArrow(explode, "doc_id bigint, component bigint, n bigint, h bigint"), "set-rows")
+    common = held.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    held = held.join(common, "h")
+    first = f"n - ({percent} * n + 99) div 100 + 1"
+    able = held.groupBy("doc_id", "n").agg(F.count(F.lit(1)).alias("known")).where(f"n - known < {first}")
+    order = Window.partitionBy("doc_id").orderBy("df", "h")
+    prefix = (
+        held.join(able.select("doc_id", "known"), "doc_id").withColumn("place", F.col("n") - F.col("known") + F.row_number().over(order))
+        .where(f"place <= {first}").select("h", "doc_id", "component", "n", "place")
+    )
+    prefix = materialize(prefix, "prefixes")
+    other = prefix.selectExpr("h", "doc_id AS other", "component AS other_component", "n AS other_n", "place AS other_place")
+    return (
+        prefix.join(other, "h").where("component < other_component")
+        .where(f"100 * least(n, other_n) >= {percent} * greatest(n, other_n)")
+        .where(f"(100 + {percent}) * (1 + least(n - place, other_n - other_place)) >= {percent} * (n + other_n)")
+        .select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct()
+    )
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 85, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest linked doc_id), kept.
 
     Documents with equal sets fold into the smallest id first, so copies meet as one. In each bucket that two or
     more sets share, the member that meets most others over all its buckets is the centre of a star; only
     centre-member pairs are compared, on whole sets. What a star cannot decide are members of a bucket that are
-    still in different components afterwards: just these are compared with each other, so no link that shares
-    a bucket is lost.
+    still in different components afterwards: these go through ``unsettled``, so no link that shares a bucket is lost.
 
     Null, empty and wordless texts are linked with nothing. Rows that share a doc_id are one document with
     several texts: a link of any of them counts for all. A row without a doc_id can be named by nothing: its
@@ -151,13 +190,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 85, bands: in
         "component", F.coalesce("component", "doc_id")
     )
     mixed = held.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    rest = materialize(held.join(mixed.select("bucket"), "bucket", "left_semi"), "mixed")
-    other = rest.selectExpr("bucket", "doc_id AS other", "n_shingles AS other_n", "component AS other_component")
-    more = (
-        rest.join(other, "bucket").where("component < other_component").where(alike_size.format("other_n"))
-        .select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct()
-        .join(pairs, ["a", "b"], "left_anti")
-    )
+    rest = held.join(mixed.select("bucket"), "bucket", "left_semi").select("doc_id", "component").distinct()
+    more = unsettled(materialize(rest, "unsettled"), sets, percent).join(pairs, ["a", "b"], "left_anti")
     more = materialize(confirmed(more, sets, percent), "confirmed")
     if not more.isEmpty():
         found = components(links.unionByName(more))
