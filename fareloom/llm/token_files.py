@@ -4,10 +4,12 @@ import os
 import re
 import sys
 import types
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -20,14 +22,14 @@ BLOCK_IDS, CHECKPOINT_IDS = 1 << 20, 256
 #: Longest code. The vocabulary must have at most 2 ** MAX_BITS ids.
 MAX_BITS = 18
 #: Segments whose ids a worker keeps, in each of two generations.
-CACHE = 400_000
+CACHE = 250_000
 
 BLOCKS = "part int, seq int, n bigint, doc_ids array<bigint>, lens array<bigint>, ids binary"
 FILES = "start bigint, n bigint, doc_ids array<bigint>, lens array<bigint>, payload binary, checkpoints binary"
 
 
 class Encoder:
-    """Ids of whole texts. A text is cut where its pieces part anyway: before a space or a line break
+    """Ids of whole texts, for a byte-level vocabulary with the usual pattern (letters, digits, marks, white space). A text is cut where its pieces part anyway: before a space or a line break
     that has no other white space beside it. What lies between is encoded once and looked up afterwards."""
 
     def __init__(self, path: str):
@@ -37,6 +39,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        # byte-level vocabularies write a byte that prints as its character, the others as characters from 256 on
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        moved = [b for b in range(256) if b not in plain]
+        self.letters = [chr(b if b in plain else 256 + moved.index(b)) for b in range(256)]
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.lone = re.compile(rb"(?<=[\x21-\x7e]) (?=[\x21-\x7e])")
@@ -45,6 +51,14 @@ class Encoder:
         self.rare = np.zeros(256, bool)  # first bytes of white space beyond ASCII
         self.rare[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
+    def piece(self, text: str) -> bytes:
+        """Ids of a text that the tokenizer would not cut before it merges pairs."""
+        if text.isascii():
+            text = text.replace(" ", self.letters[32]).replace("\n", self.letters[10])
+        else:
+            text = "".join([self.letters[b] for b in text.encode()])
+        return array(self.kind.char, [x.id for x in self.tokenizer.model.tokenize(text)]).tobytes()
+
     def segments(self, data: np.ndarray, offsets: np.ndarray) -> list[list[bytes]]:
         white = self.space[data]
         odd = self.rare[data]
@@ -70,10 +84,21 @@ class Encoder:
         new = set().union(*lists).difference(self.known)
         self.known.update((x, self.older[x]) for x in new.intersection(self.older))
         new = list(new.difference(self.known))
-        texts = [(x[1:] if x[:1] == b"\0" else x if x[:1] == b"\n" else b" " + x).decode() for x in new]
-        for key, found in zip(new, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            self.known[key] = np.array(found.ids, self.kind).tobytes()
-        known = self.known
+        hard, piece, known = [], self.piece, self.known
+        for key in new:
+            text = (key[1:] if key[:1] == b"\0" else key if key[:1] == b"\n" else b" " + key).decode()
+            core = text.rstrip(".,")
+            mark = text[len(core) :]
+            if len(mark) > 1 or not core.lstrip(" \n").isalpha():
+                hard.append((key, text))
+                continue
+            # one piece of letters, after a line break of its own perhaps, and one of a mark
+            found = known.get(key[:-1]) if mark else None
+            if found is None:
+                found = piece("\n") + piece(core[1:]) if core[0] == "\n" else piece(core)
+            known[key] = found + piece(mark) if mark else found
+        for (key, _), found in zip(hard, self.tokenizer.encode_batch_fast([t for _, t in hard], add_special_tokens=False), strict=True):
+            known[key] = np.array(found.ids, self.kind).tobytes()
         return [b"".join([known[x] for x in parts]) for parts in lists]
 
 
@@ -220,3 +245,18 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int = 0, order=("doc_id
     return read_token_files(docs.sparkSession, path).select(
         "doc_id", "start", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
     )
+
+
+def in_file_order(docs: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
+    """(doc_id, text and where a row stands in its files), and the names of the latter: the order they were written in.
+
+    Rows that were not read from files have no such place; they are ordered by doc_id.
+    """
+    try:
+        placed = docs.select(
+            "doc_id", "text", F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).try_cast("bigint").alias("part"),
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"),
+        )
+    except AnalysisException:
+        return docs.select("doc_id", "text"), ("doc_id",)
+    return placed, ("part", "file", "row")
