@@ -202,3 +202,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 85, bands: in
             F.expr("coalesce(doc_id = coalesce(component, doc_id), true)").alias("kept"),
         )
     )
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, with all columns, of the document of each component that ``near_duplicates`` keeps.
+
+    Of several rows with one doc_id the first by text stays; rows without a doc_id all stay. Written lists of what
+    goes, which are short beside the documents, are joined to the texts.
+    """
+    judged = near_duplicates(docs, **options)
+    gone = materialize(judged.where("NOT kept").select("doc_id").distinct(), "gone")
+    out = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    several = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    several = materialize(several, "several")
+    if several.isEmpty():
+        return out
+    rows = out.join(several, "doc_id", "left_semi").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    first = Window.partitionBy("row.doc_id").orderBy("row.text")
+    single = rows.withColumn("place", F.row_number().over(first)).where("place = 1").select("row.*")
+    return out.join(several, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(single)

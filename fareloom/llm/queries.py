@@ -1,20 +1,23 @@
 """One registered query for each operator of this subpackage: production parameters, whole tables."""
 
-import public_tokenizers
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom.llm.decontaminate import contaminated
+from fareloom.llm.language import identify
 from fareloom.llm.lines import dedup_lines
 from fareloom.llm.mixing import mixing_table
 from fareloom.llm.near_dup import near_duplicates
 from fareloom.llm.rules import CUTOFFS, RULES, quality
 from fareloom.llm.shards import assign_shards
+from fareloom.llm.suffixes import repeated_passages
 from fareloom.llm.token_files import token_table
+from fareloom.llm.toxicity import toxicity
 
 QUERIES: dict = {}
 
-TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+TOKENIZER = corpus_pipeline.TOKENIZER
 
 
 def query(fn):
@@ -26,11 +29,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_bitmask_language_id(spark, sf_dir):
+    return identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_stratified_interleaving(spark, sf_dir):
     return assign_shards(table(spark, sf_dir, "documents"), shards=8, by="source")
 
 
+@query
+def op3_pu_toxicity(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_difference_cover_dedup(spark, sf_dir):
+    found = repeated_passages(table(spark, sf_dir, "documents"), size=50)
+    return found.select(
+        "doc_id", "n_bytes", F.expr("aggregate(spans, 0L, (a, s) -> a + s.end - s.start)").alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op5_pfair_mixing(spark, sf_dir):
     return mixing_table(table(spark, sf_dir, "documents"), power=0.5)
@@ -62,7 +84,12 @@ def op10_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), size=5, percent=85)
 
 
-ORACLES: dict = {}
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+ORACLES: dict = {"pipeline": corpus_pipeline.ORACLE_SQL}
 
 ORACLES["op6_line_dedup"] = r"""
 WITH lines AS (
