@@ -1212,16 +1212,15 @@ def batch_score(spark, sf_dir):
 
 @query("stream_ingest")
 def stream_ingest(spark, sf_dir):
-    """Both extracts dropped as CSV, one file each, and streamed into bronze."""
+    """Both extracts dropped as folders of several CSV files, and streamed into bronze."""
     headers = {field: header for header, field in fixed.CSV_HEADERS.items()}
     drop = new_path(spark, "drop")
     for extract in (I.first_extract, I.second_extract):
-        extract(spark, sf_dir).select(*src.FIELDS).withColumnsRenamed(headers).coalesce(1).write.mode(
-            "append"
-        ).options(
+        extract(spark, sf_dir).select(*src.FIELDS).withColumnsRenamed(headers).repartition(3, src.FIELDS[0]).write.options(
             header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss", ignoreLeadingWhiteSpace=False,
             ignoreTrailingWhiteSpace=False,
-        ).csv(drop)
+        ).csv(f"{drop}/{extract.__name__}")
+        ingest.announce(spark, drop, extract.__name__)
     store = tables.Store(spark, new_path(spark, "stream_store"))
     stamps = [I.FIRST_LOAD, I.SECOND_LOAD]
     run = ingest.stream_ingest(spark, drop, store, new_path(spark, "stream_state"), lambda i: stamps[i])

@@ -3,6 +3,9 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: What does not fit nineteen digits before the point, up to the largest double.
+TOO_LARGE = (1e19, 1.7976931348623157e308)
+
 
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -12,9 +15,11 @@ def round_to(c, digits: int) -> Column:
     """Round half away from zero on the decimal value.
 
     The step over nine decimals takes out the noise of parallel double sums, so that a value
-    that lies exactly between two results is rounded the same way on every run.
+    that lies exactly between two results is rounded the same way on every run. Doubles of 1e19 and
+    more have no decimals to round and stay as they are.
     """
-    return F.round(col(c).try_cast("decimal(28,9)"), digits).cast("double")
+    rounded = F.round(col(c).try_cast("decimal(28,9)"), digits).cast("double")
+    return F.when(F.abs(col(c).cast("double")).between(*TOO_LARGE), col(c).cast("double")).otherwise(rounded)
 
 
 def ratio_pct(part, whole) -> Column:
@@ -43,7 +48,9 @@ def mape(actual, predicted) -> Column:
 
 def sql_round(expression: str, digits: int = 2) -> str:
     """``round_to`` as SQL text, for long lists of aggregates."""
-    return f"CAST(round(try_cast({expression} AS decimal(28,9)), {digits}) AS double)"
+    rounded = f"CAST(round(try_cast({expression} AS decimal(28,9)), {digits}) AS double)"
+    value = f"CAST({expression} AS double)"
+    return f"CASE WHEN abs({value}) BETWEEN {TOO_LARGE[0]!r} AND {TOO_LARGE[1]!r} THEN {value} ELSE {rounded} END"
 
 
 def sql_change(new: str, old: str) -> str:

@@ -40,7 +40,7 @@ def is_blank(c) -> Column:
 
 def number_text(c) -> Column:
     """Amounts as text with two decimals."""
-    return col(c).cast("decimal(18,2)").cast("string")
+    return col(c).cast("decimal(38,2)").cast("string")
 
 
 def time_text(c) -> Column:

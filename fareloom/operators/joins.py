@@ -74,12 +74,15 @@ def staging_join(validated: DataFrame, raw: DataFrame) -> DataFrame:
 def enrich_left(silver: DataFrame, stats) -> DataFrame:
     """Add the columns of (frame, key) pairs that are not there yet; the first frame wins.
 
-    The frames are gold tables, one row per key. Catalyst broadcasts those below its threshold.
+    The frames are gold tables. Of several rows with one key (a route of two types) the smallest is
+    taken, so that no row of ``silver`` is repeated. Catalyst broadcasts those below its threshold.
     """
     out = silver
     for frame, key in stats:
         fresh = [c for c in frame.columns if c not in out.columns]
-        out = out.join(frame.select(key, *fresh), key, "left")
+        row = F.struct(*[F.col(c) for c in fresh])
+        single = frame.groupBy(key).agg(F.min(row).alias("_row")).select(key, "_row.*")
+        out = out.join(single, key, "left")
     return out
 
 

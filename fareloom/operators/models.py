@@ -1,5 +1,7 @@
 """Fare models on Spark ML: split, train, compare, tune, explain."""
 
+import warnings
+
 import numpy as np
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -166,7 +168,8 @@ def train_all(data: DataFrame, names=tuple(MODELS), fitted=None) -> tuple[DataFr
 
 def best_model(leaderboard: DataFrame) -> DataFrame:
     row = F.struct(*leaderboard.columns)
-    return leaderboard.agg(F.max_by(row, F.col("test_r2")).alias("best")).select("best.*")
+    first = F.struct((-F.col("test_r2")).alias("r2"), "model_name")  # the order of the leaderboard
+    return leaderboard.where("test_r2 IS NOT NULL").agg(F.min_by(row, first).alias("best")).where("best IS NOT NULL").select("best.*")
 
 
 # --- linear models from one pass -----------------------------------------------------------------
@@ -207,7 +210,7 @@ class Moments:
     def centred(self):
         return self.products - np.outer(self.sums, self.sums) / self.n
 
-    def solve(self, kind, alpha, rounds=1000):
+    def solve(self, kind, alpha, rounds=fixed.LASSO_MAX_ITER):
         """Weights and intercept of ordinary, ridge or lasso regression."""
         c = self.centred()
         xx, xy = c[:-1, :-1], c[:-1, -1]
@@ -220,8 +223,10 @@ class Moments:
                 for i in range(len(w)):
                     rest = xy[i] - xx[i] @ w + xx[i, i] * w[i]
                     w[i] = np.sign(rest) * max(abs(rest) - alpha * self.n, 0) / xx[i, i] if xx[i, i] > 0 else 0.0
-                if np.max(np.abs(w - before)) < 1e-9:
+                if np.max(np.abs(w - before)) < 1e-9 * max(1.0, np.max(np.abs(w))):
                     break
+            else:
+                warnings.warn(f"lasso with alpha {alpha} has not settled after {rounds} rounds", stacklevel=2)
         else:
             w = np.linalg.lstsq(xx, xy, rcond=None)[0]
         means = self.sums / self.n
@@ -332,6 +337,7 @@ def depth_sweep(data: DataFrame, depths=fixed.SWEEP_DEPTHS) -> DataFrame:
         )
         for d in depths
     ]
+    train.unpersist()
     return union_all(*rows)
 
 

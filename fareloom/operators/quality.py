@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fareloom.functions.bands import route_key
 from fareloom.functions.numbers import ratio_pct, round_to
 from fareloom.operators.order_stats import unpivot
 
@@ -103,7 +104,7 @@ def dq_totals(validated: DataFrame, columns) -> DataFrame:
     )
     names = ["record_count", "valid_record_count", "invalid_record_count", *nulls]
     totals = one.unpivot([], names, "metric", "metric_value")
-    cells = validated.select("airline", F.concat_ws("-", "source_code", "destination_code").alias("route"))
+    cells = validated.select("airline", route_key("source_code", "destination_code").alias("route"))
     distinct = (
         unpivot(cells, ["airline", "route"], "string")
         .where("value IS NOT NULL")

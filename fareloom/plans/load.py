@@ -1,5 +1,8 @@
 """One load run: CSV extract -> staging -> bronze -> silver -> history -> gold."""
 
+import math
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,10 +33,11 @@ def with_ids(staged: DataFrame, at) -> DataFrame:
     return staged.withColumn("id", F.concat_ws("-", content, F.monotonically_increasing_id()))
 
 
-def load(store: Store, extract: DataFrame, at, version=None) -> dict:
+def load(store: Store, extract: DataFrame, at, version=None, source_file=None) -> dict:
     """Stage an extract, apply it to bronze and log it. With ``version`` a repeated call is a no-op."""
     if version is not None and (store.version(BRONZE) or 0) >= version:
         return {"load_type": "NONE", "records_inserted": 0, "records_deleted": 0, "change_percentage": 0.0}
+    began = time.monotonic()
     staged = store.overwrite(STAGING, with_ids(stage(extract), at))
     incoming = incremental.with_hash(staged.where("is_valid"))
     if store.exists(BRONZE):
@@ -47,7 +51,7 @@ def load(store: Store, extract: DataFrame, at, version=None) -> dict:
     elif stats["load_type"] == "INCREMENTAL":
         store.overwrite(BRONZE, incremental.apply_incremental(incoming, current, at), version)
     counted = extract.sparkSession.createDataFrame([tuple(stats.values())], counts.schema)
-    store.append(LOG, incremental.load_log_row(counted, store.version(STAGING), at))
+    store.append(LOG, incremental.load_log_row(counted, store.version(STAGING), at, source_file, math.ceil(time.monotonic() - began)))
     return stats
 
 
@@ -73,7 +77,7 @@ def build(store: Store, at, domestic=fixed.DOMESTIC_CODES) -> dict:
 def load_run(spark: SparkSession, root: str, csv_path: str, at, domestic=fixed.DOMESTIC_CODES) -> dict:
     """Load an extract; rebuild what depends on bronze only if something changed."""
     store = Store(spark, root)
-    stats = load(store, files.scan_csv(spark, csv_path), at)
+    stats = load(store, files.scan_csv(spark, csv_path), at, source_file=csv_path)
     last = spark.createDataFrame(
         [(stats["load_type"], float(stats["change_percentage"]), stats["records_inserted"], stats["records_deleted"])],
         "load_type string, change_percentage double, records_inserted bigint, records_deleted bigint",

@@ -21,15 +21,37 @@ def scan_csv(spark: SparkSession, path: str, **options) -> DataFrame:
         raise FileNotFoundError(f"CSV file not found: {path}")
     if path_size(spark, path) == 0:
         raise ValueError(f"CSV file is empty: {path}")
-    # only the first line of the first file is read here
-    header = spark.read.options(header=True, escape='"', **options).csv(path).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, CORRUPT]])
-    return (
-        spark.read.schema(schema)
-        .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, escape='"')
-        .options(**options)
-        .csv(path)
+    out = None
+    for paths in _by_header(spark, path, options):
+        # only the first line of the first file is read here
+        header = spark.read.options(header=True, escape='"', **options).csv(paths).columns
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, CORRUPT]])
+        part = (
+            spark.read.schema(schema)
+            .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, escape='"')
+            .options(**options)
+            .csv(paths)
+        )
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    names = [c for c in out.columns if c != CORRUPT]
+    return out.select(*[F.col(f"`{c}`") for c in [*names, CORRUPT]])
+
+
+def _by_header(spark: SparkSession, path: str, options) -> list[list[str]]:
+    """Files grouped by their first line: files of one folder may have other columns, or another order of them.
+
+    A file's first line is the first row of its first split, which one task reads in order. Where all files
+    agree the folder is read as one.
+    """
+    lines = spark.read.options(**{k: v for k, v in options.items() if k in ("lineSep", "encoding")}).text(path)
+    first = (
+        lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
+        .where("at = 0").groupBy("file").agg(F.first("value").alias("header"))
     )
+    heads = [r["header"] for r in first.select("header").distinct().orderBy("header").collect()]
+    if len(heads) < 2:
+        return [[path]]
+    return [[r["file"] for r in first.where(F.col("header") == h).orderBy("file").collect()] for h in heads]
 
 
 def field_name(header: str) -> str:
@@ -149,6 +171,7 @@ def infer_text_types(df: DataFrame, columns) -> dict:
             ("BOOLEAN", v.isin("True", "False", "TRUE", "FALSE", "true", "false")),
             ("BIGINT", v.rlike(r"^\s*[+-]?\d+\s*$") & v.try_cast("bigint").isNotNull()),
             ("DECIMAL(12, 2)", v.try_cast("double").isNotNull()),
+            ("large", F.abs(v.try_cast("double")) >= 1e10),  # what DECIMAL(12, 2) cannot hold
         ):
             tests[f"{c}|{kind}"] = F.count_if(ok)
         tests[f"{c}|missing"] = F.count_if(v.isNull())
@@ -165,6 +188,8 @@ def infer_text_types(df: DataFrame, columns) -> dict:
             kind = "DECIMAL(12, 2)" if missing else "BIGINT"  # integers with gaps read as float
         elif row[f"{c}|DECIMAL(12, 2)"] == seen:
             kind = "DECIMAL(12, 2)"
+        if kind == "DECIMAL(12, 2)" and row[f"{c}|large"]:
+            kind = "VARCHAR(255)"  # the text keeps what the number type would lose
         types[c] = kind
     return types
 

@@ -68,13 +68,25 @@ def read_where(df: DataFrame, columns=None, where=None, limit=None) -> DataFrame
     return df.limit(limit) if limit else df
 
 
+def table_roots(df: DataFrame) -> list[str]:
+    """The folders that a frame's files were read from, without listing the files."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    out = set()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            roots = leaf.relation().location().rootPaths()
+            out |= {roots.apply(k).toString() for k in range(roots.size())}
+    return sorted(out)
+
+
 def layer_catalog(spark: SparkSession, layers: dict) -> DataFrame:
     """One row per table: layer, name, columns, rows and bytes on storage."""
     from fareloom.session import path_size
 
     out = None
     for (layer, name), df in sorted(layers.items()):
-        size = sum(path_size(spark, f.rsplit("/", 1)[0]) for f in df.inputFiles()[:1])
+        size = sum(path_size(spark, root) for root in table_roots(df))
         row = df.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(layer).alias("layer"),
             F.lit(name).alias("table_name"),

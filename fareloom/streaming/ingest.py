@@ -1,35 +1,37 @@
 """The load and the scoring as Structured Streaming jobs over a drop folder."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
-from fareloom.functions import fixed
 from fareloom.operators.features import FeatureModel
 from fareloom.operators.score import batch_score
 from fareloom.plans.load import load
+from fareloom.sources.files import CORRUPT, scan_csv
 from fareloom.sources.tables import Store
 
-CSV_SCHEMA = T.StructType([T.StructField(h, T.StringType()) for h in fixed.CSV_HEADERS])
+READY = "ready"
 
 
-def read_drops(spark: SparkSession, drop_dir: str, files_per_batch=1) -> DataFrame:
-    """CSV extracts as they arrive; every file is one extract."""
-    return (
-        spark.readStream.schema(CSV_SCHEMA)
-        .options(header=True, escape='"', maxFilesPerTrigger=files_per_batch)
-        .csv(drop_dir)
-    )
+def announce(spark: SparkSession, drop_dir: str, extract: str) -> None:
+    """Say that the folder ``drop_dir``/``extract`` is complete: one small file in ``drop_dir``/ready."""
+    spark.range(1).select(F.lit(extract).alias("value")).coalesce(1).write.mode("append").text(f"{drop_dir}/{READY}")
+
+
+def read_drops(spark: SparkSession, drop_dir: str) -> DataFrame:
+    """Names of complete extracts as they are announced, one a batch. An extract is a folder of any number of CSV files."""
+    return spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(f"{drop_dir}/{READY}")
 
 
 def stream_ingest(spark: SparkSession, drop_dir: str, store: Store, checkpoint: str, stamp):
-    """Apply each new extract to bronze, in order of arrival, and stop when all are done.
+    """Apply each announced extract to bronze, in order of arrival, and stop when all are done.
 
     The batch number is the version of the bronze table, so a batch that is replayed after a
     failure finds its version complete and changes nothing. ``stamp`` gives the load time of a batch.
     """
 
     def apply(batch: DataFrame, batch_id: int):
-        load(store, batch, stamp(batch_id), version=batch_id + 1)
+        for row in batch.collect():  # one name
+            load(store, scan_csv(spark, f"{drop_dir}/{row['value']}").drop(CORRUPT), stamp(batch_id), version=batch_id + 1, source_file=row["value"])
 
     return (
         read_drops(spark, drop_dir)

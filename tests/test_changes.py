@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from fareloom.functions import fixed
 from fareloom.operators import audit, incremental, scd
 from fareloom.plans import load as load_plan
-from fareloom.session import new_path
+from fareloom.session import new_path, path_size
 from fareloom.sources import files, tables
 from fareloom.streaming import ingest
 
@@ -128,17 +128,48 @@ def test_store_versions(spark):
     assert store.append("log", spark.range(1).withColumn("extra", F.lit("x"))).columns == ["id", "extra"]
 
 
-def write_csv(df, path, **columns):
+def write_csv(df, path, files_of=1, **columns):
     headers = {field: header for header, field in fixed.CSV_HEADERS.items()}
     df = df.drop("id").withColumnsRenamed(headers)
     for name, value in columns.items():
         df = df.withColumn(name, F.lit(value))
-    df.coalesce(1).write.mode("append").options(
+    df.repartition(files_of).write.mode("append").options(
         header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(path)
     return path
 
 
+def test_files_of_one_folder_may_order_their_columns_differently(spark, tmp_path):
+    for name, text in (("a", "Airline,Source\nx,DAC\n"), ("b", "Source,Airline\nCXB,y\n"), ("c", "Source,Airline,Extra\nJSR,z,1\n")):
+        (tmp_path / f"{name}.csv").write_text(text)
+    got = files.scan_csv(spark, str(tmp_path)).select("Airline", "Source", "Extra").collect()
+    assert sorted(map(tuple, got), key=str) == [("x", "DAC", None), ("y", "CXB", None), ("z", "JSR", "1")]
+
+
+def test_values_that_storage_types_cannot_hold_are_kept(spark):
+    known = spark.createDataFrame([(1,)], "a int")
+    incoming = spark.createDataFrame([(2, "123456789012"), (3, None)], "a int, big string")
+    out, added = files.schema_evolve(known, incoming)
+    assert added == [("big", "VARCHAR(255)")] and {r.big for r in out.collect()} == {"123456789012", None}
+
+
+def test_large_amounts(spark):
+    from fareloom.functions.numbers import round_to, sql_round
+    from fareloom.functions.text import number_text
+
+    df = spark.createDataFrame([(1.005,), (2e19,), (-3e25,), (float("nan"),), (None,)], "x double")
+    rows = df.select(round_to("x", 2).alias("a"), F.expr(sql_round("x")).alias("b"), number_text(F.when(F.abs("x") < 1e30, F.col("x"))).alias("t")).collect()
+    assert [r.a for r in rows] == [r.b for r in rows] == [1.01, 2e19, -3e25, None, None]
+    assert rows[1].t == "20000000000000000000.00"
+
+
+def test_catalogue_sizes_whole_tables(spark):
+    store = tables.Store(spark, new_path(spark, "sizes"))
+    table = store.overwrite("t", spark.range(100).withColumn("p", F.col("id") % 5), partition_by=["p"])
+    row = tables.layer_catalog(spark, {("silver", "t"): table}).first()
+    assert row["size_bytes"] == path_size(spark, f"{store.root}/t/version=1")
+
+
 def test_csv(spark, make, tmp_path):
     with pytest.raises(FileNotFoundError):
         files.scan_csv(spark, str(tmp_path / "none.csv"))
@@ -189,6 +220,7 @@ def test_load_run_end_to_end(spark, make):
     assert store.read("flight_fare_snapshot").where("valid_to IS NULL").count() == 1
     assert store.read("data_quality_checks").agg(F.sum("failures")).first()[0] == 0
     assert store.read(load_plan.LOG).count() == 3
+    assert store.read(load_plan.LOG).where("execution_time_seconds < 1 OR source_file IS NULL").isEmpty()
 
 
 def test_stream_equals_batch(spark, make):
@@ -197,7 +229,8 @@ def test_stream_equals_batch(spark, make):
     batch = tables.Store(spark, new_path(spark, "batch"))
     for n, (extract, at) in enumerate(zip(extracts, (T0, T1)), start=1):
         load_plan.load(batch, files.scan_csv(spark, write_csv(extract, new_path(spark, "csv"))), at, n)
-        write_csv(extract, drop)
+        write_csv(extract, f"{drop}/extract-{n}", files_of=3)  # an extract of several part files is one load
+        ingest.announce(spark, drop, f"extract-{n}")
     stream = tables.Store(spark, new_path(spark, "stream"))
     state = new_path(spark, "state")
     for _ in range(2):  # a restart finds nothing left to do
