@@ -199,3 +199,46 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND broken_rules IS NULL AS kept, coalesce(broken_rules, '') AS broken_rules
 FROM base LEFT JOIN broken USING (doc_id)
 """
+
+ORACLES["op4_difference_cover_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+windows AS MATERIALIZED (SELECT doc_id, p, substr(h, CAST(2 * p + 1 AS BIGINT), 100) AS s FROM (SELECT doc_id, h, unnest(range(n - 49)) AS p FROM d WHERE n >= 50)),
+smallest AS (SELECT s, min(doc_id) AS m FROM windows GROUP BY s),
+hits AS (SELECT doc_id, p, p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS step FROM windows JOIN smallest USING (s) WHERE m < doc_id),
+runs AS (SELECT doc_id, p, sum(CASE WHEN step IS NULL OR step > 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM hits),
+spans AS (SELECT doc_id, k, min(p) AS a, max(p) + 50 AS b FROM runs GROUP BY doc_id, k),
+parts AS (
+  SELECT doc_id, a, b, k, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans
+), kept AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+    string_agg(substr(h, CAST(2 * before + 1 AS BIGINT), CAST(2 * (a - before) AS BIGINT)), '' ORDER BY a) || substr(any_value(h), CAST(2 * max(b) + 1 AS BIGINT)) AS rest
+  FROM parts JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES["op2_stratified_interleaving"] = """
+WITH crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS i))
+), sized AS (
+  SELECT doc_id, coalesce('=' || source, '') AS stratum, octet_length(encode(coalesce(text, ''))) + 1 AS size, hex(encode(coalesce(text, ''))) AS h,
+    ('0x' || substr(md5('17:' || coalesce('=' || doc_id, '')), 1, 13))::BIGINT / 4503599627370496.0 AS unit FROM documents
+), summed AS (
+  SELECT doc_id, stratum, CAST(size AS BIGINT) AS size, unit, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(size - 1), lambda i: ('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS text_crc32 FROM sized, crc
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY unit, doc_id, text_crc32, size) - 1 AS r, count(*) OVER (PARTITION BY stratum) AS m FROM summed
+), spread AS (
+  SELECT *, (r + ('0x' || substr(md5('phase:=' || stratum), 1, 13))::BIGINT / 4503599627370496.0) / m AS fraction FROM ranked
+), placed AS (
+  SELECT *, row_number() OVER (ORDER BY fraction, stratum, doc_id, text_crc32, size) - 1 AS position, count(*) OVER () AS n FROM spread
+)
+SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law, CAST((8 * (position + 1) - 1) // n AS INTEGER) AS shard,
+  position - ((8 * (position + 1) - 1) // n) * n // 8 AS slot, CAST(NULL AS INTEGER) AS grown_shard, position, fraction
+FROM placed
+"""
