@@ -713,6 +713,7 @@ ORACLES = {
     "insights": with_("silver", " UNION ALL ".join(extremes(k) for k in ("airline", "route", "seasonality", "travel_class")) +
         f" UNION ALL SELECT 'is_peak_season', 'premium_pct', 'peak over off-peak', {PREMIUM} FROM silver"),
     # audit
+    "audit_log": with_("audit", "SELECT id, dag_id, dag_run_id, task_id, status, started_at, completed_at, rows_processed, error_message FROM audit"),
     "audit_recent": with_("audit", "SELECT id, task_id, status, rows_processed, started_at FROM audit ORDER BY id DESC LIMIT 10"),
     "audit_failed": with_("audit", "SELECT id, task_id, error_message, completed_at FROM audit WHERE status = 'failed'"),
     "audit_avg_duration": with_("audit", f"""SELECT task_id, count(*) AS runs, {r("avg(date_sub('second', s, c))")} AS avg_seconds FROM

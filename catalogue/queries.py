@@ -907,6 +907,16 @@ def insights(spark, sf_dir):
 # --- audit -------------------------------------------------------------------------------------
 
 
+@query("audit_log")
+def audit_log(spark, sf_dir):
+    """The run log, written task by task and read back."""
+    store = tables.Store(spark, new_path(spark, "audit_store"))
+    rows = I.audit(spark, sf_dir)
+    for status in ("started", "completed", "failed"):
+        store.append("audit_log", rows.where(F.col("status") == status))
+    return store.read("audit_log")
+
+
 @query("audit_recent")
 def audit_recent(spark, sf_dir):
     return audit.audit_recent(I.audit(spark, sf_dir))

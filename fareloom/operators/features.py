@@ -1,5 +1,6 @@
 """Features for the fare models: derive, impute, encode, scale, fill, select."""
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -91,6 +92,27 @@ class FeatureModel:
     medians: dict = field(default_factory=dict)
     feature_names: list = field(default_factory=list)
 
+    def save(self, path: str) -> None:
+        """The learnt tables as Parquet, the plain values as one line of JSON."""
+        spark = self.codes.sparkSession
+        plain = {
+            "missing_popularity": self.missing_popularity, "fills": self.fills, "codes_are_small": self.codes_are_small,
+            "categories": self.categories, "scales": self.scales, "medians": self.medians,
+            "feature_names": self.feature_names, "has_routes": self.popularity is not None,
+        }
+        self.codes.write.mode("overwrite").parquet(f"{path}/codes")
+        if self.popularity is not None:
+            self.popularity.write.mode("overwrite").parquet(f"{path}/popularity")
+        spark.createDataFrame([(json.dumps(plain),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/values")
+
+    @classmethod
+    def load(cls, spark, path: str) -> "FeatureModel":
+        """What ``save`` wrote, for any later session."""
+        plain = json.loads(spark.read.text(f"{path}/values").first()["value"])
+        popularity = spark.read.parquet(f"{path}/popularity") if plain.pop("has_routes") else None
+        plain["scales"] = {c: tuple(v) for c, v in plain["scales"].items()}
+        return cls(popularity=popularity, codes=spark.read.parquet(f"{path}/codes"), **plain)
+
     def transform(self, df: DataFrame) -> DataFrame:
         """Features for any rows with the training columns (the target may be absent)."""
         df = fill_numbers(self.derive(df), self.fills)

@@ -1,13 +1,15 @@
 """One load run: CSV extract -> staging -> bronze -> silver -> history -> gold."""
 
+import datetime as dt
 import math
 import time
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom.functions import fixed
-from fareloom.operators import gold, incremental, quality, scd
+from fareloom.operators import audit, gold, incremental, quality, scd
 from fareloom.operators.silver import silver_clean
 from fareloom.operators.validate import validate_rows
 from fareloom.sources import files
@@ -15,6 +17,7 @@ from fareloom.sources.tables import Store
 
 STAGING, BRONZE = "validated_flights", "bronze_validated_flights"
 SILVER, LOG = "silver_cleaned_flights", "load_log"
+AUDIT = "audit_log"
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -74,15 +77,38 @@ def build(store: Store, at, domestic=fixed.DOMESTIC_CODES) -> dict:
     return {SILVER: silver, **tables}
 
 
+@contextmanager
+def logged(store: Store, run: str, task: str):
+    """Audit rows of a task: started, then completed or failed with the error. The body may set ``rows``."""
+    spark, about = store.spark, {}
+
+    def note(status, **more):
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        number = store.read(AUDIT).count() if store.exists(AUDIT) else 0
+        store.append(AUDIT, audit.audit_row(spark, number + 1, "load_run", run, task, status, now, **more))
+
+    note("started")
+    try:
+        yield about
+    except Exception as error:
+        note("failed", error=f"{type(error).__name__}: {error}"[:1000])
+        raise
+    note("completed", rows=about.get("rows"))
+
+
 def load_run(spark: SparkSession, root: str, csv_path: str, at, domestic=fixed.DOMESTIC_CODES) -> dict:
     """Load an extract; rebuild what depends on bronze only if something changed."""
     store = Store(spark, root)
-    stats = load(store, files.scan_csv(spark, csv_path), at, source_file=csv_path)
+    run = str(at)
+    with logged(store, run, "load") as task:
+        stats = load(store, files.scan_csv(spark, csv_path), at, source_file=csv_path)
+        task["rows"] = stats["records_inserted"] + stats["records_deleted"]
     last = spark.createDataFrame(
         [(stats["load_type"], float(stats["change_percentage"]), stats["records_inserted"], stats["records_deleted"])],
         "load_type string, change_percentage double, records_inserted bigint, records_deleted bigint",
     )
     gate = incremental.process_gate(last).first()
     if gate["should_process"]:
-        build(store, at, domestic)
+        with logged(store, run, "build"):
+            build(store, at, domestic)
     return {**stats, "processed": gate["should_process"], "reason": gate["reason"]}

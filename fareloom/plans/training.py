@@ -1,10 +1,19 @@
-"""One training run: silver -> features -> selection -> models -> history row."""
+"""Training runs: gate -> silver -> features -> selection -> models -> history row; and scoring from what they saved."""
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.ml import regression
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fareloom.operators import features as ft
+from fareloom.operators import incremental, score
 from fareloom.operators import models as md
+from fareloom.plans.load import LOG, SILVER
 from fareloom.session import materialize
+from fareloom.sources.tables import Store, latest_row
+
+HISTORY = "model_history"
 
 
 def prepare(silver: DataFrame):
@@ -29,7 +38,47 @@ def train_run(silver: DataFrame, at, path=None, names=tuple(md.MODELS), current=
     leaderboard, models = md.train_all(data, names)
     best = md.best_model(leaderboard).first()
     if path:
-        models[best["model_name"]].write().overwrite().save(f"{path}/{best['model_name']}")
+        save_scorer(f"{path}/{best['model_name']}", models[best["model_name"]], feature_model, selected, best["model_name"], best["test_rmse"], at)
     cv = md.cv_scores(table.where("NOT is_test"), selected) if "id" in table.columns else None
     row = md.history_row(leaderboard, data, selected, at, path, cv, current)
     return row, leaderboard, models[best["model_name"]], feature_model, selected
+
+
+def save_scorer(path: str, model, feature_model: ft.FeatureModel, selected, name: str, rmse: float, at) -> None:
+    """All that scoring needs, in one folder: the model, the fitted features, their names, the test error."""
+    model.write().overwrite().save(f"{path}/model")
+    feature_model.save(f"{path}/features")
+    about = {"kind": type(model).__name__, "selected": list(selected), "model_name": name, "rmse": rmse, "version": str(at)}
+    spark = feature_model.codes.sparkSession
+    spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
+
+
+def score_saved(spark: SparkSession, path: str, requests: DataFrame) -> DataFrame:
+    """Scores of a frame of requests by a saved model, with the interval of its own test error."""
+    about = json.loads(spark.read.text(f"{path}/about").first()["value"])
+    model = getattr(regression, about["kind"]).load(f"{path}/model")
+    features = ft.FeatureModel.load(spark, f"{path}/features")
+    return score.batch_score(
+        score.request_frame(requests), features, model, about["selected"], about["rmse"], about["model_name"], about["version"]
+    )
+
+
+def train_if_needed(store: Store, at, names=tuple(md.MODELS), trees=100) -> dict:
+    """Ask the gate about the last load and the last model; if it says so, train on silver and append to the history.
+
+    Returns the decision, its reasons and, after training, where the scorer is and whether it goes into production.
+    """
+    loads = latest_row(store.read(LOG), "load_timestamp")
+    if store.exists(HISTORY):
+        history = store.read(HISTORY)
+        last, current = latest_row(history, "training_timestamp"), latest_row(history.where("is_production"), "training_timestamp")
+    else:
+        last, current = store.spark.createDataFrame([], "training_timestamp timestamp_ntz"), None
+    gate = incremental.retrain_gate(loads, last, at).first().asDict()
+    if gate["decision"] != "retrain":
+        return gate
+    path = f"{store.root}/models/{str(at).replace(' ', 'T').replace(':', '-')}"
+    row = materialize(train_run(store.read(SILVER), at, path, names, current, trees)[0], HISTORY)
+    store.append(HISTORY, row)
+    won = row.select(F.concat_ws("/", "model_path", "model_name").alias("scorer"), "is_production").first()
+    return {**gate, **won.asDict()}

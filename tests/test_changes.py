@@ -220,6 +220,9 @@ def test_load_run_end_to_end(spark, make):
     assert store.read("flight_fare_snapshot").where("valid_to IS NULL").count() == 1
     assert store.read("data_quality_checks").agg(F.sum("failures")).first()[0] == 0
     assert store.read(load_plan.LOG).count() == 3
+    tasks = store.read(load_plan.AUDIT).orderBy("id").collect()
+    assert [r["status"] for r in tasks[:2]] == ["started", "completed"] and {r["task_id"] for r in tasks} == {"load", "build"}
+    assert len({r["id"] for r in tasks}) == len(tasks)
     assert store.read(load_plan.LOG).where("execution_time_seconds < 1 OR source_file IS NULL").isEmpty()
 
 

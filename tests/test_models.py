@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from fareloom.operators import features as ft
 from fareloom.operators import models as md
-from fareloom.operators import score
+from fareloom.operators import incremental, score
+from fareloom.plans import load as load_plan
 from fareloom.plans import training
 from fareloom.session import new_path
+from fareloom.sources import tables
 
 N = 600
 
@@ -154,6 +156,12 @@ def test_training_run_and_scoring(spark):
     )
     history = row.first()
     assert history["is_production"] and history["training_records"] + history["test_records"] == 800
+    requests = silver.select("id", "airline", "source_code", "destination_code", "travel_class", "seasonality", "is_peak_season")
+    saved = training.score_saved(spark.newSession(), f"{path}/{history['model_name']}", requests)
+    best = board.first()
+    direct = score.batch_score(score.request_frame(requests), features, model, [*selected], best["test_rmse"])
+    figures = ["id", "predicted_fare_bdt", "interval_lower", "interval_upper"]
+    assert sorted(map(tuple, saved.select(*figures).collect())) == sorted(map(tuple, direct.select(*figures).collect()))
     worse = md.history_row(board.withColumn("test_r2", F.lit(-1.0)), md.assemble(md.train_test_split(features.transform(ft.training_frame(silver))), selected), selected, "2025-02-01 00:00:00", path, current=row)
     assert worse.first()["is_production"] is False
     requests = silver.select("id", "airline", "source_code", "destination_code", "travel_class", "seasonality", "is_peak_season")
@@ -176,6 +184,25 @@ def test_training_run_and_scoring(spark):
     assert forest.featureImportances == again.featureImportances  # same seed, same forest
 
 
+def test_the_gate_decides_on_training(spark):
+    store = tables.Store(spark, new_path(spark, "gated"))
+    store.overwrite(load_plan.SILVER, bookings(spark, 400))
+    stats = "load_type string, change_percentage double, records_inserted bigint, records_deleted bigint, records_unchanged bigint"
+
+    def loaded(kind, share, rows, at):
+        row = spark.createDataFrame([(kind, share, rows, 0, 0)], stats)
+        store.append(load_plan.LOG, incremental.load_log_row(row, 1, at))
+
+    loaded("FULL", 100.0, 400, "2025-01-01 00:00:00")
+    first = training.train_if_needed(store, "2025-01-01 01:00:00", ("ridge",), trees=3)
+    assert first["decision"] == "retrain" and first["is_production"] and first["scorer"].endswith("/ridge")
+    loaded("NONE", 0.0, 0, "2025-01-02 00:00:00")
+    assert training.train_if_needed(store, "2025-01-02 01:00:00", ("ridge",), trees=3) == {"decision": "skip", "reasons": ""}
+    assert store.read(training.HISTORY).count() == 1
+    requests = bookings(spark, 10).select("id", "airline", "source_code", "destination_code", "travel_class", "seasonality", "is_peak_season")
+    assert training.score_saved(spark, first["scorer"], requests).count() == 10
+
+
 def test_status_without_model(spark):
     empty = spark.createDataFrame([], "model_name string, training_timestamp timestamp_ntz, test_r2 double, test_mae double")
     assert md.model_status(empty).first().asDict() == {
