@@ -153,9 +153,8 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC
 """
 
 _RULE_ROWS = " UNION ALL ".join(
-    f"SELECT doc_id, stratum, '{r}' AS rule, coalesce(CAST(split_part('{e}', ' ', 1) AS VARCHAR), '') AS unused, "
-    + " / ".join(f"nullif(CAST({x} AS DOUBLE), {0 if i else -1})" for i, x in enumerate(e.split(" / "))) + " AS ratio FROM base WHERE NOT base_failed"
-    for r, e in RULES.items()
+    f"SELECT doc_id, stratum, '{rule}' AS rule, CAST({part} AS DOUBLE) / nullif(CAST({whole} AS DOUBLE), 0) AS ratio FROM base WHERE NOT base_failed"
+    for rule, (part, whole) in ((r, e.split(" / ")) for r, e in RULES.items())
 )
 
 ORACLES["op9_risk_controlled_rules"] = f"""
