@@ -971,10 +971,18 @@ def _model(spark, sf_dir, name, **params):
     return _memo(spark, sf_dir, name, fit)
 
 
-# The forests of the queries are smaller than the library's defaults (200 trees), for run time only.
+# The forest and the boosting of the queries are smaller than the library's defaults (200 trees), for run time only.
 FOREST = dict(trees=10, depth=8)
 BOOSTED = dict(trees=10)
-IMPORTANCE_TREES = 10
+
+
+def _importance(spark, sf_dir):
+    """Importances of the full forest, fitted on first use."""
+    def fit():
+        data, names = _data(spark, sf_dir)
+        return materialize(models.importance_forest(data, names), "importance")
+
+    return _memo(spark, sf_dir, "importance", fit)
 
 
 @query("route_popularity")
@@ -1022,8 +1030,7 @@ def feature_matrix(spark, sf_dir):
 
 @query("feature_importance_rf")
 def feature_importance_rf(spark, sf_dir):
-    data, names = _data(spark, sf_dir)
-    return models.importance_forest(data, names, IMPORTANCE_TREES)
+    return _importance(spark, sf_dir)
 
 
 @query("feature_importance_mi")
@@ -1034,10 +1041,9 @@ def feature_importance_mi(spark, sf_dir):
 
 @query("select_top_features")
 def select_top_features(spark, sf_dir):
-    data, names = _data(spark, sf_dir)
-    forest = models.importance_forest(data, names, IMPORTANCE_TREES)
-    information = features.mutual_information(_prepared(spark, sf_dir)[0], names, TOTAL)
-    return features.select_top_features(forest, information)
+    table, fitted = _prepared(spark, sf_dir)
+    information = features.mutual_information(table, fitted.feature_names, TOTAL)
+    return features.select_top_features(_importance(spark, sf_dir), information)
 
 
 @query("train_test_split")
@@ -1097,7 +1103,7 @@ def grid_search(spark, sf_dir):
 
 @query("grid_search_tree")
 def grid_search_tree(spark, sf_dir):
-    return models.tree_grid_search(_data(spark, sf_dir)[0], depths=(3, 5), splits=(2, 10))
+    return models.tree_grid_search(_data(spark, sf_dir)[0])
 
 
 @query("reg_sweep")
@@ -1108,7 +1114,7 @@ def reg_sweep(spark, sf_dir):
 
 @query("depth_sweep")
 def depth_sweep(spark, sf_dir):
-    return models.depth_sweep(_data(spark, sf_dir)[0], depths=range(1, 8))
+    return models.depth_sweep(_data(spark, sf_dir)[0])
 
 
 @query("cv_scores")

@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
+BYTES_PER_SHUFFLE_PARTITION = 1 << 30  # adaptive execution merges what turns out small
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
