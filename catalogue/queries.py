@@ -949,13 +949,13 @@ def _memo(spark, sf_dir, name, build):
     return _fitted[key]
 
 
-def _prepared(spark, sf_dir):
+def prepared(spark, sf_dir):
     """(feature table, fitted features), written on first use."""
     return _memo(spark, sf_dir, "prepared", lambda: training.prepare(I.silver(spark, sf_dir)))
 
 
 def _data(spark, sf_dir):
-    table, fitted = _prepared(spark, sf_dir)
+    table, fitted = prepared(spark, sf_dir)
     return models.assemble(table, fitted.feature_names), fitted.feature_names
 
 
@@ -1041,7 +1041,7 @@ def feature_importance_mi(spark, sf_dir):
 
 @query("select_top_features")
 def select_top_features(spark, sf_dir):
-    table, fitted = _prepared(spark, sf_dir)
+    table, fitted = prepared(spark, sf_dir)
     information = features.mutual_information(table, fitted.feature_names, TOTAL)
     return features.select_top_features(_importance(spark, sf_dir), information)
 
@@ -1097,7 +1097,7 @@ def train_gbt(spark, sf_dir):
 
 @query("grid_search")
 def grid_search(spark, sf_dir):
-    table, fitted = _prepared(spark, sf_dir)
+    table, fitted = prepared(spark, sf_dir)
     return models.grid_search(table, fitted.feature_names)
 
 
@@ -1108,7 +1108,7 @@ def grid_search_tree(spark, sf_dir):
 
 @query("reg_sweep")
 def reg_sweep(spark, sf_dir):
-    table, fitted = _prepared(spark, sf_dir)
+    table, fitted = prepared(spark, sf_dir)
     return models.reg_sweep(table, fitted.feature_names)
 
 
@@ -1119,7 +1119,7 @@ def depth_sweep(spark, sf_dir):
 
 @query("cv_scores")
 def cv_scores(spark, sf_dir):
-    table, fitted = _prepared(spark, sf_dir)
+    table, fitted = prepared(spark, sf_dir)
     return models.cv_scores(table, fitted.feature_names)
 
 
@@ -1185,7 +1185,7 @@ def variance_explained(spark, sf_dir):
 def model_history(spark, sf_dir):
     """History rows of two runs; the second is in production only if it is no worse."""
     data, names = _data(spark, sf_dir)
-    table, _ = _prepared(spark, sf_dir)
+    table, _ = prepared(spark, sf_dir)
     board = _leaderboard(spark, sf_dir)
     first = models.history_row(board, data, names, I.FIRST_LOAD, None, models.cv_scores(table, names))
     second = models.history_row(
@@ -1216,7 +1216,7 @@ def _requests(spark, sf_dir):
 
 @query("batch_score")
 def batch_score(spark, sf_dir):
-    _, fitted = _prepared(spark, sf_dir)
+    _, fitted = prepared(spark, sf_dir)
     requests = score.request_frame(_requests(spark, sf_dir), src.DOMESTIC)
     return score.batch_score(
         requests, fitted, _model(spark, sf_dir, "ridge"), fitted.feature_names, 31000.0, "ridge"
@@ -1247,7 +1247,7 @@ def stream_ingest(spark, sf_dir):
 @query("stream_score")
 def stream_score(spark, sf_dir):
     """The scoring requests as a stream; the result is that of ``batch_score``."""
-    _, fitted = _prepared(spark, sf_dir)
+    _, fitted = prepared(spark, sf_dir)
     stored = new_path(spark, "requests")
     score.request_frame(_requests(spark, sf_dir), src.DOMESTIC).write.parquet(stored)
     requests = spark.readStream.schema(spark.read.parquet(stored).schema).parquet(stored)
