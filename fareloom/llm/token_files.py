@@ -1,10 +1,8 @@
 """Token ids in files: canonical length-limited Huffman codes in blocks that are read on their own."""
 
 import os
-import re
 import sys
 import types
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -21,16 +19,19 @@ from fareloom.session import materialize, new_path
 BLOCK_IDS, CHECKPOINT_IDS = 1 << 20, 256
 #: Longest code. The vocabulary must have at most 2 ** MAX_BITS ids.
 MAX_BITS = 18
-#: Segments whose ids a worker keeps, in each of two generations.
-CACHE = 250_000
+#: Distinct segments whose ids a worker keeps at most, about 30 bytes each.
+CACHE = 2_000_000
 
 BLOCKS = "part int, seq int, n bigint, doc_ids array<bigint>, lens array<bigint>, ids binary"
 FILES = "start bigint, n bigint, doc_ids array<bigint>, lens array<bigint>, payload binary, checkpoints binary"
 
 
 class Encoder:
-    """Ids of whole texts, for a byte-level vocabulary with the usual pattern (letters, digits, marks, white space). A text is cut where its pieces part anyway: before a space or a line break
-    that has no other white space beside it. What lies between is encoded once and looked up afterwards."""
+    """Ids of whole texts, for a byte-level vocabulary with the usual pattern (letters, digits, marks, white space).
+
+    A text is cut before each space or line break that has no white space beside it, where its pieces part anyway.
+    Segments are found, hashed and looked up as arrays; each distinct one is encoded once as long as it is kept.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -39,67 +40,107 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        # byte-level vocabularies write a byte that prints as its character, the others as characters from 256 on
-        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-        moved = [b for b in range(256) if b not in plain]
-        self.letters = [chr(b if b in plain else 256 + moved.index(b)) for b in range(256)]
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-        self.lone = re.compile(rb"(?<=[\x21-\x7e]) (?=[\x21-\x7e])")
+        self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.space = np.zeros(256, bool)
         self.space[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = True
-        self.rare = np.zeros(256, bool)  # first bytes of white space beyond ASCII
-        self.rare[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+        self.two, self.three = 0xC2, np.isin(np.arange(256), (0xE1, 0xE2, 0xE3))  # first bytes of white space beyond ASCII
+        self.roller = arrow.Roller()
+        self.clear()
 
-    def piece(self, text: str) -> bytes:
-        """Ids of a text that the tokenizer would not cut before it merges pairs."""
-        if text.isascii():
-            text = text.replace(" ", self.letters[32]).replace("\n", self.letters[10])
-        else:
-            text = "".join([self.letters[b] for b in text.encode()])
-        return array(self.kind.char, [x.id for x in self.tokenizer.model.tokenize(text)]).tobytes()
+    def clear(self):
+        self.hashes, self.places = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.pool, self.starts = np.empty(0, self.kind), np.zeros(1, np.int64)
 
-    def segments(self, data: np.ndarray, offsets: np.ndarray) -> list[list[bytes]]:
+    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where segments begin, and how many bytes of white space come before each byte."""
         white = self.space[data]
-        odd = self.rare[data]
-        odd[1:] |= white[1:] & white[:-1]
-        odd = np.concatenate(([0], np.cumsum(odd)))
-        raw, out = data.tobytes(), []
-        for a, b in zip(offsets[:-1], offsets[1:], strict=True):
-            if a == b:
-                out.append([])
-                continue
-            if odd[b] > odd[a]:
-                parts = self.lone.split(raw[a:b])
-            else:
-                parts = raw[a:b].replace(b"\n", b" \n").split(b" ")
-            parts[0] = b"\0" + parts[0]  # the first has no space before it
-            out.append(parts)
-        return out
-
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
-        lists = self.segments(data, offsets)
-        if len(self.known) > CACHE:
-            self.known, self.older = {}, self.known
-        new = set().union(*lists).difference(self.known)
-        self.known.update((x, self.older[x]) for x in new.intersection(self.older))
-        new = list(new.difference(self.known))
-        hard, piece, known = [], self.piece, self.known
-        for key in new:
-            text = (key[1:] if key[:1] == b"\0" else key if key[:1] == b"\n" else b" " + key).decode()
-            core = text.rstrip(".,")
-            mark = text[len(core) :]
-            if len(mark) > 1 or not core.lstrip(" \n").isalpha():
-                hard.append((key, text))
-                continue
-            # one piece of letters, after a line break of its own perhaps, and one of a mark
-            found = known.get(key[:-1]) if mark else None
-            if found is None:
-                found = piece("\n") + piece(core[1:]) if core[0] == "\n" else piece(core)
-            known[key] = found + piece(mark) if mark else found
-        for (key, _), found in zip(hard, self.tokenizer.encode_batch_fast([t for _, t in hard], add_special_tokens=False), strict=True):
-            known[key] = np.array(found.ids, self.kind).tobytes()
-        return [b"".join([known[x] for x in parts]) for parts in lists]
+        odd = (data == self.two) | self.three[data]
+        solid = ~(white | odd)
+        before = solid.copy()  # may stand before a cut
+        if len(data) > 2:
+            high = data >= 0x80
+            before[1:] &= ~(high[1:] & (data[:-1] == self.two))
+            before[2:] &= ~(high[2:] & self.three[data[:-2]])
+        edge = np.zeros(len(data) + 1, bool)
+        edge[offsets] = True
+        cut = (data == 0x20) | (data == 0x0A)
+        cut[1:] &= before[:-1]
+        cut[:-1] &= solid[1:] & ~edge[1:-1]
+        cut[-1:] = False
+        cut |= edge[:-1]
+        return np.flatnonzero(cut), np.concatenate(([0], np.cumsum(white | odd)))
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, each with ``end_id`` after it, and how many each has."""
+        if len(data):
+            start, white = self.cuts(data, offsets)
+            end = np.append(start[1:], len(data))
+            h = self.roller.spans(self.roller.sums(data), start, end)
+        else:
+            start = end = np.empty(0, np.int64)
+            white, h = np.zeros(1, np.int64), np.empty(0, np.uint64)
+        distinct, first, back = np.unique(h, return_index=True, return_inverse=True)
+        if len(self.hashes) > CACHE:
+            self.clear()
+        at = np.searchsorted(self.hashes, distinct)
+        known = np.zeros(len(distinct), bool)
+        inside = at < len(self.hashes)
+        known[inside] = self.hashes[at[inside]] == distinct[inside]
+        self.learn(data, distinct[~known], start[first[~known]], end[first[~known]], white)
+        pool, starts = self.pool, self.starts
+        place = self.places[np.searchsorted(self.hashes, distinct)][back]
+        n = starts[place + 1] - starts[place]
+        total = np.concatenate(([0], np.cumsum(n)))
+        ids = pool[np.repeat(starts[place] - total[:-1], n) + np.arange(total[-1])]
+        counts = np.diff(total[np.searchsorted(start, offsets)])
+        if end_id is None:
+            return ids, counts
+        return np.insert(ids, np.cumsum(counts), end_id), counts + 1
+
+    def learn(self, data, hashes, start, end, white):
+        """Encode new segments: those with no white space inside many at a time, the others one by one."""
+        if not len(hashes):
+            return
+        plain = white[end] == white[np.minimum(start + 1, end)]
+        head = data[start]
+        order, flat, sizes = [], [self.pool], []
+        spaced, broken, bare = plain & (head == 0x20), plain & (head == 0x0A), white[end] == white[start]
+        for group, skip in ((spaced, 0), (broken, 1), (bare, 0), (~(spaced | broken | bare), None)):
+            members = np.flatnonzero(group)
+            for i in range(0, len(members), 5000):
+                part = members[i : i + 5000]
+                ids, n = self.apart(data, start[part], end[part]) if skip is None else self.together(data, start[part] + skip, end[part])
+                if skip:
+                    ids, n = np.insert(ids, np.cumsum(n) - n, self.line[0]), n + 1
+                order.append(part)
+                flat.append(ids)
+                sizes.append(n)
+        place = np.empty(len(hashes), np.int64)
+        place[np.concatenate(order)] = np.arange(len(hashes)) + len(self.starts) - 1
+        self.pool = np.concatenate(flat)
+        self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(np.concatenate(sizes))))
+        merged = np.concatenate((self.hashes, hashes))
+        by = np.argsort(merged, kind="stable")
+        self.hashes, self.places = merged[by], np.concatenate((self.places, place))[by]
+
+    def together(self, data, start, end) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of segments without a line break, from one call: the line breaks put between them are ids of their own."""
+        n = end - start + 1
+        at = np.cumsum(n)
+        text = np.full(at[-1], 0x0A, np.uint8)
+        inside = np.ones(at[-1], bool)
+        inside[at - 1] = False
+        text[inside] = data[np.repeat(start - (np.cumsum(n - 1) - (n - 1)), n - 1) + np.arange((n - 1).sum())]
+        ids = np.array(self.tokenizer.encode_batch_fast([text[:-1].tobytes().decode()], add_special_tokens=False)[0].ids, self.kind)
+        breaks = np.flatnonzero(ids == self.line[0])
+        if len(self.line) != 1 or len(breaks) != len(n) - 1:
+            return self.apart(data, start, end)
+        return np.delete(ids, breaks), np.diff(np.concatenate(([-1], breaks, [len(ids)]))) - 1
+
+    def apart(self, data, start, end) -> tuple[np.ndarray, np.ndarray]:
+        texts = [data[a:b].tobytes().decode() for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for x in found for i in x], self.kind), np.array([len(x) for x in found], np.int64)
 
 
 def encoder(path: str) -> Encoder:
@@ -115,7 +156,6 @@ def _blocks(ordered: DataFrame, path: str, end_id: int) -> DataFrame:
 
     def run(batches):
         tokens, part = encoder(path), TaskContext.get().partitionId()
-        end = np.array([end_id], tokens.kind).tobytes()
         ids, lens, blobs, held, seq = [], [], [], 0, 0
 
         def block():
@@ -125,16 +165,16 @@ def _blocks(ordered: DataFrame, path: str, end_id: int) -> DataFrame:
             )
 
         for batch in batches:
-            for piece in arrow.chunks(batch, "text"):
-                found = tokens.encode(*arrow.utf8(piece.column("text")))
-                for doc_id, blob in zip(piece.column("doc_id").to_pylist(), found, strict=True):
-                    n = len(blob) // tokens.kind.itemsize + 1
+            for piece in arrow.chunks(batch, "text", 8 * arrow.CHUNK_BYTES):
+                found, counts = tokens.encode(*arrow.utf8(piece.column("text")), end_id)
+                ends = np.cumsum(counts)
+                for doc_id, n, end in zip(piece.column("doc_id").to_pylist(), counts.tolist(), ends.tolist(), strict=True):
                     if held and held + n > BLOCK_IDS:
                         yield block()
                         ids, lens, blobs, held, seq = [], [], [], 0, seq + 1
                     ids.append(doc_id)
                     lens.append(n)
-                    blobs += (blob, end)
+                    blobs.append(found[end - n : end].tobytes())
                     held += n
         if held:
             yield block()
