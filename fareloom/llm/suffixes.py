@@ -11,7 +11,7 @@ from fareloom.llm import arrow
 from fareloom.session import materialize
 
 #: Bytes of text that one group of documents has on average, bytes of the seeds that choose buckets, and suffixes sorted at once.
-GROUP_BYTES, SEED, BLOCK = 8 << 20, 20, 1 << 19
+GROUP_BYTES, SEED, BLOCK = 4 << 20, 20, 1 << 18
 #: A difference cover: every difference modulo 13 is one of two of its members.
 PERIOD, COVER = 13, (0, 1, 3, 9)
 #: Window starts of a segment at most, as its answer is a mask of 32 bits.
@@ -188,7 +188,6 @@ class Chunk:
         self.docs, self.size = docs.combine_chunks(), size
         self.text = pa.concat_arrays(self.docs.column("text").chunks or [pa.array([], pa.string())])
         self.data, self.offsets = arrow.utf8(self.text)
-        self.kind = info.column("kind").to_numpy()
         copies = set(zip(info.column("id").to_pylist(), info.column("row_id").to_pylist(), strict=True)) if len(info) else set()
         keys = list(zip(self.docs.column("doc_id").to_pylist(), self.docs.column("row_id").to_pylist(), strict=True))
         self.copy = np.array([k in copies for k in keys], bool)
