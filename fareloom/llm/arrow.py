@@ -4,11 +4,21 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once in a Python worker; a longer single text is worked on alone.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
+
+#: Rows of whole texts in an Arrow batch; Spark's 10,000 are tens of MB for each of several copies in an executor.
+BATCH_ROWS = 1000
 
 _ODD = 0x9E3779B97F4A7C15
 
 
+def small_batches(spark) -> None:
+    """Lower (never raise) the session's rows of an Arrow batch: rows are whole texts here."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES):
     """Slices of a batch whose texts have at most ``limit`` bytes together (one text at least)."""
     offsets = utf8(batch.column(column))[1]

@@ -119,13 +119,14 @@ def unsettled(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def explode(batches):
         for batch in batches:
-            lists = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("shingles")]
-            at = pa.array(np.repeat(np.arange(len(lists)), [len(x) for x in lists]))
-            n = pa.array([len(x) for x in lists], pa.int64()).take(at)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(at), batch.column("component").take(at), n, pa.array(np.concatenate([np.empty(0, np.int64), *lists]))],
-                names=["doc_id", "component", "n", "h"],
-            )
+            for part in arrow.chunks(batch, "shingles"):
+                values, offsets = arrow.utf8(part.column("shingles"))
+                sizes = np.diff(offsets) // 8
+                at = pa.array(np.repeat(np.arange(part.num_rows), sizes))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").take(at), part.column("component").take(at), pa.array(np.repeat(sizes, sizes)), pa.array(values.view(np.int64))],
+                    names=["doc_id", "component", "n", "h"],
+                )
 
     held = sets.join(rest, "doc_id").select("doc_id", "component", "shingles")
     held = materialize(held.mapInArrow(explode, "doc_id bigint, component bigint, n bigint, h bigint"), "set-rows")
@@ -160,6 +161,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 85, bands: in
     several texts: a link of any of them counts for all. A row without a doc_id can be named by nothing: its
     component_id is null and it is kept. Extra columns are ignored.
     """
+    arrow.small_batches(docs.sparkSession)
     sig = materialize(signatures(docs, size, bands, rows), "signatures")
     named = sig.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = named.groupBy("set_id").agg(F.min("doc_id").alias("rep"))

@@ -227,6 +227,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     lengths come from the counts of all ids. A block is a row: it can be read without any other, and from any
     checkpoint. Encoded ids are kept once in the shared folder between counting and coding.
     """
+    arrow.small_batches(docs.sparkSession)
     keep = list(dict.fromkeys([*order, "doc_id", "text"]))
     ordered = docs.select(*keep).repartitionByRange(*order).sortWithinPartitions(*keep).select("doc_id", "text")
     blocks = materialize(_blocks(ordered, tokenizer, end_id), "ids")
