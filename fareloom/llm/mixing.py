@@ -1,18 +1,89 @@
 """Mixing sources to target weights: blocks with release times and deadlines, earliest deadline first."""
 
 import heapq
+from bisect import bisect_left
+from itertools import groupby, islice
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.llm.ranks import ranked, stratum, unit
+from fareloom.session import materialize
 
-#: Slots of a frame, to which target weights are rounded, and documents of a block.
+#: Slots of a frame of ``schedule``, and documents of a block.
 FRAME, BLOCK = 512, 32
-#: Sources with a weight of their own. The plan of the mixture has at most 2 * MAX_SOURCES frames of FRAME slots.
+#: Rows of the plan that are handed to Spark at once.
+PLAN_ROWS = 1 << 16
+#: Sources with a weight of their own.
 MAX_SOURCES = 256
 
 
+def by_deadline(blocks: list[int], weights: list[float]):
+    """(source, block, release, deadline) for each slot from 0, by earliest deadline first with exact weights.
+
+    Were blocks divisible, each source in use would get its part of every slot, in proportion to the weights, and one that is
+    used up would leave its part to the others. A block may start in the slot in which its share begins to be
+    served and must be done with the slot in which it is served whole. Some order meets all these deadlines, so earliest
+    deadline first does: at no time is a source a whole block ahead of or behind its share. Sources without a
+    positive weight follow when all others are used up, in proportion to their blocks.
+    """
+    sources, at = range(len(blocks)), 0
+    first, rest = [s for s in sources if weights[s] > 0], [s for s in sources if not weights[s] > 0]
+    for group, weight in ((first, weights), (rest, blocks)):
+        n = [blocks[s] for s in group]
+        for i, block, release, deadline in _served(n, [weight[s] for s in group]):
+            yield group[i], block, at + release, at + deadline
+        at += sum(n)
+
+
+def _served(n: list[int], weights: list[float]):
+    """``by_deadline`` for positive weights. A source's block i is served whole when (i + 1) / weight is passed by a clock
+    that runs at one over the weights in use; floats are fractions over a power of two, so sums are those of integers."""
+    if not n:
+        return
+    parts = [float(w).as_integer_ratio() for w in weights]
+    scale = max(d for _, d in parts)
+    w = [x * (scale // d) for x, d in parts]
+    ends, served, active = [], [0], [sum(w)]
+    for end, i in sorted((n[i] / w[i], i) for i in range(len(n))):
+        if not ends or end > ends[-1]:
+            ends.append(end)
+            served.append(served[-1])
+            active.append(active[-1])
+        served[-1] += n[i]
+        active[-1] -= w[i]
+
+    def slots(i, k):
+        """The slots before and after which k blocks of a source are served."""
+        j = bisect_left(ends, k / w[i])
+        x = k * active[j]
+        return served[j] + x // w[i], served[j] - (-x // w[i])
+
+    block, release, begun = [0] * len(n), [0] * len(n), [0] * len(n)
+    ready, later = [], []
+    for i in range(len(n)):
+        begun[i], deadline = slots(i, 1)
+        ready.append((deadline, i))
+    heapq.heapify(ready)
+    for t in range(sum(n)):
+        while later and later[0][0] <= t:
+            _, deadline, i = heapq.heappop(later)
+            heapq.heappush(ready, (deadline, i))
+        deadline, i = heapq.heappop(ready)
+        if t >= deadline:
+            raise AssertionError("a deadline was missed")
+        yield i, block[i], release[i], deadline
+        block[i] += 1
+        if block[i] < n[i]:
+            release[i] = begun[i]
+            begun[i], deadline = slots(i, block[i] + 1)
+            if release[i] <= t + 1:
+                heapq.heappush(ready, (deadline, i))
+            else:
+                heapq.heappush(later, (release[i], deadline, i))
+
+
 def shares(weights: dict[str, float], frame: int) -> dict[str, int]:
     """Slots of a frame for each source: its weight's part, one at least, largest remainders first."""
     whole = sum(weights.values())
@@ -71,16 +142,63 @@ def schedule(blocks: dict[str, int], weights: dict[str, float], frame: int = FRA
     return out
 
 
-def mixed(docs: DataFrame, weights: dict | None = None, power: float = 0.5, by: str = "source", seed: int = 29, frame: int = FRAME, block: int = BLOCK) -> DataFrame:
+def by_frames(blocks: list[int], weights: list[float], frame: int):
+    """As ``by_deadline``, but in the frames of ``schedule``, whose releases and deadlines are those of rounded weights."""
+    plan = schedule(dict(enumerate(blocks)), dict(enumerate(weights)), frame)
+    for base, phase in groupby(plan, lambda p: p["first_slot"]):
+        phase = list(phase)
+        order = [(p, k) for _, k, p in sorted(((t, k, p) for p in phase for k, t in enumerate(p["slots"])), key=lambda x: x[0])]
+        for f in range(phase[0]["blocks"] // phase[0]["q"]):
+            for p, k in order:
+                n, q = p["frame"], p["q"]
+                yield p["stratum"], p["first_block"] + f * q + k, base + k * n // q, base - (-(k + 1) * n // q)
+            base += len(order)
+
+
+def block_plan(counts: DataFrame, weights: dict | None, power: float, frame: int | None, block: int) -> DataFrame:
+    """One row per block, from (stratum, n): stratum, block, release, deadline, slot, and start, the documents before it.
+
+    Each slot depends on the one before it, so one task goes through them, a step per block; it holds a few numbers a
+    source, and hands over the blocks as it goes."""
+    target = None if weights is None else {"" if s is None else f"={s}": float(w) for s, w in weights.items()}
+
+    def run(batches):
+        found = sorted(row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+        names, n = pa.array([s for s, _ in found], pa.string()), [k for _, k in found]
+        w = [k**power if target is None else target.get(s, 0.0) for s, k in found]
+        del found
+        blocks = [-(-k // block) for k in n]
+        order = by_deadline(blocks, w) if frame is None else by_frames(blocks, w, frame)
+        slot = start = 0
+        while rows := list(islice(order, PLAN_ROWS)):
+            sizes = [min(block, n[s] - b * block) for s, b, _, _ in rows]
+            starts = [start]
+            for size in sizes:
+                starts.append(starts[-1] + size)
+            start = starts.pop()
+            source, *numbers = zip(*rows, strict=True)
+            numbers += [range(slot, slot + len(rows)), starts]
+            slot += len(rows)
+            yield pa.RecordBatch.from_arrays(
+                [names.take(pa.array(source, pa.int64())), *[pa.array(x, pa.int64()) for x in numbers]],
+                names=["stratum", "block", "release", "deadline", "slot", "start"],
+            )
+
+    kind = "stratum string, block bigint, release bigint, deadline bigint, slot bigint, start bigint"
+    return counts.select("stratum", "n").repartition(1).mapInArrow(run, kind)
+
+
+def mixed(docs: DataFrame, weights: dict | None = None, power: float = 0.5, by: str = "source", seed: int = 29, frame: int | None = None, block: int = BLOCK) -> DataFrame:
     """``docs`` in one struct column ``row``, with stratum, block, release, deadline, slot and position in the mixture.
 
     Each source is shuffled by a seeded hash of doc_id and cut into blocks of ``block`` documents, which take the
-    slots of ``schedule``; position counts documents from 0. ``weights`` maps sources (None: the null source) to
+    slots of ``by_deadline``; position counts documents from 0. ``weights`` maps sources (None: the null source) to
     weights; without it a source of n documents gets n ** ``power``. No document is dropped or repeated: when a
-    source is used up, the others go on in their proportions. The last block of a source may be short.
+    source is used up, the others go on in their proportions. The last block of a source may be short. With
+    ``frame``, weights are rounded to that many slots, and the frames of ``schedule`` repeat (``by_frames``).
 
-    Places follow from the rank within the source and a table of at most 2 * MAX_SOURCES frames, which is why
-    that many rows, and one count a source, may be broadcast and collected; more sources raise an error.
+    Places follow from the rank within the source and a written plan of one row a block; more than MAX_SOURCES
+    sources raise an error.
     Null sources are a source; a null doc_id is a value like others; repeated rows get places of their own; no
     column name can clash, as rows travel as one struct.
     """
@@ -88,42 +206,16 @@ def mixed(docs: DataFrame, weights: dict | None = None, power: float = 0.5, by:
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), stratum(by).alias("stratum"),
         unit(F.lit(str(seed)), "doc_id").alias("unit"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("tie"),
     )
-    counts = {r["stratum"]: r["n"] for r in docs.select(stratum(by).alias("stratum")).groupBy("stratum").agg(F.count(F.lit(1)).alias("n")).limit(MAX_SOURCES + 1).collect()}
-    if len(counts) > MAX_SOURCES:
+    counts = docs.select(stratum(by).alias("stratum")).groupBy("stratum").agg(F.count(F.lit(1)).alias("n"))
+    if counts.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources; map small ones to one name first")
-    if weights is None:
-        target = {s: n**power for s, n in counts.items()}
-    else:
-        target = {"" if s is None else f"={s}": float(w) for s, w in weights.items()}
-    plan = schedule({s: -(-n // block) for s, n in counts.items()}, target, frame)
-    spark = docs.sparkSession
-    kind = "stratum string, first_block bigint, blocks bigint, first_slot bigint, q bigint, frame bigint, slots array<int>"
-    phases = spark.createDataFrame([tuple(p.values()) for p in plan], kind)
+    plan = materialize(block_plan(counts, weights, power, frame, block), "mixture-plan")
     placed = ranked(held, "stratum", "unit", ["tie"]).withColumn("block", F.expr(f"group_rank div {block}"))
-    placed = placed.join(F.broadcast(phases), "stratum").where("block >= first_block AND block < first_block + blocks")
-    placed = placed.withColumn("k", F.expr("(block - first_block) % q")).withColumn(
-        "base", F.expr("first_slot + (block - first_block) div q * frame")
-    ).withColumn("slot", F.expr("base + slots[int(k)]"))
-    return placed.select(
-        "row", "stratum", "block", F.expr("base + k * frame div q").alias("release"),
-        F.expr("base + ((k + 1) * frame + q - 1) div q").alias("deadline"), "slot",
-        (F.col("slot") * block + F.col("group_rank") % block - _missing(plan, counts, block)).alias("position"),
+    return placed.join(plan, ["stratum", "block"]).select(
+        "row", "stratum", "block", "release", "deadline", "slot", (F.col("start") + F.col("group_rank") % block).alias("position")
     )
 
 
-def _missing(plan: list[dict], counts: dict[str, int], block: int) -> Column:
-    """Documents that short last blocks lack before a slot: one term a source."""
-    ends = {}
-    for p in plan:
-        frames = p["blocks"] // p["q"]
-        ends[p["stratum"]] = p["first_slot"] + (frames - 1) * p["frame"] + p["slots"][-1]
-    out = F.lit(0)
-    for s, at in sorted(ends.items()):
-        if lack := -counts[s] % block:
-            out = out + F.when(F.col("slot") > at, lack).otherwise(0)
-    return out.cast("bigint")
-
-
 def mixing_table(docs: DataFrame, **options) -> DataFrame:
     """doc_id, source and the places of ``mixed``."""
     return mixed(docs.select("doc_id", "source"), **options).select(

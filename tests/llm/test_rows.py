@@ -4,6 +4,7 @@ import hashlib
 import struct
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import public_tokenizers
 import pytest
@@ -12,7 +13,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry
 from fareloom.llm import huffman
 from fareloom.llm.lines import dedup_lines
-from fareloom.llm.mixing import frame_slots, in_mixed_order, mixing_table, schedule, shares
+from fareloom.llm.mixing import by_deadline, frame_slots, in_mixed_order, mixing_table, schedule, shares
 from fareloom.llm.shards import assign_shards
 from fareloom.llm.token_files import read_token_files, token_table, write_token_files
 from fareloom.session import new_path
@@ -122,6 +123,36 @@ def test_mixture_equals_a_slot_by_slot_simulation(spark, docs):
     assert sorted((r.slot, r.position) for r in got) == sorted((r.slot, r.position) for r in sorted(got, key=lambda r: r.position))
 
 
+def test_the_share_stays_within_a_block_of_the_exact_weight(spark):
+    weights = {"a": 0.751, "b": 0.2485, "c": 0.0005}  # 384.5, 127.2 and 0.3 of 512 slots
+    df = spark.range(21_010).selectExpr("id AS doc_id", "if(id < 16000, 'a', if(id < 21000, 'b', 'c')) AS source")
+    got = sorted(mixing_table(df, weights=weights, block=1).collect(), key=lambda r: r.slot)
+    assert [r.slot for r in got] == [r.position for r in got] == list(range(21_010))
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    done, whole = Counter(), sum(exact.values())
+    for r in got[:20_000]:  # about 40 frames, in which no source is used up
+        done[r.source] += 1
+        assert all(abs(done[s] - (r.slot + 1) * w / whole) < 1 for s, w in exact.items())
+    assert all(r.release <= r.slot < r.deadline for r in got)
+
+
+def test_shares_follow_the_weights_when_sources_are_used_up():
+    blocks, weights = [3000, 500, 40, 7, 9], [2.0, 3.0**0.5, 1.0, 0.0, 0.0]
+    order = list(by_deadline(blocks, weights))
+    assert Counter((s, b) for s, b, _, _ in order) == Counter((s, b) for s, n in enumerate(blocks) for b in range(n))
+    assert {s for s, *_ in order[:3540]} == {0, 1, 2} and all(r <= t < d for t, (_, _, r, d) in enumerate(order))
+    done, share, left = Counter(), [0.0] * 5, {0, 1, 2}
+    for s, *_ in order[:3540]:
+        done[s] += 1
+        time = 1.0  # of a slot, served to the sources in use in proportion to their weights
+        while time > 1e-9 and left:
+            whole = sum(weights[x] for x in left)
+            step = min(time, *[(blocks[x] - share[x]) * whole / weights[x] for x in left])
+            share = [share[x] + step * weights[x] / whole if x in left else share[x] for x in range(5)]
+            left, time = {x for x in left if blocks[x] - share[x] > 1e-9}, time - step
+        assert all(abs(done[x] - share[x]) < 1 + 1e-6 for x in range(3))
+
+
 def test_uneven_weights_lose_nothing(spark, odd):
     got = in_mixed_order(odd, weights={"a": 5, "b": 0, None: 1}, frame=8, block=3)
     assert got.columns == odd.columns
