@@ -15,8 +15,6 @@ from fareloom.session import materialize
 FRAME, BLOCK = 512, 32
 #: Rows of the plan that are handed to Spark at once.
 PLAN_ROWS = 1 << 16
-#: Sources with a weight of their own.
-MAX_SOURCES = 256
 
 
 def by_deadline(blocks: list[int], weights: list[float]):
@@ -197,8 +195,7 @@ def mixed(docs: DataFrame, weights: dict | None = None, power: float = 0.5, by:
     source is used up, the others go on in their proportions. The last block of a source may be short. With
     ``frame``, weights are rounded to that many slots, and the frames of ``schedule`` repeat (``by_frames``).
 
-    Places follow from the rank within the source and a written plan of one row a block; more than MAX_SOURCES
-    sources raise an error.
+    Places follow from the rank within the source and a written plan of one row a block, for any number of sources.
     Null sources are a source; a null doc_id is a value like others; repeated rows get places of their own; no
     column name can clash, as rows travel as one struct.
     """
@@ -207,8 +204,6 @@ def mixed(docs: DataFrame, weights: dict | None = None, power: float = 0.5, by:
         unit(F.lit(str(seed)), "doc_id").alias("unit"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("tie"),
     )
     counts = docs.select(stratum(by).alias("stratum")).groupBy("stratum").agg(F.count(F.lit(1)).alias("n"))
-    if counts.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources; map small ones to one name first")
     plan = materialize(block_plan(counts, weights, power, frame, block), "mixture-plan")
     placed = ranked(held, "stratum", "unit", ["tie"]).withColumn("block", F.expr(f"group_rank div {block}"))
     return placed.join(plan, ["stratum", "block"]).select(

@@ -153,6 +153,17 @@ def test_shares_follow_the_weights_when_sources_are_used_up():
         assert all(abs(done[x] - share[x]) < 1 + 1e-6 for x in range(3))
 
 
+def test_a_thousand_sources_are_mixed(spark):
+    df = spark.range(6000).selectExpr("id AS doc_id", "if(id % 2 = 0, 'hot', concat('web', id % 1999)) AS source")
+    n = Counter(r.source for r in df.collect())
+    got = sorted(mixing_table(df, power=0.5, block=2).collect(), key=lambda r: r.position)
+    assert len(n) > 1000 and Counter(r.source for r in got) == n and [r.position for r in got] == list(range(6000))
+    names = sorted(n)
+    want = list(by_deadline([-(-n[s] // 2) for s in names], [n[s] ** 0.5 for s in names]))
+    assert {(r.slot, r.source, r.block) for r in got} == {(t, names[s], b) for t, (s, b, _, _) in enumerate(want)}
+    assert all(r.release <= r.slot < r.deadline for r in got)
+
+
 def test_uneven_weights_lose_nothing(spark, odd):
     got = in_mixed_order(odd, weights={"a": 5, "b": 0, None: 1}, frame=8, block=3)
     assert got.columns == odd.columns
