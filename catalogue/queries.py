@@ -971,11 +971,6 @@ def _model(spark, sf_dir, name, **params):
     return _memo(spark, sf_dir, name, fit)
 
 
-# The forest and the boosting of the queries are smaller than the library's defaults (200 trees), for run time only.
-FOREST = dict(trees=10, depth=8)
-BOOSTED = dict(trees=10)
-
-
 def _importance(spark, sf_dir):
     """Importances of the full forest, fitted on first use."""
     def fit():
@@ -1086,13 +1081,13 @@ def train_tree(spark, sf_dir):
 @query("train_rf")
 def train_rf(spark, sf_dir):
     data, _ = _data(spark, sf_dir)
-    return models.evaluate("random_forest", _model(spark, sf_dir, "random_forest", **FOREST), data)
+    return models.evaluate("random_forest", _model(spark, sf_dir, "random_forest"), data)
 
 
 @query("train_gbt")
 def train_gbt(spark, sf_dir):
     data, _ = _data(spark, sf_dir)
-    return models.evaluate("gradient_boosting", _model(spark, sf_dir, "gradient_boosting", **BOOSTED), data)
+    return models.evaluate("gradient_boosting", _model(spark, sf_dir, "gradient_boosting"), data)
 
 
 @query("grid_search")
@@ -1147,8 +1142,8 @@ def _leaderboard(spark, sf_dir):
             "linear_regression": _model(spark, sf_dir, "linear_regression"),
             "ridge": _model(spark, sf_dir, "ridge"),
             "lasso": _model(spark, sf_dir, "lasso"),
-            "random_forest": _model(spark, sf_dir, "random_forest", **FOREST),
-            "gradient_boosting": _model(spark, sf_dir, "gradient_boosting", **BOOSTED),
+            "random_forest": _model(spark, sf_dir, "random_forest"),
+            "gradient_boosting": _model(spark, sf_dir, "gradient_boosting"),
         }
         board, _ = models.train_all(_data(spark, sf_dir)[0], fitted=fitted)
         return materialize(board, "leaderboard")

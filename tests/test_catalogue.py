@@ -5,6 +5,8 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from catalogue import queries
+from fareloom.operators import models
 from tools.check_oracles import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -29,3 +31,22 @@ def test_scan_is_pruned_and_filtered(spark):
     plan = entry.queries()["scan_table"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(total_fare_bdt,100000.0)" in plan
     assert "ReadSchema: struct<id:string,airline:string,route:string,total_fare_bdt:double>" in plan
+
+
+def test_the_queries_fit_the_full_forest_and_boosting(spark, monkeypatch):
+    fitted = {}
+
+    def fit(name, train, **params):
+        fitted[name] = models.MODELS[name](train, **params)
+        return fitted[name]
+
+    monkeypatch.setattr(queries, "_fitted", {})
+    monkeypatch.setattr(queries, "_data", lambda spark, sf_dir: (spark.sql("SELECT 1D AS label, false AS is_test"), ["a"]))
+    monkeypatch.setattr(queries, "materialize", lambda df, name: df)
+    monkeypatch.setattr(models, "fit", fit)
+    monkeypatch.setattr(models, "evaluate", lambda name, model, data: model)
+    monkeypatch.setattr(models, "train_all", lambda data, fitted: (fitted, None))
+    forest, boosted = (entry.queries()[name](spark, SF) for name in ("train_rf", "train_gbt"))
+    assert (forest.getNumTrees(), forest.getMaxDepth(), boosted.getMaxIter(), boosted.getMaxDepth()) == (200, 15, 200, 5)
+    board = queries._leaderboard(spark, SF)
+    assert board["random_forest"] is forest and board["gradient_boosting"] is boosted
