@@ -23,19 +23,19 @@ CUTOFFS = (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1, 0.05,
 def features(docs: DataFrame, by: str = "lang") -> DataFrame:
     """One row per row of ``docs``: doc_id, stratum and the counts that the rules use.
 
-    Repeated three-word windows are found by sorting, per text, numbers that hold a hash of the window above its
-    place: equal windows become neighbours, in n log n steps for texts of any length.
+    Repeated three-word windows are found by sorting, per text, the windows by hash, then words, then place: equal
+    ones become neighbours, in n log n steps for texts of any length, and unlike ones of one hash stay apart.
     """
     text = docs.select(
         "doc_id", F.coalesce(F.concat(F.lit("="), F.col(by).cast("string")), F.lit("")).alias("stratum"),
         F.coalesce("text", F.lit("")).alias("t"),
     )
-    hashes = "if(size(w) < 3, cast(array() AS array<bigint>), transform(sequence(0, size(w) - 3), i -> xxhash64(w[i], w[i + 1], w[i + 2])))"
-    packed = "sort_array(transform(h, (x, i) -> shiftleft(x, b) | i))"
-    equal = _neighbours("s", "if(shiftright(x, b) = shiftright(y, b), array(x & mask, y & mask), null)")
+    window = "struct(xxhash64(w[i], w[i + 1], w[i + 2]) AS h, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c, i AS place)"
+    windows = f"sort_array(if(size(w) < 3, array(), transform(sequence(0, size(w) - 3), i -> {window})))"
+    equal = _neighbours("s", "if(x.h = y.h AND x.a = y.a AND x.b = y.b AND x.c = y.c, array(bigint(x.place), bigint(y.place)), null)")
     places = f"sort_array(array_distinct(flatten(filter({equal}, p -> p IS NOT NULL))))"
     covered = f"if(size(q) = 0, 0L, aggregate({_neighbours('q', 'least(3L, y - x)')}, 3L, (a, v) -> a + v))"
-    repeated = let("h", hashes, let("b", "int(ceil(log2(size(h) + 1)))", let("mask", "shiftleft(1L, b) - 1", let("s", packed, let("q", places, covered)))))
+    repeated = let("s", windows, let("q", places, covered))
     lines = let("l", f"filter(split(t, '\\n'), l -> btrim(l, {TRIM}) <> '')", "named_struct('full', size(l), 'dup', size(l) - size(array_distinct(l)))")
     return text.select(
         "doc_id", "stratum",

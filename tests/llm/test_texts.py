@@ -155,6 +155,15 @@ def test_blocks_sort_like_suffixes():
         assert sorted(got) == sorted(starts) and [key(p) for p in got] == sorted(key(p) for p in starts)
 
 
+def test_unlike_windows_with_nearly_one_hash_are_no_repeats(spark):
+    # the last 45 bits of their hashes are equal, which is all that was kept beside a place among 2 ** 18 windows or more
+    odd = [w for k in (29289, 6203776, 1454181, 13372586) for w in (f"a{k}", "b", "c", f"z{k}")]
+    text = " ".join([*odd, *[f"w{i}" for i in range(270_000)]])
+    df = spark.createDataFrame([(1, text, "en"), (2, text + " a1 b c w1 w2 w3 a1 b c", "en")], "doc_id bigint, text string, lang string")
+    got = {r.doc_id: (r.n_words, r.n_repeat_words) for r in rules.features(df).collect()}
+    assert got == {1: (270_016, 0), 2: (270_025, 12)}  # "a1 b c" and "w1 w2 w3", twice each
+
+
 def test_counts_of_the_rules(both):
     df, rows = both
     got = Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in rules.features(df).collect())
