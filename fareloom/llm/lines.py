@@ -33,7 +33,8 @@ def _keys(text: bytes, min_chars: int) -> set[bytes]:
 
 def common_lines(docs: DataFrame, min_chars: int = 1, min_docs: int = 10) -> DataFrame:
     """(h1, h2): 128-bit hashes of the keys found in at least ``min_docs`` documents. Counts are added up within
-    a batch before they are shuffled, so a line of a third of all documents is one row a batch."""
+    a batch before they are shuffled, so a line of a third of all documents is one row a batch. Rows of a doc_id that
+    has several count once for each hash; rows without a doc_id are documents of their own."""
 
     def run(batches):
         for batch in batches:
@@ -45,7 +46,23 @@ def common_lines(docs: DataFrame, min_chars: int = 1, min_docs: int = 10) -> Dat
                 [pa.array(hashes[:, 0]), pa.array(hashes[:, 1]), pa.array(list(found.values()), pa.int64())], names=["h1", "h2", "n"]
             )
 
-    counted = docs.select("text").mapInArrow(run, "h1 bigint, h2 bigint, n bigint")
+    def each(batches):
+        for batch in batches:
+            keys = [_keys(text, min_chars) for text in _texts(batch.column("text"))]
+            hashes = np.frombuffer(b"".join(_digest(k) for ks in keys for k in ks), "<i8").reshape(-1, 2)
+            at = pa.array(np.repeat(np.arange(len(keys)), [len(ks) for ks in keys]))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), pa.array(hashes[:, 0]), pa.array(hashes[:, 1])], names=["doc_id", "h1", "h2"])
+
+    several = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    several = materialize(several, "several")
+    texts = docs.select("doc_id", "text")
+    kind = "h1 bigint, h2 bigint, n bigint"
+    if several.isEmpty():
+        counted = texts.select("text").mapInArrow(run, kind)
+    else:
+        counted = texts.join(several, "doc_id", "left_anti").select("text").mapInArrow(run, kind)
+        again = texts.join(several, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(each, "doc_id bigint, h1 bigint, h2 bigint")
+        counted = counted.unionByName(again.distinct().select("h1", "h2", F.lit(1).cast("bigint").alias("n")))
     return counted.groupBy("h1", "h2").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs).select("h1", "h2")
 
 
@@ -54,8 +71,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 1, min_docs: int = 10) -> Data
 
     A text is split at \\n; keys of at least ``min_chars`` code points that occur in ``min_docs`` documents or more
     lose all their lines everywhere. A null or empty text is one empty line, whose key is too short to count, so
-    it stays. Every row counts as a document, a repeated one too; a null doc_id is a value like others. Only doc_id
-    and text are read.
+    it stays. Rows of one doc_id count as one document, those without a doc_id as one each. Only doc_id and text
+    are read.
 
     The common hashes are written first, so that Catalyst knows their size and broadcasts them only if it is small.
     """

@@ -53,6 +53,14 @@ def test_lines(which, request):
     assert got == Counter(plain_lines([(r.doc_id, r.text) for r in df.collect()]))
 
 
+def test_rows_of_one_doc_id_count_as_one_document(spark):
+    rows = [(1, f"mine\nshared\nrow {i}") for i in range(10)] + [(i, "shared\nalone") for i in range(2, 10)] + [(None, "nobody")] * 10
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.kept_text for r in dedup_lines(df).collect()} == {*(t for _, t in rows[:18]), ""}  # 9 documents share a line
+    got = {r.kept_text for r in dedup_lines(df.unionByName(spark.createDataFrame([(10, "shared\n")], df.schema))).collect()}
+    assert got == {*(f"mine\nrow {i}" for i in range(10)), "alone", ""}
+
+
 def test_line_query_digests_the_kept_text(spark, docs):
     got = {r.doc_id: r.kept_sha256 for r in entry.queries()["op6_line_dedup"](spark, SF).collect()}
     rows = plain_lines([(r.doc_id, r.text) for r in docs.collect()])
