@@ -6,17 +6,19 @@ import pyarrow as pa
 #: Bytes of text that are worked on at once in a Python worker; a longer single text is worked on alone.
 CHUNK_BYTES = 1 << 18
 
-#: Rows of whole texts in an Arrow batch; Spark's 10,000 are tens of MB for each of several copies in an executor.
-BATCH_ROWS = 1000
+#: Rows of whole texts in an Arrow batch, and about how many bytes; Spark's 10,000 are tens of MB for each of several copies in an executor.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 _ODD = 0x9E3779B97F4A7C15
 
 
 def small_batches(spark) -> None:
-    """Lower (never raise) the session's rows of an Arrow batch: rows are whole texts here."""
+    """Lower (never raise) the session's rows and bytes of an Arrow batch: rows are whole texts here."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(key, f"{BATCH_BYTES}b")
 
 
 def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES):

@@ -1,9 +1,11 @@
 """One registered query for each operator of this subpackage: production parameters, whole tables."""
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fareloom.llm.align import link_counts
 from fareloom.llm.decontaminate import contaminated
 from fareloom.llm.language import identify
 from fareloom.llm.lines import dedup_lines
@@ -18,6 +20,7 @@ from fareloom.llm.toxicity import toxicity
 QUERIES: dict = {}
 
 TOKENIZER = corpus_pipeline.TOKENIZER
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(fn):
@@ -84,6 +87,11 @@ def op10_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), size=5, percent=85)
 
 
+@query
+def op11_dictionary_alignment(spark, sf_dir):
+    return link_counts(table(spark, sf_dir, "documents"), TOKENIZER, PIECES)
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)

@@ -31,14 +31,15 @@ class Encoder:
 
     A text is cut before each space or line break that has no white space beside it, where its pieces part anyway.
     Segments are found, hashed and looked up as arrays; each distinct one is encoded once as long as it is kept.
+    Strings of special tokens in a text become their ids, as in the library, or with ``plain`` ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = plain
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.space = np.zeros(256, bool)
@@ -115,6 +116,10 @@ class Encoder:
                 order.append(part)
                 flat.append(ids)
                 sizes.append(n)
+        self.keep(hashes, order, flat, sizes)
+
+    def keep(self, hashes, order, flat, sizes):
+        """Add segments to the pool: which ones, their ids after those of the pool, and how many each has."""
         place = np.empty(len(hashes), np.int64)
         place[np.concatenate(order)] = np.arange(len(hashes)) + len(self.starts) - 1
         self.pool = np.concatenate(flat)

@@ -83,3 +83,40 @@ def counts(text):
     seen = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
     repeated = {i + k for i in range(len(w) - 2) if seen[tuple(w[i : i + 3])] > 1 for k in range(3)}
     return len(w), sum(map(len, w)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(repeated)
+
+
+def spans(tokens):
+    """(start, end) of each of some byte strings in a row."""
+    out, at = [], 0
+    for t in tokens:
+        out.append((at, at + len(t)))
+        at += len(t)
+    return out
+
+
+def alignment(text, a, b):
+    """(a ids, b ids, groups as text, links) of one text; ``a`` and ``b`` give (id, bytes) of its tokens."""
+    want = b" " + (text or "").encode()
+    a, b = (a(text), b(text)) if text else ([], [])
+    if not text or any(b"".join(t for _, t in side) != want for side in (a, b)):
+        return [], [], "", []
+    at_a, at_b = spans(t for _, t in a), spans(t for _, t in b)
+    common = {e for _, e in at_a} & {e for _, e in at_b}
+    texts, links = [], []
+    for side, at in ((a, at_a), (b, at_b)):
+        cut, group = [], []
+        for (i, _), (_, end) in zip(side, at, strict=True):
+            group.append(str(i))
+            if end in common:
+                cut.append(",".join(group))
+                group = []
+        texts.append(cut)
+    first = 0
+    for (i, _), (start, end) in zip(a, at_a, strict=True):
+        while at_b[first][1] <= start:
+            first += 1
+        k = first
+        while k < len(b) and at_b[k][0] < end:
+            links.append((i, b[k][0]))
+            k += 1
+    return [i for i, _ in a], [i for i, _ in b], ";".join(map("|".join, zip(*texts, strict=True))), links

@@ -61,7 +61,6 @@ def test_the_mixture_has_all_rows_in_its_order(steps):
 def test_token_files_hold_the_texts(steps):
     text = dict(rows(steps[4]))
     tokenizer, start = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), 0
-    tokenizer.encode_special_tokens = True
     for r in steps[5].orderBy("start").collect():
         ids = [*tokenizer.encode(text.pop(r.doc_id), add_special_tokens=False).ids, 0]
         assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))

@@ -184,7 +184,6 @@ def test_uneven_weights_lose_nothing(spark, odd):
 
 def plain_tokens(rows, order):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     start = 0
     for i, text in sorted(rows, key=order):
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
@@ -202,7 +201,7 @@ def test_token_files(which, request):
 
 
 def test_odd_white_space_and_special_strings(spark):
-    texts = ["a  b\n\n c 's", " x", "x ", "\n\ny", "café  z", "\tq w\t", "<|endoftext|> it's 12 a1 !? ,.", "　x  y", "\0 \x1c \x85 a"]
+    texts = ["a  b\n\n c 's", " x", "x ", "\n\ny", "café  z", "\tq w\t", "<|endoftext|> it's 12 a1 !? ,.", "a <|endoftext|> b", "x<|endoftext|>\ny <|endoftext|><|endoftext|>  z<|endoftext|>", "　x  y", "\0 \x1c \x85 a"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     got = token_table(df, public_tokenizers.path("byte_bpe_50k.json")).collect()
     assert Counter(map(tuple, got)) == Counter(plain_tokens(list(enumerate(texts)), lambda r: r[0]))
