@@ -12,6 +12,7 @@ from fareloom.llm.lines import dedup_lines
 from fareloom.llm.mixing import mixing_table
 from fareloom.llm.near_dup import near_duplicates
 from fareloom.llm.rules import CUTOFFS, RULES, quality
+from fareloom.llm.search import ranked_search
 from fareloom.llm.shards import assign_shards
 from fareloom.llm.suffixes import repeated_passages
 from fareloom.llm.token_files import token_table
@@ -92,6 +93,11 @@ def op11_dictionary_alignment(spark, sf_dir):
     return link_counts(table(spark, sf_dir, "documents"), TOKENIZER, PIECES)
 
 
+@query
+def op12_document_tree_search(spark, sf_dir):
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
@@ -249,3 +255,24 @@ SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law, CA
   position - ((8 * (position + 1) - 1) // n) * n // 8 AS slot, CAST(NULL AS INTEGER) AS grown_shard, position, fraction
 FROM placed
 """
+
+ORACLES["op12_document_tree_search"] = r"""
+WITH dt AS (
+  SELECT row, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT row_number() OVER () AS row, * FROM documents)
+), tf AS MATERIALIZED (SELECT row, doc_id, term, count(*) AS tf FROM dt GROUP BY ALL),
+sizes AS (SELECT row, sum(tf)::BIGINT AS n FROM tf GROUP BY row),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM sizes),
+ms AS (SELECT row, 100 - 90 + (90 * n * docs) // total AS m FROM sizes, whole),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, whole GROUP BY term, docs
+), scores AS (
+  SELECT item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN ms USING (row) GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
