@@ -13,6 +13,7 @@ from fareloom.llm.mixing import mixing_table
 from fareloom.llm.near_dup import near_duplicates
 from fareloom.llm.rules import CUTOFFS, RULES, quality
 from fareloom.llm.search import ranked_search
+from fareloom.llm.set_join import similar_documents
 from fareloom.llm.shards import assign_shards
 from fareloom.llm.suffixes import repeated_passages
 from fareloom.llm.token_files import token_table
@@ -98,6 +99,11 @@ def op12_document_tree_search(spark, sf_dir):
     return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
 
+@query
+def op13_token_group_join(spark, sf_dir):
+    return similar_documents(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
@@ -141,6 +147,14 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(component_id, doc_
 FROM sets LEFT JOIN components ON id = doc_id
 """
 
+ORACLES["op13_token_group_join"] = (
+    ORACLES["op10_minhash_near_dedup"].replace("len(w) >= 5", "len(w) >= 4").replace("len(w) - 3", "len(w) - 2").replace("i + 4", "i + 3")
+    .replace("""component_id,
+  coalesce(component_id, doc_id) = doc_id AS kept
+""", """component_id
+""")
+)
+
 _WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
 _SHINGLES = """CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))

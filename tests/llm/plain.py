@@ -17,9 +17,9 @@ def shingles(text, size=5):
     return [tuple(w[i : i + size]) for i in range(len(w) - size + 1)]
 
 
-def near_duplicates(rows, percent):
+def near_duplicates(rows, percent, size=5):
     """[(doc_id, n_shingles, component_id, kept)] of [(doc_id, text)], by counting what all pairs share."""
-    sets = [(i, set(shingles(t))) for i, t in rows]
+    sets = [(i, set(shingles(t, size))) for i, t in rows]
     having = defaultdict(list)
     for k, (_, s) in enumerate(sets):
         for x in s:
