@@ -44,6 +44,13 @@ def size_shuffles(spark: SparkSession, *paths: str) -> int:
     return max(wanted, now)
 
 
+def input_size(df: DataFrame) -> int:
+    """Bytes of the files a frame is read from; 0 for what is not read from files."""
+    from fareloom.sources.tables import table_roots
+
+    return sum(path_size(df.sparkSession, root) for root in table_roots(df))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for written intermediate tables: the one the cluster names in spark.checkpoint.dir."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
@@ -66,13 +73,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/fareloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, partition_by=()) -> DataFrame:
-    """Write a table to the shared folder and read it back.
+def materialize(df: DataFrame, name: str, partition_by=(), options=None) -> DataFrame:
+    """Write a table to the shared folder and read it back; ``options`` are the writer's.
 
     Cuts the lineage at something that outlives executors, and gives Catalyst the real size of the
     table, so that it broadcasts only what is below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.options(**options or {}).partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
