@@ -32,6 +32,7 @@ from fareloom.plans import load, training
 from fareloom.session import materialize, new_path
 from fareloom.sources import bookings as src
 from fareloom.sources import files, tables
+from fareloom.sources.ledger import Ledger
 from fareloom.streaming import ingest
 
 TOTAL = "total_fare_bdt"
@@ -620,9 +621,17 @@ def revenue_metrics(spark, sf_dir):
 
 
 def _history(spark, sf_dir, summary, key, checks, hard_deletes):
-    first, second = I.silver_extracts(spark, sf_dir)
-    started = scd.scd2_start(summary(first), key, I.FIRST_LOAD)
-    return scd.scd2_merge(started, summary(second), key, checks, I.SECOND_LOAD, hard_deletes)
+    """The history after two snapshot runs; the first is written on first use."""
+    def first():
+        ledger = Ledger(spark, new_path(spark, "history"))
+        commit = ledger.begin()
+        scd.merge_into(commit, key, summary(I.silver_extracts(spark, sf_dir)[0]), key, checks, I.FIRST_LOAD)
+        commit.finish()
+        return ledger
+
+    commit = _memo(spark, sf_dir, f"history-{key}", first).begin()
+    scd.merge_into(commit, key, summary(I.silver_extracts(spark, sf_dir)[1]), key, checks, I.SECOND_LOAD, hard_deletes)
+    return commit.read(key)
 
 
 def fare_versions(spark, sf_dir):
@@ -697,19 +706,32 @@ def load_mode(spark, sf_dir):
     return out
 
 
+def _first_load(spark, sf_dir):
+    """A ledger whose bronze holds the first extract, written on first use; commits that are not finished leave it so."""
+    def run():
+        ledger = Ledger(spark, new_path(spark, "bronze"))
+        commit = ledger.begin()
+        incremental.load_into(commit, "bronze", incremental.with_hash(I.first_extract(spark, sf_dir)), I.FIRST_LOAD, "FULL")
+        commit.finish()
+        return ledger
+
+    return _memo(spark, sf_dir, "first_load", run)
+
+
+def _second_load(spark, sf_dir, extract, mode):
+    commit = _first_load(spark, sf_dir).begin()
+    incremental.load_into(commit, "bronze", incremental.with_hash(extract(spark, sf_dir)), I.SECOND_LOAD, mode)
+    return commit.read("bronze").select("id", "record_hash", TOTAL, "is_active", "ingestion_timestamp")
+
+
 @query("apply_incremental")
 def apply_incremental(spark, sf_dir):
-    return incremental.apply_incremental(*I.loads(spark, sf_dir), I.SECOND_LOAD).select(
-        "id", "record_hash", TOTAL, "is_active", "ingestion_timestamp"
-    )
+    return _second_load(spark, sf_dir, I.second_extract, "INCREMENTAL")
 
 
 @query("apply_full")
 def apply_full(spark, sf_dir):
-    incoming, _ = I.loads(spark, sf_dir, I.reload_extract)
-    return incremental.apply_full(incoming, I.SECOND_LOAD).select(
-        "id", "record_hash", TOTAL, "is_active", "ingestion_timestamp"
-    )
+    return _second_load(spark, sf_dir, I.reload_extract, "FULL")
 
 
 @query("load_log")
@@ -1232,11 +1254,11 @@ def stream_ingest(spark, sf_dir):
             ignoreTrailingWhiteSpace=False,
         ).csv(f"{drop}/{extract.__name__}")
         ingest.announce(spark, drop, extract.__name__)
-    store = tables.Store(spark, new_path(spark, "stream_store"))
+    ledger = Ledger(spark, new_path(spark, "stream_store"))
     stamps = [I.FIRST_LOAD, I.SECOND_LOAD]
-    run = ingest.stream_ingest(spark, drop, store, new_path(spark, "stream_state"), lambda i: stamps[i])
+    run = ingest.stream_ingest(spark, drop, ledger, new_path(spark, "stream_state"), lambda i: stamps[i])
     run.awaitTermination()
-    return store.read(load.BRONZE).select("record_hash", TOTAL, "is_active", "ingestion_timestamp")
+    return ledger.read(load.BRONZE).select("record_hash", TOTAL, "is_active", "ingestion_timestamp")
 
 
 @query("stream_score")

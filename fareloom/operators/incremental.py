@@ -7,7 +7,8 @@ from pyspark.sql import types as T
 from fareloom.functions import fixed
 from fareloom.functions.numbers import round_to
 from fareloom.functions.text import number_text, time_text
-from fareloom.operators.joins import salted_join
+from fareloom.session import input_size, materialize
+from fareloom.sources.ledger import Commit, bucket_of
 
 
 def record_hash(df: DataFrame, fields=fixed.HASH_FIELDS):
@@ -69,10 +70,15 @@ def change_stats(incoming: DataFrame, bronze: DataFrame) -> DataFrame:
 
     An empty input changes nothing (mode NONE, no deletes); on an empty target all rows are new.
     """
+    return stats_of(hash_status(incoming, bronze))
+
+
+def stats_of(status: DataFrame) -> DataFrame:
+    """``change_stats`` of what ``hash_status`` found."""
     def rows(status, side):
         return F.coalesce(F.sum(F.when(F.col("status") == status, F.col(side))), F.lit(0))
 
-    counts = hash_status(incoming, bronze).agg(
+    counts = status.agg(
         rows("new", "incoming_rows").alias("records_inserted"),
         rows("deleted", "existing_rows").alias("records_deleted"),
         rows("unchanged", "incoming_rows").alias("records_unchanged"),
@@ -88,6 +94,13 @@ def change_stats(incoming: DataFrame, bronze: DataFrame) -> DataFrame:
     return counts.withColumn("change_percentage", pct).withColumn("load_type", load_mode())
 
 
+#: Columns of ``change_stats``.
+STATS = (
+    "records_inserted bigint, records_deleted bigint, records_unchanged bigint, incoming_rows bigint, existing_rows bigint, "
+    "change_percentage double, load_type string"
+)
+
+
 def load_mode():
     """FULL strictly above the threshold, NONE without input."""
     return (
@@ -102,25 +115,26 @@ def _hashes(df: DataFrame) -> DataFrame:
 
 
 def new_rows(incoming: DataFrame, bronze: DataFrame) -> DataFrame:
-    return salted_join(incoming, _hashes(active(bronze)), "record_hash", "id", "left_anti")
+    """Rows whose hash no active row has. Hashes are nearly unique; adaptive execution splits the copies of one."""
+    return incoming.join(_hashes(active(bronze)), "record_hash", "left_anti")
 
 
 def deleted_rows(incoming: DataFrame, bronze: DataFrame) -> DataFrame:
-    return salted_join(active(bronze), _hashes(incoming), "record_hash", "id", "left_anti")
+    return active(bronze).join(_hashes(incoming), "record_hash", "left_anti")
 
 
 def unchanged_rows(incoming: DataFrame, bronze: DataFrame) -> DataFrame:
-    return salted_join(incoming, _hashes(active(bronze)), "record_hash", "id", "left_semi")
+    return incoming.join(_hashes(active(bronze)), "record_hash", "left_semi")
 
 
 def apply_incremental(incoming: DataFrame, bronze: DataFrame, ingested_at) -> DataFrame:
-    """Bronze after the load: new rows added, vanished rows inactive, history kept.
+    """Bronze after the load as one frame: new rows added, vanished rows inactive, history kept.
 
-    The result has to go to a new version of the table; applying the same input again is a no-op.
+    The result has to go to a new version of the table; applying the same input again is a no-op. ``load_into`` does
+    the same to a table in buckets and writes only those that change.
     """
     stamp = F.lit(ingested_at).cast("timestamp_ntz")
-    seen = _hashes(incoming).withColumn("__seen", F.lit(True))
-    marked = salted_join(bronze, seen, "record_hash", "id", "left")
+    marked = bronze.join(_hashes(incoming).withColumn("__seen", F.lit(True)), "record_hash", "left")
     gone = F.col("is_active") & F.col("__seen").isNull()
     kept = marked.withColumns(
         {
@@ -134,6 +148,42 @@ def apply_incremental(incoming: DataFrame, bronze: DataFrame, ingested_at) -> Da
     return kept.unionByName(added, allowMissingColumns=True)
 
 
+ACTIVE, PAST = "active", "past"
+
+
+def load_into(commit: Commit, name: str, incoming: DataFrame, ingested_at, mode: str | None = None) -> dict:
+    """Apply a load to a table of a ledger, kept in buckets of the hash and split into active and past rows.
+
+    Hashes of both sides meet once, in a written table without other columns. New rows are added in folders of their
+    own; buckets that lose rows, or have many folders, are written anew, the lost rows join the past ones. Past rows and all other
+    buckets keep their files. A reload replaces the table. Returns the statistics; ``mode`` overrides the load mode.
+    """
+    if name not in commit.tables:
+        commit.create(name, "record_hash")
+    live = commit.read(name, ACTIVE)
+    known = live if "record_hash" in live.columns else apply_full(incoming, ingested_at).limit(0)
+    status = materialize(hash_status(incoming, known), "hash-status")
+    stats = stats_of(status).first().asDict()  # one row
+    mode = mode or stats["load_type"]
+    if mode == "FULL":
+        commit.create(name, "record_hash", input_size(incoming))
+        commit.append(name, apply_full(incoming, ingested_at), ACTIVE)
+    elif mode == "INCREMENTAL":
+        table = commit.tables[name]
+        gone = status.where("status = 'deleted'").select("record_hash")
+        lose = gone.select(bucket_of("record_hash", table["buckets"]).alias("bucket")).distinct().collect()  # at most the buckets
+        touched = {r["bucket"] for r in lose} | commit.crowded(name, ACTIVE)
+        if touched:
+            rows = commit.read(name, ACTIVE, touched)
+            stamp = F.lit(ingested_at).cast("timestamp_ntz")
+            lost = rows.join(gone, "record_hash", "left_semi").withColumns({"ingestion_timestamp": stamp, "is_active": F.lit(False)})
+            commit.append(name, lost, PAST)
+            commit.rewrite(name, rows.join(gone, "record_hash", "left_anti"), ACTIVE, touched)
+        new = status.where("status = 'new'").select("record_hash")
+        commit.append(name, apply_full(incoming.join(new, "record_hash", "left_semi"), ingested_at), ACTIVE)
+    return stats
+
+
 def apply_full(incoming: DataFrame, ingested_at) -> DataFrame:
     """Bronze after a reload: the input alone, all active. Soft-deleted history is dropped."""
     return incoming.withColumns(

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from fareloom.functions.numbers import aggregate, change_pct, round_to, sql_count, sql_round
 from fareloom.operators.gold import EXTREMES, TOTAL, avg2
+from fareloom.session import input_size, materialize
+from fareloom.sources.ledger import Commit, bucket_of
 
 FARE_CHECKS = ("avg_base_fare", "avg_total_fare", "booking_count")
 ROUTE_CHECKS = ("avg_fare", "total_bookings", "direct_flight_pct")
@@ -73,32 +75,63 @@ def _one_per_key(incoming: DataFrame, key: str) -> DataFrame:
     return incoming.withColumn("__n", n).withColumn(key, checked).drop("__n")
 
 
+def _matched(old: DataFrame, incoming: DataFrame, columns, key: str, checks, as_of, hard_deletes: bool) -> DataFrame:
+    """(old, new, closes, opens): the open versions next to the input, and what becomes of each pair."""
+    new = _one_per_key(incoming.select(*[c for c in columns if c not in SCD_COLUMNS]), key).withColumns(_opened(F.col(key), as_of))
+    new = new.select(F.struct(*columns).alias("new"))
+    joined = old.select(F.struct(*old.columns).alias("old")).join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full")
+    differs = F.lit(False)
+    for c in checks:
+        differs = differs | ~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}"))
+    has_old, has_new = F.col("old").isNotNull(), F.col("new").isNotNull()
+    missing = has_old & ~has_new
+    closes = (has_old & has_new & differs) | (missing if hard_deletes else F.lit(False))
+    return joined.select("old", "new", closes.alias("closes"), (has_new & (~has_old | differs)).alias("opens"))
+
+
 def scd2_merge(history: DataFrame, incoming: DataFrame, key: str, checks, as_of, hard_deletes=False) -> DataFrame:
-    """History after a snapshot run.
+    """History after a snapshot run, as one frame.
 
     New key: open a version. A check column differs (NULL-safe): close the old version at the run
     time and open a new one. Missing key: close its version if ``hard_deletes``. Else nothing moves.
     One full outer join of the open versions with the input; each pair gives one or two rows.
     """
-    columns = [c for c in history.columns if c not in SCD_COLUMNS]
     stamp = F.lit(as_of).cast("timestamp_ntz")
-    old = history.where("valid_to IS NULL").select(F.struct(*history.columns).alias("old"))
-    new = _one_per_key(incoming.select(*columns), key).withColumns(_opened(F.col(key), as_of))
-    new = new.select(F.struct(*history.columns).alias("new"))
-    joined = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full")
-    differs = F.lit(False)
-    for c in checks:
-        differs = differs | ~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}"))
-    has_old, has_new = F.col("old").isNotNull(), F.col("new").isNotNull()
-    missing = has_old & ~has_new
-    closes = (has_old & has_new & differs) | (missing if hard_deletes else F.lit(False))
+    joined = _matched(history.where("valid_to IS NULL"), incoming, history.columns, key, checks, as_of, hard_deletes)
     closed = F.col("old").withField("valid_to", stamp).withField("updated_at", stamp)
-    before = F.when(closes, closed).when(has_old, F.col("old"))
-    after = F.when(has_new & (~has_old | differs), F.col("new"))
+    before = F.when(F.col("closes"), closed).when(F.col("old").isNotNull(), F.col("old"))
+    after = F.when(F.col("opens"), F.col("new"))
     moved = joined.select(F.inline(F.array_compact(F.array(before, after))))
     return history.where("valid_to IS NOT NULL").unionByName(moved)
 
 
+OPEN, CLOSED = "open", "closed"
+
+
+def merge_into(commit: Commit, name: str, incoming: DataFrame, key: str, checks, as_of, hard_deletes=False) -> None:
+    """``scd2_merge`` for a history in a ledger, kept in buckets of the key and split into open and closed versions.
+
+    The input meets only keys and checks of the open versions; what closes or opens is written to a table of its own.
+    Closed versions are never read or written again; of the open ones only buckets with a version that closes are.
+    """
+    if name not in commit.tables:
+        commit.create(name, key, input_size(incoming))
+        commit.append(name, scd2_start(incoming, key, as_of), OPEN)
+        return
+    live = commit.read(name, OPEN)
+    moved = _matched(live.select(key, *checks), incoming, live.columns, key, checks, as_of, hard_deletes).where("closes OR opens")
+    moved = materialize(moved, "moved-versions")
+    gone = moved.where("closes").select(F.col(f"old.{key}").alias("__gone"))
+    lose = gone.select(bucket_of("__gone", commit.tables[name]["buckets"]).alias("bucket")).distinct().collect()  # at most the buckets
+    touched = {r["bucket"] for r in lose} | commit.crowded(name, OPEN)
+    if touched:
+        rows, same = commit.read(name, OPEN, touched), F.col(key).eqNullSafe(F.col("__gone"))
+        stamp = F.lit(as_of).cast("timestamp_ntz")
+        commit.append(name, rows.join(gone, same, "left_semi").withColumns({"valid_to": stamp, "updated_at": stamp}), CLOSED)
+        commit.rewrite(name, rows.join(gone, same, "left_anti"), OPEN, touched)
+    commit.append(name, moved.where("opens").select("new.*"), OPEN)
+
+
 def _views(history: DataFrame, key: str, as_of):
     end = F.coalesce("valid_to", F.lit(as_of).cast("timestamp_ntz"))
     versions = W.partitionBy(key)

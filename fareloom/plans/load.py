@@ -13,7 +13,7 @@ from fareloom.operators import audit, gold, incremental, quality, scd
 from fareloom.operators.silver import silver_clean
 from fareloom.operators.validate import validate_rows
 from fareloom.sources import files
-from fareloom.sources.tables import Store
+from fareloom.sources.ledger import Ledger
 
 STAGING, BRONZE = "validated_flights", "bronze_validated_flights"
 SILVER, LOG = "silver_cleaned_flights", "load_log"
@@ -36,56 +36,55 @@ def with_ids(staged: DataFrame, at) -> DataFrame:
     return staged.withColumn("id", F.concat_ws("-", content, F.monotonically_increasing_id()))
 
 
-def load(store: Store, extract: DataFrame, at, version=None, source_file=None) -> dict:
-    """Stage an extract, apply it to bronze and log it. With ``version`` a repeated call is a no-op."""
-    if version is not None and (store.version(BRONZE) or 0) >= version:
+def load(ledger: Ledger, extract: DataFrame, at, token=None, source_file=None) -> dict:
+    """Stage an extract, apply it to bronze and log it: one commit, so that all three show it or none does.
+
+    ``token`` (a name and a number that grows) is kept with the commit: a call with a number that is done is a no-op.
+    """
+    if token and ledger.state()["tokens"].get(token[0], 0) >= token[1]:
         return {"load_type": "NONE", "records_inserted": 0, "records_deleted": 0, "change_percentage": 0.0}
-    began = time.monotonic()
-    staged = store.overwrite(STAGING, with_ids(stage(extract), at))
-    incoming = incremental.with_hash(staged.where("is_valid"))
-    if store.exists(BRONZE):
-        current = store.read(BRONZE)
-    else:
-        current = incremental.apply_full(incoming, at).limit(0)
-    counts = incremental.change_stats(incoming, current)
-    stats = counts.first().asDict()  # one row
-    if stats["load_type"] == "FULL":
-        store.overwrite(BRONZE, incremental.apply_full(incoming, at), version)
-    elif stats["load_type"] == "INCREMENTAL":
-        store.overwrite(BRONZE, incremental.apply_incremental(incoming, current, at), version)
-    counted = extract.sparkSession.createDataFrame([tuple(stats.values())], counts.schema)
-    store.append(LOG, incremental.load_log_row(counted, store.version(STAGING), at, source_file, math.ceil(time.monotonic() - began)))
+    began, commit = time.monotonic(), ledger.begin()
+    commit.overwrite(STAGING, with_ids(stage(extract), at))
+    incoming = incremental.with_hash(commit.read(STAGING).where("is_valid"))
+    stats = incremental.load_into(commit, BRONZE, incoming, at)
+    counted = ledger.spark.createDataFrame([tuple(stats.values())], incremental.STATS)
+    seconds = math.ceil(time.monotonic() - began)
+    commit.append(LOG, incremental.load_log_row(counted, commit.number, at, source_file, seconds))
+    commit.finish(token)
     return stats
 
 
-def build(store: Store, at, domestic=fixed.DOMESTIC_CODES) -> dict:
-    """Silver once, then the histories, the gold tables and the checks from the written silver."""
-    silver = store.overwrite(SILVER, silver_clean(store.read(BRONZE), domestic, at))
+def build(ledger: Ledger, at, domestic=fixed.DOMESTIC_CODES) -> dict:
+    """Silver once, then the histories, the gold tables and the checks from the written silver, in one commit."""
+    commit = ledger.begin()
+    commit.overwrite(SILVER, silver_clean(commit.read(BRONZE), domestic, at))
+    silver = commit.read(SILVER)
     for name, summary, key, checks, hard in (
         ("flight_fare_snapshot", scd.scd_fare_summary, "fare_key", scd.FARE_CHECKS, True),
         ("route_fare_snapshot", scd.scd_route_summary, "route_key", scd.ROUTE_CHECKS, False),
     ):
-        incoming = summary(silver)
-        if store.exists(name):
-            history = scd.scd2_merge(store.read(name), incoming, key, checks, at, hard)
-        else:
-            history = scd.scd2_start(incoming, key, at)
-        store.overwrite(name, history)
-    tables = {name: store.overwrite(name, fn(silver)) for name, fn in gold.GOLD_TABLES.items()}
-    checks = quality.dq_silver(silver).unionByName(quality.dq_gold(tables))
-    tables["data_quality_checks"] = store.overwrite("data_quality_checks", checks)
-    return {SILVER: silver, **tables}
+        scd.merge_into(commit, name, summary(silver), key, checks, at, hard)
+    for name, fn in gold.GOLD_TABLES.items():
+        commit.overwrite(name, fn(silver))
+    tables = {name: commit.read(name) for name in gold.GOLD_TABLES}
+    commit.overwrite("data_quality_checks", quality.dq_silver(silver).unionByName(quality.dq_gold(tables)))
+    commit.finish()
+    return {SILVER: silver, **tables, "data_quality_checks": commit.read("data_quality_checks")}
 
 
 @contextmanager
-def logged(store: Store, run: str, task: str):
-    """Audit rows of a task: started, then completed or failed with the error. The body may set ``rows``."""
-    spark, about = store.spark, {}
+def logged(ledger: Ledger, run: str, task: str):
+    """Audit rows of a task: started, then completed or failed with the error. The body may set ``rows``.
+
+    Each row is a commit; its number is the id of the row, so no two rows have the same.
+    """
+    spark, about = ledger.spark, {}
 
     def note(status, **more):
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        number = store.read(AUDIT).count() if store.exists(AUDIT) else 0
-        store.append(AUDIT, audit.audit_row(spark, number + 1, "load_run", run, task, status, now, **more))
+        commit = ledger.begin()
+        commit.append(AUDIT, audit.audit_row(spark, commit.number, "load_run", run, task, status, now, **more))
+        commit.finish()
 
     note("started")
     try:
@@ -98,10 +97,10 @@ def logged(store: Store, run: str, task: str):
 
 def load_run(spark: SparkSession, root: str, csv_path: str, at, domestic=fixed.DOMESTIC_CODES) -> dict:
     """Load an extract; rebuild what depends on bronze only if something changed."""
-    store = Store(spark, root)
+    ledger = Ledger(spark, root)
     run = str(at)
-    with logged(store, run, "load") as task:
-        stats = load(store, files.scan_csv(spark, csv_path), at, source_file=csv_path)
+    with logged(ledger, run, "load") as task:
+        stats = load(ledger, files.scan_csv(spark, csv_path), at, source_file=csv_path)
         task["rows"] = stats["records_inserted"] + stats["records_deleted"]
     last = spark.createDataFrame(
         [(stats["load_type"], float(stats["change_percentage"]), stats["records_inserted"], stats["records_deleted"])],
@@ -109,6 +108,6 @@ def load_run(spark: SparkSession, root: str, csv_path: str, at, domestic=fixed.D
     )
     gate = incremental.process_gate(last).first()
     if gate["should_process"]:
-        with logged(store, run, "build"):
-            build(store, at, domestic)
+        with logged(ledger, run, "build"):
+            build(ledger, at, domestic)
     return {**stats, "processed": gate["should_process"], "reason": gate["reason"]}

@@ -11,7 +11,8 @@ from fareloom.operators import incremental, score
 from fareloom.operators import models as md
 from fareloom.plans.load import LOG, SILVER
 from fareloom.session import materialize
-from fareloom.sources.tables import Store, latest_row
+from fareloom.sources.ledger import Ledger
+from fareloom.sources.tables import latest_row
 
 HISTORY = "model_history"
 
@@ -63,7 +64,7 @@ def score_saved(spark: SparkSession, path: str, requests: DataFrame) -> DataFram
     )
 
 
-def train_if_needed(store: Store, at, names=tuple(md.MODELS), trees=100) -> dict:
+def train_if_needed(store: Ledger, at, names=tuple(md.MODELS), trees=100) -> dict:
     """Ask the gate about the last load and the last model; if it says so, train on silver and append to the history.
 
     Returns the decision, its reasons and, after training, where the scorer is and whether it goes into production.

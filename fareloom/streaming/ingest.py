@@ -7,9 +7,11 @@ from fareloom.operators.features import FeatureModel
 from fareloom.operators.score import batch_score
 from fareloom.plans.load import load
 from fareloom.sources.files import CORRUPT, scan_csv
-from fareloom.sources.tables import Store
+from fareloom.sources.ledger import Ledger
 
 READY = "ready"
+#: Extracts of a batch at most.
+EXTRACTS = 16
 
 
 def announce(spark: SparkSession, drop_dir: str, extract: str) -> None:
@@ -18,20 +20,24 @@ def announce(spark: SparkSession, drop_dir: str, extract: str) -> None:
 
 
 def read_drops(spark: SparkSession, drop_dir: str) -> DataFrame:
-    """Names of complete extracts as they are announced, one a batch. An extract is a folder of any number of CSV files."""
-    return spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(f"{drop_dir}/{READY}")
+    """Names of complete extracts as they are announced. An extract is a folder of any number of CSV files."""
+    notes = spark.readStream.schema("value string").option("maxFilesPerTrigger", EXTRACTS).text(f"{drop_dir}/{READY}")
+    return notes.select("value", F.col("_metadata.file_modification_time").alias("announced"))
 
 
-def stream_ingest(spark: SparkSession, drop_dir: str, store: Store, checkpoint: str, stamp):
-    """Apply each announced extract to bronze, in order of arrival, and stop when all are done.
+def stream_ingest(spark: SparkSession, drop_dir: str, ledger: Ledger, checkpoint: str, stamp):
+    """Apply the announced extracts to bronze, in order of arrival, and stop when all are done.
 
-    The batch number is the version of the bronze table, so a batch that is replayed after a
-    failure finds its version complete and changes nothing. ``stamp`` gives the load time of a batch.
+    A batch takes up to ``EXTRACTS`` of them. Each is one commit of staging, bronze and log, under a token that counts
+    extracts: a batch that is replayed after a failure passes over those that were committed and goes on with the
+    next. ``stamp`` gives the load time of the extract of a number, from 0.
     """
 
     def apply(batch: DataFrame, batch_id: int):
-        for row in batch.collect():  # one name
-            load(store, scan_csv(spark, f"{drop_dir}/{row['value']}").drop(CORRUPT), stamp(batch_id), version=batch_id + 1, source_file=row["value"])
+        names = [r["value"] for r in batch.orderBy("announced", "value").collect()]  # at most EXTRACTS
+        for place, name in enumerate(names):
+            number = batch_id * EXTRACTS + place
+            load(ledger, scan_csv(spark, f"{drop_dir}/{name}").drop(CORRUPT), stamp(number), token=("stream", number + 1), source_file=name)
 
     return (
         read_drops(spark, drop_dir)

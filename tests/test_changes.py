@@ -8,6 +8,8 @@ from fareloom.operators import audit, incremental, scd
 from fareloom.plans import load as load_plan
 from fareloom.session import new_path, path_size
 from fareloom.sources import files, tables
+from fareloom.sources import ledger as ledger_module
+from fareloom.sources.ledger import CommitExists, Ledger
 from fareloom.streaming import ingest
 
 T0, T1, T2 = "2025-01-01 00:00:00", "2025-02-01 00:00:00", "2025-03-01 00:00:00"
@@ -213,7 +215,7 @@ def test_load_run_end_to_end(spark, make):
     second = write_csv(make(*good[1:], {"base_fare_bdt": 500.0}), new_path(spark, "csv"), **{"Loyalty Tier": "gold"})
     out = load_plan.load_run(spark, root, second, T2)
     assert (out["load_type"], out["records_inserted"], out["records_deleted"]) == ("INCREMENTAL", 1, 1)
-    store = tables.Store(spark, root)
+    store = Ledger(spark, root)
     assert store.read(load_plan.BRONZE).count() == 11 and store.read(load_plan.SILVER).count() == 10
     assert "loyalty_tier" in store.read(load_plan.SILVER).columns
     assert store.read("gold_avg_fare_by_airline").first()["total_bookings"] == 10
@@ -229,20 +231,128 @@ def test_load_run_end_to_end(spark, make):
 def test_stream_equals_batch(spark, make):
     drop = new_path(spark, "drop")
     extracts = [make(*[{"base_fare_bdt": float(v)} for v in values]) for values in ([1, 2, 3, 4], [2, 3, 4, 5])]
-    batch = tables.Store(spark, new_path(spark, "batch"))
+    batch = Ledger(spark, new_path(spark, "batch"))
     for n, (extract, at) in enumerate(zip(extracts, (T0, T1)), start=1):
-        load_plan.load(batch, files.scan_csv(spark, write_csv(extract, new_path(spark, "csv"))), at, n)
+        load_plan.load(batch, files.scan_csv(spark, write_csv(extract, new_path(spark, "csv"))), at, ("stream", n))
         write_csv(extract, f"{drop}/extract-{n}", files_of=3)  # an extract of several part files is one load
         ingest.announce(spark, drop, f"extract-{n}")
-    stream = tables.Store(spark, new_path(spark, "stream"))
+    stream = Ledger(spark, new_path(spark, "stream"))
     state = new_path(spark, "state")
     for _ in range(2):  # a restart finds nothing left to do
         ingest.stream_ingest(spark, drop, stream, state, lambda i: (T0, T1)[i]).awaitTermination()
     columns = ["record_hash", "is_active", "ingestion_timestamp"]
     want = sorted(map(str, batch.read(load_plan.BRONZE).select(*columns).collect()))
     assert sorted(map(str, stream.read(load_plan.BRONZE).select(*columns).collect())) == want
-    replay = load_plan.load(stream, extracts[0].drop("id"), T2, version=1)
-    assert replay["load_type"] == "NONE" and stream.version(load_plan.BRONZE) == 2
+    before = stream.state()
+    replay = load_plan.load(stream, extracts[0].drop("id"), T2, token=("stream", 1))
+    assert replay["load_type"] == "NONE" and stream.state() == before
+    assert [r["source_file"] for r in stream.read(load_plan.LOG).orderBy("load_id").collect()] == ["extract-1", "extract-2"]
+
+
+def test_a_load_that_dies_leaves_nothing_and_its_replay_finishes(spark, make, monkeypatch):
+    """The second of two extracts of one batch fails as its log row is written: bronze must not show it before the replay."""
+    drop, state = new_path(spark, "drop"), new_path(spark, "state")
+    for n, values in enumerate(([1, 2, 3, 4, 5], [2, 3, 4, 5, 6], [3, 4, 5, 6, 7]), start=1):
+        write_csv(make(*[{"base_fare_bdt": float(v)} for v in values]), f"{drop}/extract-{n}")
+        ingest.announce(spark, drop, f"extract-{n}")
+    ledger, stamps, fail = Ledger(spark, new_path(spark, "stream")), lambda i: (T0, T1, T2)[i], [True]
+    row = incremental.load_log_row
+
+    def dies(stats, *rest):
+        if fail and ledger.exists(load_plan.LOG):
+            raise OSError("the log cannot be written")
+        return row(stats, *rest)
+
+    monkeypatch.setattr(load_plan.incremental, "load_log_row", dies)
+    with pytest.raises(Exception, match="log cannot be written"):
+        ingest.stream_ingest(spark, drop, ledger, state, stamps).awaitTermination()
+    assert ledger.read(load_plan.LOG).count() == 1 and ledger.read(load_plan.STAGING).count() == 5
+    assert {(r["base_fare_bdt"], r["is_active"]) for r in ledger.read(load_plan.BRONZE).collect()} == {(float(v), True) for v in range(1, 6)}
+    fail.clear()
+    ingest.stream_ingest(spark, drop, ledger, state, stamps).awaitTermination()
+    assert [r["source_file"] for r in ledger.read(load_plan.LOG).orderBy("load_id").collect()] == ["extract-1", "extract-2", "extract-3"]
+    rows = {(r["base_fare_bdt"], r["is_active"]) for r in ledger.read(load_plan.BRONZE).collect()}
+    assert rows == {(1.0, False), (2.0, False), *((float(v), True) for v in range(3, 8))}
+
+
+def loaded(ledger, name, incoming, at, mode=None):
+    commit = ledger.begin()
+    stats = incremental.load_into(commit, name, incoming, at, mode)
+    commit.finish()
+    return stats
+
+
+def files_of(ledger, name):
+    """Each bucket of the active rows with the files that hold them."""
+    out = {}
+    for p in ledger.state()["tables"][name]["parts"]:
+        out.setdefault((p["split"], p["bucket"]), set()).add(p["path"])
+    return out
+
+
+def test_a_load_writes_only_the_buckets_it_changes(spark, make):
+    ledger = Ledger(spark, new_path(spark, "buckets"))
+    loaded(ledger, "bronze", fares(make, *range(200)), T0)
+    before = files_of(ledger, "bronze")
+    assert len(before) == 8
+    stats = loaded(ledger, "bronze", fares(make, *range(1, 201)), T1)  # one row goes, one comes
+    assert (stats["records_inserted"], stats["records_deleted"], stats["load_type"]) == (1, 1, "INCREMENTAL")
+    after = files_of(ledger, "bronze")
+    kept = [k for k in before if before[k] <= after[k]]
+    assert len(kept) == 7 and sum(k[0] == incremental.PAST for k in after) == 1
+    want = incremental.apply_incremental(fares(make, *range(1, 201)), incremental.apply_full(fares(make, *range(200)), T0), T1)
+    columns = ["record_hash", "is_active", "ingestion_timestamp", "base_fare_bdt"]
+    assert sorted(map(str, ledger.read("bronze").select(*columns).collect())) == sorted(map(str, want.select(*columns).collect()))
+    same = loaded(ledger, "bronze", fares(make, *range(1, 201)), T2)
+    assert same["records_unchanged"] == 200 and {k: v for k, v in files_of(ledger, "bronze").items() if k[0] == "past"} == {k: v for k, v in after.items() if k[0] == "past"}
+    assert ledger.read("bronze", commit=1).count() == 200  # an older commit still reads
+    gone = ledger.expire(keep=1)
+    assert gone and ledger.commits() == [3] and ledger.read("bronze").count() == 201
+    assert ledger.expire(keep=1) == []
+
+
+def test_many_small_loads_are_merged(spark, make, monkeypatch):
+    monkeypatch.setattr(ledger_module, "MAX_PARTS", 2)
+    ledger = Ledger(spark, new_path(spark, "small"))
+    for n in range(1, 6):
+        loaded(ledger, "bronze", fares(make, *range(40 * n)), f"2025-01-0{n} 00:00:00", "INCREMENTAL")
+        assert max(map(len, files_of(ledger, "bronze").values())) <= 4
+    assert ledger.read("bronze").count() == 200
+
+
+def test_two_writers_cannot_make_one_commit(spark):
+    ledger = Ledger(spark, new_path(spark, "two"))
+    first, second = ledger.begin(), ledger.begin()
+    first.overwrite("a", spark.range(3))
+    second.overwrite("b", spark.range(4))
+    first.finish()
+    with pytest.raises(CommitExists):
+        second.finish()
+    assert ledger.exists("a") and not ledger.exists("b") and ledger.commits() == [1]
+
+
+def test_a_history_writes_only_what_moves(spark):
+    kind = "k string, avg_base_fare double, avg_total_fare double, booking_count bigint"
+    checks = ["avg_base_fare"]
+
+    def summary(*rows):
+        return spark.createDataFrame([(k, v, v, 1) for k, v in rows], kind)
+
+    base = [(f"key-{i}", float(i)) for i in range(100)] + [(None, 5.0)]
+    second = [(k, v + (k == "key-7")) for k, v in base if k != "key-9"] + [("new", 1.0)]
+    for hard in (True, False):
+        ledger = Ledger(spark, new_path(spark, "history"))
+        commit = ledger.begin()
+        scd.merge_into(commit, "h", summary(*base), "k", checks, T0)
+        commit.finish()
+        before = files_of(ledger, "h")
+        commit = ledger.begin()
+        scd.merge_into(commit, "h", summary(*second), "k", checks, T1, hard)
+        commit.finish()
+        after = files_of(ledger, "h")
+        want = scd.scd2_merge(scd.scd2_start(summary(*base), "k", T0), summary(*second), "k", checks, T1, hard)
+        assert sorted(map(str, ledger.read("h").select(*want.columns).collect())) == sorted(map(str, want.collect()))
+        assert sum(before[k] <= after[k] for k in before) >= len(before) - 3
 
 
 def test_audit(spark):

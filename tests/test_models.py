@@ -10,7 +10,7 @@ from fareloom.operators import incremental, score
 from fareloom.plans import load as load_plan
 from fareloom.plans import training
 from fareloom.session import new_path
-from fareloom.sources import tables
+from fareloom.sources.ledger import Ledger
 
 N = 600
 
@@ -185,7 +185,7 @@ def test_training_run_and_scoring(spark):
 
 
 def test_the_gate_decides_on_training(spark):
-    store = tables.Store(spark, new_path(spark, "gated"))
+    store = Ledger(spark, new_path(spark, "gated"))
     store.overwrite(load_plan.SILVER, bookings(spark, 400))
     stats = "load_type string, change_percentage double, records_inserted bigint, records_deleted bigint, records_unchanged bigint"
 
