@@ -82,7 +82,7 @@ def train(texts: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlab
     Both samples are taken by a hash of doc_id with the chance that gives the stated numbers on average, or all if
     there are fewer. Labels of 0 serve for the prior alone. Without a toxic label all weights are empty.
     """
-    known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").select("doc_id", "toxic").dropDuplicates(["doc_id"])
+    known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rows = texts.where("doc_id IS NOT NULL").select("doc_id", "text")
     n_rows = rows.count()
     n_known, n_toxic = known.join(rows.select("doc_id").distinct(), "doc_id").agg(F.count("toxic"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
@@ -124,7 +124,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
 
     Learns from rows whose crc32(doc_id as text) mod ``folds`` is not 0, texts and toxic labels alone. A null or
     empty text has no words: it scores as the bias does. A null doc_id is neither held out nor learned from. Null
-    labels count for nothing; of several labels of a document one counts. Extra columns are not read.
+    labels count for nothing; a document with several labels is toxic if one of them says so. Extra columns are not read.
     """
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
     model = train(docs.where(fold != 0), labels.where(fold != 0))
