@@ -114,7 +114,10 @@ def unsettled(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ``rest`` has doc_id and component. Shingles are ordered by the number of documents in ``rest`` that have them.
     Two sets as alike as asked for share one among the first n - ceil(percent * n / 100) + 1 of their n shingles,
     and from its place in both follows how many more they can share. Shingles that no other document has come
-    first: a copy with many changes of its own is out at once, however large its group.
+    first: a copy with many changes of its own is out at once, however large its group. Of the smaller set (of sets of
+    one size, either) the shared one is even among the first n - ceil(2 * percent * n / (100 + percent)) + 1, so sets
+    are looked for by those alone: what a family of texts shares comes later if each has enough of its own not to be
+    alike. Rows meet by shingle and pair of components, so that no two of one component ever do.
     """
 
     def explode(batches):
@@ -140,10 +143,12 @@ def unsettled(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .where(f"place <= {first}").select("h", "doc_id", "component", "n", "place")
     )
     prefix = materialize(prefix, "prefixes")
-    other = prefix.selectExpr("h", "doc_id AS other", "component AS other_component", "n AS other_n", "place AS other_place")
+    short = prefix.where(f"place <= n - ({2 * percent} * n + {99 + percent}) div {100 + percent} + 1")
+    other = short.selectExpr("h", "doc_id AS other", "component AS other_component", "n AS other_n", "place AS other_place")
+    meet = prefix.select("h", "component").distinct().join(other.select("h", "other_component").distinct(), "h").where("component <> other_component")
     return (
-        prefix.join(other, "h").where("component < other_component")
-        .where(f"100 * least(n, other_n) >= {percent} * greatest(n, other_n)")
+        prefix.join(meet, ["h", "component"]).join(other, ["h", "other_component"])
+        .where(f"other_n <= n AND 100 * other_n >= {percent} * n")
         .where(f"(100 + {percent}) * (1 + least(n - place, other_n - other_place)) >= {percent} * (n + other_n)")
         .select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct()
     )
@@ -161,7 +166,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 85, bands: in
     several texts: a link of any of them counts for all. A row without a doc_id can be named by nothing: its
     component_id is null and it is kept. Extra columns are ignored.
     """
-    arrow.small_batches(docs.sparkSession)
+    arrow.prepare(docs)
     sig = materialize(signatures(docs, size, bands, rows), "signatures")
     named = sig.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = named.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
@@ -209,17 +214,24 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 85, bands: in
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, with all columns, of the document of each component that ``near_duplicates`` keeps.
 
-    Of several rows with one doc_id the first by text stays; rows without a doc_id all stay. Written lists of what
-    goes, which are short beside the documents, are joined to the texts.
+    Where several rows have one doc_id, each different text of it is a document: the first by text stands for the
+    doc_id, the others come after all ids. Of rows equal in doc_id and text one stays. Rows without a doc_id, with null or
+    empty text and without a word stay. An empty table stays empty; a very long text is a document like others. Written
+    lists of what goes, which are short beside the documents, are joined to the texts.
     """
-    judged = near_duplicates(docs, **options)
-    gone = materialize(judged.where("NOT kept").select("doc_id").distinct(), "gone")
-    out = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
-    several = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    several = materialize(several, "several")
+    several = materialize(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "several")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     if several.isEmpty():
-        return out
-    rows = out.join(several, "doc_id", "left_semi").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+        gone = materialize(near_duplicates(docs, **options).where("NOT kept").select("doc_id").distinct(), "gone")
+        return docs.join(gone, "doc_id", "left_anti").select(*columns)
+    rows = docs.join(several, "doc_id", "left_semi").select(F.struct(*columns).alias("row"))
+    same = Window.partitionBy("row.doc_id", "row.text").orderBy(F.lit(0))
+    rows = rows.withColumn("copy", F.row_number().over(same)).where("copy = 1").drop("copy")
     first = Window.partitionBy("row.doc_id").orderBy("row.text")
-    single = rows.withColumn("place", F.row_number().over(first)).where("place = 1").select("row.*")
-    return out.join(several, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(single)
+    behind = F.shiftrightunsigned(F.xxhash64("row.doc_id", "row.text"), 2).bitwiseOR(F.lit(1 << 62))
+    rows = rows.withColumn("key", F.when(F.row_number().over(first) == 1, F.col("row.doc_id")).otherwise(behind))
+    single = docs.join(several, "doc_id", "left_anti").select(F.struct(*columns).alias("row"), F.col("doc_id").alias("key"))
+    rows = materialize(single.unionByName(rows), "row-keys")
+    judged = near_duplicates(rows.select(F.col("key").alias("doc_id"), "row.text"), **options)
+    gone = materialize(judged.where("NOT kept").select(F.col("doc_id").alias("key")).distinct(), "gone")
+    return rows.join(gone, "key", "left_anti").select("row.*")

@@ -93,15 +93,55 @@ def test_members_whom_no_star_settles(spark):
     assert got == Counter(plain.near_duplicates(rows, 85))
 
 
+def test_a_family_just_below_the_limit_has_no_candidates(spark, monkeypatch):
+    """Any two texts are 80 to 85 % alike, each by changes of its own: no pair of them may be listed."""
+    counts = {}
+    confirmed = near_dup.confirmed
+
+    def counted(pairs, *rest):
+        counts.setdefault(members, []).append(pairs.count())
+        return confirmed(pairs, *rest)
+
+    monkeypatch.setattr(near_dup, "confirmed", counted)
+    for members in (100, 200):
+        rng = random.Random(1)
+        base = sentence(rng, 400).split()
+        rows = []
+        for k in range(members):
+            text = list(base)
+            for at in rng.sample(range(50), 7):
+                text[8 * at] = f"own{k}x{at}"
+            rows.append((k, " ".join(text)))
+        got = {r.component_id for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+        assert len(got) == members
+    stars, rest = zip(counts[100], counts[200], strict=True)
+    assert stars[1] <= 2.5 * stars[0] and rest[1] <= 2.5 * rest[0] + 10
+
+
 def test_one_row_of_each_component_stays(odd, odd_rows):
     kept = near_dup.one_of_each(odd, percent=80)
     assert kept.columns == odd.columns
+    texts = {}
+    for i, t in odd_rows:
+        if i is not None:
+            texts.setdefault(i, set()).add(t)
+    keyed = {}  # the first text of an id has the id, others come after all
+    for i, ts in texts.items():
+        for k, t in enumerate(sorted(ts, key=lambda t: (t is not None, t or ""))):
+            keyed[i if k == 0 else 10**6 * k + i] = (i, t)
+    want = Counter(keyed[key] for key, _, _, ok in plain.near_duplicates([(key, t) for key, (_, t) in keyed.items()], 80) if ok)
     got = Counter((r.doc_id, r.text) for r in kept.collect())
-    want = {i: min(t or "" for j, t in odd_rows if i == j) for i, _, _, ok in plain.near_duplicates(odd_rows, 80) if ok and i is not None}
-    assert Counter((i, t or "") for i, t in got.elements() if i is not None) == Counter(want.items())
+    assert Counter(x for x in got.elements() if x[0] is not None) == want
     assert sum(i is None for i, _ in got.elements()) == 1
 
 
+def test_unlike_texts_of_one_id_stay(spark):
+    rng = random.Random(8)
+    a, b = sentence(rng, 40), sentence(rng, 40)
+    df = spark.createDataFrame([(1, a), (1, b), (1, b), (2, b + " end")], "doc_id bigint, text string")
+    assert Counter((r.doc_id, r.text) for r in near_dup.one_of_each(df, percent=80).collect()) in (Counter([(1, a), (2, b + " end")]), Counter([(1, b), (1, a)]))
+
+
 def test_benchmark_passages(spark, docs, rows):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     got = {(r.doc_id, r.item_id): r.similarity for r in contaminated(docs, bench).collect()}
