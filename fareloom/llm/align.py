@@ -240,7 +240,7 @@ def aligned_groups(docs: DataFrame, byte_bpe: str, pieces: str) -> DataFrame:
                     names=["doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes"],
                 )
 
-    arrow.small_batches(docs.sparkSession)
+    arrow.prepare(docs)
     kind = "doc_id bigint, a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>"
     return docs.select("doc_id", "text").mapInArrow(run, kind)
 
@@ -324,7 +324,7 @@ def link_counts(docs: DataFrame, byte_bpe: str, pieces: str) -> DataFrame:
                     names=["doc_id", *ROW_NAMES[3:7], "n_best", "count_sum", "groups_sha256"],
                 )
 
-    arrow.small_batches(docs.sparkSession)
+    arrow.prepare(docs)
     rows = materialize(docs.select("doc_id", "text").mapInArrow(run, ROWS), "alignments")
     pairs = rows.select("part", "seq", F.posexplode(F.arrays_zip("a", "b", "docs")).alias("pos", "p"))
     pairs = pairs.select("part", "seq", "pos", "p.a", "p.b", "p.docs")

@@ -1,24 +1,41 @@
 """Helpers for Arrow batches in Python workers: raw UTF-8 buffers, bounded chunks, words and their hashes."""
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
+from fareloom.session import input_size
+
 #: Bytes of text that are worked on at once in a Python worker; a longer single text is worked on alone.
 CHUNK_BYTES = 1 << 18
 
 #: Rows of whole texts in an Arrow batch, and about how many bytes; Spark's 10,000 are tens of MB for each of several copies in an executor.
 BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+#: Bytes of input files for a shuffle partition.
+SHUFFLE_BYTES = 64 << 20
 
 _ODD = 0x9E3779B97F4A7C15
 
 
-def small_batches(spark) -> None:
-    """Lower (never raise) the session's rows and bytes of an Arrow batch: rows are whole texts here."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    spark.conf.set(key, f"{BATCH_BYTES}b")
+def prepare(docs) -> None:
+    """Settings of the session for an operator over ``docs``: small Arrow batches, as rows are whole texts, and shuffle
+    partitions that grow with the input (they are raised, never lowered; adaptive execution merges small ones)."""
+    conf, spark = docs.sparkSession.conf, docs.sparkSession
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+    wanted = input_size(docs) // SHUFFLE_BYTES
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        conf.set("spark.sql.shuffle.partitions", str(wanted))
+
+
+def lean() -> None:
+    """Have freed arrays go back to the system. The C library keeps those below a limit that grows with use, and the
+    workers of an executor live for many tasks and share its memory. Where there is no such setting, nothing changes."""
+    keep = getattr(ctypes.CDLL(None), "mallopt", None)
+    if keep is not None:
+        keep(-3, 1 << 20)  # M_MMAP_THRESHOLD
+        keep(-8, 1)  # M_ARENA_MAX
 
 
 def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES):
@@ -62,6 +79,7 @@ class Roller:
     INVERSE = pow(BASE, -1, 1 << 64)
 
     def __init__(self):
+        lean()
         self.up = self.down = np.ones(1, np.uint64)
 
     def sums(self, data: np.ndarray) -> np.ndarray:

@@ -115,7 +115,7 @@ def train(texts: DataFrame, per_language: int = TEXTS, share: float = SHARE) ->
     gets the n-grams that at least ``share`` of these texts have, so a stray text of another language adds nothing;
     that also bounds what comes to the driver: at most 1 / ``share`` times the n-grams of a text.
     """
-    arrow.small_batches(texts.sparkSession)
+    arrow.prepare(texts)
     known = texts.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     names = sorted(sizes, key=lambda s: (-sizes[s], s))

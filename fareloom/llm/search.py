@@ -231,7 +231,7 @@ def ranked_search(docs: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
     terms: such items have no rows, such documents do not count. Equal scores go by ascending doc_id, a null one last;
     repeated rows are documents of their own. An empty table on either side gives no rows; other columns are ignored.
     """
-    arrow.small_batches(docs.sparkSession)
+    arrow.prepare(docs)
     kind = items.schema["item_id"].dataType.simpleString()
     if kind != "string":
         kind = "bigint"

@@ -175,7 +175,7 @@ def similar_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> Data
     with several texts; a row without doc_id is linked with nothing and has no component_id. Repeated rows are copies. An
     empty table gives no rows; other columns are ignored; a very long text is a group of its own.
     """
-    arrow.small_batches(docs.sparkSession)
+    arrow.prepare(docs)
     allowed = f"n - ({percent} * n + 99) div 100"
     seen = materialize(sampled(docs, size), "set-samples")
     named = seen.where("doc_id IS NOT NULL AND n > 0")

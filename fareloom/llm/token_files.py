@@ -13,14 +13,18 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fareloom.llm import arrow, huffman
-from fareloom.session import materialize, new_path
+from fareloom.session import input_size, materialize, new_path
 
 #: Ids in a block (a longer document is a block of its own), and ids between two checkpoints.
 BLOCK_IDS, CHECKPOINT_IDS = 1 << 20, 256
 #: Longest code. The vocabulary must have at most 2 ** MAX_BITS ids.
 MAX_BITS = 18
-#: Distinct segments whose ids a worker keeps at most, about 30 bytes each.
-CACHE = 2_000_000
+#: Bytes of distinct segments' hashes and ids that a worker keeps at most, about 30 for each.
+CACHE_BYTES = 24 << 20
+#: Bytes of input files for a range of documents, which one task sorts and encodes.
+RANGE_BYTES = 16 << 20
+#: Rows of the written blocks are megabytes: row groups of Parquet's usual size would be held by every task that writes.
+ROW_GROUP = {"parquet.block.size": str(8 << 20)}
 
 BLOCKS = "part int, seq int, n bigint, doc_ids array<bigint>, lens array<bigint>, ids binary"
 FILES = "start bigint, n bigint, doc_ids array<bigint>, lens array<bigint>, payload binary, checkpoints binary"
@@ -81,7 +85,7 @@ class Encoder:
             start = end = np.empty(0, np.int64)
             white, h = np.zeros(1, np.int64), np.empty(0, np.uint64)
         distinct, first, back = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.hashes) > CACHE:
+        if self.hashes.nbytes + self.places.nbytes + self.starts.nbytes + self.pool.nbytes > CACHE_BYTES:
             self.clear()
         at = np.searchsorted(self.hashes, distinct)
         known = np.zeros(len(distinct), bool)
@@ -170,7 +174,7 @@ def _blocks(ordered: DataFrame, path: str, end_id: int) -> DataFrame:
             )
 
         for batch in batches:
-            for piece in arrow.chunks(batch, "text", 8 * arrow.CHUNK_BYTES):
+            for piece in arrow.chunks(batch, "text", 2 * arrow.CHUNK_BYTES):
                 found, counts = tokens.encode(*arrow.utf8(piece.column("text")), end_id)
                 ends = np.cumsum(counts)
                 for doc_id, n, end in zip(piece.column("doc_id").to_pylist(), counts.tolist(), ends.tolist(), strict=True):
@@ -232,10 +236,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     lengths come from the counts of all ids. A block is a row: it can be read without any other, and from any
     checkpoint. Encoded ids are kept once in the shared folder between counting and coding.
     """
-    arrow.small_batches(docs.sparkSession)
+    arrow.prepare(docs)
     keep = list(dict.fromkeys([*order, "doc_id", "text"]))
-    ordered = docs.select(*keep).repartitionByRange(*order).sortWithinPartitions(*keep).select("doc_id", "text")
-    blocks = materialize(_blocks(ordered, tokenizer, end_id), "ids")
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), input_size(docs) // RANGE_BYTES)
+    ordered = docs.select(*keep).repartitionByRange(parts, *order).sortWithinPartitions(*keep).select("doc_id", "text")
+    blocks = materialize(_blocks(ordered, tokenizer, end_id), "ids", options=ROW_GROUP)
     kind = "<u2" if blocks.where("octet_length(ids) <> 2 * n").isEmpty() else "<u4"
     counted = _counts(blocks, kind).toArrow()
     ids = counted.column("id").to_numpy()
@@ -259,7 +264,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
                 )
 
     placed = blocks.join(_starts(blocks), ["part", "seq"])
-    placed.select("start", "n", "doc_ids", "lens", "ids").mapInArrow(run, FILES).write.parquet(f"{path}/blocks")
+    placed.select("start", "n", "doc_ids", "lens", "ids").mapInArrow(run, FILES).write.options(**ROW_GROUP).parquet(f"{path}/blocks")
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
