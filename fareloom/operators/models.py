@@ -1,6 +1,6 @@
 """Fare models on Spark ML: split, train, compare, tune, explain."""
 
-import warnings
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -18,11 +18,17 @@ from pyspark.sql import functions as F
 from fareloom.functions import fixed
 from fareloom.functions.numbers import mape, ratio_pct, round_to
 from fareloom.operators.features import TARGET
+from fareloom.operators.joins import cross_one
 from fareloom.operators.quality import union_all
-from fareloom.session import shared_dir
+from fareloom.session import materialize, shared_dir
 
-# 32 candidate splits per feature: what a node costs grows with the bins, not with the rows.
-TREES = dict(maxBins=32, maxMemoryInMB=1024, seed=fixed.SPLIT_SEED)
+# 32 candidate splits per feature: what a node costs grows with the bins, not with the rows. Each task holds the
+# statistics of as many nodes as fit in the memory given here, and there are several tasks in an executor.
+TREES = dict(maxBins=32, maxMemoryInMB=256, seed=fixed.SPLIT_SEED)
+#: Rows a partition should have at least: every partition has statistics of every node to hand in.
+PARTITION_ROWS = 1 << 13
+#: Fits of a cross-validation that run side by side; each is many short jobs.
+PARALLEL_FITS = 4
 
 
 def _share(*parts):
@@ -45,10 +51,12 @@ def assemble(df: DataFrame, features, label=TARGET) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """At least one partition per core, kept for the passes of an iterative fit."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
+    """The frame kept for the passes of an iterative fit, in no more partitions than cores unless it has more, and in
+    fewer where they would hold less than ``PARTITION_ROWS`` rows."""
+    cores, parts = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    if parts <= cores:
+        wanted = min(cores, max(1, df.count() // PARTITION_ROWS))
+        df = df.repartition(wanted) if wanted > parts else df.coalesce(wanted)
     return df.persist()
 
 
@@ -79,9 +87,10 @@ def tree(train, depth=8, min_split=2):
 
 
 def forest(train, trees=200, depth=15, min_split=5):
+    """The node of each row in each tree is kept next to the rows, so that the growing trees need not be sent to every task."""
     return RandomForestRegressor(
         numTrees=trees, maxDepth=depth, minInstancesPerNode=max(1, min_split // 2),
-        featureSubsetStrategy="all", **TREES,
+        featureSubsetStrategy="all", cacheNodeIds=True, checkpointInterval=10, **TREES,
     )
 
 
@@ -130,40 +139,86 @@ def residuals(df: DataFrame, actual="label", predicted="prediction") -> DataFram
     return df.withColumn("residual", F.col(actual) - F.col(predicted))
 
 
+def _fit_of(mask, prediction: str, prefix="") -> list:
+    """R2, MAE, RMSE and MAPE of a prediction column over the rows of a mask, as parts of one aggregate."""
+    a = F.col("label")
+    error = F.when(mask, a - F.col(prediction))
+    n, squares = F.count(error), F.sum(error * error)
+    return [
+        round_to(1 - squares / F.nullif(F.var_pop(F.when(mask, a)) * n, F.lit(0.0)), 4).alias(f"{prefix}r2"),
+        round_to(F.avg(F.abs(error)), 2).alias(f"{prefix}mae"),
+        round_to(F.sqrt(squares / F.nullif(n, F.lit(0))), 2).alias(f"{prefix}rmse"),
+        round_to(F.avg(F.abs(error / F.nullif(a, F.lit(0.0)))) * 100, 2).alias(f"{prefix}mape"),
+    ]
+
+
+def _predicted(model, df: DataFrame, column: str) -> DataFrame:
+    return model.copy({model.predictionCol: column}).transform(df)
+
+
+def evaluate_all(fitted: dict, data: DataFrame) -> DataFrame:
+    """A row a model: train and test metrics of all of them from one pass. ``data`` carries ``is_test``."""
+    scored, rows = data.select("features", "label", "is_test"), []
+    for i, (name, model) in enumerate(fitted.items()):
+        scored = _predicted(model, scored, f"p{i}")
+        metrics = [*_fit_of(~F.col("is_test"), f"p{i}", "train_"), *_fit_of(F.col("is_test"), f"p{i}", "test_")]
+        rows.append(F.struct(F.lit(name).alias("model_name"), *metrics))
+    return scored.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
 def evaluate(name: str, model, data: DataFrame) -> DataFrame:
-    """One row: train and test metrics. ``data`` carries ``is_test``; one pass over it."""
-    a, p = F.col("label"), F.col("prediction")
-    scored = model.transform(data).select("label", "prediction", "is_test")
-    exprs = []
-    for part, mask in (("train", ~F.col("is_test")), ("test", F.col("is_test"))):
-        error = F.when(mask, a - p)
-        n = F.count(error)
-        squares = F.sum(error * error)
-        exprs += [
-            round_to(1 - squares / F.nullif(F.var_pop(F.when(mask, a)) * n, F.lit(0.0)), 4).alias(f"{part}_r2"),
-            round_to(F.avg(F.abs(error)), 2).alias(f"{part}_mae"),
-            round_to(F.sqrt(squares / F.nullif(n, F.lit(0))), 2).alias(f"{part}_rmse"),
-            round_to(F.avg(F.abs(error / F.nullif(a, F.lit(0.0)))) * 100, 2).alias(f"{part}_mape"),
-        ]
-    return scored.agg(*exprs).select(F.lit(name).alias("model_name"), "*")
+    """One row: train and test metrics."""
+    return evaluate_all({name: model}, data)
 
 
 def train_all(data: DataFrame, names=tuple(MODELS), fitted=None) -> tuple[DataFrame, dict]:
     """Fit the models on the training rows; a model that fails is left out. Returns the leaderboard
     (best test R2 first) and the fitted models."""
-    models, rows = dict(fitted or {}), []
+    models = {}
     train = spread(data.where("NOT is_test"))
     for name in names:
         try:
-            if name not in models:
-                models[name] = fit(name, train)
-            rows.append(evaluate(name, models[name], data))
+            models[name] = fitted[name] if fitted and name in fitted else fit(name, train)
         except Exception as error:  # the others still compete
             print(f"model {name} failed: {error}")
     train.unpersist()
-    if not rows:
+    if not models:
         raise RuntimeError("no model could be trained")
-    return union_all(*rows).orderBy(F.col("test_r2").desc(), "model_name"), models
+    return evaluate_all(models, data).orderBy(F.col("test_r2").desc(), "model_name"), models
+
+
+def cross_validate(data: DataFrame, names=tuple(MODELS), params=None) -> DataFrame:
+    """Mean and population deviation of R2 over the folds, for any models: model_name, cv_r2_mean, cv_r2_std.
+
+    The training rows get their fold once and are kept; every model is fitted to all folds but one, a few fits side
+    by side, and one pass scores each fold by the models that have not seen it. ``params`` are those of ``fit`` by name.
+    """
+    keep_checkpoints(data.sparkSession)
+    rows = spread(with_folds(data.where("NOT is_test")).select("features", "label", "fold"))
+    folds = sorted(r["fold"] for r in rows.select("fold").distinct().collect())  # at most FOLDS
+
+    def one(task):
+        name, fold = task
+        return fit(name, rows.where(F.col("fold") != fold), **(params or {}).get(name, {}))
+
+    tasks = [(name, fold) for name in names for fold in folds]
+    with ThreadPool(PARALLEL_FITS) as pool:
+        fitted = dict(zip(tasks, pool.map(one, tasks), strict=True))
+    parts = []
+    for fold in folds:
+        part = rows.where(F.col("fold") == fold)
+        for i, name in enumerate(names):
+            part = _predicted(fitted[name, fold], part, f"p{i}")
+        parts.append(part.select("label", "fold", *[f"p{i}" for i in range(len(names))]))
+    r2 = [_fit_of(F.lit(True), f"p{i}")[0].alias(f"r{i}") for i in range(len(names))]
+    each = union_all(*parts).groupBy("fold").agg(*r2)
+    scores = [
+        F.struct(F.lit(name).alias("model_name"), round_to(F.avg(f"r{i}"), 4).alias("cv_r2_mean"), round_to(F.stddev_pop(f"r{i}"), 4).alias("cv_r2_std"))
+        for i, name in enumerate(names)
+    ]
+    out = materialize(each.agg(F.array(*scores).alias("rows")).select(F.inline("rows")), "cv-scores")
+    rows.unpersist()
+    return out
 
 
 def best_model(leaderboard: DataFrame) -> DataFrame:
@@ -176,36 +231,39 @@ def best_model(leaderboard: DataFrame) -> DataFrame:
 
 
 def moments(df: DataFrame, features, label=TARGET, by=()) -> DataFrame:
-    """Row count, sums and sums of products of features and label, per group, from one pass.
+    """Row count, means, and sums and sums of products of features and label less their means, per group.
 
-    Everything ridge, lasso and least squares need; p features give (p+1)(p+4)/2 numbers per group.
+    Everything ridge, lasso and least squares need; p features give (p+1)(p+4)/2 numbers per group. The means are those of
+    all rows, from a pass of their own: with large means the products of raw values would swallow the deviations.
     """
     columns = [*features, label]
-    exprs = ["count(1) AS n"]
-    for i, a in enumerate(columns):
-        exprs.append(f"sum(CAST(`{a}` AS double)) AS s_{i}")
-        for j in range(i, len(columns)):
-            exprs.append(f"sum(CAST(`{a}` AS double) * CAST(`{columns[j]}` AS double)) AS p_{i}_{j}")
-    return df.groupBy(*by).agg(*[F.expr(e) for e in exprs])
+    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m_{i}") for i, c in enumerate(columns)])
+    exprs = ["count(1) AS n", *[f"max(m_{i}) AS m_{i}" for i in range(len(columns))]]
+    for i in range(len(columns)):
+        exprs.append(f"sum(d_{i}) AS s_{i}")
+        exprs += [f"sum(d_{i} * d_{j}) AS p_{i}_{j}" for j in range(i, len(columns))]
+    off = cross_one(df, means).select(*by, *[(F.col(c).cast("double") - F.col(f"m_{i}")).alias(f"d_{i}") for i, c in enumerate(columns)], *[f"m_{i}" for i in range(len(columns))])
+    return off.groupBy(*by).agg(*[F.expr(e) for e in exprs])
 
 
 class Moments:
-    """The collected moments of one group of rows; adding two gives those of both groups."""
+    """The collected moments of one group of rows about ``at``; adding two gives those of both groups."""
 
-    def __init__(self, n, sums, products):
-        self.n, self.sums, self.products = n, sums, products
+    def __init__(self, n, at, sums, products):
+        self.n, self.at, self.sums, self.products = n, at, sums, products
 
     @classmethod
     def of(cls, row, p):
+        at = np.array([row[f"m_{i}"] or 0.0 for i in range(p + 1)])
         sums = np.array([row[f"s_{i}"] or 0.0 for i in range(p + 1)])
         products = np.zeros((p + 1, p + 1))
         for i in range(p + 1):
             for j in range(i, p + 1):
                 products[i, j] = products[j, i] = row[f"p_{i}_{j}"] or 0.0
-        return cls(row["n"], sums, products)
+        return cls(row["n"], at, sums, products)
 
     def __add__(self, other):
-        return Moments(self.n + other.n, self.sums + other.sums, self.products + other.products)
+        return Moments(self.n + other.n, self.at, self.sums + other.sums, self.products + other.products)
 
     def centred(self):
         return self.products - np.outer(self.sums, self.sums) / self.n
@@ -217,28 +275,67 @@ class Moments:
         if kind == "ridge":
             w = np.linalg.solve(xx + alpha * np.eye(len(xy)), xy)
         elif kind == "lasso":
-            w = np.zeros(len(xy))
-            for _ in range(rounds):
-                before = w.copy()
-                for i in range(len(w)):
-                    rest = xy[i] - xx[i] @ w + xx[i, i] * w[i]
-                    w[i] = np.sign(rest) * max(abs(rest) - alpha * self.n, 0) / xx[i, i] if xx[i, i] > 0 else 0.0
-                if np.max(np.abs(w - before)) < 1e-9 * max(1.0, np.max(np.abs(w))):
-                    break
-            else:
-                warnings.warn(f"lasso with alpha {alpha} has not settled after {rounds} rounds", stacklevel=2)
+            w = _lasso(xx / self.n, xy / self.n, alpha, rounds)
+            if w is None:
+                return None
         else:
             w = np.linalg.lstsq(xx, xy, rcond=None)[0]
-        means = self.sums / self.n
+        means = self.at + self.sums / self.n
         return w, means[-1] - means[:-1] @ w
 
     def r2(self, w, intercept):
         """R2 of a linear model on the rows behind these moments."""
         full = np.append(w, -1.0)
-        squares = full @ self.products @ full + 2 * intercept * (full @ self.sums) + self.n * intercept**2
+        shift = intercept + full @ self.at  # the prediction less the label where all columns are at their means
+        squares = full @ self.products @ full + 2 * shift * (full @ self.sums) + self.n * shift**2
         return float(1 - squares / self.centred()[-1, -1])
 
 
+def _lasso(xx, xy, alpha, steps):
+    """Weights that meet the conditions of the optimum, or None if none were found.
+
+    Followed from the penalty at which all weights are zero down to ``alpha``: between two penalties at which a weight
+    becomes or ceases to be zero, all move along a line, so that near-equal columns cost a few more steps and no patience.
+    """
+    size = np.sqrt(np.maximum(np.diag(xx), 0))
+    used = np.flatnonzero(size > 0)
+    out = np.zeros(len(xy))
+    c, b, t = xx[np.ix_(used, used)] / np.outer(size[used], size[used]), xy[used] / size[used], 1 / size[used]
+    w, on, left, penalty = np.zeros(len(used)), [], None, float(np.max(np.abs(b) / t, initial=0))
+    close = 1e-9 * max(1.0, float(np.max(np.abs(b), initial=0)))
+    for _ in range(steps):
+        slope = b - c @ w
+        if penalty <= alpha:
+            off = np.where(w != 0, np.abs(slope - alpha * t * np.sign(w)), np.maximum(np.abs(slope) - alpha * t, 0))
+            if np.max(off, initial=0) > close:
+                return None
+            out[used] = w / size[used]
+            return out
+        if not on:
+            on = [int(np.argmax(np.abs(slope) / t))]
+        move = np.zeros(len(w))
+        signs = np.where(w[on] != 0, np.sign(w[on]), np.sign(slope[on]))
+        move[on] = np.linalg.lstsq(c[np.ix_(on, on)], t[on] * signs, rcond=1e-13)[0]
+        turn = c @ move  # the slopes fall by this for each unit of the penalty
+        best, event = penalty - alpha, None
+        for k in range(len(w)):
+            if k in on:
+                steps_to = [(-w[k] / move[k], None)] if move[k] * w[k] < 0 else []
+            else:
+                steps_to = [((penalty * t[k] - sign * slope[k]) / (t[k] - sign * turn[k]), sign) for sign in (1, -1) if t[k] - sign * turn[k] > 1e-12 and (k, sign) != left]
+            for far, _ in steps_to:
+                if -1e-12 < far < best:
+                    best, event = max(far, 0.0), k
+        w, penalty, left = w + best * move, penalty - best if event is not None else alpha, None
+        if event in on:
+            left = (event, int(np.sign(w[event] - best * move[event])))
+            w[event] = 0.0
+            on.remove(event)
+        elif event is not None:
+            on.append(event)
+    return None
+
+
 def fold_moments(df: DataFrame, features, label=TARGET) -> tuple:
     """Moments per fold of the training rows, of all training rows, and of the test rows."""
     rows = moments(with_folds(df), features, label, ["is_test", "fold"]).collect()  # 2 * folds rows
@@ -257,13 +354,21 @@ def fold_moments(df: DataFrame, features, label=TARGET) -> tuple:
 
 
 def _cv(folds, kind, alpha):
+    """R2 of each fold by the model of the others; None if one of these has not settled."""
     scores = []
     for i, held_out in enumerate(folds):
         others = [m for j, m in enumerate(folds) if j != i]
-        scores.append(held_out.r2(*sum(others[1:], others[0]).solve(kind, alpha)))
+        model = sum(others[1:], others[0]).solve(kind, alpha)
+        if model is None:
+            return None
+        scores.append(held_out.r2(*model))
     return scores
 
 
+def _rounded(value, digits):
+    return None if value is None else round(float(value), digits)
+
+
 LINEAR_KINDS = {"linear_regression": ("ols", 0.0), "ridge": ("ridge", fixed.RIDGE_ALPHA),
                 "lasso": ("lasso", fixed.LASSO_ALPHA)}
 
@@ -274,27 +379,27 @@ def cv_scores(df: DataFrame, features, label=TARGET) -> DataFrame:
     rows = []
     for name, (kind, alpha) in LINEAR_KINDS.items():
         scores = _cv(folds, kind, alpha)
-        rows.append((name, round(float(np.mean(scores)), 4), round(float(np.std(scores)), 4)))
+        rows.append((name, *(_rounded(scores and f(scores), 4) for f in (np.mean, np.std))))
     return df.sparkSession.createDataFrame(rows, "model_name string, cv_r2_mean double, cv_r2_std double")
 
 
 def grid_search(df: DataFrame, features, label=TARGET, alphas=fixed.GRID_ALPHAS) -> DataFrame:
-    """Cross-validated R2 of ridge and lasso for every alpha, from the moments of one pass."""
+    """Cross-validated R2 of ridge and lasso for every alpha, from the moments of one pass; NULL where lasso has not settled."""
     folds, _, _ = fold_moments(df, features, label)
     rows = []
     for kind in ("ridge", "lasso"):
-        scores = {a: float(np.mean(_cv(folds, kind, a))) for a in alphas}
-        best = max(scores, key=scores.get)
-        rows += [(kind, a, round(s, 6), a == best) for a, s in scores.items()]
+        found = {a: _cv(folds, kind, a) for a in alphas}
+        scores = {a: float(np.mean(s)) for a, s in found.items() if s}
+        best = max(scores, key=scores.get, default=None)
+        rows += [(kind, a, _rounded(scores.get(a), 6), a == best) for a in alphas]
     return df.sparkSession.createDataFrame(rows, "model string, alpha double, cv_r2 double, is_best boolean")
 
 
 def reg_sweep(df: DataFrame, features, label=TARGET, alphas=fixed.SWEEP_ALPHAS) -> DataFrame:
-    """Test R2 of ridge and lasso by alpha, from the moments of one pass."""
+    """Test R2 of ridge and lasso by alpha, from the moments of one pass; NULL where lasso has not settled."""
     _, train, test = fold_moments(df, features, label)
-    rows = [
-        (kind, a, round(test.r2(*train.solve(kind, a)), 6)) for kind in ("ridge", "lasso") for a in alphas
-    ]
+    found = [(kind, a, train.solve(kind, a)) for kind in ("ridge", "lasso") for a in alphas]
+    rows = [(kind, a, _rounded(model and test.r2(*model), 6)) for kind, a, model in found]
     return df.sparkSession.createDataFrame(rows, "model string, alpha double, test_r2 double")
 
 

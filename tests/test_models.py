@@ -77,6 +77,66 @@ def test_cross_validation_equals_refits(numbers):
     assert md.reg_sweep(table, ["a", "b", "c"]).count() == 16
 
 
+def test_moments_keep_their_digits_at_large_means(spark, numbers):
+    """Columns about 10^6 and more: models and scores are those of refits on the rows."""
+    x, y, df = numbers
+    far = df.selectExpr("id", "a + 1e6 AS a", "b - 3e7 AS b", "c + 2e6 AS c", "total_fare_bdt + 5e6 AS total_fare_bdt")
+    table, names = md.train_test_split(far), ["a", "b", "c"]
+    plain, moved = ({r["model_name"]: (r["cv_r2_mean"], r["cv_r2_std"]) for r in md.cv_scores(md.train_test_split(t), names).collect()} for t in (df, far))
+    assert plain == moved
+    m = md.Moments.of(md.moments(table, names).first(), 3)
+    for kind, alpha, want in (("ols", 0, closed_ridge(x, y, 0)), ("ridge", 100.0, closed_ridge(x, y, 100.0)), ("lasso", 0.5, closed_lasso(x, y, 0.5))):
+        w, b = m.solve(kind, alpha)
+        assert np.allclose(w, want, atol=1e-6)
+        assert m.r2(w, b) == pytest.approx(1 - ((y - y.mean() - (x - x.mean(0)) @ w) ** 2).sum() / ((y - y.mean()) ** 2).sum(), abs=1e-9)
+
+
+def test_lasso_settles_on_near_equal_columns_or_gives_no_score(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=500)
+    x = np.stack([base, base + 1e-4 * rng.normal(size=500), np.log(np.abs(base) + 2), rng.normal(size=500)], axis=1)
+    y = 2 * x[:, 0] + x[:, 3] + 0.1 * rng.normal(size=500)
+    xc, yc = x - x.mean(0), y - y.mean()
+    for alpha in (1e-6, 0.001, 0.01, 0.1, 1.0):
+        w = md._lasso(xc.T @ xc / 500, xc.T @ yc / 500, alpha, 10_000)
+        slope = xc.T @ (yc - xc @ w) / 500
+        assert np.all(np.abs(slope) <= alpha + 1e-7) and np.allclose(slope[w != 0], alpha * np.sign(w[w != 0]), atol=1e-7)
+    rows = [(str(i), *map(float, r), float(v)) for i, (r, v) in enumerate(zip(x, y, strict=True))]
+    table = md.train_test_split(spark.createDataFrame(rows, "id string, a double, b double, c double, d double, total_fare_bdt double"))
+    assert md.grid_search(table, list("abcd")).where("cv_r2 IS NULL").isEmpty()
+    monkeypatch.setattr(md, "_lasso", lambda *_: None)
+    grid = md.grid_search(table, list("abcd")).collect()
+    assert {r["cv_r2"] is None for r in grid if r["model"] == "lasso"} == {True} and not any(r["is_best"] for r in grid if r["model"] == "lasso")
+
+
+def test_cross_validation_of_all_kinds(numbers):
+    """The linear models score as from moments; trees as when fitted fold by fold."""
+    _, _, df = numbers
+    table = md.train_test_split(df)
+    data = md.assemble(table, ["a", "b", "c"])
+    small = {"random_forest": dict(trees=3, depth=4), "gradient_boosting": dict(trees=3, depth=2)}
+    got = {r["model_name"]: r for r in md.cross_validate(data, ("linear_regression", "random_forest", "gradient_boosting"), small).collect()}
+    assert len(got) == 3 and all(r["cv_r2_std"] >= 0 for r in got.values())
+    linear = {r["model_name"]: r for r in md.cv_scores(table, ["a", "b", "c"]).collect()}["linear_regression"]
+    assert got["linear_regression"]["cv_r2_mean"] == pytest.approx(linear["cv_r2_mean"], abs=1e-3)
+    rows = md.with_folds(data.where("NOT is_test"))
+    scores = []
+    for f in range(5):
+        model = md.fit("random_forest", md.spread(rows.where(f"fold <> {f}").select("features", "label")), **small["random_forest"])
+        scores.append(md.reg_metrics(model.transform(rows.where(f"fold = {f}"))).first()["r2"])
+    assert got["random_forest"]["cv_r2_mean"] == pytest.approx(np.mean(scores), abs=0.05)
+
+
+def test_one_pass_scores_as_one_model_at_a_time(numbers):
+    _, _, df = numbers
+    data = md.assemble(md.train_test_split(df), ["a", "b", "c"])
+    board, fitted = md.train_all(data, ("linear_regression", "ridge", "unknown_kind"))
+    for r in board.collect():
+        scored = fitted[r["model_name"]].transform(data)
+        test = md.reg_metrics(scored.where("is_test")).first()
+        assert (r["test_r2"], r["test_mae"], r["test_rmse"]) == (test["r2"], test["mae"], test["rmse"])
+
+
 def test_split_is_stable(numbers):
     _, _, df = numbers
     a = {r["id"] for r in md.train_test_split(df).where("is_test").collect()}
