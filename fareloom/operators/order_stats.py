@@ -4,7 +4,8 @@ Values fall into buckets by a function that keeps their order, so that the numbe
 on the range of the values and not on the number of rows. A first pass counts the rows per bucket,
 which combines map-side. Running totals over the buckets (a small table) tell which buckets hold the
 wanted positions. A second pass keeps the rows of those buckets alone, counts equal values, and
-orders the distinct ones.
+orders the distinct ones. A bucket that holds too many rows is first split between its least and its
+greatest value, as often as it takes, so that what one task orders is bounded whatever the values are.
 """
 
 import math
@@ -15,9 +16,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fareloom.operators.joins import join_on
+from fareloom.session import materialize
 
 BUCKETS_PER_E = 1000  # a bucket spans 0.1 % of its values
 TARGET_ROWS = 200_000  # most buckets that are broadcast to pick rows
+BUCKET_ROWS = 1_000_000  # a bucket of more rows, and of more than one value, is split again
+SPLIT = 1024  # parts of a bucket that is split
+LEVELS = 4  # after so many splits no more than a few doubles lie between the ends of a bucket
 
 
 def order_bucket(v: str) -> str:
@@ -50,23 +55,33 @@ def percentiles(df: DataFrame, keys, value: str, wanted: dict) -> DataFrame:
     holds = " OR ".join(
         f"(upto - m <= {position} AND {position} < upto)" for position in {*lows.values(), *highs.values()}
     )
-    targets = (
-        rows.groupBy(*names, "b")
-        .agg(F.expr("count(1) AS m"))
-        .selectExpr(
-            "*",
-            f"sum(m) OVER (PARTITION BY {by} ORDER BY b ROWS UNBOUNDED PRECEDING) AS upto",
-            f"sum(m) OVER (PARTITION BY {by}) AS total",
-        )
-        .where(holds)
-        .selectExpr(*names, "b", "upto - m AS before", "total")
-    )
+    counts = rows.groupBy(*names, "b").agg(F.expr("count(1) AS m"), F.expr("min(v) AS lo"), F.expr("max(v) AS hi"))
+    targets = counts.selectExpr(
+        "*",
+        f"sum(m) OVER (PARTITION BY {by} ORDER BY b ROWS UNBOUNDED PRECEDING) AS upto",
+        f"sum(m) OVER (PARTITION BY {by}) AS total",
+    ).where(holds).selectExpr(*names, "b", "upto - m AS before", "m", "total", "lo", "hi")
     where = [*(keys or ["__all"]), "b"]
-    small = bounded(targets, TARGET_ROWS)
-    if small is not None:
+    small, targets = _held(targets)
+    for _ in range(LEVELS):
+        if targets.where(f"m > {BUCKET_ROWS} AND lo < hi").isEmpty():
+            break
+        # each target bucket becomes its parts; those without a wanted position are dropped again
+        rows = join_on(rows, F.broadcast(targets) if small else targets, where)
+        rows = rows.selectExpr(*names, "v", f"b * {SPLIT} + {_part('v', 'lo', 'hi')} AS b", "b AS parent", "before", "total")
+        counts = rows.groupBy(*names, "parent", "b").agg(
+            F.expr("count(1) AS m"), F.expr("min(v) AS lo"), F.expr("max(v) AS hi"), F.expr("max(before) AS before"), F.expr("max(total) AS total")
+        )
+        rows = rows.drop("parent", "before", "total")
+        targets = counts.selectExpr(
+            "*", f"before + sum(m) OVER (PARTITION BY {by}, parent ORDER BY b ROWS UNBOUNDED PRECEDING) AS upto"
+        ).where(holds).selectExpr(*names, "b", "upto - m AS before", "m", "total", "lo", "hi")
+        small, targets = _held(targets)
+    targets = targets.drop("m", "lo", "hi")
+    if small:
         # few groups: drop all other rows before anything is shuffled
         counted = (
-            join_on(rows, F.broadcast(small), where)
+            join_on(rows, F.broadcast(targets), where)
             .groupBy(*names, "b", "before", "total", "v")
             .agg(F.expr("count(1) AS n"))
         )
@@ -93,6 +108,18 @@ def percentiles(df: DataFrame, keys, value: str, wanted: dict) -> DataFrame:
     return picked.selectExpr(*[f"`{k}`" for k in keys], *between)
 
 
+def _part(v: str, lo: str, hi: str) -> str:
+    """Which of the ``SPLIT`` parts of a bucket a value falls into; never decreases as v grows."""
+    share = f"({v} / 2 - {lo} / 2) / ({hi} / 2 - {lo} / 2)"  # halves, as the ends may be the extremes of a double
+    return f"CASE WHEN {lo} / 2 < {hi} / 2 THEN least({SPLIT - 1}, CAST(floor({share} * {SPLIT}) AS bigint)) ELSE 0 END"
+
+
+def _held(targets: DataFrame) -> tuple[bool, DataFrame]:
+    """Whether there are few target buckets, and the buckets: local rows if so, else a written table."""
+    few = bounded(targets, TARGET_ROWS)
+    return few is not None, materialize(targets, "target-buckets") if few is None else few
+
+
 def bounded(df: DataFrame, most: int) -> DataFrame | None:
     """The result as a local table if it has at most that many rows, else None."""
     rows = df.limit(most + 1).toArrow()
@@ -115,9 +142,17 @@ def rank_table(df: DataFrame, measure: str) -> DataFrame:
     """Distinct values of a measure with their place in the whole table, greatest first.
 
     Columns: v, n (rows with the value), above (rows with a greater value), dense (1, 2, ...).
-    The window without a partition runs over buckets, of which there is a fixed number at most.
+    The window without a partition runs over buckets: a fixed number, and the parts of those with
+    more than ``BUCKET_ROWS`` distinct values.
     """
-    values = bucketed(df, [], measure).groupBy("b", "v").agg(F.count(F.lit(1)).alias("n"))
+    values = materialize(bucketed(df, [], measure).groupBy("b", "v").agg(F.count(F.lit(1)).alias("n")), "values")
+    for _ in range(LEVELS):
+        full = values.groupBy("b").agg(F.count(F.lit(1)).alias("d"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        full = full.where(F.col("d") > BUCKET_ROWS).select("b", "lo", "hi")  # no more than the values / BUCKET_ROWS
+        if full.isEmpty():
+            break
+        parts = F.expr(f"b * {SPLIT} + {_part('v', 'coalesce(lo, v)', 'coalesce(hi, v)')}")
+        values = materialize(values.join(full, "b", "left").select(parts.alias("b"), "v", "n"), "values")
     downwards = W.orderBy(F.col("b").desc()).rowsBetween(W.unboundedPreceding, -1)
     buckets = (
         values.groupBy("b")

@@ -45,6 +45,33 @@ def test_percentiles_with_many_groups(spark, monkeypatch):
     check(spark, skewed())
 
 
+@pytest.mark.parametrize("most", [1, 200_000])
+def test_a_bucket_of_very_many_values_is_split(spark, monkeypatch, most):
+    """10^6 distinct doubles within one bucket of 0.1 %, another group beside it, and equal values in the middle."""
+    monkeypatch.setattr(order_stats, "TARGET_ROWS", most)
+    monkeypatch.setattr(order_stats, "BUCKET_ROWS", 5000)
+    n = 1_000_000
+    close = spark.range(n).selectExpr("'a' AS k", "1000D + (id * 7919 % 1000000) * 1e-9 AS v")
+    df = close.unionByName(spark.range(50_000).selectExpr("'a' AS k", "1000.0005D AS v")).unionByName(spark.range(9).selectExpr("'b' AS k", "CAST(id AS double) AS v"))
+    got = {r["k"]: r for r in order_stats.percentiles(df, ["k"], "v", WANTED).collect()}
+    a = np.concatenate((1000 + np.arange(n) * 1e-9, np.full(50_000, 1000.0005)))
+    for name, p in WANTED.items():
+        assert got["a"][name] == pytest.approx(np.percentile(a, p * 100), rel=1e-14)
+        assert got["b"][name] == np.percentile(np.arange(9), p * 100)
+
+
+def test_ranks_within_a_bucket_of_very_many_values(spark, monkeypatch):
+    monkeypatch.setattr(order_stats, "TARGET_ROWS", 1)
+    monkeypatch.setattr(order_stats, "BUCKET_ROWS", 500)
+    n = 100_000
+    df = spark.range(n).selectExpr("id", "1000D + (id * 7919 % 100000) div 2 * 1e-8 AS v").unionByName(spark.range(5).selectExpr("-1 - id AS id", "-2000D - id AS v"))
+    got = order_stats.with_rank(df, "v", "r", "average")
+    place = "(id * 7919 % 100000) div 2"
+    assert got.where(f"id >= 0 AND r <> 100000 - 2 * ({place}) - 0.5").isEmpty()
+    assert sorted(r["r"] for r in got.where("id < 0").collect()) == [n + k for k in range(1, 6)]
+    assert order_stats.rank_table(df, "v").agg(F.max("dense")).first()[0] == n // 2 + 5
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=30))
 def test_percentiles_of_any_values(spark, values):
