@@ -12,13 +12,11 @@ from fareloom.functions import bands, fixed
 from fareloom.functions.numbers import round_to
 from fareloom.operators.joins import HOT_SHARE, LOOKUP_ROWS, cross_one, join_on, salted_join
 from fareloom.operators.order_stats import (
-    bounded,
     column_percentiles,
     percentiles,
     unpivot,
     with_rank,
 )
-from fareloom.operators.profile import median_fills
 from fareloom.session import materialize
 
 TARGET = "total_fare_bdt"
@@ -40,6 +38,10 @@ def route_counts(df: DataFrame) -> DataFrame:
     return df.where("route IS NOT NULL").groupBy("route").agg(F.count(F.lit(1)).alias("route_popularity"))
 
 
+#: Key of the route table among the column names of ``FeatureModel.small``.
+POPULARITY = "route popularity"
+
+
 def peak_numeric(df: DataFrame) -> DataFrame:
     flag = F.coalesce(F.col("is_peak_season").cast("int"), F.lit(0))
     return df.withColumn("is_peak_season_numeric", flag)
@@ -65,16 +67,30 @@ def category_text(df: DataFrame, column: str):
 
 
 def category_codes(df: DataFrame, columns) -> DataFrame:
-    """(column_name, value, code, is_hot): 0, 1, ... by sorted value; hot values hold 1/1000 of the
-    rows or more. Values are counted map-side; the windows see distinct values only."""
+    """(column_name, value, code, is_hot), written: 0, 1, ... by sorted value; hot values hold 1/1000 of the rows or more.
+
+    Values are counted map-side. The distinct ones are sorted by ranges and numbered where they lie, each range from 0; the
+    numbers before a range are the running sum of the range sizes, of which there are as many as ranges and columns.
+    """
     texts = df.select(*[category_text(df, c).alias(c) for c in columns])
     values = unpivot(texts, columns, "string").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    order = ["column_name", "value"]
+    placed = values.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    placed = materialize(placed, "sorted-values")
+    part = F.shiftright("at", 33)  # the range; the place within it is in the lower bits
+    ranges = placed.groupBy("column_name", part.alias("part")).agg(F.count(F.lit(1)).alias("m"), F.min("at").alias("first"), F.sum("n").alias("rows"))
     column = W.partitionBy("column_name")
-    return values.select(
-        "column_name",
-        "value",
-        (F.row_number().over(column.orderBy("value")) - 1).alias("code"),
-        (F.col("n") * HOT_SHARE >= F.sum("n").over(column)).alias("is_hot"),
+    before = F.coalesce(F.sum("m").over(column.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    ranges = ranges.select(
+        F.col("column_name").alias("__column"), F.col("part").alias("__part"), (before - F.col("first")).alias("__shift"), F.sum("rows").over(column).alias("__rows")
+    )
+    out = placed.join(F.broadcast(ranges), (F.col("column_name") == F.col("__column")) & (part == F.col("__part")))
+    return materialize(
+        out.select(
+            "column_name", "value", (F.col("at") + F.col("__shift")).cast("int").alias("code"),
+            (F.col("n") * HOT_SHARE >= F.col("__rows")).alias("is_hot"),
+        ),
+        "codes",
     )
 
 
@@ -86,7 +102,7 @@ class FeatureModel:
     missing_popularity: float
     fills: dict
     codes: DataFrame
-    codes_are_small: bool
+    small: dict  # column -> whether its table may be broadcast, by its counted rows
     categories: list
     scales: dict = field(default_factory=dict)
     medians: dict = field(default_factory=dict)
@@ -96,7 +112,7 @@ class FeatureModel:
         """The learnt tables as Parquet, the plain values as one line of JSON."""
         spark = self.codes.sparkSession
         plain = {
-            "missing_popularity": self.missing_popularity, "fills": self.fills, "codes_are_small": self.codes_are_small,
+            "missing_popularity": self.missing_popularity, "fills": self.fills, "small": self.small,
             "categories": self.categories, "scales": self.scales, "medians": self.medians,
             "feature_names": self.feature_names, "has_routes": self.popularity is not None,
         }
@@ -142,7 +158,7 @@ class FeatureModel:
         return df.drop(*category_columns(df))
 
     def _lookup(self, df, table, key, column):
-        if self.codes_are_small:  # fitting has counted the rows of both tables
+        if self.small[column if table is not self.popularity else POPULARITY]:  # fitting has counted the rows of each table
             return join_on(df, F.broadcast(table), [key], "left", null_safe=False)
         hot = self.codes.where((F.col("column_name") == column) & F.col("is_hot"))
         return salted_join(df, table, key, "id", hot=hot.select(F.col("value").alias(key)))
@@ -197,21 +213,18 @@ def fit_features(df: DataFrame) -> FeatureModel:
         missing = float(row["m"]) if row else 0.0
     categories = category_columns(df)
     codes = category_codes(df, categories)
-    small = bounded(codes, LOOKUP_ROWS)
-    few_routes = counts is None or counts.count() <= LOOKUP_ROWS
-    model = FeatureModel(
-        popularity=counts,
-        missing_popularity=missing,
-        fills={},
-        codes=small if small is not None else materialize(codes, "category_codes"),
-        codes_are_small=small is not None and few_routes,
-        categories=categories,
-    )
-    derived = model.derive(df)
-    model.fills = median_fills(derived, number_columns(derived))
-    filled = fill_numbers(derived, model.fills)
-    model.scales = scale_stats(filled, number_columns(filled))
-    model.medians = column_medians(scale(filled, model.scales), number_columns(filled))
+    sizes = {r["column_name"]: r["count"] for r in codes.groupBy("column_name").count().collect()}  # a row a column
+    small = {c: sizes.get(c, 0) <= LOOKUP_ROWS for c in categories}
+    small[POPULARITY] = counts is None or counts.count() <= LOOKUP_ROWS
+    model = FeatureModel(popularity=counts, missing_popularity=missing, fills={}, codes=codes, small=small, categories=categories)
+    derived = materialize(model.derive(df).drop(*category_columns(df)), "derived")  # read for the gaps, medians and scales
+    numbers = number_columns(derived)
+    medians = column_medians(derived, numbers)
+    gaps = derived.agg(*[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(c) for c in numbers]).first()
+    model.fills = {c: float(medians.get(c, 0.0)) for c in numbers if gaps[c]}
+    model.scales = scale_stats(fill_numbers(derived, model.fills), numbers)
+    # filling gaps with the median leaves it where it is, and scaling moves it like any value
+    model.medians = {c: (medians.get(c, 0.0) - mean) / (std if std else 1.0) for c, (mean, std) in model.scales.items()}
     model.feature_names = [c for c in model.transform(df).columns if c not in NOT_FEATURES]
     return model
 
@@ -275,7 +288,7 @@ def popularity_feature(df: DataFrame) -> DataFrame:
 
 def label_encode(df: DataFrame, columns) -> DataFrame:
     """Encode columns by their own sorted values, keeping the texts."""
-    codes = materialize(category_codes(df, columns), "codes")
+    codes = category_codes(df, columns)
     for c in columns:
         table = codes.where(F.col("column_name") == c).select(F.col("value").alias(c), F.col("code").alias(f"{c}_encoded"))
         df = df.withColumn(c, category_text(df, c)).join(table, c, "left")

@@ -181,10 +181,26 @@ def test_feature_model_with_large_dictionaries(spark, monkeypatch):
     want = sorted(map(str, ft.fit_features(frame).transform(frame).collect()))
     monkeypatch.setattr(ft, "LOOKUP_ROWS", 3)
     model = ft.fit_features(frame)
-    assert not model.codes_are_small
+    assert model.small == {**dict.fromkeys(model.categories, True), "source_code": False, "destination_code": False, "route": False, ft.POPULARITY: False}
     assert sorted(map(str, model.transform(frame).collect())) == want
 
 
+def test_a_dictionary_of_very_many_values(spark, monkeypatch):
+    """10^6 distinct values in many ranges: numbered in order, hot ones marked, and no window over the values."""
+    monkeypatch.setattr(ft, "LOOKUP_ROWS", 1000)
+    n = 1_000_000
+    df = spark.range(n).selectExpr("CAST(id AS string) AS id", "concat('v', lpad(id * 7919 % 1000000, 7, '0')) AS many", "concat('f', id % 3) AS few")
+    df = df.unionByName(spark.range(3000).selectExpr("CAST(-1 - id AS string) AS id", "'hot' AS many", "CAST(NULL AS string) AS few"))
+    codes = ft.category_codes(df.repartition(7), ["many", "few"])
+    few = {r["value"]: (r["code"], r["is_hot"]) for r in codes.where("column_name = 'few'").collect()}
+    assert few == {"f0": (0, True), "f1": (1, True), "f2": (2, True), "missing": (3, True)}
+    many = codes.where("column_name = 'many'")
+    assert many.where("value <> 'hot' AND code <> CAST(substr(value, 2) AS int) + 1").isEmpty() and many.count() == n + 1
+    assert [tuple(r)[1:] for r in many.where("is_hot").collect()] == [("hot", 0, True)]
+    out = ft.label_encode(df, ["many", "few"])
+    assert out.where("many_encoded IS NULL OR few_encoded IS NULL").isEmpty() and out.count() == n + 3000
+
+
 def test_constant_and_empty_columns(spark):
     df = spark.createDataFrame([(1.0, None, None), (1.0, None, 4.0), (1.0, None, 8.0)], "k double, e double, g double")
     stats = ft.scale_stats(df.fillna(0), ["k", "e"])
