@@ -7,15 +7,19 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fareloom.functions import fixed
 from fareloom.operators import audit, gold, incremental, quality, scd
 from fareloom.operators.silver import silver_clean
 from fareloom.operators.validate import validate_rows
 from fareloom.sources import files
-from fareloom.sources.ledger import Ledger
+from fareloom.session import path_size
+from fareloom.sources.ledger import Ledger, schema_of
+from fareloom.sources.tables import dataset_metadata, latest_row
 
 STAGING, BRONZE = "validated_flights", "bronze_validated_flights"
+METADATA = "dataset_metadata"
 SILVER, LOG = "silver_cleaned_flights", "load_log"
 AUDIT = "audit_log"
 
@@ -36,15 +40,39 @@ def with_ids(staged: DataFrame, at) -> DataFrame:
     return staged.withColumn("id", F.concat_ws("-", content, F.monotonically_increasing_id()))
 
 
-def load(ledger: Ledger, extract: DataFrame, at, token=None, source_file=None) -> dict:
-    """Stage an extract, apply it to bronze and log it: one commit, so that all three show it or none does.
+def typed(extract: DataFrame, last: dict | None, known: T.StructType) -> tuple[DataFrame, list[str]]:
+    """An extract whose columns beyond the usual ones have types, and the names of those not seen before.
 
-    ``token`` (a name and a number that grows) is kept with the commit: a call with a number that is done is a no-op.
+    ``last`` is the metadata row of the file before, ``known`` the schema of bronze. Types are taken from all values of a
+    column that bronze does not have or keeps as something narrower than text; other columns stay as they came.
+    """
+    df = files.rename_columns(extract)
+    usual = {"id", *fixed.CSV_HEADERS.values(), files.CORRUPT}
+    kinds = {f.name: f.dataType for f in known.fields}
+    own = [c for c in df.columns if c not in usual and not isinstance(kinds.get(c), T.StringType)]
+    texts = [c for c in own if isinstance(df.schema[c].dataType, T.StringType)]
+    if texts:
+        found = files.infer_text_types(df, texts)
+        df = df.withColumns({c: files.present(c).try_cast(files.SPARK_TYPES[found[c]]) for c in texts})
+    fresh = [c for c in own if c not in kinds] if last is not None else []
+    return df, fresh
+
+
+def load(ledger: Ledger, extract: DataFrame, at, token=None, source_file=None, size=0) -> dict:
+    """Stage an extract, apply it to bronze, log it and describe its file: one commit, so that all show it or none does.
+
+    New columns get types and go through all layers; a type that proves too narrow is widened. ``token`` (a name and a
+    number that grows) is kept with the commit: a call with a number that is done is a no-op. ``size`` is that of the file.
     """
     if token and ledger.state()["tokens"].get(token[0], 0) >= token[1]:
         return {"load_type": "NONE", "records_inserted": 0, "records_deleted": 0, "change_percentage": 0.0}
     began, commit = time.monotonic(), ledger.begin()
+    previous = commit.read(METADATA) if METADATA in commit.tables else None
+    last = latest_row(previous, "id").first() if previous is not None else None
+    known = schema_of(commit.tables[BRONZE]) if BRONZE in commit.tables else T.StructType()
+    extract, fresh = typed(extract, last and last.asDict(), known)
     commit.overwrite(STAGING, with_ids(stage(extract), at))
+    commit.append(METADATA, dataset_metadata(extract, source_file, size, fresh, previous, at))
     incoming = incremental.with_hash(commit.read(STAGING).where("is_valid"))
     stats = incremental.load_into(commit, BRONZE, incoming, at)
     counted = ledger.spark.createDataFrame([tuple(stats.values())], incremental.STATS)
@@ -100,7 +128,7 @@ def load_run(spark: SparkSession, root: str, csv_path: str, at, domestic=fixed.D
     ledger = Ledger(spark, root)
     run = str(at)
     with logged(ledger, run, "load") as task:
-        stats = load(ledger, files.scan_csv(spark, csv_path), at, source_file=csv_path)
+        stats = load(ledger, files.scan_csv(spark, csv_path), at, source_file=csv_path, size=path_size(spark, csv_path))
         task["rows"] = stats["records_inserted"] + stats["records_deleted"]
     last = spark.createDataFrame(
         [(stats["load_type"], float(stats["change_percentage"]), stats["records_inserted"], stats["records_deleted"])],

@@ -60,10 +60,23 @@ class Ledger:
         return Commit(self, commit).read(name, split, buckets)
 
     def _frame(self, table: dict, parts: list[dict]) -> DataFrame:
-        schema = T.StructType.fromJson(table["schema"])
+        """Parts are read by the schema they were written with, of which there are few, and cast to the last one."""
+        schema = schema_of(table)
         if not parts:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.root}/data/{p['path']}" for p in parts])
+        out = None
+        for number in sorted({p["schema"] for p in parts}):
+            written = T.StructType.fromJson(table["schemas"][number])
+            kinds = {f.name: f.dataType for f in written.fields}
+            paths = [f"{self.root}/data/{p['path']}" for p in parts if p["schema"] == number]
+            rows = self.spark.read.schema(written).parquet(*paths)
+            if written != schema:
+                rows = rows.select(*[
+                    (F.col(f.name) if kinds.get(f.name) == f.dataType else F.col(f.name).cast(f.dataType) if f.name in kinds else F.lit(None).cast(f.dataType)).alias(f.name)
+                    for f in schema.fields
+                ])
+            out = rows if out is None else out.unionByName(rows)
+        return out
 
     def begin(self) -> "Commit":
         return Commit(self)
@@ -112,26 +125,37 @@ class Commit:
     def create(self, name: str, key: str | None, size: int = 0) -> None:
         """An empty table, in the place of one of this name. With a key it gets buckets for about ``size`` bytes."""
         buckets = max(8, -(-size // BUCKET_BYTES)) if key else 1
-        self.tables[name] = {"key": key, "buckets": buckets, "schema": T.StructType().jsonValue(), "parts": []}
+        self.tables[name] = {"key": key, "buckets": buckets, "schemas": [], "parts": []}
 
     def append(self, name: str, df: DataFrame, split: str = "") -> None:
-        """Rows go to folders of their own, a bucket each. Columns the table does not have yet are added to it."""
+        """Rows go to folders of their own, a bucket each.
+
+        Columns the table does not have yet are added to it, and a column whose new values its type cannot hold gets a wider one:
+        a new version of the schema, by which the old folders are read from then on. Nothing old is written again.
+        """
         if name not in self.tables:
             self.create(name, None)
         table = self.tables[name]
-        table["schema"] = _widened(T.StructType.fromJson(table["schema"]), df.schema).jsonValue()
+        schema = widened(schema_of(table), df.schema)
+        if not table["schemas"] or schema != schema_of(table):
+            table["schemas"].append(schema.jsonValue())
+        number, kinds = len(table["schemas"]) - 1, {f.name: f.dataType for f in df.schema.fields}
+        df = df.select(*[
+            (F.col(f.name).cast(f.dataType) if f.name in kinds else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields
+        ])
         folder = f"{name}-{self.number:08d}-{uuid.uuid4().hex}"
         path = f"{self.ledger.root}/data/{folder}"
         if not table["key"]:
             df.write.parquet(path)
-            table["parts"].append({"path": folder, "split": split, "bucket": 0})
+            table["parts"].append({"path": folder, "split": split, "bucket": 0, "schema": number})
             return
         # adaptive execution splits a bucket that copies of one key make large, and merges small ones
         rows = df.withColumn(BUCKET, bucket_of(table["key"], table["buckets"])).hint("rebalance", BUCKET)
         rows.write.partitionBy(BUCKET).parquet(path)
         for written in self.ledger._names(f"data/{folder}"):
             if written.startswith(f"{BUCKET}="):
-                table["parts"].append({"path": f"{folder}/{written}", "split": split, "bucket": int(written.split("=")[1])})
+                bucket = int(written.split("=")[1])
+                table["parts"].append({"path": f"{folder}/{written}", "split": split, "bucket": bucket, "schema": number})
 
     def rewrite(self, name: str, df: DataFrame, split: str, buckets) -> None:
         """The rows of these buckets of a split give way to ``df``; all other folders stay as they are."""
@@ -174,11 +198,30 @@ class Commit:
         return self.number
 
 
-def _widened(old: T.StructType, new: T.StructType) -> T.StructType:
-    """The columns of both; a column that both have must have one type."""
-    kinds = {f.name: f.dataType for f in old.fields}
-    for f in new.fields:
-        if f.name != BUCKET and kinds.get(f.name, f.dataType) != f.dataType:
-            raise TypeError(f"{f.name} is {kinds[f.name].simpleString()}, not {f.dataType.simpleString()}")
-    added = [T.StructField(f.name, f.dataType, True) for f in new.fields if f.name not in kinds]
-    return T.StructType([*old.fields, *added])
+def schema_of(table: dict) -> T.StructType:
+    """The last version of a table's schema."""
+    return T.StructType.fromJson(table["schemas"][-1]) if table["schemas"] else T.StructType()
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A type that holds the values of both: integers to bigint, bigint to decimal, anything else to text."""
+    if a == b:
+        return a
+    if isinstance(a, T.NullType) or isinstance(b, T.NullType):
+        return b if isinstance(a, T.NullType) else a
+    if isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType):
+        return T.LongType()
+    exact = [T.DecimalType(19, 0) if isinstance(t, T.IntegralType) else t for t in (a, b)]
+    if all(isinstance(t, T.DecimalType) for t in exact):
+        scale = max(t.scale for t in exact)
+        return T.DecimalType(min(38, max(t.precision - t.scale for t in exact) + scale), scale)
+    if all(isinstance(t, (T.FloatType, T.DoubleType)) for t in (a, b)):
+        return T.DoubleType()
+    return T.StringType()
+
+
+def widened(old: T.StructType, new: T.StructType) -> T.StructType:
+    """The columns of both, each with a type that holds the values of both."""
+    kinds, had = {f.name: f.dataType for f in new.fields}, {f.name for f in old.fields}
+    kept = [T.StructField(f.name, wider(f.dataType, kinds.get(f.name, f.dataType)), True) for f in old.fields]
+    return T.StructType(kept + [T.StructField(f.name, f.dataType, True) for f in new.fields if f.name not in had])

@@ -113,7 +113,7 @@ def dataset_metadata(df: DataFrame, file_name: str, file_size: int, new_columns,
         F.create_map(*[F.lit(x) for f in fields for x in (f.name, f.dataType.simpleString())])
     )
     row = df.agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.lit(file_name).alias("file_name"),
+        F.lit(file_name).cast("string").alias("file_name"),
         F.lit(at).cast("timestamp_ntz").alias("download_timestamp"),
         F.lit(file_size).cast("bigint").alias("file_size_bytes"),
         "row_count",

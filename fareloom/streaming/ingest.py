@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from fareloom.operators.features import FeatureModel
 from fareloom.operators.score import batch_score
 from fareloom.plans.load import load
+from fareloom.session import path_size
 from fareloom.sources.files import CORRUPT, scan_csv
 from fareloom.sources.ledger import Ledger
 
@@ -37,7 +38,8 @@ def stream_ingest(spark: SparkSession, drop_dir: str, ledger: Ledger, checkpoint
         names = [r["value"] for r in batch.orderBy("announced", "value").collect()]  # at most EXTRACTS
         for place, name in enumerate(names):
             number = batch_id * EXTRACTS + place
-            load(ledger, scan_csv(spark, f"{drop_dir}/{name}").drop(CORRUPT), stamp(number), token=("stream", number + 1), source_file=name)
+            path = f"{drop_dir}/{name}"
+            load(ledger, scan_csv(spark, path).drop(CORRUPT), stamp(number), ("stream", number + 1), name, path_size(spark, path))
 
     return (
         read_drops(spark, drop_dir)

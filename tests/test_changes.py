@@ -228,6 +228,30 @@ def test_load_run_end_to_end(spark, make):
     assert store.read(load_plan.LOG).where("execution_time_seconds < 1 OR source_file IS NULL").isEmpty()
 
 
+def test_new_columns_get_types_that_widen(spark, make):
+    """Points come as integers, then with decimals, then as words; a metadata row a file says what was new."""
+    root = new_path(spark, "wide")
+    base = [{"base_fare_bdt": 100.0 + i} for i in range(6)]
+    ledger = Ledger(spark, root)
+    kinds, steps = [], [{}, {"Points": "7", "Tier Name": "gold"}, {"Points": "7.25"}, {"Points": "many"}]
+    for n, more in enumerate(steps):
+        path = write_csv(make(*base, {"base_fare_bdt": 500.0 + n}), new_path(spark, "csv"), **more)
+        assert load_plan.load_run(spark, root, path, f"2025-0{n + 1}-01 00:00:00")["records_inserted"] == (7 if n == 0 else 1)
+        bronze = ledger.read(load_plan.BRONZE)
+        kinds.append(dict(bronze.dtypes).get("points"))
+        assert bronze.count() == 7 + n and bronze.where("is_active").count() == 7
+    assert kinds == [None, "bigint", "decimal(21,2)", "string"]
+    points = {(r["base_fare_bdt"], r["points"]) for r in ledger.read(load_plan.BRONZE).collect() if r["base_fare_bdt"] >= 500}
+    assert points == {(500.0, None), (501.0, "7"), (502.0, "7.25"), (503.0, "many")}
+    assert ledger.read(load_plan.BRONZE, commit=[n for n in ledger.commits() if "points" in dict(ledger.read(load_plan.BRONZE, commit=n).dtypes)][0]).where("points = 7").count() == 1
+    assert dict(ledger.read(load_plan.SILVER).dtypes)["points"] == "string" and "tier_name" in ledger.read(load_plan.SILVER).columns
+    notes = ledger.read(load_plan.METADATA).orderBy("id").collect()
+    assert [(r["id"], r["previous_metadata_id"], r["schema_changed"], r["new_columns_added"]) for r in notes] == [
+        (1, None, False, None), (2, 1, True, "points, tier_name"), (3, 2, False, None), (4, 3, False, None),
+    ]
+    assert all(r["row_count"] == 7 and r["file_size_bytes"] > 0 for r in notes) and notes[0]["schema_hash"] != notes[1]["schema_hash"]
+
+
 def test_stream_equals_batch(spark, make):
     drop = new_path(spark, "drop")
     extracts = [make(*[{"base_fare_bdt": float(v)} for v in values]) for values in ([1, 2, 3, 4], [2, 3, 4, 5])]
