@@ -1,8 +1,9 @@
 """Mixing sources to target weights: blocks with release times and deadlines, earliest deadline first."""
 
 import heapq
-from bisect import bisect_left
-from itertools import groupby, islice
+import math
+from fractions import Fraction
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 from fareloom.llm.ranks import ranked, stratum, unit
 from fareloom.session import materialize
 
-#: Slots of a frame of ``schedule``, and documents of a block.
-FRAME, BLOCK = 512, 32
+#: Documents of a block at least, and blocks of a mixture (and the short last ones of the sources) at most: with more
+#: documents blocks are longer, so that the one task which goes through them has no more steps, whatever the input.
+BLOCK, MOST_BLOCKS = 32, 1 << 22
 #: Rows of the plan that are handed to Spark at once.
 PLAN_ROWS = 1 << 16
 
@@ -41,20 +43,24 @@ def _served(n: list[int], weights: list[float]):
     if not n:
         return
     parts = [float(w).as_integer_ratio() for w in weights]
-    scale = max(d for _, d in parts)
+    scale = math.lcm(*[d for _, d in parts])
     w = [x * (scale // d) for x, d in parts]
     ends, served, active = [], [0], [sum(w)]
-    for end, i in sorted((n[i] / w[i], i) for i in range(len(n))):
+    for end, i in sorted((Fraction(n[i], w[i]), i) for i in range(len(n))):
         if not ends or end > ends[-1]:
             ends.append(end)
             served.append(served[-1])
             active.append(active[-1])
         served[-1] += n[i]
         active[-1] -= w[i]
+    stage = [0] * len(n)
 
     def slots(i, k):
-        """The slots before and after which k blocks of a source are served."""
-        j = bisect_left(ends, k / w[i])
+        """The slots before and after which k blocks of a source are served; k grows from call to call."""
+        j = stage[i]
+        while k * ends[j].denominator > ends[j].numerator * w[i]:
+            j += 1
+        stage[i] = j
         x = k * active[j]
         return served[j] + x // w[i], served[j] - (-x // w[i])
 
@@ -82,83 +88,14 @@ def _served(n: list[int], weights: list[float]):
                 heapq.heappush(later, (release[i], deadline, i))
 
 
-def shares(weights: dict[str, float], frame: int) -> dict[str, int]:
-    """Slots of a frame for each source: its weight's part, one at least, largest remainders first."""
-    whole = sum(weights.values())
-    exact = {s: w / whole * frame for s, w in weights.items()}
-    out = {s: max(1, int(x)) for s, x in exact.items()}
-    order = sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))
-    k = 0
-    while (missing := frame - sum(out.values())) != 0:
-        s = order[k % len(order)] if missing > 0 else max(out, key=lambda s: (out[s], s))
-        out[s] += 1 if missing > 0 else -1
-        k += 1
-    return out
-
-
-def frame_slots(counts: dict[str, int]) -> dict[str, list[int]]:
-    """One frame by earliest deadline first. Block i of a source with q of n slots may start at floor(i n / q) and
-    must be done by ceil((i + 1) n / q). As the counts fill the frame, every deadline is met, so at no time is a
-    source a whole block ahead of or behind its share."""
-    n = sum(counts.values())
-    release = [[] for _ in range(n)]
-    for s, q in counts.items():
-        for i in range(q):
-            release[i * n // q].append((-(-(i + 1) * n // q), s))
-    ready, out = [], {s: [] for s in counts}
-    for t in range(n):
-        for job in release[t]:
-            heapq.heappush(ready, job)
-        deadline, s = heapq.heappop(ready)
-        if t >= deadline:
-            raise AssertionError("a deadline was missed")
-        out[s].append(t)
-    return out
-
-
-def schedule(blocks: dict[str, int], weights: dict[str, float], frame: int = FRAME) -> list[dict]:
-    """Phases for each source: first block, blocks, first slot, blocks and slots of a frame, slots within it.
-
-    Frames repeat until a source has no full frame left; then comes one frame of what it has, and the others
-    share its slots by their weights. Sources without a positive weight follow when all others are used up.
-    """
-    left, out, slot = {s: n for s, n in blocks.items() if n > 0}, [], 0
-    done = dict.fromkeys(left, 0)
-    while left:
-        active = {s: weights[s] for s in left if weights.get(s, 0) > 0} or {s: float(blocks[s]) for s in left}
-        q = shares(active, max(frame, len(active)))
-        frames = min(left[s] // q[s] for s in q)
-        if not frames:
-            q, frames = {s: min(left[s], q[s]) for s in q}, 1
-        n = sum(q.values())
-        for s, slots in frame_slots(q).items():
-            out.append({"stratum": s, "first_block": done[s], "blocks": q[s] * frames, "first_slot": slot, "q": q[s], "frame": n, "slots": slots})
-            done[s] += q[s] * frames
-            left[s] -= q[s] * frames
-        slot += n * frames
-        left = {s: m for s, m in left.items() if m}
-    return out
-
-
-def by_frames(blocks: list[int], weights: list[float], frame: int):
-    """As ``by_deadline``, but in the frames of ``schedule``, whose releases and deadlines are those of rounded weights."""
-    plan = schedule(dict(enumerate(blocks)), dict(enumerate(weights)), frame)
-    for base, phase in groupby(plan, lambda p: p["first_slot"]):
-        phase = list(phase)
-        order = [(p, k) for _, k, p in sorted(((t, k, p) for p in phase for k, t in enumerate(p["slots"])), key=lambda x: x[0])]
-        for f in range(phase[0]["blocks"] // phase[0]["q"]):
-            for p, k in order:
-                n, q = p["frame"], p["q"]
-                yield p["stratum"], p["first_block"] + f * q + k, base + k * n // q, base - (-(k + 1) * n // q)
-            base += len(order)
-
-
-def block_plan(counts: DataFrame, weights: dict | None, power: float, frame: int | None, block: int) -> DataFrame:
+def block_plan(counts: DataFrame, weights: dict | None, power: float, block: int) -> DataFrame:
     """One row per block, from (stratum, n): stratum, block, release, deadline, slot, and start, the documents before it.
 
-    Each slot depends on the one before it, so one task goes through them, a step per block; it holds a few numbers a
-    source, and hands over the blocks as it goes."""
+    Each slot depends on the one before it, so one task goes through them, a step per block, of which there are about
+    ``MOST_BLOCKS`` at most; it holds a few numbers a source, and hands over the blocks as it goes."""
     target = None if weights is None else {"" if s is None else f"={s}": float(w) for s, w in weights.items()}
+    if target and not all(map(math.isfinite, target.values())):
+        raise ValueError("weights have to be finite")
 
     def run(batches):
         found = sorted(row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
@@ -166,7 +103,7 @@ def block_plan(counts: DataFrame, weights: dict | None, power: float, frame: int
         w = [k**power if target is None else target.get(s, 0.0) for s, k in found]
         del found
         blocks = [-(-k // block) for k in n]
-        order = by_deadline(blocks, w) if frame is None else by_frames(blocks, w, frame)
+        order = by_deadline(blocks, w)
         slot = start = 0
         while rows := list(islice(order, PLAN_ROWS)):
             sizes = [min(block, n[s] - b * block) for s, b, _, _ in rows]
@@ -186,25 +123,29 @@ def block_plan(counts: DataFrame, weights: dict | None, power: float, frame: int
     return counts.select("stratum", "n").repartition(1).mapInArrow(run, kind)
 
 
-def mixed(docs: DataFrame, weights: dict | None = None, power: float = 0.5, by: str = "source", seed: int = 29, frame: int | None = None, block: int = BLOCK) -> DataFrame:
+def mixed(docs: DataFrame, weights: dict | None = None, power: float = 0.5, by: str = "source", seed: int = 29, block: int | None = None) -> DataFrame:
     """``docs`` in one struct column ``row``, with stratum, block, release, deadline, slot and position in the mixture.
 
     Each source is shuffled by a seeded hash of doc_id and cut into blocks of ``block`` documents, which take the
-    slots of ``by_deadline``; position counts documents from 0. ``weights`` maps sources (None: the null source) to
-    weights; without it a source of n documents gets n ** ``power``. No document is dropped or repeated: when a
-    source is used up, the others go on in their proportions. The last block of a source may be short. With
-    ``frame``, weights are rounded to that many slots, and the frames of ``schedule`` repeat (``by_frames``).
+    slots of ``by_deadline``; position counts documents from 0. Without ``block``, blocks have ``BLOCK`` documents, or as many
+    more as keep them to ``MOST_BLOCKS``. ``weights`` maps sources (None: the null source) to finite weights; without it a
+    source of n documents gets n ** ``power``. No document is dropped or repeated: when a source is used up, the others go on
+    in their proportions. The last block of a source may be short.
 
     Places follow from the rank within the source and a written plan of one row a block, for any number of sources.
-    Null sources are a source; a null doc_id is a value like others; repeated rows get places of their own; no
-    column name can clash, as rows travel as one struct.
+    Null sources are a source; a null doc_id is a value like others; null and empty texts are documents like others, very
+    long ones too; repeated rows get places of their own, ties of doc_id go by a hash of the text; an empty table gives no rows;
+    no column name can clash, as rows travel as one struct, and columns may have any type.
     """
+    tie = [F.col(c) for c in ("doc_id", "text") if c in docs.columns]
     held = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), stratum(by).alias("stratum"),
-        unit(F.lit(str(seed)), "doc_id").alias("unit"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("tie"),
+        unit(F.lit(str(seed)), "doc_id").alias("unit"), F.xxhash64(*tie).alias("tie"),
     )
-    counts = docs.select(stratum(by).alias("stratum")).groupBy("stratum").agg(F.count(F.lit(1)).alias("n"))
-    plan = materialize(block_plan(counts, weights, power, frame, block), "mixture-plan")
+    counts = materialize(docs.select(stratum(by).alias("stratum")).groupBy("stratum").agg(F.count(F.lit(1)).alias("n")), "mixture-sources")
+    if block is None:
+        block = max(BLOCK, -(-(counts.agg(F.sum("n")).first()[0] or 0) // MOST_BLOCKS))
+    plan = materialize(block_plan(counts, weights, power, block), "mixture-plan")
     placed = ranked(held, "stratum", "unit", ["tie"]).withColumn("block", F.expr(f"group_rank div {block}"))
     return placed.join(plan, ["stratum", "block"]).select(
         "row", "stratum", "block", "release", "deadline", "slot", (F.col("start") + F.col("group_rank") % block).alias("position")

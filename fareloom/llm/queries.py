@@ -206,7 +206,8 @@ WITH words AS (
     len(w) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * len(w) AS base_failed
   FROM words LEFT JOIN repeated USING (doc_id)
 ), ratios AS ({_RULE_ROWS}),
-labelled AS (SELECT stratum, rule, ratio, quality FROM ratios JOIN labels USING (doc_id) WHERE quality IN (0, 1)),
+labelled AS (SELECT stratum, rule, min(ratio) AS ratio, min(quality) AS quality FROM ratios JOIN words USING (doc_id, stratum)
+  JOIN (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IN (0, 1) GROUP BY doc_id) USING (doc_id) GROUP BY stratum, rule, t),
 cuts AS (SELECT unnest([{', '.join(map(str, CUTOFFS))}]::DOUBLE[]) AS cutoff),
 tests AS (
   SELECT stratum, rule, cutoff, count(*) FILTER (quality = 1) AS n, count(*) FILTER (quality = 1 AND coalesce(ratio, 0) > cutoff) AS k,

@@ -3,6 +3,11 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fareloom.session import materialize
+
+#: Groups whose sizes are broadcast at most, about 50 bytes each; beyond that they are joined by a shuffle.
+BROADCAST_GROUPS = 200_000
+
 
 def unit(*parts) -> Column:
     """A number in [0, 1) that follows from the given values alone; null counts as a value of its own."""
@@ -25,7 +30,9 @@ def ranked(rows: DataFrame, group: str, unit: str, ties: list[str]) -> DataFrame
     """
     total = rows.agg(F.greatest(F.lit(4096.0), F.ceil(F.sqrt(F.count(F.lit(1)))).cast("double")).alias("_each"))
     counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("group_rows")).crossJoin(F.broadcast(total))
-    counts = counts.withColumn("_ranges", F.ceil(F.col("group_rows") / F.col("_each"))).drop("_each")
+    counts = materialize(counts.withColumn("_ranges", F.ceil(F.col("group_rows") / F.col("_each"))).drop("_each"), "groups")
+    if counts.count() <= BROADCAST_GROUPS:  # a large group is then not gathered to learn its size
+        counts = F.broadcast(counts)
     placed = rows.join(counts, group).withColumn("_range", F.floor(F.col(unit) * F.col("_ranges"))).drop("_ranges")
     before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (

@@ -21,7 +21,7 @@ CUTOFFS = (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1, 0.05,
 
 
 def features(docs: DataFrame, by: str = "lang") -> DataFrame:
-    """One row per row of ``docs``: doc_id, stratum and the counts that the rules use.
+    """One row per row of ``docs``: doc_id, stratum, the counts that the rules use, and text_key, the same for equal texts.
 
     Repeated three-word windows are found by sorting, per text, the windows by hash, then words, then place: equal
     ones become neighbours, in n log n steps for texts of any length, and unlike ones of one hash stay apart.
@@ -42,10 +42,10 @@ def features(docs: DataFrame, by: str = "lang") -> DataFrame:
         F.expr(let("w", f"filter(split(t, '[{WHITE}]+'), w -> w <> '')", f"named_struct('n', size(w), 'r', {repeated})")).alias("w"),
         F.expr(lines).alias("l"),
         F.expr(f"bigint(char_length(translate(t, {TRIM}, '')))").alias("word_chars"),
-        _count("#*$%&|<>", "n_symbols"), _count("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "n_capitals"), _count("!", "n_exclamations"),
+        F.md5("t").alias("text_key"), _count("#*$%&|<>", "n_symbols"), _count("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "n_capitals"), _count("!", "n_exclamations"),
     ).selectExpr(
         "doc_id", "stratum", "bigint(w.n) AS n_words", "word_chars", "n_symbols", "bigint(l.dup) AS n_dup_lines",
-        "w.r AS n_repeat_words", "l.full AS n_full_lines", "n_capitals", "n_exclamations",
+        "w.r AS n_repeat_words", "l.full AS n_full_lines", "n_capitals", "n_exclamations", "text_key",
     )
 
 
@@ -99,10 +99,15 @@ def cutoffs(counted: DataFrame, labels: DataFrame, risk: float = 0.05, confidenc
     confidence, in all strata at once, all rules together reject at most ``risk`` of the good documents. Of
     the safe cutoffs the one with the greatest bad - price * good rejections is used, the most lenient of equals, and none if
     that is not above 0. A stratum with too few labels to prove anything has no rule. Null labels count for nothing.
+    The bound is one on independent trials: a document has one label, the worst it was given, and equal texts of a
+    stratum are one trial, again with the worst label.
     """
-    ratios = F.map_from_arrays(F.array(*[F.lit(r) for r in RULES]), F.array(*[F.expr(f"coalesce({e}, 0D)") for e in RULES.values()]))
+    ratios_of = F.array(*[F.expr(f"coalesce({e}, 0D)") for e in RULES.values()])  # equal texts have equal ones
+    ratios = F.map_from_arrays(F.array(*[F.lit(r) for r in RULES]), F.col("r"))
     rows = (
-        counted.where(~base_failed()).join(labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", "quality"), "doc_id")
+        counted.where(~base_failed())
+        .join(labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality")), "doc_id")
+        .groupBy("stratum", "text_key").agg(F.min("quality").alias("quality"), F.min(ratios_of).alias("r"))
         .select("stratum", "quality", F.explode(ratios).alias("rule", "ratio"))
     )
     tried = F.array(*[F.lit(c) for c in CUTOFFS])
@@ -130,7 +135,8 @@ def quality(docs: DataFrame, labels: DataFrame, by: str = "lang", **options) ->
 
     Words are runs of other than space and 0x09 to 0x0D. Null, empty and wordless texts have counts of 0
     and fail the base rules. A null ``by`` value is a stratum of its own. Without labels only the base rules hold.
-    A label counts for each row with its doc_id; repeated rows are judged alike. Only doc_id, text, ``by``
+    Several labels of a document and equal texts are one trial (``cutoffs``); repeated rows are judged alike. An empty
+    table gives no rows; a very long text is one row with an entry a word. Only doc_id, text, ``by``
     and the labels' doc_id and quality are read. Counts are written once; texts are read once and never shuffled.
     """
     counted = materialize(features(docs, by), "features")

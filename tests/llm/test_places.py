@@ -11,9 +11,9 @@ import pytest
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
-from fareloom.llm import huffman
+from fareloom.llm import huffman, mixing
 from fareloom.llm.lines import dedup_lines
-from fareloom.llm.mixing import by_deadline, frame_slots, in_mixed_order, mixing_table, schedule, shares
+from fareloom.llm.mixing import by_deadline, in_mixed_order, mixing_table
 from fareloom.llm.shards import assign_shards
 from fareloom.llm.token_files import read_token_files, token_table, write_token_files
 from fareloom.session import new_path
@@ -91,46 +91,74 @@ def test_shards_have_the_mixture(spark):
         assert all(abs(seen[s][k] - n / 8) <= 2 for k, n in whole.items())
 
 
-def test_one_frame_stays_within_a_block_of_its_share():
-    for weights in ({"a": 1.0, "b": 2.5, "c": 0.01}, {str(i): i + 1.0 for i in range(40)}, {"x": 1.0}):
-        q = shares(weights, 128)
-        assert sum(q.values()) == 128 and min(q.values()) >= 1
-        slots = frame_slots(q)
-        order = {t: s for s, ts in slots.items() for t in ts}
-        done = Counter()
-        for t in range(128):
-            done[order[t]] += 1
-            assert all(abs(done[s] - (t + 1) * q[s] / 128) < 1 for s in q)
-
-
-def plain_mixture(blocks, weights, frame):
-    """Slot by slot: the same shares, but a plain simulation with the earliest deadline of what is released."""
-    left, done, out = dict(blocks), Counter(), []
-    while left := {s: n for s, n in left.items() if n}:
-        q = shares({s: weights[s] for s in left}, max(frame, len(left)))
-        if any(left[s] < q[s] for s in left):
-            q = {s: min(left[s], q[s]) for s in left}
-        n, used = sum(q.values()), Counter()
-        for t in range(n):
-            able = [(-(-(used[s] + 1) * n // q[s]), s) for s in q if used[s] < q[s] and used[s] * n // q[s] <= t]
-            s = min(able)[1]
-            out.append((s, done[s]))
-            used[s] += 1
-            done[s] += 1
-            left[s] -= 1
+def plain_mixture(blocks, weights):
+    """Slot by slot with fractions: the fluid shares first, then always the earliest deadline of what is released."""
+    share, left, served = [Fraction(0)] * len(blocks), {s for s in range(len(blocks)) if blocks[s]}, Fraction(0)
+    bounds = [[] for _ in blocks]  # when each whole block has been served
+    while left:
+        whole = sum(weights[s] for s in left)
+        step = min((blocks[s] - share[s]) * whole / weights[s] for s in left)
+        for s in left:
+            for k in range(len(bounds[s]) + 1, blocks[s] + 1):
+                at = (k - share[s]) * whole / weights[s]
+                if at > step:
+                    break
+                bounds[s].append(served + at)
+            share[s] += step * weights[s] / whole
+        served += step
+        left = {s for s in left if share[s] < blocks[s]}
+    done, out = [0] * len(blocks), []
+    for t in range(sum(blocks)):
+        able = []
+        for s, n in enumerate(blocks):
+            if done[s] < n:
+                begun = bounds[s][done[s] - 1] if done[s] else Fraction(0)
+                if begun.__floor__() <= t:
+                    able.append((bounds[s][done[s]].__ceil__(), s))
+        s = min(able)[1]
+        out.append((s, done[s]))
+        done[s] += 1
     return out
 
 
-def test_mixture_equals_a_slot_by_slot_simulation(spark, docs):
-    got = mixing_table(docs, power=0.5, frame=32, block=2).collect()
-    n = Counter(f"={r.source}" for r in docs.collect())
-    want = plain_mixture({s: -(-k // 2) for s, k in n.items()}, {s: k**0.5 for s, k in n.items()}, 32)
-    assert {(r.slot, f"={r.source}", r.block) for r in got} == {(t, s, b) for t, (s, b) in enumerate(want)}
+def test_the_query_equals_a_slot_by_slot_simulation(spark, docs):
+    got = entry.queries()["op5_pfair_mixing"](spark, SF).collect()
+    n = Counter(r.source for r in docs.collect())
+    names = sorted(n, key=lambda s: (s is not None, s or ""))
+    want = plain_mixture([-(-n[s] // 32) for s in names], [Fraction(n[s] ** 0.5) for s in names])
+    assert {(r.slot, r.source, r.block) for r in got} == {(t, names[s], b) for t, (s, b) in enumerate(want)}
     assert sorted(r.position for r in got) == list(range(len(got)))
     assert all(r.release <= r.slot < r.deadline for r in got)
     assert sorted((r.slot, r.position) for r in got) == sorted((r.slot, r.position) for r in sorted(got, key=lambda r: r.position))
 
 
+@pytest.mark.parametrize("weights", [[1e80, 1.0, 1e-80], [5e-324, 1.0, 3.0], [1e308, 1e308, 1e-308], [0.1, 0.2, 0.7]])
+def test_order_for_weights_far_apart(weights):
+    blocks = [30, 17, 25]
+    got = list(by_deadline(blocks, weights))
+    assert [(s, b) for s, b, _, _ in got] == plain_mixture(blocks, [Fraction(w) for w in weights])
+
+
+def test_weights_have_to_be_finite(spark):
+    df = spark.createDataFrame([(1, "a")], "doc_id bigint, source string")
+    for bad in (float("inf"), float("nan")):
+        with pytest.raises(ValueError):
+            mixing_table(df, weights={"a": bad})
+
+
+def test_blocks_grow_so_that_they_stay_few(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_BLOCKS", 20)
+    df = spark.range(3000).selectExpr("id AS doc_id", "if(id % 3 = 0, 'a', 'b') AS source")
+    got = sorted(mixing_table(df).collect(), key=lambda r: r.position)
+    assert max(r.slot for r in got) < 22 and [r.position for r in got] == list(range(3000))
+
+
+def test_columns_of_any_type_and_empty_tables_are_mixed(spark):
+    df = spark.sql("SELECT id AS doc_id, concat('t', id) AS text, 's' AS source, map(id, 'x') AS m, array(map(1, 2)) AS stratum FROM range(50)")
+    assert sorted(r.doc_id for r in in_mixed_order(df).collect()) == list(range(50))
+    assert in_mixed_order(df.limit(0)).collect() == [] and mixing_table(df.limit(0)).collect() == []
+
+
 def test_the_share_stays_within_a_block_of_the_exact_weight(spark):
     weights = {"a": 0.751, "b": 0.2485, "c": 0.0005}  # 384.5, 127.2 and 0.3 of 512 slots
     df = spark.range(21_010).selectExpr("id AS doc_id", "if(id < 16000, 'a', if(id < 21000, 'b', 'c')) AS source")
@@ -173,13 +201,12 @@ def test_a_thousand_sources_are_mixed(spark):
 
 
 def test_uneven_weights_lose_nothing(spark, odd):
-    got = in_mixed_order(odd, weights={"a": 5, "b": 0, None: 1}, frame=8, block=3)
+    got = in_mixed_order(odd, weights={"a": 5, "b": 0, None: 1}, block=3)
     assert got.columns == odd.columns
     assert Counter(map(tuple, got.collect())) == Counter(map(tuple, odd.collect()))
-    plan = schedule({"a": 7, "b": 9, "c": 1}, {"a": 3.0, "c": 1.0}, 4)
-    slots = [p["first_slot"] + f * p["frame"] + s for p in plan for f in range(p["blocks"] // p["q"]) for s in p["slots"]]
-    assert sorted(slots) == list(range(17))
-    assert min(p["first_slot"] for p in plan if p["stratum"] == "b") == 8
+    places = sorted((r.slot, r.source) for r in mixing_table(odd, weights={"a": 5, "b": 0, None: 1}, block=3).collect())
+    last = max(t for t, s in places if s in ("a", None))
+    assert min(t for t, s in places if s in ("b", "c")) > last  # sources without weight come last
 
 
 def plain_tokens(rows, order):

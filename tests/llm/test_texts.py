@@ -229,6 +229,13 @@ def test_cutoffs_are_proved_for_each_stratum(spark):
     assert all(got[i] == (True, "") for i in range(1400, 1500))
     used = rules.cutoffs(rules.features(df), labels).collect()
     assert [(r.stratum, r.rule, r.n_good, r.good_rejected) for r in used] == [("=x", "symbols", 1260, 0)] and used[0].p_value <= 0.05 / 10
+    again = labels.unionByName(labels).unionByName(labels)  # the same labels again, and copies of texts, prove nothing more
+    assert [tuple(r) for r in rules.cutoffs(rules.features(df), again).collect()] == [tuple(r) for r in used]
+    copies = df.unionByName(df.withColumn("doc_id", F.col("doc_id") + 10_000))
+    both = labels.unionByName(labels.withColumn("doc_id", F.col("doc_id") + 10_000))
+    assert [tuple(r) for r in rules.cutoffs(rules.features(copies), both).collect()] == [tuple(r) for r in used]
+    worse = labels.unionByName(spark.createDataFrame([(i, 0) for i in range(400, 500)], "doc_id bigint, quality int"))
+    assert [r.n_good for r in rules.cutoffs(rules.features(df), worse).collect() if r.rule == "symbols"] == [1260 - 90]
     assert {r.kept for r in rules.quality(df, labels.limit(0)).collect()} == {True}
     assert rules.quality(df.limit(0), labels).collect() == []
 
