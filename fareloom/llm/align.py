@@ -242,7 +242,7 @@ def aligned_groups(docs: DataFrame, byte_bpe: str, pieces: str) -> DataFrame:
 
     arrow.prepare(docs)
     kind = "doc_id bigint, a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>"
-    return docs.select("doc_id", "text").mapInArrow(run, kind)
+    return docs.select("doc_id", "text").mapInArrow(arrow.trimmed(run), kind)
 
 
 class _Held:
@@ -325,7 +325,7 @@ def link_counts(docs: DataFrame, byte_bpe: str, pieces: str) -> DataFrame:
                 )
 
     arrow.prepare(docs)
-    rows = materialize(docs.select("doc_id", "text").mapInArrow(run, ROWS), "alignments")
+    rows = materialize(docs.select("doc_id", "text").mapInArrow(arrow.trimmed(run), ROWS), "alignments")
     pairs = rows.select("part", "seq", F.posexplode(F.arrays_zip("a", "b", "docs")).alias("pos", "p"))
     pairs = pairs.select("part", "seq", "pos", "p.a", "p.b", "p.docs")
     counts = materialize(pairs.groupBy("a", "b").agg(F.sum("docs").alias("n")), "pair-counts")
@@ -333,4 +333,4 @@ def link_counts(docs: DataFrame, byte_bpe: str, pieces: str) -> DataFrame:
     counts = counts.join(highest, "a").select("a", "b", "n", (F.col("n") == F.col("highest")).alias("best"))
     counted = pairs.join(counts, ["a", "b"]).groupBy("part", "seq").agg(F.collect_list(F.struct("pos", "n", "best")).alias("counted"))
     kind = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
-    return rows.drop("a", "b", "docs").join(counted, ["part", "seq"], "left").mapInArrow(total, kind)
+    return rows.drop("a", "b", "docs").join(counted, ["part", "seq"], "left").mapInArrow(arrow.trimmed(total), kind)

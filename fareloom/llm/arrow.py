@@ -5,8 +5,6 @@ import ctypes
 import numpy as np
 import pyarrow as pa
 
-from fareloom.session import input_size
-
 #: Bytes of text that are worked on at once in a Python worker; a longer single text is worked on alone.
 CHUNK_BYTES = 1 << 18
 
@@ -21,6 +19,8 @@ _ODD = 0x9E3779B97F4A7C15
 def prepare(docs) -> None:
     """Settings of the session for an operator over ``docs``: small Arrow batches, as rows are whole texts, and shuffle
     partitions that grow with the input (they are raised, never lowered; adaptive execution merges small ones)."""
+    from fareloom.session import input_size  # not at the top: this module travels to workers, which may lack the package
+
     conf, spark = docs.sparkSession.conf, docs.sparkSession
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
@@ -29,13 +29,18 @@ def prepare(docs) -> None:
         conf.set("spark.sql.shuffle.partitions", str(wanted))
 
 
-def lean() -> None:
-    """Have freed arrays go back to the system. The C library keeps those below a limit that grows with use, and the
-    workers of an executor live for many tasks and share its memory. Where there is no such setting, nothing changes."""
-    keep = getattr(ctypes.CDLL(None), "mallopt", None)
-    if keep is not None:
-        keep(-3, 1 << 20)  # M_MMAP_THRESHOLD
-        keep(-8, 1)  # M_ARENA_MAX
+def trimmed(run):
+    """``run`` for the batches of a task, after which memory that is free goes back to the system: the workers of an
+    executor live for many tasks and share its memory. Where the C library cannot do that, nothing changes."""
+
+    def task(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return task
 
 
 def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES):
@@ -79,7 +84,6 @@ class Roller:
     INVERSE = pow(BASE, -1, 1 << 64)
 
     def __init__(self):
-        lean()
         self.up = self.down = np.ones(1, np.uint64)
 
     def sums(self, data: np.ndarray) -> np.ndarray:

@@ -142,7 +142,7 @@ def train(texts: DataFrame, per_language: int = TEXTS, share: float = SHARE) ->
                     names=["lang", "h", "n"],
                 )
 
-    taken = known.where(unit < chance[F.col("lang")]).mapInArrow(run, "lang string, h bigint, n bigint")
+    taken = known.where(unit < chance[F.col("lang")]).mapInArrow(arrow.trimmed(run), "lang string, h bigint, n bigint")
     summed = taken.groupBy("lang", "h").agg(F.sum("n").alias("n"))
     texts_taken = summed.where("h IS NULL").select("lang", F.col("n").alias("texts"))
     common = summed.where("h IS NOT NULL").join(F.broadcast(texts_taken), "lang").where(F.col("n") >= F.greatest(F.lit(LEAST), share * F.col("texts")))
@@ -167,7 +167,7 @@ def predicted(docs: DataFrame, model: dict) -> DataFrame:
                 score, lang = np.zeros(len(lists)), ["und"] * len(lists)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, lang_pred string, score double")
+    return docs.select("doc_id", "text").mapInArrow(arrow.trimmed(run), "doc_id bigint, lang_pred string, score double")
 
 
 def accepted(docs: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
@@ -182,7 +182,7 @@ def accepted(docs: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
             total, found = masks.counts(hashes, where, len(lists))
             yield part.filter(pa.array(has & (found.max(axis=0) >= least * total)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(arrow.trimmed(run), docs.schema)
 
 
 def identify(docs: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:

@@ -58,10 +58,10 @@ def common_lines(docs: DataFrame, min_chars: int = 1, min_docs: int = 10) -> Dat
     texts = docs.select("doc_id", "text")
     kind = "h1 bigint, h2 bigint, n bigint"
     if several.isEmpty():
-        counted = texts.select("text").mapInArrow(run, kind)
+        counted = texts.select("text").mapInArrow(arrow.trimmed(run), kind)
     else:
-        counted = texts.join(several, "doc_id", "left_anti").select("text").mapInArrow(run, kind)
-        again = texts.join(several, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(each, "doc_id bigint, h1 bigint, h2 bigint")
+        counted = texts.join(several, "doc_id", "left_anti").select("text").mapInArrow(arrow.trimmed(run), kind)
+        again = texts.join(several, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(arrow.trimmed(each), "doc_id bigint, h1 bigint, h2 bigint")
         counted = counted.unionByName(again.distinct().select("h1", "h2", F.lit(1).cast("bigint").alias("n")))
     return counted.groupBy("h1", "h2").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs).select("h1", "h2")
 
@@ -89,7 +89,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 1, min_docs: int = 10) -> Data
                 names=["row_id", "id", "h1", "h2"],
             )
 
-    held = keyed.select("row_id", "id", "text").mapInArrow(hashes, "row_id bigint, id bigint, h1 bigint, h2 bigint")
+    held = keyed.select("row_id", "id", "text").mapInArrow(arrow.trimmed(hashes), "row_id bigint, id bigint, h1 bigint, h2 bigint")
     dropped = held.join(common, ["h1", "h2"], "left_semi").groupBy("row_id", "id").agg(F.collect_set("h1").alias("dropped"))
 
     def rebuild(batches):
@@ -112,5 +112,5 @@ def dedup_lines(docs: DataFrame, min_chars: int = 1, min_docs: int = 10) -> Data
 
     return (
         keyed.join(dropped, ["row_id", "id"], "left").select("doc_id", "text", "dropped")
-        .mapInArrow(rebuild, "doc_id bigint, n_lines bigint, n_dropped bigint, kept_text string")
+        .mapInArrow(arrow.trimmed(rebuild), "doc_id bigint, n_lines bigint, n_dropped bigint, kept_text string")
     )

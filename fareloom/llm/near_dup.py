@@ -74,7 +74,7 @@ def signatures(docs: DataFrame, size: int = 5, bands: int = BANDS, rows: int = R
                 names=["doc_id", "n_shingles", "set_id", "buckets"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_shingles bigint, set_id binary, buckets array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(arrow.trimmed(run), "doc_id bigint, n_shingles bigint, set_id binary, buckets array<bigint>")
 
 
 def shingle_sets(docs: DataFrame, size: int = 5) -> DataFrame:
@@ -87,7 +87,7 @@ def shingle_sets(docs: DataFrame, size: int = 5) -> DataFrame:
                 [batch.column("doc_id"), arrow.binaries(list(_sets(batch, size, roller)))], names=["doc_id", "shingles"]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, shingles binary")
+    return docs.select("doc_id", "text").mapInArrow(arrow.trimmed(run), "doc_id bigint, shingles binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -105,7 +105,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(arrow.trimmed(run), "a bigint, b bigint")
 
 
 def unsettled(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -132,7 +132,7 @@ def unsettled(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 )
 
     held = sets.join(rest, "doc_id").select("doc_id", "component", "shingles")
-    held = materialize(held.mapInArrow(explode, "doc_id bigint, component bigint, n bigint, h bigint"), "set-rows")
+    held = materialize(held.mapInArrow(arrow.trimmed(explode), "doc_id bigint, component bigint, n bigint, h bigint"), "set-rows")
     common = held.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     held = held.join(common, "h")
     first = f"n - ({percent} * n + 99) div 100 + 1"

@@ -68,7 +68,7 @@ def restricted(docs: DataFrame, terms: list[str]) -> DataFrame:
                 )
                 yield out.filter(pa.array(n > 0))
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, terms array<int>, counts array<int>")
+    return docs.select("doc_id", "text").mapInArrow(arrow.trimmed(run), "doc_id bigint, n bigint, terms array<int>, counts array<int>")
 
 
 def lengths(n: np.ndarray, documents: int, total: int) -> np.ndarray:
@@ -210,7 +210,7 @@ def _best(vectors: DataFrame, items: dict, rank: np.ndarray, weight: np.ndarray,
         )
 
     item_type = pa.string() if kind == "string" else pa.int64()
-    return vectors.select("doc_id", "n", "terms", "counts").mapInArrow(run, f"item_id {kind}, doc_id bigint, score bigint, salt int")
+    return vectors.select("doc_id", "n", "terms", "counts").mapInArrow(arrow.trimmed(run), f"item_id {kind}, doc_id bigint, score bigint, salt int")
 
 
 def top(found: DataFrame, by: list[str], k: int) -> DataFrame:

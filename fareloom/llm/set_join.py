@@ -40,7 +40,7 @@ def sampled(docs: DataFrame, size: int) -> DataFrame:
                 names=["doc_id", "n", "set_id", "key", "sample"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, set_id binary, key bigint, sample array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(arrow.trimmed(run), "doc_id bigint, n bigint, set_id binary, key bigint, sample array<bigint>")
 
 
 def whole_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -58,7 +58,7 @@ def whole_sets(docs: DataFrame, size: int) -> DataFrame:
                 names=["set_id", "n", "shingles", "buckets"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "set_id binary, n bigint, shingles binary, buckets array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(arrow.trimmed(run), "set_id binary, n bigint, shingles binary, buckets array<bigint>")
 
 
 def exploded(sets: DataFrame) -> DataFrame:
@@ -74,7 +74,7 @@ def exploded(sets: DataFrame) -> DataFrame:
                     [part.column("sid").take(at), part.column("n").take(at), pa.array(values.view(np.int64))], names=["sid", "n", "h"]
                 )
 
-    return sets.select("sid", "n", "shingles").mapInArrow(run, "sid bigint, n bigint, h bigint")
+    return sets.select("sid", "n", "shingles").mapInArrow(arrow.trimmed(run), "sid bigint, n bigint, h bigint")
 
 
 def grouped(sets: DataFrame) -> DataFrame:
@@ -92,7 +92,7 @@ def grouped(sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("sid"), pa.array(out, pa.int64())], names=["sid", "grp"])
 
     order = [*[F.col("buckets")[i] for i in range(BUCKETS)], F.col("sid")]
-    return sets.repartitionByRange(*order).sortWithinPartitions(*order).select("sid", "n").mapInArrow(run, "sid bigint, grp bigint")
+    return sets.repartitionByRange(*order).sortWithinPartitions(*order).select("sid", "n").mapInArrow(arrow.trimmed(run), "sid bigint, grp bigint")
 
 
 def opened(pairs: DataFrame, sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
@@ -132,7 +132,7 @@ def opened(pairs: DataFrame, sets: DataFrame, groups: DataFrame, percent: int) -
     lots = pairs.join(sets.select("sid", "n"), "sid").groupBy("grp").agg(F.sum("n").alias("all_n"))
     asked = asked.join(lots, "grp").withColumn("part", F.expr(f"pmod(xxhash64(sid), all_n div {SHINGLES} + 1)"))
     asked = asked.groupBy("grp", "part").agg(F.collect_list(F.struct("sid", "shingles")).alias("lot"))
-    return asked.join(groups, "grp").select("lot", "members").mapInArrow(run, "a bigint, b bigint")
+    return asked.join(groups, "grp").select("lot", "members").mapInArrow(arrow.trimmed(run), "a bigint, b bigint")
 
 
 def qualifying(held: DataFrame, labels: DataFrame, percent: int) -> DataFrame:

@@ -188,7 +188,7 @@ def _blocks(ordered: DataFrame, path: str, end_id: int) -> DataFrame:
         if held:
             yield block()
 
-    return ordered.mapInArrow(run, BLOCKS)
+    return ordered.mapInArrow(arrow.trimmed(run), BLOCKS)
 
 
 def _counts(blocks: DataFrame, kind: str) -> DataFrame:
@@ -204,7 +204,7 @@ def _counts(blocks: DataFrame, kind: str) -> DataFrame:
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64())], names=["id", "n"])
 
-    return blocks.select("ids").mapInArrow(run, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    return blocks.select("ids").mapInArrow(arrow.trimmed(run), "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def _lengths(codes: DataFrame) -> np.ndarray:
@@ -264,7 +264,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
                 )
 
     placed = blocks.join(_starts(blocks), ["part", "seq"])
-    placed.select("start", "n", "doc_ids", "lens", "ids").mapInArrow(run, FILES).write.options(**ROW_GROUP).parquet(f"{path}/blocks")
+    placed.select("start", "n", "doc_ids", "lens", "ids").mapInArrow(arrow.trimmed(run), FILES).write.options(**ROW_GROUP).parquet(f"{path}/blocks")
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -285,7 +285,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                     names=["doc_id", "start", "ids"],
                 )
 
-    return spark.read.schema(FILES).parquet(f"{path}/blocks").mapInArrow(run, "doc_id bigint, start bigint, ids binary")
+    return spark.read.schema(FILES).parquet(f"{path}/blocks").mapInArrow(arrow.trimmed(run), "doc_id bigint, start bigint, ids binary")
 
 
 def token_table(docs: DataFrame, tokenizer: str, end_id: int = 0, order=("doc_id",)) -> DataFrame:
