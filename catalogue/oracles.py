@@ -687,6 +687,10 @@ ORACLES = {
     "profile_columns": with_("bookings", per_column(["id", *ALL_FIELDS],
         f"SELECT '{{c}}' AS column_name, {cnt('{c} IS NULL')} AS null_count, {r(cnt('{c} IS NULL') + '::DOUBLE / count(*) * 100')} AS null_pct, "
         "count(DISTINCT {c}) AS unique_values FROM dirty"), dirty=DIRTY),
+    "profile_increments": with_("validated", per_column(NUMBERS,
+        f"SELECT '{{c}}' AS column_name, count(*) AS row_count, {cnt('{c} IS NULL')} AS null_count, {r(cnt('{c} IS NULL') + '::DOUBLE / count(*) * 100')} AS null_pct, "
+        f"{r('min({c})')} AS least, {r('max({c})')} AS greatest, TRUE AS distinct_within_bound, TRUE AS median_within_bound FROM validated")),
+    "train_test_split": with_("silver", """SELECT ('0x' || substr(md5('42:' || id), 1, 13))::BIGINT % 100 < 20 AS is_test, count(*) AS n FROM silver GROUP BY 1"""),
     "describe": with_("bookings", per_column(NUMBERS,
         f"SELECT '{{c}}' AS column_name, count({{c}}) AS count, {r('avg({c})')} AS mean, {r('stddev_samp({c})')} AS std, CAST(min({{c}}) AS DOUBLE) AS min, "
         f"CAST(max({{c}}) AS DOUBLE) AS max, {r('quantile_cont({c}, .25)')} AS q25, {r('quantile_cont({c}, .5)')} AS q50, {r('quantile_cont({c}, .75)')} AS q75 FROM bookings")),

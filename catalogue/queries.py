@@ -26,6 +26,7 @@ from fareloom.operators import (
     scd,
     score,
     silver,
+    sketches,
     validate,
 )
 from fareloom.plans import load, training
@@ -855,6 +856,26 @@ def profile_columns(spark, sf_dir):
     return profile.profile_columns(_dirty(spark, sf_dir)).drop("dtype")
 
 
+@query("profile_increments")
+def profile_increments(spark, sf_dir):
+    """The bookings as two loads, each sketched alone, profiled from the merged sketches; estimates against exact values."""
+    df = I.validated(spark, sf_dir)
+    parts = [df.where(F.col("departure_datetime").isNull() | (F.col("departure_datetime") < I.FIRST_CUT)), df.where(F.col("departure_datetime") >= I.FIRST_CUT)]
+    got = sketches.profile(sketches.merged(*[sketches.sketch(p, NUMBERS) for p in parts]))
+    values = order_stats.unpivot(df, NUMBERS, "double").where("value IS NOT NULL").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    near = F.broadcast(got.select("column_name", F.col("q50").alias("m")))  # a row a column
+    exact = values.join(near, "column_name").groupBy("column_name").agg(
+        F.count("value").alias("exact"), F.sum("n").alias("all"),
+        F.sum(F.when(F.col("value") < F.col("m"), F.col("n")).otherwise(0)).alias("below"), F.sum(F.when(F.col("value") <= F.col("m"), F.col("n")).otherwise(0)).alias("upto"),
+    )
+    half, off = F.col("all") / 2, 2 * sketches.RANK_ERROR * F.col("all") + 1
+    return got.join(exact, "column_name").select(
+        "column_name", "row_count", "null_count", "null_pct", round_to("least", 2).alias("least"), round_to("greatest", 2).alias("greatest"),
+        (F.abs(F.col("unique_values") / F.col("exact") - 1) <= 0.05).alias("distinct_within_bound"),
+        ((F.col("below") - off <= half) & (half <= F.col("upto") + off)).alias("median_within_bound"),
+    )
+
+
 @query("describe")
 def describe(spark, sf_dir):
     return profile.describe(I.validated(spark, sf_dir), NUMBERS)

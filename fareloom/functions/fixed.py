@@ -111,6 +111,19 @@ KNOWN_VALUES = {
 }
 MAX_USUAL_LEAD_DAYS = 365
 
+# Names that analysts' headers get by words in them: words that must be there, words that must not,
+# the name. The first entry that fits counts; whole headers that stand for a name come in a table of their own.
+KEYWORD_NAMES = (
+    ({"total", "fare"}, set(), "total_fare_bdt"),
+    ({"base", "fare"}, set(), "base_fare"),
+    ({"tax"}, set(), "tax_surcharge"),
+    ({"source"}, {"code"}, "source_city"),
+    ({"destination"}, {"code"}, "destination_city"),
+    ({"class"}, set(), "travel_class"),
+    ({"season"}, {"peak"}, "seasonality"),
+)
+WHOLE_NAMES = {"airline": "airline", "airlines": "airline"}
+
 # Thresholds of the load and retraining decisions.
 FULL_LOAD_ABOVE_PCT = 50.0
 PROCESS_FROM_PCT = 0.1

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from fareloom.functions import fixed
 from fareloom.functions.numbers import round_to
 from fareloom.functions.text import number_text, time_text
+from fareloom.operators import sketches
 from fareloom.session import input_size, materialize
 from fareloom.sources.ledger import Commit, bucket_of
 
@@ -151,12 +152,14 @@ def apply_incremental(incoming: DataFrame, bronze: DataFrame, ingested_at) -> Da
 ACTIVE, PAST = "active", "past"
 
 
-def load_into(commit: Commit, name: str, incoming: DataFrame, ingested_at, mode: str | None = None) -> dict:
+def load_into(commit: Commit, name: str, incoming: DataFrame, ingested_at, mode: str | None = None, profile: str | None = None) -> dict:
     """Apply a load to a table of a ledger, kept in buckets of the hash and split into active and past rows.
 
     Hashes of both sides meet once, in a written table without other columns. New rows are added in folders of their
     own; buckets that lose rows, or have many folders, are written anew, the lost rows join the past ones. Past rows and all other
     buckets keep their files. A reload replaces the table. Returns the statistics; ``mode`` overrides the load mode.
+    ``profile`` names a table that gets sketches of the rows a load adds: merged, they profile all rows since the last
+    reload, and only the added ones are read for it.
     """
     if name not in commit.tables:
         commit.create(name, "record_hash")
@@ -167,7 +170,9 @@ def load_into(commit: Commit, name: str, incoming: DataFrame, ingested_at, mode:
     mode = mode or stats["load_type"]
     if mode == "FULL":
         commit.create(name, "record_hash", input_size(incoming))
-        commit.append(name, apply_full(incoming, ingested_at), ACTIVE)
+        added = commit.append(name, apply_full(incoming, ingested_at), ACTIVE)
+        if profile:
+            commit.overwrite(profile, sketches.sketch(added))
     elif mode == "INCREMENTAL":
         table = commit.tables[name]
         gone = status.where("status = 'deleted'").select("record_hash")
@@ -180,7 +185,9 @@ def load_into(commit: Commit, name: str, incoming: DataFrame, ingested_at, mode:
             commit.append(name, lost, PAST)
             commit.rewrite(name, rows.join(gone, "record_hash", "left_anti"), ACTIVE, touched)
         new = status.where("status = 'new'").select("record_hash")
-        commit.append(name, apply_full(incoming.join(new, "record_hash", "left_semi"), ingested_at), ACTIVE)
+        added = commit.append(name, apply_full(incoming.join(new, "record_hash", "left_semi"), ingested_at), ACTIVE)
+        if profile and stats["records_inserted"]:
+            commit.append(profile, sketches.sketch(added))
     return stats
 
 

@@ -31,17 +31,19 @@ PARTITION_ROWS = 1 << 13
 PARALLEL_FITS = 4
 
 
-def _share(*parts):
-    return F.pmod(F.xxhash64(*parts), F.lit(100))
+def _place(key: str, seed: int, parts: int):
+    """A number below ``parts`` from the first 13 hex digits of an md5, which any SQL engine can repeat; null keys have one too."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    return F.pmod(F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint"), F.lit(parts))
 
 
 def train_test_split(df: DataFrame, key="id", seed=fixed.SPLIT_SEED, test_pct=fixed.TEST_PCT) -> DataFrame:
     """Adds ``is_test`` from a hash of the key: the same rows on every run and partitioning."""
-    return df.withColumn("is_test", _share(F.col(key), F.lit(seed)) < test_pct)
+    return df.withColumn("is_test", _place(key, seed, 100) < test_pct)
 
 
 def with_folds(df: DataFrame, key="id", seed=fixed.SPLIT_SEED, k=fixed.FOLDS) -> DataFrame:
-    return df.withColumn("fold", F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(k)).cast("int"))
+    return df.withColumn("fold", _place(key, seed + 1, k).cast("int"))
 
 
 def assemble(df: DataFrame, features, label=TARGET) -> DataFrame:

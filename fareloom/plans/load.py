@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareloom.functions import fixed
-from fareloom.operators import audit, gold, incremental, quality, scd
+from fareloom.operators import audit, gold, incremental, quality, scd, sketches
 from fareloom.operators.silver import silver_clean
 from fareloom.operators.validate import validate_rows
 from fareloom.sources import files
@@ -19,7 +19,7 @@ from fareloom.sources.ledger import Ledger, schema_of
 from fareloom.sources.tables import dataset_metadata, latest_row
 
 STAGING, BRONZE = "validated_flights", "bronze_validated_flights"
-METADATA = "dataset_metadata"
+METADATA, PROFILES = "dataset_metadata", "bronze_profiles"
 SILVER, LOG = "silver_cleaned_flights", "load_log"
 AUDIT = "audit_log"
 
@@ -74,7 +74,7 @@ def load(ledger: Ledger, extract: DataFrame, at, token=None, source_file=None, s
     commit.overwrite(STAGING, with_ids(stage(extract), at))
     commit.append(METADATA, dataset_metadata(extract, source_file, size, fresh, previous, at))
     incoming = incremental.with_hash(commit.read(STAGING).where("is_valid"))
-    stats = incremental.load_into(commit, BRONZE, incoming, at)
+    stats = incremental.load_into(commit, BRONZE, incoming, at, profile=PROFILES)
     counted = ledger.spark.createDataFrame([tuple(stats.values())], incremental.STATS)
     seconds = math.ceil(time.monotonic() - began)
     commit.append(LOG, incremental.load_log_row(counted, commit.number, at, source_file, seconds))
@@ -82,6 +82,11 @@ def load(ledger: Ledger, extract: DataFrame, at, token=None, source_file=None, s
     return stats
 
 
+def bronze_profile(ledger: Ledger) -> DataFrame:
+    """NULLs, distinct values, extremes and quartiles of all bronze rows, from the sketches that the loads left."""
+    return sketches.profile(sketches.merged(ledger.read(PROFILES)))
+
+
 def build(ledger: Ledger, at, domestic=fixed.DOMESTIC_CODES) -> dict:
     """Silver once, then the histories, the gold tables and the checks from the written silver, in one commit."""
     commit = ledger.begin()

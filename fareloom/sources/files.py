@@ -65,23 +65,9 @@ def rename_columns(df: DataFrame) -> DataFrame:
 
 
 def _keyword_name(name: str) -> str:
-    if "total" in name and "fare" in name:
-        return "total_fare_bdt"
-    if "base" in name and "fare" in name:
-        return "base_fare"
-    if "tax" in name:
-        return "tax_surcharge"
-    if name in ("airline", "airlines"):
-        return "airline"
-    if "source" in name and "code" not in name:
-        return "source_city"
-    if "destination" in name and "code" not in name:
-        return "destination_city"
-    if "class" in name:
-        return "travel_class"
-    if "season" in name and "peak" not in name:
-        return "seasonality"
-    return name
+    """The first name whose words fit. A header that is a name as a whole holds none of the words."""
+    fits = (to for need, without, to in fixed.KEYWORD_NAMES if all(w in name for w in need) and not any(w in name for w in without))
+    return next(fits, fixed.WHOLE_NAMES.get(name, name))
 
 
 def rename_snake(df: DataFrame) -> DataFrame:

@@ -127,8 +127,8 @@ class Commit:
         buckets = max(8, -(-size // BUCKET_BYTES)) if key else 1
         self.tables[name] = {"key": key, "buckets": buckets, "schemas": [], "parts": []}
 
-    def append(self, name: str, df: DataFrame, split: str = "") -> None:
-        """Rows go to folders of their own, a bucket each.
+    def append(self, name: str, df: DataFrame, split: str = "") -> DataFrame:
+        """Rows go to folders of their own, a bucket each; returns them as they are read back.
 
         Columns the table does not have yet are added to it, and a column whose new values its type cannot hold gets a wider one:
         a new version of the schema, by which the old folders are read from then on. Nothing old is written again.
@@ -147,15 +147,18 @@ class Commit:
         path = f"{self.ledger.root}/data/{folder}"
         if not table["key"]:
             df.write.parquet(path)
-            table["parts"].append({"path": folder, "split": split, "bucket": 0, "schema": number})
-            return
+            parts = [{"path": folder, "split": split, "bucket": 0, "schema": number}]
+            table["parts"] += parts
+            return self.ledger._frame(table, parts)
         # adaptive execution splits a bucket that copies of one key make large, and merges small ones
         rows = df.withColumn(BUCKET, bucket_of(table["key"], table["buckets"])).hint("rebalance", BUCKET)
         rows.write.partitionBy(BUCKET).parquet(path)
-        for written in self.ledger._names(f"data/{folder}"):
-            if written.startswith(f"{BUCKET}="):
-                bucket = int(written.split("=")[1])
-                table["parts"].append({"path": f"{folder}/{written}", "split": split, "bucket": bucket, "schema": number})
+        parts = [
+            {"path": f"{folder}/{written}", "split": split, "bucket": int(written.split("=")[1]), "schema": number}
+            for written in self.ledger._names(f"data/{folder}") if written.startswith(f"{BUCKET}=")
+        ]
+        table["parts"] += parts
+        return self.ledger._frame(table, parts)
 
     def rewrite(self, name: str, df: DataFrame, split: str, buckets) -> None:
         """The rows of these buckets of a split give way to ``df``; all other folders stay as they are."""

@@ -243,12 +243,17 @@ def test_new_columns_get_types_that_widen(spark, make):
     assert kinds == [None, "bigint", "decimal(21,2)", "string"]
     points = {(r["base_fare_bdt"], r["points"]) for r in ledger.read(load_plan.BRONZE).collect() if r["base_fare_bdt"] >= 500}
     assert points == {(500.0, None), (501.0, "7"), (502.0, "7.25"), (503.0, "many")}
-    assert ledger.read(load_plan.BRONZE, commit=[n for n in ledger.commits() if "points" in dict(ledger.read(load_plan.BRONZE, commit=n).dtypes)][0]).where("points = 7").count() == 1
+    held = [n for n in ledger.commits() if load_plan.BRONZE in ledger.state(n)["tables"]]
+    older = next(df for df in (ledger.read(load_plan.BRONZE, commit=n) for n in held) if "points" in df.columns)
+    assert older.where("points = 7").count() == 1 and dict(older.dtypes)["points"] == "bigint"
     assert dict(ledger.read(load_plan.SILVER).dtypes)["points"] == "string" and "tier_name" in ledger.read(load_plan.SILVER).columns
     notes = ledger.read(load_plan.METADATA).orderBy("id").collect()
     assert [(r["id"], r["previous_metadata_id"], r["schema_changed"], r["new_columns_added"]) for r in notes] == [
         (1, None, False, None), (2, 1, True, "points, tier_name"), (3, 2, False, None), (4, 3, False, None),
     ]
+    seen = {r["column_name"]: r for r in load_plan.bronze_profile(ledger).collect()}  # four loads, each sketched alone
+    assert (seen["base_fare_bdt"]["row_count"], seen["base_fare_bdt"]["unique_values"], seen["base_fare_bdt"]["greatest"]) == (10, 10, 503.0)
+    assert (seen["points"]["row_count"], seen["points"]["null_count"]) == (3, 0)
     assert all(r["row_count"] == 7 and r["file_size_bytes"] > 0 for r in notes) and notes[0]["schema_hash"] != notes[1]["schema_hash"]
 
 

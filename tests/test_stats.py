@@ -165,3 +165,26 @@ def test_top_n_is_limited_before_the_shuffle(spark):
     df = spark.range(100).selectExpr("CAST(id % 9 AS string) AS c")
     plan = profile.value_counts_topn(df, ["c"], 3)._jdf.queryExecution().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_sketches_of_parts_are_those_of_the_whole(spark):
+    from fareloom.operators import sketches
+
+    df = spark.range(200_000).selectExpr(
+        "id", "id * 7919 % 50021 AS many", "CAST(id % 7 AS string) AS few", "CASE WHEN id % 4 = 0 THEN NULL WHEN id % 101 = 0 THEN CAST('NaN' AS double) ELSE exp(id % 1000 / 100D) END AS skewed",
+        "CAST(NULL AS double) AS nothing",
+    )
+    parts = [df.where(f"id % 3 = {k}") for k in range(3)]
+    whole, merged = ({r["column_name"]: r for r in sketches.profile(s).collect()} for s in (sketches.sketch(df), sketches.merged(*map(sketches.sketch, parts))))
+    exact = {"id": 200_000, "many": 50_021, "few": 7, "nothing": 0}
+    for name in df.columns:
+        a, b = whole[name], merged[name]
+        for part in ("row_count", "null_count", "null_pct", "least", "greatest"):
+            assert a[part] == b[part]
+        assert a["unique_values"] == b["unique_values"] == pytest.approx(exact.get(name, a["unique_values"]), rel=0.04)
+    assert merged["nothing"]["q50"] is None and merged["few"]["q50"] is None and merged["skewed"]["null_count"] == 50_000
+    values = np.sort([r["skewed"] for r in df.where("skewed IS NOT NULL AND NOT isnan(skewed)").select("skewed").collect()])
+    for name, p in sketches.QUARTILES.items():
+        for got in (whole, merged):
+            low, high = np.searchsorted(values, got["skewed"][name], "left") / len(values), np.searchsorted(values, got["skewed"][name], "right") / len(values)
+            assert low - 2 * sketches.RANK_ERROR <= p <= high + 2 * sketches.RANK_ERROR
