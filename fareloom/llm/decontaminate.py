@@ -9,9 +9,12 @@ from fareloom.llm.exprs import let
 from fareloom.session import materialize
 
 SIZE = 5
-#: Bits in which the 64-bit fingerprints of similar windows may differ. At a similarity of 0.8 about 9.7 differ, with a
-#: deviation of 2.9, so 23 are missed with a chance of about 1e-6.
-RADIUS = 23
+#: Words of 64 bits in a fingerprint, and bits of a block.
+WORDS, BLOCK_BITS = 4, 16
+#: Bits of 256 in which the fingerprints of similar windows may differ. At a similarity of 0.8 about 39 differ, with a deviation of
+#: 5.7, and 48 with one of 6.2 for the smallest sets (four of five shingles); more than 88 with a chance below 1e-9. Of
+#: windows that have nothing in common 128 differ, with a deviation of 8: fewer than one pair in a million is within the radius.
+RADIUS = 88
 #: Item shingles that are broadcast at most; beyond that they are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -32,21 +35,29 @@ def _shingled(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def _fingerprints(counts: DataFrame, *keys: str) -> DataFrame:
-    """SimHash of shingle counts (keys, h, c): a bit is set if the shingles that have it weigh more than the others."""
+    """SimHash of shingle counts (keys, h, c), a row for each word of 64 bits: a bit is set if the shingles that have it
+    weigh more than the others. Each word takes its bits from a hash of its own of the shingle."""
+    each = counts.select(*keys, "c", F.explode(F.array(*[F.lit(k) for k in range(WORDS)])).alias("word"), "h").withColumn("h", F.xxhash64("h", "word"))
     bits = [F.sum(F.col("c") * F.shiftright("h", b).bitwiseAND(1)).alias(f"b{b}") for b in range(64)]
-    summed = counts.groupBy(*keys).agg(F.sum("c").alias("whole"), *bits)
+    summed = each.groupBy(*keys, "word").agg(F.sum("c").alias("whole"), *bits)
     set_bits = [F.when(2 * F.col(f"b{b}") > F.col("whole"), F.shiftleft(F.lit(1).cast("bigint"), b)).otherwise(F.lit(0).cast("bigint")) for b in range(64)]
-    return summed.select(*keys, reduce(lambda a, b: a.bitwiseOR(b), set_bits).alias("fp"))
+    return summed.select(*keys, "word", reduce(lambda a, b: a.bitwiseOR(b), set_bits).alias("fp"))
 
 
-def _blocks(column: str, radius: int):
-    """Cut 64 bits into radius + 1 blocks: two fingerprints within the radius agree in one at least."""
-    n, at, out = radius + 1, 0, []
-    for k in range(n):
-        width = 64 // n + (k < 64 % n)
-        out.append(F.shiftrightunsigned(column, at).bitwiseAND((1 << width) - 1) + (k << 32))
-        at += width
-    return F.array(*out)
+def within(pairs: DataFrame, ours: DataFrame, theirs: DataFrame, radius: int) -> DataFrame:
+    """The pairs (content, item) whose fingerprints (content or item, word, fp) differ in ``radius`` bits at most.
+
+    Fingerprints are cut into blocks. Two within the radius differ, in some block, in no more than their share of it:
+    pairs are found by such a block, so none is lost, and the whole radius then holds for what is kept.
+    """
+    apart = F.col("fp").bitwiseXOR(F.col("item_fp"))
+    blocks = [F.bit_count(F.shiftrightunsigned(apart, at).bitwiseAND((1 << BLOCK_BITS) - 1)) for at in range(0, 64, BLOCK_BITS)]
+    share = radius // (WORDS * 64 // BLOCK_BITS)
+    return (
+        pairs.join(ours, "content").join(theirs.withColumnRenamed("fp", "item_fp"), ["item", "word"])
+        .groupBy(*pairs.columns).agg(F.min(F.least(*blocks)).alias("nearest"), F.sum(F.bit_count(apart)).alias("apart"))
+        .where((F.col("nearest") <= share) & (F.col("apart") <= radius)).drop("nearest", "apart")
+    )
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 80, radius: int = RADIUS) -> DataFrame:
@@ -61,10 +72,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 80, radiu
        the similarity needs, it cannot match, and moving a window's start on to the next such place loses none of
        them; so only windows that start there, or end the document, and hold enough are looked at.
     2. Equal windows, which copies have, fold into one. Each gets a SimHash of its weighted shingles.
-    3. The fingerprint is cut into radius + 1 blocks; windows and items that agree in a block are compared, so all
-       within the radius are found, and none beyond it is kept.
+    3. A window and the item it was cut for are found by a block of their fingerprints in which few bits differ
+       (``within``); all within the radius are, and none beyond it is kept.
     4. The exact similarity decides.
 
+    An empty table on either side gives no rows; a very long text is one row of hashes, eight bytes a word.
     Items of fewer than five words are one shingle, and match only a document of just these words. Null, empty and
     wordless texts match nothing. A null doc_id or item_id is a value like others. Repeated rows are
     reported once. Extra columns are not read. Item shingles are broadcast if they were counted to be few.
@@ -110,14 +122,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 80, radiu
         .groupBy("content", "m", "v", "h").agg(F.count(F.lit(1)).alias("c"))
     )
     found = materialize(found, "contents")
-    ours = _fingerprints(found, "content", "m", "v")
-    theirs = _fingerprints(counts, "item", "m")
-    near = (
-        ours.withColumn("block", F.explode(_blocks("fp", radius)))
-        .join(theirs.withColumnRenamed("fp", "item_fp").withColumn("block", F.explode(_blocks("item_fp", radius))), ["m", "block"])
-        .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
-        .select("content", "m", "v", "item").distinct()
-    )
+    pairs = materialize(cut.select("content", "m", "v", "item").distinct(), "window-items")
+    near = within(pairs, _fingerprints(found, "content"), _fingerprints(counts, "item"), radius)
     alike = (
         near.join(found.select("content", "h", "c"), "content").join(counts.select("item", "h", F.col("c").alias("item_c")), ["item", "h"])
         .groupBy("content", "m", "v", "item").agg(F.sum(F.least("c", "item_c")).alias("common"))

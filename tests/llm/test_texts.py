@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from fareloom.llm import language, near_dup, rules, suffixes, toxicity
+from fareloom.llm import decontaminate, language, near_dup, rules, suffixes, toxicity
 from fareloom.llm.decontaminate import contaminated
 from fareloom.llm.graph import components
 
@@ -142,6 +142,27 @@ def test_unlike_texts_of_one_id_stay(spark):
     assert Counter((r.doc_id, r.text) for r in near_dup.one_of_each(df, percent=80).collect()) in (Counter([(1, a), (2, b + " end")]), Counter([(1, b), (1, a)]))
 
 
+def test_fingerprints_find_all_similar_windows_and_few_others(spark):
+    """Pairs of 0.8 at the least, down to five shingles, are within the radius; of unrelated ones fewer than one in a hundred."""
+    rng = random.Random(11)
+    sides, alike = {"item": [], "content": []}, set()
+    for i in range(60):
+        n = rng.choice([5, 10, 20, 40, 80])
+        mine = [rng.getrandbits(62) for _ in range(n)]
+        sides["item"] += [(i, h, 1) for h in mine]
+        for k in range(8):  # as many go as a similarity of 0.8 allows, or as many are replaced
+            gone = n - -(-4 * n // 5) if k % 2 else n - -(-8 * n // 9)
+            theirs = mine[gone:] + ([] if k % 2 else [rng.getrandbits(62) for _ in range(gone)])
+            both = len(set(mine) & set(theirs))
+            assert 10 * both >= 8 * (len(mine) + len(theirs) - both)
+            sides["content"] += [(8 * i + k, h, 1) for h in theirs]
+            alike.add((8 * i + k, i))
+    ours, theirs = (decontaminate._fingerprints(spark.createDataFrame(sides[k], f"{k} bigint, h bigint, c bigint"), k) for k in ("content", "item"))
+    pairs = spark.createDataFrame([(c, i) for c in range(480) for i in range(60)], "content bigint, item bigint")
+    got = {(r.content, r.item) for r in decontaminate.within(pairs, ours, theirs, decontaminate.RADIUS).collect()}
+    assert alike <= got and len(got - alike) < 0.01 * (480 * 60 - len(alike))
+
+
 def test_benchmark_passages(spark, docs, rows):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     got = {(r.doc_id, r.item_id): r.similarity for r in contaminated(docs, bench).collect()}
