@@ -15,7 +15,7 @@ from fareloom.session import build_session  # noqa: E402
 HEADLINE = (
     "silver_clean", "validate_rows", "gold_avg_fare_by_airline", "gold_booking_count_by_airline",
     "gold_fare_by_class", "gold_popular_routes", "gold_seasonal_fare_analysis", "dq_report", "dq_silver",
-    "detect_changes", "apply_incremental", "apply_full", "scd2_merge", "fare_history", "profile_columns",
+    "detect_changes", "apply_incremental", "apply_full", "scd2_merge", "fare_history", "route_history", "profile_columns",
     "describe", "group_stats", "feature_matrix", "grid_search", "train_linear", "train_ridge", "train_lasso",
     "batch_score", "train_tree", "enrich_left", "stream_ingest",
 )

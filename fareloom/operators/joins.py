@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fareloom.session import materialize
+
 HOT_SHARE = 1000  # a key is hot from 1/1000 of the rows on, so there are at most 1000 hot keys
 SALTS = 64
 LOOKUP_ROWS = 200_000
@@ -71,18 +73,19 @@ def staging_join(validated: DataFrame, raw: DataFrame) -> DataFrame:
     return validated.where("is_valid").join(stamps, "raw_id")
 
 
-def enrich_left(silver: DataFrame, stats) -> DataFrame:
+def enrich_left(silver: DataFrame, stats, spread="id") -> DataFrame:
     """Add the columns of (frame, key) pairs that are not there yet; the first frame wins.
 
     The frames are gold tables. Of several rows with one key (a route of two types) the smallest is
-    taken, so that no row of ``silver`` is repeated. Catalyst broadcasts those below its threshold.
+    taken, so that no row of ``silver`` is repeated. The rows by key are written and counted: few are broadcast, many
+    are joined with the hot keys split, such as a class that half of all bookings have.
     """
     out = silver
     for frame, key in stats:
         fresh = [c for c in frame.columns if c not in out.columns]
         row = F.struct(*[F.col(c) for c in fresh])
         single = frame.groupBy(key).agg(F.min(row).alias("_row")).select(key, "_row.*")
-        out = out.join(single, key, "left")
+        out = lookup_join(out, materialize(single, "lookup"), key, spread)
     return out
 
 

@@ -39,9 +39,12 @@ class Store:
         version = self.version(name) if version is None else version
         if version is None:
             raise FileNotFoundError(f"no complete version of {name} under {self.root}")
-        return self.spark.read.option("mergeSchema", True).parquet(
-            f"{self.root}/{name}/version={version}"
-        )
+        path = f"{self.root}/{name}/version={version}"
+        # the footers of all files are opened only where appended rows had other columns
+        return self.spark.read.option("mergeSchema", self._mixed(path).exists()).parquet(path)
+
+    def _mixed(self, path: str) -> "Marker":
+        return Marker(self.spark, f"{path}/_files_differ")
 
     def overwrite(self, name: str, df: DataFrame, version=None, partition_by=()) -> DataFrame:
         """Truncate-and-reload. Writing a version that is already complete changes nothing."""
@@ -55,10 +58,27 @@ class Store:
     def append(self, name: str, df: DataFrame) -> DataFrame:
         """Add rows to the current version (logs and staging). New columns widen the table."""
         version = self.version(name) or 1
-        df.write.mode("append").parquet(f"{self.root}/{name}/version={version}")
+        path = f"{self.root}/{name}/version={version}"
+        if self.exists(name) and set(self.read(name, version).columns) != set(df.columns):
+            self._mixed(path).put()
+        df.write.mode("append").parquet(path)
         return self.read(name, version)
 
 
+class Marker:
+    """An empty file that says something by being there."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        self.fs = self.path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self) -> bool:
+        return self.fs.exists(self.path)
+
+    def put(self) -> None:
+        self.fs.create(self.path, True).close()
+
+
 def read_where(df: DataFrame, columns=None, where=None, limit=None) -> DataFrame:
     """Projection, predicate and an optional row limit; the first two reach the Parquet scan."""
     if where is not None:

@@ -12,7 +12,8 @@ from tools.check_oracles import compare, connect
 SF = "/root/testdata/sf0.001"
 NAMES = (
     "validate_rows", "silver_clean", "gold_avg_fare_by_airline", "gold_popular_routes", "dq_report",
-    "apply_incremental", "scd2_merge", "profile_columns", "rank_avg",
+    "apply_incremental", "scd2_merge", "profile_columns", "rank_avg", "apply_full", "detect_changes", "route_history",
+    "profile_increments", "train_test_split", "agg_percentile", "label_encode", "feature_matrix", "rename_snake",
 )
 
 
