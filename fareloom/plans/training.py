@@ -40,7 +40,9 @@ def train_run(silver: DataFrame, at, path=None, names=tuple(md.MODELS), current=
     best = md.best_model(leaderboard).first()
     if path:
         save_scorer(f"{path}/{best['model_name']}", models[best["model_name"]], feature_model, selected, best["model_name"], best["test_rmse"], at)
-    cv = md.cv_scores(table.where("NOT is_test"), selected) if "id" in table.columns else None
+    cv = None
+    if "id" in table.columns:  # folds go by it; linear models need no refits
+        cv = md.cv_scores(table.where("NOT is_test"), selected) if best["model_name"] in md.LINEAR_KINDS else md.cross_validate(data, [best["model_name"]])
     row = md.history_row(leaderboard, data, selected, at, path, cv, current)
     return row, leaderboard, models[best["model_name"]], feature_model, selected
 

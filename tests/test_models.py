@@ -127,6 +127,12 @@ def test_cross_validation_of_all_kinds(numbers):
     assert got["random_forest"]["cv_r2_mean"] == pytest.approx(np.mean(scores), abs=0.05)
 
 
+def test_a_tree_that_wins_has_its_cross_validation_in_the_history(spark, monkeypatch):
+    monkeypatch.setitem(md.MODELS, "random_forest", lambda train, **_: md.forest(train, trees=2, depth=3))
+    row = training.train_run(bookings(spark, 300), "2025-01-01 00:00:00", None, ("random_forest",), trees=2)[0].first()
+    assert row["model_name"] == "random_forest" and row["cv_r2_mean"] is not None and row["cv_r2_std"] >= 0
+
+
 def test_one_pass_scores_as_one_model_at_a_time(numbers):
     _, _, df = numbers
     data = md.assemble(md.train_test_split(df), ["a", "b", "c"])
