@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from fareloom.functions import fixed
 from fareloom.functions.numbers import mape, ratio_pct, round_to
 from fareloom.operators.features import TARGET
+from fareloom.operators.forests import FoldedForest, fit_forest, grid_scores
 from fareloom.operators.joins import cross_one
 from fareloom.operators.quality import union_all
 from fareloom.session import materialize, shared_dir
@@ -29,6 +30,8 @@ TREES = dict(maxBins=32, maxMemoryInMB=256, seed=fixed.SPLIT_SEED)
 PARTITION_ROWS = 1 << 13
 #: Fits of a cross-validation that run side by side; each is many short jobs.
 PARALLEL_FITS = 4
+#: From so many rows on, trees are grown from rows with equal features put together, if these are no more than ``FOLDED_ROWS``.
+FOLD_ROWS, FOLDED_ROWS = 1 << 17, 1 << 20
 
 
 def _place(key: str, seed: int, parts: int):
@@ -62,6 +65,27 @@ def spread(df: DataFrame) -> DataFrame:
     return df.persist()
 
 
+def folded(df: DataFrame, *by) -> DataFrame | None:
+    """Rows with equal features as one: ``weight`` of them, ``label`` their mean, ``within`` the squares about it; written.
+
+    No split parts such rows, so the squares within are the same on both sides of a gain and a tree comes out as from the
+    single rows. None where the rows are few, or the distinct ones too many for that.
+    """
+    if df.count() < FOLD_ROWS:
+        return None
+    n = F.count(F.lit(1)).cast("double")
+    sums = [n.alias("weight"), F.avg("label").alias("label"), (F.var_pop("label") * n).alias("within")]
+    out = materialize(df.groupBy("features", *by).agg(*sums), "folded")
+    return out if out.count() <= FOLDED_ROWS * (1 if not by else fixed.FOLDS) else None
+
+
+def weighted(estimator, least: int, rows: float):
+    """The estimator for folded rows: the smallest leaf is one of ``least`` rows, not of as many vectors."""
+    return estimator.copy({
+        estimator.weightCol: "weight", estimator.minInstancesPerNode: 1, estimator.minWeightFractionPerNode: min(0.49, (least - 0.5) / rows),
+    })
+
+
 def _linear(**params):
     return LinearRegression(standardization=False, solver="normal", **params)
 
@@ -120,7 +144,22 @@ def keep_checkpoints(spark) -> None:
 
 def fit(name: str, train: DataFrame, **params):
     keep_checkpoints(train.sparkSession)
-    return MODELS.get(name, tree)(train, **params).fit(train)
+    estimator = MODELS.get(name, tree)(train, **params)
+    return fit_rows(estimator, train, folded(train) if hasattr(estimator, "minInstancesPerNode") else None)
+
+
+def fit_rows(estimator, train: DataFrame, vectors: DataFrame | None):
+    """Fit to the rows, trees and ensembles to the folded ones if there are any."""
+    if vectors is None:
+        return estimator.fit(train)
+    least = estimator.getMinInstancesPerNode()
+    if isinstance(estimator, RandomForestRegressor):
+        return fit_forest(train, vectors, estimator.getNumTrees(), estimator.getMaxDepth(), least, estimator.getMaxBins(), estimator.getSeed())
+    rows = vectors.agg(F.sum("weight").alias("n")).first()["n"]
+    few = spread(vectors)
+    model = weighted(estimator, least, rows).fit(few)
+    few.unpersist()
+    return model
 
 
 def reg_metrics(df: DataFrame, actual="label", predicted="prediction", prefix="") -> DataFrame:
@@ -161,6 +200,8 @@ def _predicted(model, df: DataFrame, column: str) -> DataFrame:
 def evaluate_all(fitted: dict, data: DataFrame) -> DataFrame:
     """A row a model: train and test metrics of all of them from one pass. ``data`` carries ``is_test``."""
     scored, rows = data.select("features", "label", "is_test"), []
+    if any(isinstance(model, FoldedForest) for model in fitted.values()):  # it scores equal rows of a batch once
+        scored = scored.repartition("features", F.pmod(F.xxhash64("label"), F.lit(8))).sortWithinPartitions("features")
     for i, (name, model) in enumerate(fitted.items()):
         scored = _predicted(model, scored, f"p{i}")
         metrics = [*_fit_of(~F.col("is_test"), f"p{i}", "train_"), *_fit_of(F.col("is_test"), f"p{i}", "test_")]
@@ -422,8 +463,13 @@ def tree_grid_search(data: DataFrame, depths=fixed.TREE_GRID_DEPTHS, splits=fixe
         estimator=estimator, estimatorParamMaps=grid, numFolds=fixed.FOLDS, foldCol="fold",
         evaluator=RegressionEvaluator(metricName="r2"), parallelism=parallelism,
     )
-    train = spread(with_folds(data.where("NOT is_test")))
-    scores = cv.fit(train).avgMetrics
+    train = spread(with_folds(data.where("NOT is_test")).select("features", "label", "fold"))
+    vectors = folded(train, "fold")
+    if vectors is None:
+        scores = cv.fit(train).avgMetrics
+    else:
+        found = grid_scores(vectors, depths, sorted({max(1, s // 2) for s in splits}), TREES["maxBins"])
+        scores = [found[g[estimator.maxDepth], g[estimator.minInstancesPerNode]] for g in grid]
     train.unpersist()
     best = max(range(len(grid)), key=lambda i: scores[i])
     rows = [
@@ -438,14 +484,10 @@ def tree_grid_search(data: DataFrame, depths=fixed.TREE_GRID_DEPTHS, splits=fixe
 def depth_sweep(data: DataFrame, depths=fixed.SWEEP_DEPTHS) -> DataFrame:
     """Train and test R2 of a decision tree by depth."""
     train = spread(data.where("NOT is_test"))
-    rows = [
-        evaluate(f"depth_{d}", tree(train, depth=d).fit(train), data).select(
-            F.lit(d).alias("max_depth"), "train_r2", "test_r2"
-        )
-        for d in depths
-    ]
+    vectors = folded(train)
+    fitted = {str(d): fit_rows(tree(train, depth=d), train, vectors) for d in depths}
     train.unpersist()
-    return union_all(*rows)
+    return evaluate_all(fitted, data).select(F.col("model_name").cast("int").alias("max_depth"), "train_r2", "test_r2")
 
 
 # --- explanation ---------------------------------------------------------------------------------
@@ -469,7 +511,7 @@ def importances(spark, model, features) -> DataFrame:
 def importance_forest(data: DataFrame, features, trees=100) -> DataFrame:
     """Feature importances of a forest of 100 trees of depth 10."""
     data = spread(data)
-    model = forest(data, trees=trees, depth=10, min_split=2).fit(data)
+    model = fit_rows(forest(data, trees=trees, depth=10, min_split=2), data, folded(data))
     data.unpersist()
     return importances(data.sparkSession, model, features)
 
