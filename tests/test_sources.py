@@ -13,8 +13,11 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
 
 
-def test_items_are_shuffled_by_part_and_order_alone(spark):
+def test_items_are_shuffled_by_part_and_order_alone(spark, monkeypatch):
     """Large tables: customers meet the orders and not the items."""
+    rows = sorted(map(str, bookings.bookings(spark, SF).collect()))
+    monkeypatch.setattr(bookings, "ORDER_BYTES", 0)
+    assert sorted(map(str, bookings.bookings(spark, SF).collect())) == rows
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
