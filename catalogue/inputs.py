@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from fareloom.operators.incremental import to_bronze, with_hash
 from fareloom.operators.silver import silver_clean
 from fareloom.operators.validate import validate_rows
-from fareloom.session import materialize, size_shuffles
+from fareloom.session import COMPACT, materialize, size_shuffles
 from fareloom.sources.bookings import DOMESTIC, bookings, table
 
 LOADED_AT = "2002-01-01 00:00:00"
@@ -27,7 +27,7 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """Build and write a layer table on first use; later queries scan the columns they need."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
-        _written[key] = materialize(build(), name)
+        _written[key] = materialize(build(), name, options=COMPACT)
     return _written[key]
 
 
@@ -40,6 +40,13 @@ def validated(spark, sf_dir) -> DataFrame:
     return _once(spark, sf_dir, "validated", lambda: validate_rows(raw(spark, sf_dir)))
 
 
+def checked(spark, sf_dir) -> DataFrame:
+    """The validated rows for a single pass: from the table if it is written already, else worked out and not written."""
+    if (spark.sparkContext.applicationId, sf_dir, "validated") in _written:
+        return validated(spark, sf_dir)
+    return validate_rows(raw(spark, sf_dir))
+
+
 def valid(spark, sf_dir) -> DataFrame:
     return validated(spark, sf_dir).where("is_valid")
 
@@ -51,10 +58,7 @@ def bronze(spark, sf_dir) -> DataFrame:
 def silver(spark, sf_dir) -> DataFrame:
     """From the validated table if it is written already; a query of silver alone does not write both."""
     def build():
-        if (spark.sparkContext.applicationId, sf_dir, "validated") in _written:
-            return silver_clean(bronze(spark, sf_dir), DOMESTIC, LOADED_AT)
-        fresh = to_bronze(validate_rows(raw(spark, sf_dir)).where("is_valid"), LOADED_AT)
-        return silver_clean(fresh, DOMESTIC, LOADED_AT)
+        return silver_clean(to_bronze(checked(spark, sf_dir).where("is_valid"), LOADED_AT), DOMESTIC, LOADED_AT)
 
     return _once(spark, sf_dir, "silver", build)
 
@@ -93,9 +97,9 @@ def silver_extracts(spark, sf_dir):
     return silver_clean(first, DOMESTIC, LOADED_AT), silver_clean(second, DOMESTIC, LOADED_AT)
 
 
-def load_log(spark, sf_dir) -> DataFrame:
-    """Load log read from the bookings: one load per departure month."""
-    months = validated(spark, sf_dir).groupBy(
+def load_log(spark, sf_dir, rows=None) -> DataFrame:
+    """Load log read from the bookings: one load per departure month. ``rows`` are the validated ones, the table by default."""
+    months = (validated(spark, sf_dir) if rows is None else rows).groupBy(
         F.expr("CAST(date_trunc('MONTH', departure_datetime) AS timestamp_ntz) AS load_timestamp")
     )
     return months.agg(

@@ -751,12 +751,12 @@ def load_log(spark, sf_dir):
 
 @query("load_stats")
 def load_stats(spark, sf_dir):
-    return incremental.load_stats(I.load_log(spark, sf_dir), I.AS_OF, days=365)
+    return incremental.load_stats(I.load_log(spark, sf_dir, I.checked(spark, sf_dir)), I.AS_OF, days=365)
 
 
 @query("process_gate")
 def process_gate(spark, sf_dir):
-    last = tables.latest_row(I.load_log(spark, sf_dir), "load_timestamp")
+    last = tables.latest_row(I.load_log(spark, sf_dir, I.checked(spark, sf_dir)), "load_timestamp")
     return incremental.process_gate(last)
 
 

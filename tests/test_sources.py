@@ -54,3 +54,23 @@ def test_extracts_for_the_stream_are_dropped_in_files_by_size(spark, monkeypatch
     with pytest.raises(ZeroDivisionError):
         entry.queries()["stream_ingest"](spark, SF)
     assert len(seen) == 2 and min(seen) > 3
+
+
+def test_texts_of_a_small_part_table_are_not_shuffled_by_order(spark, monkeypatch):
+    monkeypatch.setattr(bookings, "ORDER_BYTES", 0)
+    plan = bookings.bookings(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    joins = re.findall(r"Join Inner, \((\w+?)#\d+L? = (\w+?)#", plan)
+    assert [set(j) for j in joins[:3]] == [{"l_suppkey", "s_suppkey"}, {"l_partkey", "p_partkey"}, {"l_orderkey", "o_orderkey"}]
+
+
+def test_a_single_pass_writes_no_table_of_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(inputs, "_written", {})
+    direct = entry.queries()["load_stats"](spark, SF).collect()
+    assert not inputs._written
+    inputs.validated(spark, SF)
+    assert entry.queries()["load_stats"](spark, SF).collect() == direct and direct
+
+
+def test_tables_of_all_rows_are_compact(spark, monkeypatch):
+    monkeypatch.setattr(inputs, "_written", {})
+    assert all(".zstd." in name for name in inputs.validated(spark, SF).inputFiles())
