@@ -51,6 +51,13 @@ def valid(spark, sf_dir) -> DataFrame:
     return validated(spark, sf_dir).where("is_valid")
 
 
+def valid_columns(spark, sf_dir, *columns) -> DataFrame:
+    """A few columns of the valid rows for several passes: from the validated table if it is written already, else written alone."""
+    if (spark.sparkContext.applicationId, sf_dir, "validated") in _written:
+        return valid(spark, sf_dir).select(*columns)
+    return _once(spark, sf_dir, "-".join(columns), lambda: checked(spark, sf_dir).where("is_valid").select(*columns))
+
+
 def bronze(spark, sf_dir) -> DataFrame:
     return to_bronze(valid(spark, sf_dir), LOADED_AT)
 
@@ -70,15 +77,15 @@ def _repriced(df: DataFrame) -> DataFrame:
     )
 
 
-def first_extract(spark, sf_dir) -> DataFrame:
-    """Departures up to the first cut."""
-    return valid(spark, sf_dir).where(F.col("departure_datetime") < F.lit(FIRST_CUT).cast("timestamp_ntz"))
+def first_extract(spark, sf_dir, rows=None) -> DataFrame:
+    """Departures up to the first cut. ``rows`` are the valid ones, those of the validated table by default."""
+    return (valid(spark, sf_dir) if rows is None else rows).where(F.col("departure_datetime") < F.lit(FIRST_CUT).cast("timestamp_ntz"))
 
 
-def second_extract(spark, sf_dir) -> DataFrame:
+def second_extract(spark, sf_dir, rows=None) -> DataFrame:
     """A later extract: old departures have dropped out, new ones came in, Eid fares rose."""
     later = F.col("departure_datetime") >= F.lit(SECOND_CUT).cast("timestamp_ntz")
-    return _repriced(valid(spark, sf_dir).where(later))
+    return _repriced((valid(spark, sf_dir) if rows is None else rows).where(later))
 
 
 def reload_extract(spark, sf_dir) -> DataFrame:

@@ -124,9 +124,10 @@ def limit_n(spark, sf_dir):
 @query("sink_append")
 def sink_append(spark, sf_dir):
     store = tables.Store(spark, new_path(spark, "append"))
-    first = I.first_extract(spark, sf_dir).select("id", "airline", TOTAL)
+    rows = I.valid_columns(spark, sf_dir, "id", "airline", "departure_datetime", "seasonality", "base_fare_bdt", TOTAL)
+    first = I.first_extract(spark, sf_dir, rows).select("id", "airline", TOTAL)
     store.append("staging", first)
-    rest = I.second_extract(spark, sf_dir).select("id", "airline", TOTAL)
+    rest = I.second_extract(spark, sf_dir, rows).select("id", "airline", TOTAL)
     return aggregate(
         store.append("staging", rest), ["airline"], {"n": "count(1)", "total": sql_round(f"sum({TOTAL})")}
     )
@@ -135,7 +136,8 @@ def sink_append(spark, sf_dir):
 @query("sink_overwrite")
 def sink_overwrite(spark, sf_dir):
     store = tables.Store(spark, new_path(spark, "overwrite"))
-    store.overwrite("staging", I.first_extract(spark, sf_dir).select("id", "airline", TOTAL))
+    rows = I.checked(spark, sf_dir).where("is_valid")
+    store.overwrite("staging", I.first_extract(spark, sf_dir, rows).select("id", "airline", TOTAL))
     current = store.read("staging")
     again = store.overwrite("staging", current.where(f"{TOTAL} >= 50000"))  # reads what it replaces
     return aggregate(again, ["airline"], {"n": "count(1)", "total": sql_round(f"sum({TOTAL})")})

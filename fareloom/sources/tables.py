@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fareloom.session import COMPACT
+
 
 class Store:
     """A root folder with one folder per table and one sub-folder per complete version.
@@ -52,7 +54,7 @@ class Store:
             version = (self.version(name) or 0) + 1
         if version not in self._children(name):
             path = f"{self.root}/{name}/version={version}"
-            df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+            df.write.mode("overwrite").options(**COMPACT).partitionBy(*partition_by).parquet(path)
         return self.read(name, version)
 
     def append(self, name: str, df: DataFrame) -> DataFrame:
@@ -61,7 +63,7 @@ class Store:
         path = f"{self.root}/{name}/version={version}"
         if self.exists(name) and set(self.read(name, version).columns) != set(df.columns):
             self._mixed(path).put()
-        df.write.mode("append").parquet(path)
+        df.write.mode("append").options(**COMPACT).parquet(path)
         return self.read(name, version)
 
 

@@ -74,3 +74,15 @@ def test_a_single_pass_writes_no_table_of_all_rows(spark, monkeypatch):
 def test_tables_of_all_rows_are_compact(spark, monkeypatch):
     monkeypatch.setattr(inputs, "_written", {})
     assert all(".zstd." in name for name in inputs.validated(spark, SF).inputFiles())
+
+
+def test_appends_keep_the_columns_in_use_alone(spark, monkeypatch):
+    monkeypatch.setattr(inputs, "_written", {})
+    names = ("sink_append", "sink_overwrite")
+    direct = [sorted(entry.queries()[name](spark, SF).collect()) for name in names]
+    (kept,) = inputs._written.values()
+    assert not {"is_valid", "source_name", "aircraft_type"} & set(kept.columns)
+    monkeypatch.setattr(inputs, "_written", {})
+    inputs.validated(spark, SF)
+    assert [sorted(entry.queries()[name](spark, SF).collect()) for name in names] == direct and all(direct)
+    assert len(inputs._written) == 1
