@@ -8,6 +8,7 @@ from fareloom.functions import fixed
 from fareloom.functions.numbers import round_to
 from fareloom.functions.text import number_text, time_text
 from fareloom.operators import sketches
+from fareloom.operators.joins import LOOKUP_ROWS
 from fareloom.session import input_size, materialize
 from fareloom.sources.ledger import Commit, bucket_of
 
@@ -111,6 +112,12 @@ def load_mode():
     )
 
 
+def _all_new(incoming: DataFrame) -> DataFrame:
+    """What ``stats_of`` needs of a load into an empty table: no hash has to be compared."""
+    n = F.count(F.lit(1)).alias("incoming_rows")
+    return incoming.agg(n).select(F.lit("new").alias("status"), "incoming_rows", F.lit(0).cast("bigint").alias("existing_rows"))
+
+
 def _hashes(df: DataFrame) -> DataFrame:
     return df.select("record_hash").distinct()
 
@@ -155,9 +162,10 @@ ACTIVE, PAST = "active", "past"
 def load_into(commit: Commit, name: str, incoming: DataFrame, ingested_at, mode: str | None = None, profile: str | None = None) -> dict:
     """Apply a load to a table of a ledger, kept in buckets of the hash and split into active and past rows.
 
-    Hashes of both sides meet once, in a written table without other columns. New rows are added in folders of their
-    own; buckets that lose rows, or have many folders, are written anew, the lost rows join the past ones. Past rows and all other
-    buckets keep their files. A reload replaces the table. Returns the statistics; ``mode`` overrides the load mode.
+    Hashes of both sides meet once, in a written table without other columns; a load into an empty table only counts its rows.
+    New rows are added in folders of their own; buckets that lose rows, or have many folders, are written anew, the lost rows
+    join the past ones. Up to ``LOOKUP_ROWS`` lost hashes are broadcast, and the rows of a bucket then stay in the tasks that read
+    them, unless they lie in many files. Past rows and all other buckets keep their files. A reload replaces the table. Returns the statistics; ``mode`` overrides the load mode.
     ``profile`` names a table that gets sketches of the rows a load adds: merged, they profile all rows since the last
     reload, and only the added ones are read for it.
     """
@@ -165,8 +173,12 @@ def load_into(commit: Commit, name: str, incoming: DataFrame, ingested_at, mode:
         commit.create(name, "record_hash")
     live = commit.read(name, ACTIVE)
     known = live if "record_hash" in live.columns else apply_full(incoming, ingested_at).limit(0)
-    status = materialize(hash_status(incoming, known), "hash-status")
-    stats = stats_of(status).first().asDict()  # one row
+    stats = None
+    if mode != "INCREMENTAL" and not any(p["split"] == ACTIVE for p in commit.tables[name]["parts"]):
+        stats = stats_of(_all_new(incoming)).first().asDict()  # one row
+    if stats is None or (mode or stats["load_type"]) == "INCREMENTAL":
+        status = materialize(hash_status(incoming, known), "hash-status")
+        stats = stats_of(status).first().asDict()
     mode = mode or stats["load_type"]
     if mode == "FULL":
         commit.create(name, "record_hash", input_size(incoming))
@@ -176,15 +188,19 @@ def load_into(commit: Commit, name: str, incoming: DataFrame, ingested_at, mode:
     elif mode == "INCREMENTAL":
         table = commit.tables[name]
         gone = status.where("status = 'deleted'").select("record_hash")
-        lose = gone.select(bucket_of("record_hash", table["buckets"]).alias("bucket")).distinct().collect()  # at most the buckets
-        touched = {r["bucket"] for r in lose} | commit.crowded(name, ACTIVE)
+        lose = gone.groupBy(bucket_of("record_hash", table["buckets"]).alias("bucket")).count().collect()  # at most the buckets
+        crowded = commit.crowded(name, ACTIVE)
+        touched, few = {r["bucket"] for r in lose} | crowded, sum(r["count"] for r in lose) <= LOOKUP_ROWS
         if touched:
-            rows = commit.read(name, ACTIVE, touched)
+            rows, gone = commit.read(name, ACTIVE, touched), F.broadcast(gone) if few else gone
             stamp = F.lit(ingested_at).cast("timestamp_ntz")
             lost = rows.join(gone, "record_hash", "left_semi").withColumns({"ingestion_timestamp": stamp, "is_active": F.lit(False)})
+            deal = not few or bool(crowded) or commit.scattered(name, ACTIVE, touched)
             commit.append(name, lost, PAST)
-            commit.rewrite(name, rows.join(gone, "record_hash", "left_anti"), ACTIVE, touched)
+            commit.rewrite(name, rows.join(gone, "record_hash", "left_anti"), ACTIVE, touched, deal)
         new = status.where("status = 'new'").select("record_hash")
+        if new.count() <= LOOKUP_ROWS:
+            new = F.broadcast(new)
         added = commit.append(name, apply_full(incoming.join(new, "record_hash", "left_semi"), ingested_at), ACTIVE)
         if profile and stats["records_inserted"]:
             commit.append(profile, sketches.sketch(added))

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fareloom.session import COMPACT
+
 #: Bytes a bucket is meant to hold, and parts of a bucket after which the next load merges them.
 BUCKET_BYTES, MAX_PARTS = 256 << 20, 16
 BUCKET = "__bucket"
@@ -127,9 +129,11 @@ class Commit:
         buckets = max(8, -(-size // BUCKET_BYTES)) if key else 1
         self.tables[name] = {"key": key, "buckets": buckets, "schemas": [], "parts": []}
 
-    def append(self, name: str, df: DataFrame, split: str = "") -> DataFrame:
+    def append(self, name: str, df: DataFrame, split: str = "", deal: bool = True) -> DataFrame:
         """Rows go to folders of their own, a bucket each; returns them as they are read back.
 
+        Without ``deal`` rows are not shuffled by bucket before: each task writes a file for every bucket it has rows of.
+
         Columns the table does not have yet are added to it, and a column whose new values its type cannot hold gets a wider one:
         a new version of the schema, by which the old folders are read from then on. Nothing old is written again.
         """
@@ -146,13 +150,14 @@ class Commit:
         folder = f"{name}-{self.number:08d}-{uuid.uuid4().hex}"
         path = f"{self.ledger.root}/data/{folder}"
         if not table["key"]:
-            df.write.parquet(path)
+            df.write.options(**COMPACT).parquet(path)
             parts = [{"path": folder, "split": split, "bucket": 0, "schema": number}]
             table["parts"] += parts
             return self.ledger._frame(table, parts)
-        # adaptive execution splits a bucket that copies of one key make large, and merges small ones
-        rows = df.withColumn(BUCKET, bucket_of(table["key"], table["buckets"])).hint("rebalance", BUCKET)
-        rows.write.partitionBy(BUCKET).parquet(path)
+        rows = df.withColumn(BUCKET, bucket_of(table["key"], table["buckets"]))
+        if deal:  # adaptive execution splits a bucket that copies of one key make large, and merges small ones
+            rows = rows.hint("rebalance", BUCKET)
+        rows.write.options(**COMPACT).partitionBy(BUCKET).parquet(path)
         parts = [
             {"path": f"{folder}/{written}", "split": split, "bucket": int(written.split("=")[1]), "schema": number}
             for written in self.ledger._names(f"data/{folder}") if written.startswith(f"{BUCKET}=")
@@ -160,11 +165,11 @@ class Commit:
         table["parts"] += parts
         return self.ledger._frame(table, parts)
 
-    def rewrite(self, name: str, df: DataFrame, split: str, buckets) -> None:
+    def rewrite(self, name: str, df: DataFrame, split: str, buckets, deal: bool = True) -> None:
         """The rows of these buckets of a split give way to ``df``; all other folders stay as they are."""
         table, touched = self.tables[name], set(buckets)
         table["parts"] = [p for p in table["parts"] if p["split"] != split or p["bucket"] not in touched]
-        self.append(name, df, split)
+        self.append(name, df, split, deal)
 
     def overwrite(self, name: str, df: DataFrame) -> None:
         """A table without splits and buckets, written whole."""
@@ -184,6 +189,10 @@ class Commit:
                 counts[p["bucket"]] = counts.get(p["bucket"], 0) + 1
         return {b for b, n in counts.items() if n > MAX_PARTS}
 
+    def scattered(self, name: str, split: str, buckets) -> bool:
+        """Whether these buckets lie in more than ``MAX_PARTS`` files each, on average."""
+        return len(self.read(name, split, buckets).inputFiles()) > MAX_PARTS * len(buckets)
+
     def finish(self, token: tuple[str, int] | None = None) -> int:
         """Make the changes visible: one file, which appears whole under the next number or not at all."""
         if token:

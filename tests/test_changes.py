@@ -403,3 +403,34 @@ def test_metadata(spark):
 
     assert first["schema_hash"] == hashlib.sha256(b"a,b").hexdigest()
     assert (first["id"], first["previous_metadata_id"], first["schema_changed"]) == (1, None, False)
+
+
+def test_a_load_into_an_empty_table_compares_no_hashes(spark, make, monkeypatch):
+    want = incremental.change_stats(fares(make, 1, 1, 2), fares(make, 1).limit(0).withColumn("is_active", F.lit(True))).first().asDict()
+    monkeypatch.setattr(incremental, "hash_status", lambda *_: 1 / 0)
+    ledger = Ledger(spark, new_path(spark, "empty"))
+    assert loaded(ledger, "none", fares(make, 1).limit(0), T0)["load_type"] == "NONE"
+    assert loaded(ledger, "bronze", fares(make, 1, 1, 2), T0) == want and want["load_type"] == "FULL"
+    assert ledger.read("bronze").count() == 3
+
+
+def test_rows_that_stay_in_their_buckets_are_not_shuffled(spark, make, monkeypatch):
+    dealt, append = {}, ledger_module.Commit.append
+
+    def noted(self, name, df, split="", deal=True):
+        dealt.setdefault(split, []).append(deal)
+        return append(self, name, df, split, deal)
+
+    monkeypatch.setattr(ledger_module.Commit, "append", noted)
+    ledgers = [Ledger(spark, new_path(spark, "stay")) for _ in range(3)]
+    rows = []
+    for ledger, most, parts in zip(ledgers, (100, 0, 100), (16, 16, 0), strict=True):
+        dealt.clear()
+        loaded(ledger, "bronze", fares(make, *range(60), 5), T0)
+        assert dealt.pop("active") == [True]
+        monkeypatch.setattr(incremental, "LOOKUP_ROWS", most)
+        monkeypatch.setattr(ledger_module, "MAX_PARTS", parts)
+        loaded(ledger, "bronze", fares(make, *range(6, 64)), T1, "INCREMENTAL")
+        assert dealt["active"] == [most == 0 or parts == 0, True] and dealt["past"] == [True]
+        rows.append(sorted(map(str, ledger.read("bronze").select("record_hash", "is_active", "ingestion_timestamp", "base_fare_bdt").collect())))
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) == 65
