@@ -62,7 +62,7 @@ def _csv(spark, sf_dir) -> str:
     """The bookings as CSV files with the source's headers."""
     headers = {field: header for header, field in fixed.CSV_HEADERS.items()}
     path = new_path(spark, "bookings_csv")
-    I.validated(spark, sf_dir).select(*src.FIELDS).withColumnsRenamed(headers).write.options(
+    I.checked(spark, sf_dir).select(*src.FIELDS).withColumnsRenamed(headers).write.options(
         header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss", quoteAll=True,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     ).csv(path)
@@ -160,9 +160,10 @@ def dataset_metadata(spark, sf_dir):
 
     path = _csv(spark, sf_dir)
     df = files.scan_csv(spark, path)
-    first = tables.dataset_metadata(df, "bookings.csv", path_size(spark, path), [], None, I.FIRST_LOAD)
+    counted = materialize(df.agg(F.count(F.lit(1)).alias("row_count")), "row-count")  # of the one file both rows describe
+    first = tables.dataset_metadata(df, "bookings.csv", path_size(spark, path), [], None, I.FIRST_LOAD, counted)
     second = tables.dataset_metadata(
-        df, "bookings.csv", path_size(spark, path), ["loyalty_tier"], first, I.SECOND_LOAD
+        df, "bookings.csv", path_size(spark, path), ["loyalty_tier"], first, I.SECOND_LOAD, counted
     )
     return first.unionByName(second).drop("file_size_bytes", "columns_json")
 

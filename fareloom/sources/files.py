@@ -40,9 +40,18 @@ def scan_csv(spark: SparkSession, path: str, **options) -> DataFrame:
 def _by_header(spark: SparkSession, path: str, options) -> list[list[str]]:
     """Files grouped by their first line: files of one folder may have other columns, or another order of them.
 
-    A file's first line is the first row of its first split, which one task reads in order. Where all files
-    agree the folder is read as one.
+    Only the first lines are read, by the driver, file by file; where the options name line ends or an encoding, a pass over
+    all lines finds them: a file's first line is the first row of its first split, which one task reads in order. Where all
+    files agree the folder is read as one.
     """
+    if not {o.lower() for o in options} & {"linesep", "encoding", "charset"}:
+        by: dict = {}
+        for file in sorted(spark.read.text(path).inputFiles()):
+            place = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file))  # a listed file is a URI
+            line = _first_line(spark, place)
+            if line is not None:
+                by.setdefault(line, []).append(place.toString())
+        return [by[line] for line in sorted(by)] if len(by) > 1 else [[path]]
     lines = spark.read.options(**{k: v for k, v in options.items() if k in ("lineSep", "encoding")}).text(path)
     first = (
         lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
@@ -54,6 +63,19 @@ def _by_header(spark: SparkSession, path: str, options) -> list[list[str]]:
     return [[r["file"] for r in first.where(F.col("header") == h).orderBy("file").collect()] for h in heads]
 
 
+def _first_line(spark: SparkSession, path) -> str | None:
+    """The first line of the file at a Hadoop path; None if it is empty."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        plain = stream if codec is None else codec.createInputStream(stream)
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return line if line is None else line.removeprefix("\ufeff")
+
+
 def field_name(header: str) -> str:
     known = fixed.CSV_HEADERS.get(header)
     return known or re.sub(r"[()]", "", header.lower().replace(" ", "_"))

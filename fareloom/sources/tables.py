@@ -126,15 +126,19 @@ def latest_row(df: DataFrame, order: str) -> DataFrame:
     return df.agg(F.max_by(row, F.col(order)).alias("r")).where("r IS NOT NULL").select("r.*")
 
 
-def dataset_metadata(df: DataFrame, file_name: str, file_size: int, new_columns, previous, at) -> DataFrame:
-    """One row describing a received file; ``previous`` is the metadata table so far, or None."""
+def dataset_metadata(df: DataFrame, file_name: str, file_size: int, new_columns, previous, at, counted: DataFrame | None = None) -> DataFrame:
+    """One row describing a received file; ``previous`` is the metadata table so far, or None.
+
+    ``counted`` has the file's rows as its one ``row_count``, where they were counted before.
+    """
     from fareloom.sources.files import CORRUPT, schema_hash
 
     fields = [f for f in df.schema.fields if f.name != CORRUPT]
     types = F.to_json(
         F.create_map(*[F.lit(x) for f in fields for x in (f.name, f.dataType.simpleString())])
     )
-    row = df.agg(F.count(F.lit(1)).alias("row_count")).select(
+    counted = df.agg(F.count(F.lit(1)).alias("row_count")) if counted is None else counted
+    row = counted.select(
         F.lit(file_name).cast("string").alias("file_name"),
         F.lit(at).cast("timestamp_ntz").alias("download_timestamp"),
         F.lit(file_size).cast("bigint").alias("file_size_bytes"),

@@ -434,3 +434,31 @@ def test_rows_that_stay_in_their_buckets_are_not_shuffled(spark, make, monkeypat
         assert dealt["active"] == [most == 0 or parts == 0, True] and dealt["past"] == [True]
         rows.append(sorted(map(str, ledger.read("bronze").select("record_hash", "is_active", "ingestion_timestamp", "base_fare_bdt").collect())))
     assert rows[0] == rows[1] == rows[2] and len(rows[0]) == 65
+
+
+def test_headers_are_found_without_a_pass_over_the_lines(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "a.csv").write_text("Airline,Source\nx,DAC\n")
+    (tmp_path / "b 1.csv").write_text("﻿Airline,Source\r\ny,DAC\r\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "c.csv.gz").write_bytes(gzip.compress(b"Source,Airline\nCXB,z\n"))
+    groups = files._by_header(spark, str(tmp_path), {})
+    slow = files._by_header(spark, str(tmp_path), {"lineSep": "\n"})  # the pass over all lines keeps the CR of a line
+    assert [[f.rsplit("/", 1)[1] for f in g] for g in groups] == [["a.csv", "b 1.csv"], ["c.csv.gz"]]
+    assert sum(map(len, slow)) == sum(map(len, groups)) == 3
+    context = spark.sparkContext
+    context.setJobGroup("headers", "headers")
+    try:
+        files._by_header(spark, str(tmp_path), {})
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert not context.statusTracker().getJobIdsForGroup("headers")
+    assert sorted(r["Airline"] for r in files.scan_csv(spark, str(tmp_path)).collect()) == ["x", "y", "z"]
+
+
+def test_the_rows_of_a_file_are_counted_once(spark, make):
+    counted = spark.createDataFrame([(7,)], "row_count bigint")
+    first = tables.dataset_metadata(fares(make, 1), "f.csv", 10, [], None, T0, counted)
+    assert first.first()["row_count"] == 7
+    assert tables.dataset_metadata(fares(make, 1), "f.csv", 10, [], first, T1).select("id", "row_count").first() == (2, 1)

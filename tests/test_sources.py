@@ -86,3 +86,9 @@ def test_appends_keep_the_columns_in_use_alone(spark, monkeypatch):
     inputs.validated(spark, SF)
     assert [sorted(entry.queries()[name](spark, SF).collect()) for name in names] == direct and all(direct)
     assert len(inputs._written) == 1
+
+
+def test_a_csv_file_alone_writes_no_validated_table(spark, monkeypatch):
+    monkeypatch.setattr(inputs, "_written", {})
+    rows = entry.queries()["dataset_metadata"](spark, SF).collect()
+    assert not inputs._written and [r["id"] for r in rows] == [1, 2] and rows[0]["row_count"] == rows[1]["row_count"] > 0
