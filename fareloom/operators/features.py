@@ -17,7 +17,7 @@ from fareloom.operators.order_stats import (
     unpivot,
     with_rank,
 )
-from fareloom.session import materialize
+from fareloom.session import COMPACT, materialize
 
 TARGET = "total_fare_bdt"
 NOT_FEATURES = (TARGET, "id")
@@ -217,7 +217,7 @@ def fit_features(df: DataFrame) -> FeatureModel:
     small = {c: sizes.get(c, 0) <= LOOKUP_ROWS for c in categories}
     small[POPULARITY] = counts is None or counts.count() <= LOOKUP_ROWS
     model = FeatureModel(popularity=counts, missing_popularity=missing, fills={}, codes=codes, small=small, categories=categories)
-    derived = materialize(model.derive(df).drop(*category_columns(df)), "derived")  # read for the gaps, medians and scales
+    derived = materialize(model.derive(df).drop(*category_columns(df)), "derived", options=COMPACT)  # read for the gaps, medians and scales
     numbers = number_columns(derived)
     medians = column_medians(derived, numbers)
     gaps = derived.agg(*[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(c) for c in numbers]).first()

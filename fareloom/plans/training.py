@@ -10,7 +10,7 @@ from fareloom.operators import features as ft
 from fareloom.operators import incremental, score
 from fareloom.operators import models as md
 from fareloom.plans.load import LOG, SILVER
-from fareloom.session import materialize
+from fareloom.session import COMPACT, materialize
 from fareloom.sources.ledger import Ledger
 from fareloom.sources.tables import latest_row
 
@@ -21,7 +21,7 @@ def prepare(silver: DataFrame):
     """Feature table with the split flag, written once for all fits, and the fitted features."""
     frame = ft.training_frame(silver).where(f"{ft.TARGET} IS NOT NULL")
     model = ft.fit_features(frame)
-    return materialize(md.train_test_split(model.transform(frame)), "features"), model
+    return materialize(md.train_test_split(model.transform(frame)), "features", options=COMPACT), model
 
 
 def choose(table: DataFrame, names, trees=100, top=ft.fixed.TOP_FEATURES) -> list[str]:

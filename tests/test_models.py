@@ -290,3 +290,8 @@ def test_status_without_model(spark):
     assert md.model_status(empty).first().asDict() == {
         "model_loaded": False, "model_name": "none", "model_version": "0.0", "last_training_date": "never", "test_r2": 0.0, "test_mae": 0.0,
     }
+
+
+def test_the_feature_table_is_compact(spark):
+    table, _ = training.prepare(bookings(spark, 50))
+    assert all(".zstd." in name for name in table.inputFiles())
