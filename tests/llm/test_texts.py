@@ -261,6 +261,16 @@ def test_cutoffs_are_proved_for_each_stratum(spark):
     assert rules.quality(df.limit(0), labels).collect() == []
 
 
+def test_texts_without_words_where_a_rule_is_in_use(spark):
+    """Their ratios divide by nothing; they fail the base rules and break no other."""
+    text = "concat_ws(' ', transform(sequence(1, 60), i -> concat('word', i, if(id % 10 = 0, '##', ''), id)))"
+    df = spark.range(600).selectExpr("id AS doc_id", "'x' AS lang", f"{text} AS text")
+    labels = df.selectExpr("doc_id", "if(doc_id % 10 = 0, 0, 1) AS quality")
+    wordless = spark.createDataFrame([(2000, "x", ""), (2001, "x", None), (2002, "x", " \n\t")], "doc_id bigint, lang string, text string")
+    got = {r.doc_id: (r.n_words, r.base_failed, r.kept, r.broken_rules) for r in rules.quality(df.unionByName(wordless), labels).collect()}
+    assert got[0][3] == "symbols" and [got[i] for i in (2000, 2001, 2002)] == [(0, True, False, "")] * 3
+
+
 def test_ngrams():
     texts = ["Ab, c", None, "", "12 !", "É" * 3 + "x1y"]
     hashes, where, has = language.grams(texts, (2, 3))
