@@ -58,6 +58,13 @@ def valid_columns(spark, sf_dir, *columns) -> DataFrame:
     return _once(spark, sf_dir, "-".join(columns), lambda: checked(spark, sf_dir).where("is_valid").select(*columns))
 
 
+def valid_rows(spark, sf_dir) -> DataFrame:
+    """All columns of the valid rows for several passes: from the validated table if it is written already, else written alone."""
+    if (spark.sparkContext.applicationId, sf_dir, "validated") in _written:
+        return valid(spark, sf_dir)
+    return _once(spark, sf_dir, "valid", lambda: checked(spark, sf_dir).where("is_valid"))
+
+
 def bronze(spark, sf_dir) -> DataFrame:
     return to_bronze(valid(spark, sf_dir), LOADED_AT)
 
@@ -88,9 +95,9 @@ def second_extract(spark, sf_dir, rows=None) -> DataFrame:
     return _repriced((valid(spark, sf_dir) if rows is None else rows).where(later))
 
 
-def reload_extract(spark, sf_dir) -> DataFrame:
+def reload_extract(spark, sf_dir, rows=None) -> DataFrame:
     later = F.col("departure_datetime") >= F.lit(RELOAD_CUT).cast("timestamp_ntz")
-    return _repriced(valid(spark, sf_dir).where(later))
+    return _repriced((valid(spark, sf_dir) if rows is None else rows).where(later))
 
 
 def loads(spark, sf_dir, second=second_extract):

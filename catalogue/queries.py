@@ -718,7 +718,7 @@ def _first_load(spark, sf_dir):
     def run():
         ledger = Ledger(spark, new_path(spark, "bronze"))
         commit = ledger.begin()
-        incremental.load_into(commit, "bronze", incremental.with_hash(I.first_extract(spark, sf_dir)), I.FIRST_LOAD, "FULL")
+        incremental.load_into(commit, "bronze", incremental.with_hash(I.first_extract(spark, sf_dir, I.valid_rows(spark, sf_dir))), I.FIRST_LOAD, "FULL")
         commit.finish()
         return ledger
 
@@ -727,7 +727,7 @@ def _first_load(spark, sf_dir):
 
 def _second_load(spark, sf_dir, extract, mode):
     commit = _first_load(spark, sf_dir).begin()
-    incremental.load_into(commit, "bronze", incremental.with_hash(extract(spark, sf_dir)), I.SECOND_LOAD, mode)
+    incremental.load_into(commit, "bronze", incremental.with_hash(extract(spark, sf_dir, I.valid_rows(spark, sf_dir))), I.SECOND_LOAD, mode)
     return commit.read("bronze").select("id", "record_hash", TOTAL, "is_active", "ingestion_timestamp")
 
 

@@ -9,7 +9,7 @@ from fareloom.functions.numbers import round_to
 from fareloom.functions.text import number_text, time_text
 from fareloom.operators import sketches
 from fareloom.operators.joins import LOOKUP_ROWS
-from fareloom.session import input_size, materialize
+from fareloom.session import discard, input_size, materialize
 from fareloom.sources.ledger import Commit, bucket_of
 
 
@@ -173,7 +173,7 @@ def load_into(commit: Commit, name: str, incoming: DataFrame, ingested_at, mode:
         commit.create(name, "record_hash")
     live = commit.read(name, ACTIVE)
     known = live if "record_hash" in live.columns else apply_full(incoming, ingested_at).limit(0)
-    stats = None
+    stats = status = None
     if mode != "INCREMENTAL" and not any(p["split"] == ACTIVE for p in commit.tables[name]["parts"]):
         stats = stats_of(_all_new(incoming)).first().asDict()  # one row
     if stats is None or (mode or stats["load_type"]) == "INCREMENTAL":
@@ -204,6 +204,8 @@ def load_into(commit: Commit, name: str, incoming: DataFrame, ingested_at, mode:
         added = commit.append(name, apply_full(incoming.join(new, "record_hash", "left_semi"), ingested_at), ACTIVE)
         if profile and stats["records_inserted"]:
             commit.append(profile, sketches.sketch(added))
+    if status is not None:
+        discard(status)
     return stats
 
 

@@ -7,10 +7,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fareloom.session import COMPACT
+from fareloom.session import COMPACT, freeing, input_size
 
 #: Bytes a bucket is meant to hold, and parts of a bucket after which the next load merges them.
 BUCKET_BYTES, MAX_PARTS = 256 << 20, 16
+#: Rows from files of between ``TASK_BYTES`` and ``MAX_TASKS`` times that are not shuffled by bucket: so many tasks at most write them, each a file a bucket.
+TASK_BYTES, MAX_TASKS = 128 << 20, 64
 BUCKET = "__bucket"
 
 
@@ -132,7 +134,8 @@ class Commit:
     def append(self, name: str, df: DataFrame, split: str = "", deal: bool = True) -> DataFrame:
         """Rows go to folders of their own, a bucket each; returns them as they are read back.
 
-        Without ``deal`` rows are not shuffled by bucket before: each task writes a file for every bucket it has rows of.
+        Without ``deal``, or from a few GB of files at most, rows are not shuffled by bucket before: each task writes a file for
+        every bucket it has rows of.
 
         Columns the table does not have yet are added to it, and a column whose new values its type cannot hold gets a wider one:
         a new version of the schema, by which the old folders are read from then on. Nothing old is written again.
@@ -150,14 +153,18 @@ class Commit:
         folder = f"{name}-{self.number:08d}-{uuid.uuid4().hex}"
         path = f"{self.ledger.root}/data/{folder}"
         if not table["key"]:
-            df.write.options(**COMPACT).parquet(path)
+            with freeing(self.ledger.spark):
+                df.write.options(**COMPACT).parquet(path)
             parts = [{"path": folder, "split": split, "bucket": 0, "schema": number}]
             table["parts"] += parts
             return self.ledger._frame(table, parts)
         rows = df.withColumn(BUCKET, bucket_of(table["key"], table["buckets"]))
-        if deal:  # adaptive execution splits a bucket that copies of one key make large, and merges small ones
+        if deal and TASK_BYTES < input_size(df) <= MAX_TASKS * TASK_BYTES:
+            rows = rows.coalesce(MAX_TASKS)
+        elif deal:  # adaptive execution splits a bucket that copies of one key make large, and merges small ones
             rows = rows.hint("rebalance", BUCKET)
-        rows.write.options(**COMPACT).partitionBy(BUCKET).parquet(path)
+        with freeing(self.ledger.spark):
+            rows.write.options(**COMPACT).partitionBy(BUCKET).parquet(path)
         parts = [
             {"path": f"{folder}/{written}", "split": split, "bucket": int(written.split("=")[1]), "schema": number}
             for written in self.ledger._names(f"data/{folder}") if written.startswith(f"{BUCKET}=")

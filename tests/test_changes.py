@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from fareloom.functions import fixed
 from fareloom.operators import audit, incremental, scd
 from fareloom.plans import load as load_plan
-from fareloom.session import new_path, path_size
+from fareloom.session import discard, materialize, new_path, path_size
 from fareloom.sources import files, tables
 from fareloom.sources import ledger as ledger_module
 from fareloom.sources.ledger import CommitExists, Ledger
@@ -462,3 +462,45 @@ def test_the_rows_of_a_file_are_counted_once(spark, make):
     first = tables.dataset_metadata(fares(make, 1), "f.csv", 10, [], None, T0, counted)
     assert first.first()["row_count"] == 7
     assert tables.dataset_metadata(fares(make, 1), "f.csv", 10, [], first, T1).select("id", "row_count").first() == (2, 1)
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    rows = materialize(spark.range(1000).repartition(3, "id"), "shuffled")
+    Ledger(spark, new_path(spark, "freed")).overwrite("a", spark.range(1000).repartition(3, "id"))
+    assert rows.count() == 1000 and shuffle_files(spark) <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    discard(rows)
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|not exist"):
+        rows.collect()
+
+
+def test_rows_of_a_few_gb_are_not_shuffled_by_bucket(spark, make, monkeypatch):
+    extracts = [materialize(fares(make, *keys), "extract") for keys in ((*range(60), 5), range(6, 64))]
+    rows, dealt, frame = [], [], type(extracts[0])
+    monkeypatch.setattr(frame, "hint", lambda self, name, *a, hint=frame.hint: (dealt.append(name), hint(self, name, *a))[1])
+    for size in (ledger_module.TASK_BYTES, 1, 0):  # too small, a few GB, too large
+        monkeypatch.setattr(ledger_module, "TASK_BYTES", size)
+        ledger = Ledger(spark, new_path(spark, "undealt"))
+        dealt.clear()
+        monkeypatch.setattr(ledger_module, "MAX_TASKS", 1 << 30 if size else 0)
+        loaded(ledger, "bronze", extracts[0], T0)
+        loaded(ledger, "bronze", extracts[1], T1, "INCREMENTAL")
+        assert ("rebalance" in dealt) == (size != 1)
+        rows.append(sorted(map(str, ledger.read("bronze").select("record_hash", "is_active", "ingestion_timestamp", "base_fare_bdt").collect())))
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) == 65
+
+
+def test_a_load_removes_its_table_of_hashes(spark, make, monkeypatch):
+    made = []
+    monkeypatch.setattr(incremental, "materialize", lambda df, name: made.append(materialize(df, name)) or made[-1])
+    ledger = Ledger(spark, new_path(spark, "hashes"))
+    loaded(ledger, "bronze", fares(make, 1, 2), T0)
+    assert loaded(ledger, "bronze", fares(make, 2, 3), T1, "INCREMENTAL")["records_unchanged"] == 1
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(root) for df in made for root in tables.table_roots(df)]
+    assert len(paths) == 1 and not paths[0].getFileSystem(spark._jsc.hadoopConfiguration()).exists(paths[0])
