@@ -24,6 +24,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 DRAW_ROWS = 1 << 12
 #: Nodes whose statistics are held at once while a tree grows.
 NODES_AT_ONCE = 1 << 14
+#: Rows that are sent to a task of a grid together.
+BLOCK_ROWS = 1 << 12
 NODES = "tree int, feature binary, bin binary, left binary, value binary, importance array<double>"
 
 
@@ -183,35 +185,56 @@ def grid_scores(vectors: DataFrame, depths, leasts, bins: int) -> dict:
 
     A shallow tree is the top of a deep one, so each task grows the deepest for one held-out fold and one leaf size, and scores
     the fold at every depth. The squares within folded rows count as errors of any model, so R2 is that of the single rows.
+    A task takes its rows as they stream in, 17 bytes and one a feature each; rows of equal bins and fold come as one.
     """
     splits = _splits(vectors, bins)
     features, width = len(splits), max((len(s) for s in splits), default=0) + 1
-    columns, deepest = ("fold", "weight", "label", "within"), max(depths)
-    folds = sorted(r["fold"] for r in vectors.select("fold").distinct().collect())
-    tasks = [(i, fold, least) for i, (fold, least) in enumerate((f, m) for f in folds for m in leasts)]
+    deepest = max(depths)
+    shift = vectors.agg((F.sum(F.col("weight") * F.col("label")) / F.sum("weight")).alias("m")).first()["m"]
 
-    def packed(batches):
+    def binned(batches):
         for rows in batches:
             if len(rows):
-                bins = place(np.stack(rows["x"].to_numpy()), splits)
-                yield pd.DataFrame({"bins": [bins.tobytes()], **{c: [rows[c].to_numpy(np.float64).tobytes()] for c in columns}})
-
-    def scored(rows):
-        bins = np.frombuffer(b"".join(rows["bins"]), np.uint8).reshape(-1, features)
-        fold, weight, label, within = (np.frombuffer(b"".join(rows[c]), np.float64) for c in columns)
-        task, out, least = rows["task"].iloc[0], fold == rows["out"].iloc[0], rows["least"].iloc[0]
-        shift = np.average(label[~out], weights=weight[~out])
-        label = label - shift
-        *tree, _ = grow(bins[~out], weight[~out], (weight * label)[~out], deepest, least, width)
-        bins, weight, label, within = bins[out], weight[out], label[out], within[out].sum()
-        total = within + (weight * (label - np.average(label, weights=weight)) ** 2).sum()
-        errors = [within + (weight * (label - walk(bins, tree, d)) ** 2).sum() for d in depths]
-        return pd.DataFrame({"task": task, "depth": list(depths), "least": least, "r2": [1 - e / total for e in errors]})
-
-    blocks = vectors.select(vector_to_array("features").alias("x"), *columns).mapInPandas(packed, "bins binary, " + ", ".join(f"{c} binary" for c in columns))
-    dealt = blocks.withColumn("t", F.explode(F.array(*[F.struct(F.lit(i).alias("task"), F.lit(float(f)).alias("out"), F.lit(m).alias("least")) for i, f, m in tasks])))
-    dealt = dealt.select("bins", *columns, "t.*").repartition(len(tasks), "task")
-    found = dealt.groupBy("task").applyInPandas(scored, "task int, depth int, least int, r2 double").collect()
+                keys = place(np.stack(rows["x"].to_numpy()), splits)
+                yield pd.DataFrame({"bins": [k.tobytes() for k in keys], **{c: rows[c] for c in ("fold", "weight", "label", "within")}})
+
+    off = F.col("label") - F.lit(shift)
+    w, s, squares = F.sum("weight"), F.sum(F.col("weight") * off), F.sum(F.col("within") + F.col("weight") * off * off)
+    merged = vectors.select(vector_to_array("features").alias("x"), F.col("fold").cast("int").alias("fold"), "weight", "label", "within")
+    merged = merged.mapInPandas(binned, "bins binary, fold int, weight double, label double, within double").groupBy("bins", "fold")
+    merged = materialize(merged.agg(w.alias("weight"), (s / w).alias("label"), (squares - s * s / w).alias("within")), "binned")
+    within = {r["fold"]: r["n"] for r in merged.groupBy("fold").agg(F.sum("within").alias("n")).collect()}  # at most the folds
+    tasks = [(fold, least) for fold in sorted(within) for least in leasts]
+
+    def packed(batches):
+        for rows in batches:
+            for start in range(0, len(rows), BLOCK_ROWS):
+                some = rows.iloc[start : start + BLOCK_ROWS]
+                yield pd.DataFrame({
+                    "bins": [b"".join(some["bins"])], "fold": [some["fold"].to_numpy(np.uint8).tobytes()],
+                    "weight": [some["weight"].to_numpy(np.float64).tobytes()], "label": [some["label"].to_numpy(np.float64).tobytes()],
+                })
+
+    def scored(batches):
+        held: dict = {}  # a task a partition, as a rule
+        for rows in batches:
+            for r in rows.itertuples(index=False):
+                held.setdefault(r.task, []).append((r.bins, r.fold, r.weight, r.label))
+        for task in sorted(held):
+            (out, least), parts = tasks[task], held.pop(task)
+            keys = np.frombuffer(b"".join(p[0] for p in parts), np.uint8).reshape(-1, features)
+            fold, weight, label = (np.frombuffer(b"".join(p[i] for p in parts), kind) for i, kind in ((1, np.uint8), (2, np.float64), (3, np.float64)))
+            parts, rest = None, fold != out
+            *tree, _ = grow(keys[rest], weight[rest], (weight * label)[rest], deepest, least, width)
+            rest = ~rest
+            keys, weight, label = keys[rest], weight[rest], label[rest]
+            total = within[out] + (weight * (label - np.average(label, weights=weight)) ** 2).sum()
+            errors = [within[out] + (weight * (label - walk(keys, tree, d)) ** 2).sum() for d in depths]
+            yield pd.DataFrame({"depth": list(depths), "least": least, "r2": [1 - e / total for e in errors]})
+
+    blocks = merged.mapInPandas(packed, "bins binary, fold binary, weight binary, label binary")
+    dealt = blocks.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(len(tasks) - 1))))
+    found = dealt.repartitionByRange(len(tasks), "task").mapInPandas(scored, "depth int, least int, r2 double").collect()
     return {(d, m): float(np.mean([r["r2"] for r in found if (r["depth"], r["least"]) == (d, m)])) for d in depths for m in leasts}
 
 

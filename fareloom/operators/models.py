@@ -463,14 +463,15 @@ def tree_grid_search(data: DataFrame, depths=fixed.TREE_GRID_DEPTHS, splits=fixe
         estimator=estimator, estimatorParamMaps=grid, numFolds=fixed.FOLDS, foldCol="fold",
         evaluator=RegressionEvaluator(metricName="r2"), parallelism=parallelism,
     )
-    train = spread(with_folds(data.where("NOT is_test")).select("features", "label", "fold"))
+    train = with_folds(data.where("NOT is_test")).select("features", "label", "fold")
     vectors = folded(train, "fold")
     if vectors is None:
+        train = spread(train)
         scores = cv.fit(train).avgMetrics
+        train.unpersist()
     else:
         found = grid_scores(vectors, depths, sorted({max(1, s // 2) for s in splits}), TREES["maxBins"])
         scores = [found[g[estimator.maxDepth], g[estimator.minInstancesPerNode]] for g in grid]
-    train.unpersist()
     best = max(range(len(grid)), key=lambda i: scores[i])
     rows = [
         (int(g[estimator.maxDepth]), int(g[estimator.minInstancesPerNode]), round(float(s), 6), i == best)

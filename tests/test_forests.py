@@ -100,3 +100,14 @@ def test_splits_are_all_or_about_equal_weights_apart():
     assert forests.thresholds(np.array([1.0, 2.0, 4.0]), np.ones(3), 32) == [1.5, 3.0]
     got = forests.thresholds(np.arange(1000.0), np.ones(1000), 4)
     assert np.allclose(got, [249.5, 499.5, 749.5], atol=1.0)
+
+
+def test_a_grid_does_not_keep_single_rows_and_merges_equal_bins(rows, monkeypatch):
+    few = dict(depths=(2, 4), splits=(2, 10))
+    want = md.tree_grid_search(rows, **few).collect()
+    monkeypatch.setattr(md, "FOLD_ROWS", 1)
+    monkeypatch.setattr(md, "spread", lambda *_: 1 / 0)
+    monkeypatch.setattr(forests, "BLOCK_ROWS", 7)
+    got = md.tree_grid_search(rows, **few).collect()
+    for a, b in zip(want, got, strict=True):
+        assert a[:2] == b[:2] and a["cv_r2"] == pytest.approx(b["cv_r2"], abs=2e-6)
