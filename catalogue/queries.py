@@ -1185,17 +1185,14 @@ def residuals(spark, sf_dir):
     return out.select("id", "label", "prediction", round_to("residual", 2).alias("residual"))
 
 
+def _fitted_all(spark, sf_dir) -> dict:
+    return {name: _model(spark, sf_dir, name) for name in models.MODELS}
+
+
 def _leaderboard(spark, sf_dir):
     def run():
-        fitted = {
-            "linear_regression": _model(spark, sf_dir, "linear_regression"),
-            "ridge": _model(spark, sf_dir, "ridge"),
-            "lasso": _model(spark, sf_dir, "lasso"),
-            "random_forest": _model(spark, sf_dir, "random_forest"),
-            "gradient_boosting": _model(spark, sf_dir, "gradient_boosting"),
-        }
-        board, _ = models.train_all(_data(spark, sf_dir)[0], fitted=fitted)
-        return materialize(board, "leaderboard")
+        board = models.evaluate_all(_fitted_all(spark, sf_dir), _data(spark, sf_dir)[0])
+        return materialize(board.orderBy(F.col("test_r2").desc(), "model_name"), "leaderboard")
 
     return _memo(spark, sf_dir, "leaderboard", run)
 

@@ -22,6 +22,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Rows that are drawn for all trees at once.
 DRAW_ROWS = 1 << 12
+#: Binned vectors with 1/``HOT_SHARE`` of the rows or more are spread over so many parts.
+HOT_SHARE, SALTS = 1000, 64
 #: Nodes whose statistics are held at once while a tree grows.
 NODES_AT_ONCE = 1 << 14
 #: Rows that are sent to a task of a grid together.
@@ -144,7 +146,7 @@ def fit_forest(train: DataFrame, folded: DataFrame, trees: int, depth: int, leas
         for rows in batches:
             x = np.stack(rows["x"].to_numpy()) if len(rows) else np.empty((0, features))
             keys = place(x, splits) if features else np.zeros((len(rows), 0), np.uint8)
-            yield pd.DataFrame({"bins": [k.tobytes() for k in keys], "label": rows["label"] - shift})
+            yield pd.DataFrame({"bins": [k.tobytes() for k in keys], "label": rows["label"]})
 
     def drawn(batches):
         from pyspark import TaskContext
@@ -154,7 +156,7 @@ def fit_forest(train: DataFrame, folded: DataFrame, trees: int, depth: int, leas
             for start in range(0, len(rows), DRAW_ROWS):
                 some = rows.iloc[start : start + DRAW_ROWS]
                 keys = np.frombuffer(b"".join(some["bins"]), np.uint8).reshape(len(some), features)
-                keys, n, s = draw(keys, some["label"].to_numpy(), trees, np.random.default_rng([seed, part, number]))
+                keys, n, s = draw(keys, some["label"].to_numpy() - shift, trees, np.random.default_rng([seed, part, number]))
                 number += 1
                 held = [np.flatnonzero(n[:, t]) for t in range(trees)]
                 yield pd.DataFrame({
@@ -171,9 +173,15 @@ def fit_forest(train: DataFrame, folded: DataFrame, trees: int, depth: int, leas
             "value": [(value + shift).tobytes()], "importance": [importance.tolist()],
         })
 
-    rows = train.select(vector_to_array("features").alias("x"), "label").mapInPandas(binned, "bins binary, label double")
+    def by_bins(df, value):
+        return df.select(vector_to_array("features").alias("x"), F.col(value).alias("label")).mapInPandas(binned, "bins binary, label double")
+
+    counts = by_bins(folded, "weight").groupBy("bins").agg(F.sum("label").alias("n"))
+    total = folded.agg(F.sum("weight").alias("n")).first()["n"] or 0
+    hot = [r["bins"] for r in counts.where(F.col("n") >= max(DRAW_ROWS, total / HOT_SHARE)).collect()]  # at most HOT_SHARE
+    rows = by_bins(train, "label")
     # rows of a vector lie together, and those of a common one in several parts: what is drawn adds up
-    spread = F.pmod(F.xxhash64("label"), F.lit(8))
+    spread = F.when(F.col("bins").isin([bytes(b) for b in hot]), F.pmod(F.xxhash64("label"), F.lit(SALTS))).otherwise(0) if hot else F.lit(0)
     rows = rows.repartition(max(cores, train.rdd.getNumPartitions()), "bins", spread).sortWithinPartitions("bins", "label")
     draws = materialize(rows.mapInPandas(drawn, "tree int, bins binary, n binary, s binary"), "draws")
     model = draws.repartition(trees, "tree").groupBy("tree").applyInPandas(grown, NODES)

@@ -32,6 +32,8 @@ PARTITION_ROWS = 1 << 13
 PARALLEL_FITS = 4
 #: From so many rows on, trees are grown from rows with equal features put together, if these are no more than ``FOLDED_ROWS``.
 FOLD_ROWS, FOLDED_ROWS = 1 << 17, 1 << 20
+#: Bytes of predictions by vector up to which they are broadcast to the rows.
+PREDICTION_BYTES = 64 << 20
 
 
 def _place(key: str, seed: int, parts: int):
@@ -142,10 +144,13 @@ def keep_checkpoints(spark) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
-def fit(name: str, train: DataFrame, **params):
+def fit(name: str, train: DataFrame, vectors: DataFrame | None = None, **params):
+    """``vectors`` are the folded rows of ``train``, if they are known."""
     keep_checkpoints(train.sparkSession)
     estimator = MODELS.get(name, tree)(train, **params)
-    return fit_rows(estimator, train, folded(train) if hasattr(estimator, "minInstancesPerNode") else None)
+    if not hasattr(estimator, "minInstancesPerNode"):
+        return fit_rows(estimator, train, None)
+    return fit_rows(estimator, train, folded(train) if vectors is None else vectors)
 
 
 def fit_rows(estimator, train: DataFrame, vectors: DataFrame | None):
@@ -197,16 +202,40 @@ def _predicted(model, df: DataFrame, column: str) -> DataFrame:
     return model.copy({model.predictionCol: column}).transform(df)
 
 
+def _by_vector(fitted: dict, rows: DataFrame) -> DataFrame | None:
+    """The labels of rows with the predictions p0, p1, ...: each distinct vector is scored once, where they are few as in ``folded``.
+
+    A 64-bit hash joins both, if no two of the vectors share one.
+    """
+    if rows.count() < FOLD_ROWS:
+        return None
+    key, cores = F.xxhash64("features").alias("vector"), rows.sparkSession.sparkContext.defaultParallelism
+    vectors = materialize(rows.select("features").distinct().select("features", key), "vectors")
+    n = vectors.agg(F.count("vector").alias("all"), F.countDistinct("vector").alias("unlike")).first()
+    if n["all"] > FOLDED_ROWS or n["all"] != n["unlike"]:
+        return None
+    scored = vectors.repartition(cores, "vector")
+    for i, model in enumerate(fitted.values()):
+        scored = _predicted(model, scored, f"p{i}")
+    scored = materialize(scored.select("vector", *[f"p{i}" for i in range(len(fitted))]), "predictions")
+    few = n["all"] * 8 * (1 + len(fitted)) <= PREDICTION_BYTES
+    return rows.select("label", "is_test", key).join(F.broadcast(scored) if few else scored, "vector")
+
+
 def evaluate_all(fitted: dict, data: DataFrame) -> DataFrame:
     """A row a model: train and test metrics of all of them from one pass. ``data`` carries ``is_test``."""
-    scored, rows = data.select("features", "label", "is_test"), []
-    if any(isinstance(model, FoldedForest) for model in fitted.values()):  # it scores equal rows of a batch once
-        scored = scored.repartition("features", F.pmod(F.xxhash64("label"), F.lit(8))).sortWithinPartitions("features")
-    for i, (name, model) in enumerate(fitted.items()):
-        scored = _predicted(model, scored, f"p{i}")
+    rows, out = data.select("features", "label", "is_test"), []
+    scored = _by_vector(fitted, rows)
+    if scored is None:
+        scored = rows
+        if any(isinstance(model, FoldedForest) for model in fitted.values()):  # it scores equal rows of a batch once
+            scored = scored.repartition("features", F.pmod(F.xxhash64("label"), F.lit(8))).sortWithinPartitions("features")
+        for i, model in enumerate(fitted.values()):
+            scored = _predicted(model, scored, f"p{i}")
+    for i, name in enumerate(fitted):
         metrics = [*_fit_of(~F.col("is_test"), f"p{i}", "train_"), *_fit_of(F.col("is_test"), f"p{i}", "test_")]
-        rows.append(F.struct(F.lit(name).alias("model_name"), *metrics))
-    return scored.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+        out.append(F.struct(F.lit(name).alias("model_name"), *metrics))
+    return scored.agg(F.array(*out).alias("rows")).select(F.inline("rows"))
 
 
 def evaluate(name: str, model, data: DataFrame) -> DataFrame:
@@ -511,9 +540,11 @@ def importances(spark, model, features) -> DataFrame:
 
 def importance_forest(data: DataFrame, features, trees=100) -> DataFrame:
     """Feature importances of a forest of 100 trees of depth 10."""
-    data = spread(data)
-    model = fit_rows(forest(data, trees=trees, depth=10, min_split=2), data, folded(data))
-    data.unpersist()
+    vectors = folded(data)
+    kept = spread(data) if vectors is None else data
+    model = fit_rows(forest(kept, trees=trees, depth=10, min_split=2), kept, vectors)
+    if vectors is None:
+        kept.unpersist()
     return importances(data.sparkSession, model, features)
 
 

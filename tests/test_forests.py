@@ -102,6 +102,21 @@ def test_splits_are_all_or_about_equal_weights_apart():
     assert np.allclose(got, [249.5, 499.5, 749.5], atol=1.0)
 
 
+def test_vectors_are_scored_once_with_the_metrics_of_all_rows(rows, monkeypatch):
+    fitted = {"linear_regression": md.fit("linear_regression", rows), "tree": md.fit("decision_tree", rows, depth=4)}
+    want = md.evaluate_all(fitted, rows).collect()
+    monkeypatch.setattr(md, "FOLD_ROWS", 1)
+    seen, predicted = [], md._predicted
+    monkeypatch.setattr(md, "_predicted", lambda model, df, column: (seen.append(df.count()), predicted(model, df, column))[1])
+    for most in (md.PREDICTION_BYTES, 0):  # broadcast, shuffled
+        monkeypatch.setattr(md, "PREDICTION_BYTES", most)
+        for a, b in zip(want, md.evaluate_all(fitted, rows).collect(), strict=True):
+            assert a[0] == b[0] and a[1:] == pytest.approx(b[1:], rel=1e-4)
+    assert set(seen) == {96}
+    monkeypatch.setattr(md, "FOLDED_ROWS", 95)
+    assert md._by_vector(fitted, rows.select("features", "label", "is_test")) is None
+
+
 def test_a_grid_does_not_keep_single_rows_and_merges_equal_bins(rows, monkeypatch):
     few = dict(depths=(2, 4), splits=(2, 10))
     want = md.tree_grid_search(rows, **few).collect()
@@ -111,3 +126,10 @@ def test_a_grid_does_not_keep_single_rows_and_merges_equal_bins(rows, monkeypatc
     got = md.tree_grid_search(rows, **few).collect()
     for a, b in zip(want, got, strict=True):
         assert a[:2] == b[:2] and a["cv_r2"] == pytest.approx(b["cv_r2"], abs=2e-6)
+
+
+def test_common_vectors_are_drawn_in_parts(rows, monkeypatch):
+    monkeypatch.setattr(md, "FOLD_ROWS", 1)
+    monkeypatch.setattr(forests, "DRAW_ROWS", 20)  # most of the 96 vectors have fewer rows
+    model = md.fit("random_forest", rows, trees=20, depth=6)
+    assert md.reg_metrics(model.transform(rows)).first()["r2"] > 0.85
