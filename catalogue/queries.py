@@ -1008,13 +1008,28 @@ def _data(spark, sf_dir):
     return models.assemble(table, fitted.feature_names), fitted.feature_names
 
 
+def _vectors(spark, sf_dir):
+    """The training rows folded for the trees and ensembles, or None, on first use."""
+    return _memo(spark, sf_dir, "vectors", lambda: models.folded(_data(spark, sf_dir)[0].where("NOT is_test")))
+
+
+def _tree_grid(spark, sf_dir):
+    return _memo(spark, sf_dir, "tree_grid", lambda: models.tree_grid_search(_data(spark, sf_dir)[0]))
+
+
 def _model(spark, sf_dir, name, **params):
-    """A model fitted to the training rows; later queries use the fitted one."""
+    """A model fitted to the training rows, a tree with the depth and split size of its grid; later queries use the fitted one."""
 
     def fit():
-        train = models.spread(_data(spark, sf_dir)[0].where("NOT is_test"))
-        model = models.fit(name, train, **params)
-        train.unpersist()
+        train, linear = _data(spark, sf_dir)[0].where("NOT is_test"), name in models.LINEAR_KINDS
+        vectors = None if linear else _vectors(spark, sf_dir)
+        kept = models.spread(train) if vectors is None and not linear else train
+        if name == "decision_tree":
+            model = models.tuned_tree(_tree_grid(spark, sf_dir), kept, vectors)
+        else:
+            model = models.fit(name, kept, vectors, **params)
+        if kept is not train:
+            kept.unpersist()
         return model
 
     return _memo(spark, sf_dir, name, fit)
@@ -1147,7 +1162,7 @@ def grid_search(spark, sf_dir):
 
 @query("grid_search_tree")
 def grid_search_tree(spark, sf_dir):
-    return models.tree_grid_search(_data(spark, sf_dir)[0])
+    return _tree_grid(spark, sf_dir)
 
 
 @query("reg_sweep")

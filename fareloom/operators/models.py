@@ -511,6 +511,12 @@ def tree_grid_search(data: DataFrame, depths=fixed.TREE_GRID_DEPTHS, splits=fixe
     )
 
 
+def tuned_tree(grid: DataFrame, train: DataFrame, vectors: DataFrame | None = None):
+    """The decision tree of the best depth and split size of a ``tree_grid_search``, fitted to all training rows."""
+    best = grid.where("is_best").first()
+    return fit("decision_tree", train, vectors, depth=best["max_depth"], min_split=2 * best["min_rows_per_leaf"])
+
+
 def depth_sweep(data: DataFrame, depths=fixed.SWEEP_DEPTHS) -> DataFrame:
     """Train and test R2 of a decision tree by depth."""
     train = spread(data.where("NOT is_test"))

@@ -128,6 +128,14 @@ def test_a_grid_does_not_keep_single_rows_and_merges_equal_bins(rows, monkeypatc
         assert a[:2] == b[:2] and a["cv_r2"] == pytest.approx(b["cv_r2"], abs=2e-6)
 
 
+def test_a_tree_is_tuned_by_its_grid(rows):
+    grid = md.tree_grid_search(rows, depths=(1, 4), splits=(2, 20))
+    best = grid.where("is_best").first()
+    train = rows.where("NOT is_test")
+    model = md.tuned_tree(grid, train)
+    assert (model.getMaxDepth(), model.getMinInstancesPerNode()) == (best["max_depth"], best["min_rows_per_leaf"]) and best["max_depth"] == 4
+
+
 def test_common_vectors_are_drawn_in_parts(rows, monkeypatch):
     monkeypatch.setattr(md, "FOLD_ROWS", 1)
     monkeypatch.setattr(forests, "DRAW_ROWS", 20)  # most of the 96 vectors have fewer rows
