@@ -117,6 +117,17 @@ def test_vectors_are_scored_once_with_the_metrics_of_all_rows(rows, monkeypatch)
     assert md._by_vector(fitted, rows.select("features", "label", "is_test")) is None
 
 
+def test_folds_are_scored_by_vector_as_row_by_row(rows, monkeypatch):
+    names, params = ("linear_regression", "decision_tree"), {"decision_tree": dict(depth=4)}
+    want = md.cross_validate(rows, names, params).collect()
+    monkeypatch.setattr(md, "FOLD_ROWS", 1)
+    monkeypatch.setattr(md, "spread", lambda df, spread=md.spread: spread(df) if "weight" in df.columns else 1 / 0)  # single rows are not kept
+    got = md.cross_validate(rows, names, params).collect()
+    for a, b in zip(want, got, strict=True):
+        assert a[0] == b[0] and a[1:] == pytest.approx(b[1:], abs=2e-4)
+    assert md.cross_validate(rows, ("random_forest",), {"random_forest": dict(trees=5, depth=4)}).first()["cv_r2_mean"] > 0.8
+
+
 def test_a_grid_does_not_keep_single_rows_and_merges_equal_bins(rows, monkeypatch):
     few = dict(depths=(2, 4), splits=(2, 10))
     want = md.tree_grid_search(rows, **few).collect()
